@@ -17,9 +17,14 @@ def replace_all(c: Column, rules: Iterable[tuple[str, str]]) -> Column:
     return c
 
 
+def strip(c: Column) -> Column:
+    """Remove white space at both ends (line ends and tabs too, unlike ``trim``)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def extract_zh(c: Column, keep: str = V.CJK) -> Column:
     """Keep only characters of the class ``keep``."""
-    return F.trim(F.regexp_replace(c, f"[^{keep}]", ""))
+    return strip(F.regexp_replace(c, f"[^{keep}]", ""))
 
 
 def only_word_space(c: Column, keep: str = V.CJK) -> Column:
@@ -32,7 +37,7 @@ def clean_answers(c: Column, marks: str = V.SENTENCE_MARKS, commas: str = V.COMM
     t = F.regexp_replace(c, r"\.{3,10}$", "")
     whole = F.regexp_replace(t, f"([{marks}])[^{marks}]*$", "$1")
     space = F.locate(" ", t, 81)  # 1-based; the first blank at or after index 80
-    return F.trim(
+    return strip(
         F.when((t == c) | F.rlike(t, F.lit(f"[{marks}]")), whole)
         .when(F.rlike(t, F.lit(f"^[{letters}]{{20,1000}}$")), F.lit(""))
         .when(
@@ -63,7 +68,7 @@ def strip_emoji(c: Column) -> Column:
 
 def clean_chat_question(c: Column) -> Column:
     t = strip_emoji(F.concat(c, F.lit(" ")))
-    return F.regexp_replace(F.trim(F.regexp_replace(t, V.MENTION, "")), V.QUESTION_TAIL, "")
+    return F.regexp_replace(strip(F.regexp_replace(t, V.MENTION, "")), V.QUESTION_TAIL, "")
 
 
 def collapse_repeats(c: Column, keep: int = 2) -> Column:
@@ -84,13 +89,13 @@ def screen_question(
     max_length: int = 15,
 ) -> Column:
     """'' for a rejected or too long question, else the cleaned question."""
-    q = F.trim(c)
-    out = F.trim(replace_all(q, clean))
+    q = strip(c)
+    out = strip(replace_all(q, clean))
     out = F.regexp_replace(out, V.SCREEN_SPACED, "，")
     refused = F.length(q) == 0
     for pattern in reject:
         refused = refused | F.rlike(q, F.lit(pattern))
-    return F.when(refused | (F.length(out) > max_length), F.lit("")).otherwise(F.trim(out))
+    return F.when(refused | (F.length(out) > max_length), F.lit("")).otherwise(strip(out))
 
 
 def first_sentence(c: Column, stop: str = "。") -> Column:
