@@ -91,7 +91,8 @@ def containment_pairs(words: DataFrame, column: str = "term") -> DataFrame:
     """
     w = words.select(F.col(column)).distinct()
     lengths = w.agg(F.sort_array(F.collect_set(F.length(column)))).scalar()
-    subs = w.withColumn("_len", F.explode(F.filter(lengths, lambda n: n < F.length(F.col(column)))))
+    subs = w.withColumn("_lens", lengths)
+    subs = subs.withColumn("_len", F.explode(F.filter("_lens", lambda n: n < F.length(F.col(column)))))
     subs = subs.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(column) - F.col("_len") + 1)))
     subs = subs.select(column, F.substring(F.col(column), F.col("_at"), F.col("_len")).alias("_sub"))
     hits = subs.where("_sub <> ''").join(w.select(F.col(column).alias("_sub")), "_sub", "left_semi")
@@ -101,12 +102,14 @@ def containment_pairs(words: DataFrame, column: str = "term") -> DataFrame:
 def affix_pairs(items: DataFrame, column: str = "item") -> DataFrame:
     """(shorter, longer) where the shorter item is a prefix or suffix of the longer."""
     c = F.col(column)
-    cuts = F.sequence(F.lit(1), F.length(c) - 1)
+    # Only lengths that some item has can match, so a very long item adds few affixes.
+    lengths = items.agg(F.sort_array(F.collect_set(F.length(column)))).scalar()
+    cuts = F.filter(F.col("_lens"), lambda n: n < F.length(c))
     affixes = F.array_union(
         F.transform(cuts, lambda n: F.substring(c, F.lit(1), n)),
         F.transform(cuts, lambda n: F.substring(c, F.length(c) - n + 1, n)),
     )
-    longer = items.where(F.length(c) > 1).select(c.alias("longer"), F.explode(affixes).alias("shorter"))
+    longer = items.where(F.length(c) > 1).withColumn("_lens", lengths).select(c.alias("longer"), F.explode(affixes).alias("shorter"))
     return longer.join(items.select(c.alias("shorter")), "shorter").select("shorter", "longer")
 
 

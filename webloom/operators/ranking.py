@@ -86,15 +86,15 @@ def rate_in_last_minute(calls: DataFrame, key: str, ts: str, order: str, seconds
     Windows run within (key, time slot); every call is also handed to the following
     slot, which is all the look-back needed, so a hot key is spread over its slots.
     """
-    at = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1e6)
-    slot = F.floor(at / seconds)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    slot = F.floor(at / (seconds * 1_000_000))
     both = calls.withColumn("_at", at).withColumn("_own", slot).withColumn("_slot", F.explode(F.array(slot, slot + 1)))
-    w = Window.partitionBy(key, "_slot").orderBy("_at").rangeBetween(-float(seconds), 0.0)
+    w = Window.partitionBy(key, "_slot").orderBy("_at").rangeBetween(-seconds * 1_000_000, 0)
     n = F.count(F.lit(1)).over(w)
     first = F.min("_at").over(w)
     return (
         both.withColumn("calls", n)
-        .withColumn("mean_gap", F.when(n > 1, (F.col("_at") - first) / (n - 1)))
+        .withColumn("mean_gap", F.when(n > 1, (F.col("_at") - first) / 1e6 / (n - 1)))
         .where(F.col("_slot") == F.col("_own"))
         .withColumn("over", F.col("calls") > threshold)
         .drop("_at", "_own", "_slot")
