@@ -1 +1,8 @@
 """webloom: curate crawled web data into tables with Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -173,3 +173,46 @@ QUESTION_URLS = [  # label, pattern with one id group; the first match wins
 ]
 TITLE_SUFFIX, TITLE_NOTICE = "_百度知道", "百度知道-信息提示"
 TRUSTED_SOURCE, SKIPPED_SOURCE = "baike", "muzhi"
+
+QUESTION_PAGE = {
+    "content": r'accuse="qContent">(.*?)(</pre>|</div>)',
+    "supplement": r'accuse="qSupply">(.*?)(</pre>|</div>)',
+    "time": r'<em class="accuse-enter">.*\n*</ins>\n*(.*)\n*</span>',
+    "asker": r'a class="user-name" alog-action="qb-ask-uname" rel="nofollow" href="http://www.baidu.com/p/(.*?)\?from=zhidao" target="_blank">',
+    "answer_id": r'id="answer-(\d+)',
+}
+ANSWER_FIELDS = {  # output column: (JSON field, type)
+    "question_id": ("encode_qid", "string"), "answer_id": ("id", "string"), "is_best": ("isBest", "int"),
+    "is_recommend": ("isRecommend", "int"), "is_highquality": ("isHighQuality", "int"), "answer_time": ("createTime", "string"),
+    "content": ("content", "string"), "agreement": ("valueNum", "int"), "disagreement": ("valueBadNum", "int"),
+}
+SEARCH_PAGE = {
+    "box": "wgt-baike", "box_url": r"http://baike.baidu.com/subview/\d+/(\d+).htm", "box_suffix": "_百度百科",
+    "total": "wgt-picker", "total_class": "f-lighter", "recommended": "wgt-autoask", "item_class": "dl",
+    "noise": ["推荐答案", "[详细]"],
+}
+BOOK_BREAK = "<hr />"
+SECTION_LABEL = "【.+?】"
+BOOK_NAME_LABEL = "摘录"
+TABLE_NOTE = "注"
+HEADWORD = {
+    "entry": r'(?s)<span id="span2" class="STYLE2">(.+?)</span.+?<span id="span14".+?</SRIPT>(.+?)</table>',
+    "font": "<font", "font_mark": "red>", "unreadable": r"^[\x{E000}-\x{EFFF}]",
+}
+NOTICE_BOX = ('<div class="mainbox">', '<div id="footer">')
+NOTICE_FIELDS = {"title": r"<h4[^>]*>([^<]*)", "public_date": r"<h5[^>]*>([^<]*)", "body": r"<pre[^>]*>([^<]*)"}
+DUMP_BREAK, DUMP_LINK = "</>", "@@@LINK="
+COMPANY_FIELDS = {
+    "注册号：": "registration_id", "统一社会信用代码：": "unified_social_credit_code", "组织机构代码：": "organization_code",
+    "经营状态：": "status", "公司类型：": "business_type", "成立日期：": "establish_date", "法定代表：": "legal_person",
+    "注册资本：": "registered_capital", "登记机关：": "registration_authority", "发照日期：": "approval_date",
+    "企业地址：": "address", "经营范围：": "business_scope",
+}
+COMPANY_TERM, TERM_SPLIT, TERM_OPEN, MAP_LINK_TEXT = "营业期限：", "至", "无固定期限", "查看地图"
+COMPANY_SECTIONS = {"股东信息": "shareholders", "主要人员": "executives", "分支机构": "branches", "变更记录": "changes", "经营异常": "abnormals"}
+SHAREHOLDER_FIELDS = {"认缴出资额": "subscribe_money", "认缴出资时间": "subscribe_time", "实缴出资额": "actual_money", "实缴出资时间": "actual_time"}
+CHANGE_FIELDS = {"变更项目": "project", "变更日期": "change_time", "变更前": "before_change", "变更后": "after_change"}
+ABNORMAL_FIELDS = {
+    "列入日期": "date", "作出决定机关": "organs", "列入经营异常名录原因": "reason", "移出日期": "end_date", "移出经营异常名录原因": "end_reason",
+}
+POSITION_NOISE = "点评动态"

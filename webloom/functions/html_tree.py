@@ -1,0 +1,87 @@
+"""A small element tree over the standard HTML parser, for code inside tasks."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+CLOSED_BY = {"li": {"li"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "p": {"p"}}
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "items", "parent")
+
+    def __init__(self, tag: str, attrs: dict, parent: Node | None = None):
+        self.tag, self.attrs, self.items, self.parent = tag, attrs, [], parent
+
+    @property
+    def children(self) -> list[Node]:
+        return [x for x in self.items if isinstance(x, Node)]
+
+    def walk(self) -> Iterator[Node]:
+        stack = self.children[::-1]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(node.children[::-1])
+
+    def texts(self) -> list[str]:
+        out, stack = [], list(self.items[::-1])
+        while stack:
+            x = stack.pop()
+            if isinstance(x, Node):
+                stack.extend(x.items[::-1])
+            else:
+                out.append(x)
+        return out
+
+    def text(self) -> str:
+        return "".join(self.texts())
+
+    def has(self, cls: str) -> bool:
+        return cls in (self.attrs.get("class") or "").split()
+
+    def find(self, match: Callable[[Node], bool]) -> list[Node]:
+        return [n for n in self.walk() if match(n)]
+
+    def tags(self, *names: str) -> list[Node]:
+        return self.find(lambda n: n.tag in names)
+
+    def classed(self, cls: str, tag: str | None = None) -> list[Node]:
+        return self.find(lambda n: n.has(cls) and (tag is None or n.tag == tag))
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = Node("#root", {})
+
+    def handle_starttag(self, tag, attrs):
+        closes = CLOSED_BY.get(tag)
+        if closes and self.at.tag in closes:
+            self.at = self.at.parent
+        node = Node(tag, dict(attrs), self.at)
+        self.at.items.append(node)
+        if tag not in VOID:
+            self.at = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.at.items.append(Node(tag, dict(attrs), self.at))
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node.parent is not None and node.tag != tag:
+            node = node.parent
+        if node.parent is not None:
+            self.at = node.parent
+
+    def handle_data(self, data):
+        self.at.items.append(data)
+
+
+def parse(html: str) -> Node:
+    builder = _Builder()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root
