@@ -216,3 +216,21 @@ ABNORMAL_FIELDS = {
     "列入日期": "date", "作出决定机关": "organs", "列入经营异常名录原因": "reason", "移出日期": "end_date", "移出经营异常名录原因": "end_reason",
 }
 POSITION_NOISE = "点评动态"
+
+OVERALL_TREND = "总趋势"
+QUOTE_UNITS = {"grain": "元/吨"}
+QUOTE_CLAIMS = {"type": "报价类型", "agency": "报价机构", "place": "出产地", "grade": "等级"}
+GRADE_KEY = "等级"
+CONTRACT_CODE = "Pt9995"
+CONTRACT_CLAIMS = {"type": "加权平均价", "unit": "元/克"}
+HOLDER_CLAIMS = ["股东信息", "股东名称", "股东职务", "股东source_url"]
+CHANGE_CLAIMS = ["变更记录", "变更项目", "变更时间", "变更前", "变更后"]
+EXECUTIVE_CLAIMS = ["主要人员", "人员职务", "人员姓名"]
+MATERIAL_PROPERTIES = ["物化性质", "分子式", "中文别名", "英文名称", "分子量"]
+COUNTRY_FIELD = "国家"
+DEFINITION_BREAK = "|||"
+WIDE_PRICE_COLUMNS = [
+    "productGrade", "priceCurrency", "createdTime", "confidence", "productPlaceOfOrigin", "maxPrice", "seller", "source", "tags",
+    "productionYear", "unitText", "mainEntityOfPage", "mainEntityOfPage_raw", "sellerMarket", "minPrice", "productSpecification",
+    "priceType", "description", "validMonth", "validDate",
+]
