@@ -7,8 +7,13 @@ from webloom.operators import records, stats
 from webloom.plans.registry import query
 from webloom.scale import first_per_key
 
-_CLAIMS = records.claims_text("claims").alias("claims")
-_TAGS = F.array_join("tags", "|").alias("tags")
+
+def _claims():
+    return records.claims_text("claims").alias("claims")
+
+
+def _tags():
+    return F.array_join("tags", "|").alias("tags")
 
 
 def quotes(t):
@@ -59,7 +64,7 @@ _PRICE_ROWS_SQL = f"""select sha1({_SERIES} || '_' || day || '_' || domain) as r
 def _(t):
     r = records.price_records_rows(price_rows(t), place_map(t))
     return r.select(
-        "rid", "series", "seriesid", _TAGS, _CLAIMS, "recordDate", F.col("source.domain").alias("domain"), F.col("source.trackingId").alias("tracking")
+        "rid", "series", "seriesid", _tags(), _claims(), "recordDate", F.col("source.domain").alias("domain"), F.col("source.trackingId").alias("tracking")
     )
 
 
@@ -76,7 +81,7 @@ def _(t):
         F.col("url").alias("source"), F.col("p_name").alias("name"), F.concat_ws("/", "p_type", "p_brand").alias("specs"), F.col("day").alias("access_time"),
         F.array(pair(F.substring("day", 1, 7), F.col("price")), pair(F.lit("1999-01"), F.lit("7"))).alias("data"),
     )
-    return records.price_records_pairs(df).select("rid", "recordDate", _TAGS, _CLAIMS)
+    return records.price_records_pairs(df).select("rid", "recordDate", _tags(), _claims())
 
 
 @query(
@@ -92,7 +97,7 @@ def _(t):
         F.col("url").alias("source"), F.col("p_name").alias("name"), F.col("n_name").alias("productPlaceOfOrigin"), F.col("s_name").alias("sellerMarket"),
         F.col("p_type").alias("productGrade"), F.col("day").alias("access_time"), history.alias("price_history"),
     )
-    return records.price_records_map(df).select("rid", _TAGS, _CLAIMS)
+    return records.price_records_map(df).select("rid", _tags(), _claims())
 
 
 @query(
@@ -106,7 +111,7 @@ def _(t):
         F.col("url").alias("source"), F.col("p_name").alias("name"), F.col("n_name").alias("productPlaceOfOrigin"), F.col("p_type").alias("productGrade"),
         F.array(item).alias("price_data"),
     )
-    return records.price_records_list(df, place_map(t)).select("rid", _TAGS)
+    return records.price_records_list(df, place_map(t)).select("rid", _tags())
 
 
 @query(
@@ -121,7 +126,7 @@ def _(t):
         F.col("p_name").alias("produce_area"), history.alias("price_history"),
     )
     df = quotes(t).select(F.col("url").alias("source"), F.col("s_name").alias("market"), F.array(product).alias("product_list"))
-    return records.price_records_nested(df).select("id", "validDate", "price", _TAGS, F.col("productPlaceOfOrigin").alias("area"))
+    return records.price_records_nested(df).select("id", "validDate", "price", _tags(), F.col("productPlaceOfOrigin").alias("area"))
 
 
 @query(
@@ -148,7 +153,7 @@ def _(t):
     out = records.price_records_quote(df)
     # the tracking id is the hash of url and access time: it leads back to the event
     back = t.events.select("event_id", F.sha1(F.concat_ws("_", F.lit("http://a.example.com/x"), F.col("event_id").cast("string"))).alias("tr"))
-    return out.join(back, F.col("source.trackingId") == F.col("tr")).select("event_id", "rid", _CLAIMS)
+    return out.join(back, F.col("source.trackingId") == F.col("tr")).select("event_id", "rid", _claims())
 
 
 @query("contract_filter", "select p_partkey, p_brand from part where contains(p_brand, '#2') and p_size % 4 <> 0")
@@ -271,7 +276,7 @@ def _(t):
             "source": F.col("url"), "validDate": F.substring("day", 1, 7)}, mapper,
     )
     return out.select(
-        F.regexp_replace("name", "#[a-z ]+_", "_").alias("name"), F.col("mainEntityOfPage").alias("entity"), _TAGS, F.col("validMonth").alias("month"), "seller"
+        F.regexp_replace("name", "#[a-z ]+_", "_").alias("name"), F.col("mainEntityOfPage").alias("entity"), _tags(), F.col("validMonth").alias("month"), "seller"
     )
 
 
@@ -292,7 +297,7 @@ def _(t):
         d, url=F.col("url"), title=F.col("title"), summary=F.col("source"), origin=F.lit("src"), date=F.col("date"), content=F.col("n_chars").cast("string"),
         tags=F.array(F.lit(V.NEWS_TAG), F.col("lang"), F.when(F.col("doc_id") % 2 == 0, "kind").otherwise("")), time=F.col("date"),
     )
-    return out.select("rid", _TAGS, _CLAIMS)
+    return out.select("rid", _tags(), _claims())
 
 
 @query(
@@ -315,7 +320,7 @@ def _(t):
     )
     out = records.entity_records(d)
     return out.select(
-        F.regexp_extract(F.get("alias", F.lit(0)), r"(\d+)", 1).cast("bigint").alias("doc_id"), "nid", F.array_join("alias", "|").alias("alias"), _CLAIMS
+        F.regexp_extract(F.get("alias", F.lit(0)), r"(\d+)", 1).cast("bigint").alias("doc_id"), "nid", F.array_join("alias", "|").alias("alias"), _claims()
     )
 
 
@@ -340,7 +345,7 @@ def _(t):
         F.array(F.struct(F.lit("ceo").alias("position"), F.lit("e").alias("name"))).alias("executives"),
     )
     out = records.company_records(df, "http://q/{key_num}/{name}")
-    return out.select(F.regexp_extract(F.get("alias", F.lit(0)), r"#0*(\d+)$", 1).cast("bigint").alias("s_suppkey"), _CLAIMS, "nid")
+    return out.select(F.regexp_extract(F.get("alias", F.lit(0)), r"#0*(\d+)$", 1).cast("bigint").alias("s_suppkey"), _claims(), "nid")
 
 
 @query(
