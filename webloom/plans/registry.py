@@ -19,6 +19,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
+    def stream_path(self, name: str) -> str:
+        """A glob for the table: a file stream takes a folder or a glob, not one file's name."""
+        return f"{self.root}/{name}[.]parquet"
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
