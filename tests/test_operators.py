@@ -257,3 +257,14 @@ def test_guess_province_order(spark):
     )
     got = {r.k: r.province for r in network.guess_province(rows, "k", "a", network.region_aliases(regions)).collect()}
     assert got == {1: "广西", 2: "河北", 3: "", 4: "广西", 5: "", 6: "广西"}
+
+
+def test_registries_choose_by_batch_name(spark):
+    pages.register_extractor("title_only", lambda h: [{"title": h.upper(), "size": len(h)}], "title string, size int")
+    assert pages.extractor_for("daily-2024", {"daily": "title_only"}) == "title_only"
+    assert pages.extractor_for("other-2024", {"daily": "title_only"}) == "kv_table"
+    df = spark.createDataFrame([(1, "ab")], "k int, h string")
+    assert [tuple(r) for r in pages.extract_pages(df, "k", "h", "title_only").collect()] == [(1, "AB", 2)]
+    src = spark.createDataFrame([("http://x.com/1", "n", "g/o", "t", [("2024-01", 5.0)])], "source string, name string, specs string, access_time string, data array<struct<month:string,price:double>>")
+    rec = records.load_batch("pairs-2024", src, {"pairs": "pairs"}).first()
+    assert rec.recordDate == "2024-01-01" and rec.tags == ["n", "o", "g"]

@@ -179,7 +179,7 @@ def clean_alias_text(c: Column, rules: Sequence[tuple[str, str]] = V.ALIAS_CLEAN
 
 
 def keyword_tags(c: Column, pattern: str = "[ 、]") -> Column:
-    return F.filter(F.split(c, pattern), lambda x: x != "")
+    return F.array_remove(F.split(c, pattern), "")
 
 
 def title_tags(c: Column, words: Sequence[str] = V.NEWS_MARKETS, suffix: str = V.MARKET_SUFFIX) -> Column:
@@ -208,7 +208,7 @@ def keyword_score(c: Column, weights: dict[str, int]) -> Column:
 
 def words(c: Column) -> Column:
     """Tokens of a spaced script: runs of letters and digits, lower case."""
-    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    return F.array_remove(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), "")
 
 
 def strip_tags(c: Column) -> Column:

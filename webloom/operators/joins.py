@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.scale import last_per_key
-from webloom.session import cut_lineage
+from webloom.session import GrowingTable, cut_lineage
 
 
 def map_name(df: DataFrame, column: str, mapper: DataFrame, out: str) -> DataFrame:
@@ -135,32 +135,30 @@ def affix_groups(items: DataFrame, column: str = "item", rank: str = "rank") ->
         ),
         "affix-edges",
     )
-    heads = cut_lineage(edges.select(F.col("early").alias("item")).distinct().join(
-        edges.select(F.col("late").alias("item")), "item", "left_anti"), "affix-heads")
-    open_edges = edges
+    early, late = (edges.select(F.col(c).alias("item")).distinct() for c in ("early", "late"))
+    heads = GrowingTable(early.join(late, "item", "left_anti"), "affix-heads")
+    open_edges, fresh = edges, heads.all()
     while True:
-        # Items next to a new head are members; edges into or out of them no longer decide anything.
-        members = edges.join(heads.select(F.col("item").alias("early")), "early", "left_semi").select(
+        # Neighbours of the new heads are members; no edge of a member decides anything any more.
+        members = open_edges.join(fresh.select(F.col("item").alias("early")), "early", "left_semi").select(
             F.col("late").alias("item")
         ).distinct()
-        left = (
-            open_edges.join(heads.select(F.col("item").alias("early")), "early", "left_anti")
-            .join(members.select(F.col("item").alias("late")), "late", "left_anti")
-            .join(members.select(F.col("item").alias("early")), "early", "left_anti")
+        members = cut_lineage(members, "affix-members")
+        settled = members.unionByName(fresh)
+        left = open_edges.join(settled.select(F.col("item").alias("early")), "early", "left_anti").join(
+            members.select(F.col("item").alias("late")), "late", "left_anti"
         )
-        # A late item all of whose early neighbours are members has no blocker left: it is a head.
-        undecided = (
-            open_edges.select(F.col("late").alias("item")).distinct()
-            .join(members, "item", "left_anti")
-        )
-        free = undecided.join(left.select(F.col("late").alias("item")), "item", "left_anti")
-        new_heads = free.join(heads, "item", "left_anti")
-        fresh = cut_lineage(new_heads, "affix-new")
+        left = cut_lineage(left, "affix-open")
+        # An undecided item that lost all its earlier neighbours is a head.
+        undecided = open_edges.select(F.col("late").alias("item")).distinct().join(members, "item", "left_anti")
+        fresh = heads.add(undecided.join(left.select(F.col("late").alias("item")), "item", "left_anti"))
         if fresh.isEmpty():
             break
-        open_edges = cut_lineage(left, "affix-open")
-        heads = cut_lineage(heads.unionByName(fresh), "affix-heads")
-    out = edges.join(heads.select(F.col("item").alias("early")), "early", "left_semi")
+        # The new heads still have edges to later items: those come back from all edges.
+        open_edges = cut_lineage(
+            left.unionByName(edges.join(fresh.select(F.col("item").alias("early")), "early", "left_semi")).distinct(), "affix-open"
+        )
+    out = edges.join(heads.all().select(F.col("item").alias("early")), "early", "left_semi")
     return out.select(F.col("early").alias("head"), F.col("late").alias("member"))
 
 

@@ -12,11 +12,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from webloom.functions import fixed_values as V
 from webloom.functions.text import normalise_region
 from webloom.scale import distinct_lists
-from webloom.session import cut_lineage
+from webloom.session import GrowingTable, cut_lineage
 
 
 # --- name rules --------------------------------------------------------------
@@ -137,10 +138,10 @@ def expand_co_impact(
     """
     sizes = edges.groupBy("company").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= max_controllers)
     usable = cut_lineage(edges.join(sizes, "company"), "impact-edges")
-    front = cut_lineage(
-        seeds.select("name").distinct().select("name", F.lit(0).alias("depth"), F.lit("person").alias("rtype")), "impact-front"
-    )
+    start = seeds.select("name").distinct().select("name", F.lit(0).alias("depth"), F.lit("person").alias("rtype"))
+    grown = GrowingTable(start, "impact-front")
     for level in range(1, depth + 1):
+        front = grown.all()
         touched = usable.join(front.select(F.col("name").alias("related")), "related", "left_semi")
         active = (
             touched.groupBy("company").agg(F.count(F.lit(1)).alias("_n"), F.first("size").alias("size"))
@@ -159,11 +160,9 @@ def expand_co_impact(
             found.groupBy("name").agg(F.max("rtype").alias("rtype")).join(front, "name", "left_anti")
             .select("name", F.lit(level).alias("depth"), "rtype")
         )
-        fresh = cut_lineage(new, "impact-new")
-        if fresh.isEmpty():
+        if grown.add(new).isEmpty():
             break
-        front = cut_lineage(front.unionByName(fresh), "impact-front")
-    return front
+    return grown.all()
 
 
 def spread_pass_loose(front: DataFrame, edges: DataFrame, share: float = 0.01) -> DataFrame:
@@ -183,19 +182,15 @@ def spread_pass_loose(front: DataFrame, edges: DataFrame, share: float = 0.01) -
 def _closure(start: DataFrame, edges: DataFrame, limit: int | None) -> DataFrame:
     """(name, depth) of every name reachable over (src, dst) edges, starts at depth 0."""
     edges = cut_lineage(edges.select("src", "dst").distinct(), "closure-edges")
-    seen = cut_lineage(start.select("name").distinct().withColumn("depth", F.lit(0)), "closure-seen")
-    frontier, level = seen, 0
+    seen = GrowingTable(start.select("name").distinct().withColumn("depth", F.lit(0)), "closure")
+    frontier, level = seen.all(), 0
     while limit is None or level < limit:
         level += 1
-        step = (
-            frontier.select(F.col("name").alias("src")).join(edges, "src").select(F.col("dst").alias("name")).distinct()
-            .join(seen, "name", "left_anti").withColumn("depth", F.lit(level))
-        )
-        frontier = cut_lineage(step, "closure-step")
+        step = frontier.select(F.col("name").alias("src")).join(edges, "src").select(F.col("dst").alias("name")).distinct()
+        frontier = seen.add(step.join(seen.all(), "name", "left_anti").withColumn("depth", F.lit(level)))
         if frontier.isEmpty():
             break
-        seen = cut_lineage(seen.unionByName(frontier), "closure-seen")
-    return seen
+    return seen.all()
 
 
 def reachable(selected: DataFrame, invests: DataFrame, known: DataFrame) -> DataFrame:
@@ -229,10 +224,9 @@ def noisy_or_spread(
     ).distinct()
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg")).where(F.col("deg") >= min_related)
     links = cut_lineage(both.join(degree, "a"), "spread-links")
-    front = cut_lineage(
-        seeds.select("name").distinct().select("name", F.lit(0).alias("depth"), F.lit(seed_p).alias("p")), "spread-front"
-    )
+    grown = GrowingTable(seeds.select("name").distinct().select("name", F.lit(0).alias("depth"), F.lit(seed_p).alias("p")), "spread-front")
     for level in range(1, depth + 1):
+        front = grown.all()
         # ln(1 - p) is summed; a certain neighbour (p = 1) is counted apart, since its log has no value
         sure = F.max((F.col("p") >= 1).cast("int"))
         log_rest = F.sum(F.when(F.col("p") < 1, F.log1p(-F.col("p"))))
@@ -243,11 +237,9 @@ def noisy_or_spread(
             .select(F.col("a").alias("name"), (damping * F.when(F.col("_sure") == 1, 1.0).otherwise(1 - F.exp("_l"))).alias("p"))
         )
         new = scored.where(F.col("p") >= admit).join(front, "name", "left_anti").select("name", F.lit(level).alias("depth"), "p")
-        fresh = cut_lineage(new, "spread-new")
-        if fresh.isEmpty():
+        if grown.add(new).isEmpty():
             break
-        front = cut_lineage(front.unionByName(fresh), "spread-front")
-    return front
+    return grown.all()
 
 
 def hospital_overlap(edges: DataFrame, hospitals: DataFrame, front: DataFrame) -> DataFrame:
@@ -275,7 +267,7 @@ def agent_report(front: DataFrame, edges: DataFrame) -> DataFrame:
 
 def pagerank(
     edges: DataFrame, alpha: float = 0.85, iters: int = 100, tol: float | None = 1e-6, directed: bool = True,
-    weight: str | None = None, personalization: DataFrame | None = None,
+    weight: str | None = None, personalization: DataFrame | None = None, part_edges: int = 1_000_000,
 ) -> DataFrame:
     """(name, rank) over (src, dst[, weight]) edges; ranks sum to 1.
 
@@ -289,11 +281,20 @@ def pagerank(
         back = e.where("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
         e = e.unionByName(back)
     e = e.groupBy("src", "dst").agg((F.sum("w") if weight else F.max("w")).alias("w"))
-    out = e.groupBy("src").agg(F.sum("w").alias("_out")).where("_out > 0")
-    links = cut_lineage(e.join(out, "src").select("src", "dst", (F.col("w") / F.col("_out")).alias("w")), "rank-links")
+    e = cut_lineage(e, "rank-edges")
+    # A source with very many edges is split into parts; its rank is handed to each part.
+    out = e.groupBy("src").agg(
+        F.sum("w").alias("_out"), F.ceil(F.count(F.lit(1)) / part_edges).cast("int").alias("parts")
+    ).where("_out > 0")
+    out = cut_lineage(out, "rank-out")
+    part = F.expr("pmod(xxhash64(dst), parts)").cast("int")
+    weighted = e.join(out, "src").select("src", "dst", part.alias("part"), (F.col("w") / F.col("_out")).alias("w"))
+    # The edges are laid out by (src, part) once and kept on disk; a pass moves only the ranks.
+    n_parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = weighted.repartition(n_parts, "src", "part").persist(StorageLevel.DISK_ONLY)
     names = e.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
-    base = names.join(out.select(F.col("src").alias("name"), F.lit(False).alias("dangling")), "name", "left")
-    base = base.withColumn("dangling", F.coalesce("dangling", F.lit(True)))
+    base = names.join(out.select(F.col("src").alias("name"), "parts"), "name", "left")
+    base = base.withColumn("dangling", F.col("parts").isNull())
     if personalization is None:
         base = base.withColumn("q", F.lit(1.0))
     else:
@@ -304,21 +305,24 @@ def pagerank(
     if not totals["n"]:
         return base.select("name", F.lit(0.0).alias("rank"))
     n, q_sum = totals["n"], totals["q"]
-    start = cut_lineage(base.select("name", "dangling", (F.col("q") / q_sum).alias("q"), F.lit(1.0 / n).alias("rank")), "rank-0")
-    ranks = start
+    ranks = cut_lineage(base.select("name", "parts", "dangling", (F.col("q") / q_sum).alias("q"), F.lit(1.0 / n).alias("rank")), "rank-0")
     for i in range(iters):
+        handed = ranks.where("not dangling").select(
+            F.col("name").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        )
         inflow = (
-            links.join(ranks.select(F.col("name").alias("src"), "rank"), "src")
+            links.join(handed, ["src", "part"])
             .groupBy(F.col("dst").alias("name")).agg(F.sum(F.col("rank") * F.col("w")).alias("_in"))
         )
         lost = ranks.where("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
         rank = alpha * (F.coalesce("_in", F.lit(0.0)) + lost * F.col("q")) + (1 - alpha) * F.col("q")
-        nxt = ranks.withColumnRenamed("rank", "_old").join(inflow, "name", "left").select("name", "dangling", "q", rank.alias("rank"), "_old")
+        nxt = ranks.withColumnRenamed("rank", "_old").join(inflow, "name", "left").select("name", "parts", "dangling", "q", rank.alias("rank"), "_old")
         nxt = cut_lineage(nxt, f"rank-{i + 1}")
         change = None if tol is None else nxt.agg(F.sum(F.abs(F.col("rank") - F.col("_old")))).first()[0]
         ranks = nxt.drop("_old")
         if change is not None and change < n * tol:
             break
+    links.unpersist()
     return ranks.select("name", "rank")
 
 

@@ -419,11 +419,22 @@ EXTRACTORS: dict[str, tuple[Callable[[str], list[dict]], str]] = {
 }
 
 
+def register_extractor(name: str, parser: Callable[[str], list[dict]], ddl: str) -> None:
+    """Add a site parser: page text to rows with the columns of ``ddl``."""
+    EXTRACTORS[name] = (parser, ddl)
+
+
+def extractor_for(batch_id: str, sites: dict[str, str], default: str = "kv_table") -> str:
+    """Parser name of a batch by its name prefix, with a default."""
+    return next((name for prefix, name in sites.items() if batch_id.startswith(prefix)), default)
+
+
 def extract_pages(pages: DataFrame, key: str, html: str, extractor: str) -> DataFrame:
     """Rows of a registered page parser, with the page key as ``page``. A page that the
     parser cannot read gives no row."""
     parser, ddl = EXTRACTORS[extractor]
-    names = [field.split()[0] for field in re.split(r", (?=\w+ )", ddl)]
+    fields = [field.split(maxsplit=1) for field in re.split(r", (?=\w+ )", ddl)]
+    names, integers = [n for n, _ in fields], {n for n, kind in fields if kind == "int"}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -435,13 +446,10 @@ def extract_pages(pages: DataFrame, key: str, html: str, extractor: str) -> Data
                     rows = []
                 out.extend((page, *[r.get(n) for n in names]) for r in rows)
             frame = pd.DataFrame(out, columns=["page", *names], dtype=object)
-            for n in names:
-                if n in INTEGERS:
-                    frame[n] = frame[n].astype("Int32")
+            for n in integers:
+                frame[n] = frame[n].astype("Int32")
             yield frame
 
     kind = dict(pages.dtypes)[key]
     return pages.select(F.col(key).alias("page"), F.col(html).alias("html")).mapInPandas(run, f"page {kind}, {ddl}")
 
-
-INTEGERS = {"cnt_answer", "cnt_like", "is_recommend", "result_index", "total", "row"}

@@ -56,9 +56,9 @@ def claims_text(c: Column | str) -> Column:
     )
 
 
-def _source(url: Column, time: Column, confidence: str) -> Column:
+def _source(url: Column, time: Column, confidence: str, domain: Column | None = None) -> Column:
     return F.struct(
-        url.alias("url"), ids.url_domain(url).alias("domain"), ids.tracking_id(url, time).alias("trackingId"),
+        url.alias("url"), (ids.url_domain(url) if domain is None else domain).alias("domain"), ids.tracking_id(url, time).alias("trackingId"),
         F.lit(confidence).alias("confidence"),
     )
 
@@ -87,17 +87,23 @@ def _price_record(
 ) -> DataFrame:
     empty = F.lit("")
     five = F.array(*[F.coalesce(c, empty) for c in (name, price_type, origin, market, grade)])
-    rows = df.select("*", five.alias("_five"), F.coalesce(origin, empty).alias("_origin"), claims.cast(CLAIMS).alias("_claims"))
-    none = F.array().cast("array<string>")
-    rows = with_places(rows, "_origin", mapping, "_mapped") if mapping is not None else rows.withColumn("_mapped", none)
-    series = F.array_join("_five", "_")
-    domain = ids.url_domain(url)
-    rid = ids.record_id(series, date, domain)
+    # Values used several times are computed in their own projection, once per row.
+    rows = df.select(
+        five.alias("_five"), F.coalesce(origin, empty).alias("_origin"), claims.alias("claims"), ids.url_domain(url).alias("_domain"),
+        url.alias("_url"), time.alias("_time"), date.alias("_date"), record_date.alias("recordDate"),
+    )
+    if mapping is not None:
+        rows = with_places(rows, "_origin", mapping, "_mapped")
+        tags = place_tags(F.col("_five"), F.col("_mapped"))
+    else:
+        tags = F.col("_five")
+    rows = rows.withColumn("_series", F.array_join("_five", "_"))
+    series, domain = F.col("_series"), F.col("_domain")
+    rows = rows.withColumn("_rid", ids.record_id(series, F.col("_date"), domain))
     return rows.select(
-        rid.alias("rid"), rid.alias("gid"), series.alias("series"), F.concat_ws("_", series, domain).alias("seriesid"),
-        F.filter(place_tags(F.col("_five"), F.col("_mapped")), lambda x: x != "").alias("tags"),
-        F.col("_claims").alias("claims"), record_date.alias("recordDate"), F.current_timestamp().alias("createdTime"),
-        F.current_timestamp().alias("updatedTime"), _source(url, time, confidence).alias("source"),
+        F.col("_rid").alias("rid"), F.col("_rid").alias("gid"), series.alias("series"), F.concat_ws("_", series, domain).alias("seriesid"),
+        F.array_remove(tags, "").alias("tags"), "claims", "recordDate", F.current_timestamp().alias("createdTime"),
+        F.current_timestamp().alias("updatedTime"), _source(F.col("_url"), F.col("_time"), confidence, domain).alias("source"),
     )
 
 
@@ -420,3 +426,17 @@ def table_audit(expected: DataFrame, tables: dict[str, tuple[DataFrame, str]], n
         .when(F.datediff(now, "newest") > max_age_days, "stale").otherwise("ok")
     )
     return both.select("name", "n_rows", "newest", state.alias("state"))
+
+
+# Loader per batch name: the first entry whose name starts the batch id is used.
+LOADERS = {
+    "rows": price_records_rows, "pairs": price_records_pairs, "map": price_records_map, "list": price_records_list,
+    "nested": price_records_nested, "quote": price_records_quote, "entity": entity_records,
+}
+
+
+def load_batch(batch_id: str, df: DataFrame, loaders: dict[str, str], default: str = "rows") -> DataFrame:
+    """Records of a batch by the loader its name selects. ``loaders`` maps batch-name
+    prefixes to loader names; an unknown batch uses the default."""
+    kind = next((k for prefix, k in loaders.items() if batch_id.startswith(prefix)), default)
+    return LOADERS[kind](df)

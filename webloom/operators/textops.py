@@ -14,6 +14,7 @@ from webloom.functions import fixed_values as V
 from webloom.functions.text import clean_question, words
 from webloom.operators.stats import classification_report
 from webloom.scale import distinct_lists
+from webloom.session import cut_lineage
 
 MAX_LOCAL_TERMS = 200_000  # largest lexicon handed to the tasks as a set; a larger one is joined
 
@@ -238,20 +239,27 @@ def learn_lexicon(phrases: DataFrame, phrase: str, minus: DataFrame, tokens: Cal
     return toks.groupBy("term").agg(F.sum("_n").alias("weight")).join(minus, "term", "left_anti").orderBy("term")
 
 
+def adjacent_counts(df: DataFrame, tokens: Column) -> DataFrame:
+    """(a, b, n): how often token ``a`` is followed by ``b``, null at the end of a text. The
+    texts are read once; a token's own count is the sum over ``b``."""
+    t = df.select(tokens.alias("_t"))
+    follow = F.arrays_zip(F.col("_t").alias("a"), F.slice("_t", F.lit(2), F.size("_t")).alias("b"))
+    rows = t.where(F.size("_t") > 0).select(F.explode(follow).alias("p"))
+    return cut_lineage(rows.groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n")), "adjacent")
+
+
 def keyword_bigrams(df: DataFrame, tokens: Column, limit: int = 100, skip: str | None = None, glue: str = "") -> DataFrame:
     """(name, freq): the most frequent terms and adjacent pairs, ``limit`` of each, summed
     where a pair equals a term."""
     toks = F.transform(tokens, lambda x: F.trim(x))
     if skip:
         toks = F.filter(toks, lambda x: ~F.rlike(x, F.lit(skip)))
-    t = df.select(toks.alias("_t"))
-    starts = F.filter(F.transform("_t", lambda x, i: i), lambda i: i < F.size("_t") - 1)
-    pairs = F.transform(starts, lambda i: F.trim(F.concat_ws(glue, F.get("_t", i), F.get("_t", i + 1))))
-    top = lambda c: (
-        t.select(F.explode(c).alias("name")).where("name <> ''").groupBy("name").agg(F.count(F.lit(1)).alias("freq"))
-        .orderBy(F.desc("freq"), "name").limit(limit)
-    )
-    return top(F.col("_t")).unionByName(top(pairs)).groupBy("name").agg(F.sum("freq").alias("freq"))
+    counts = adjacent_counts(df, toks)
+    terms = counts.where("a <> ''").groupBy(F.col("a").alias("name")).agg(F.sum("n").alias("freq"))
+    pair = F.trim(F.concat_ws(glue, "a", "b")).alias("name")
+    pairs = counts.where("b is not null").groupBy(pair).agg(F.sum("n").alias("freq"))
+    top = lambda c: c.orderBy(F.desc("freq"), "name").limit(limit)
+    return top(terms).unionByName(top(pairs)).groupBy("name").agg(F.sum("freq").alias("freq"))
 
 
 def mention_entities(docs: DataFrame, key: str, text: str, dictionary: DataFrame, tokens: Callable[[Column], Column] = words) -> DataFrame:
@@ -273,13 +281,10 @@ def phrase_vocabulary(
 ) -> DataFrame:
     """(term, n, score): words longer than one character outside the stop list (score null)
     and adjacent pairs with (n_ab - min_count) * vocabulary / (n_a * n_b) over the threshold."""
-    t = df.select(tokens.alias("_t"))
-    count = F.count(F.lit(1))
-    uni = t.select(F.explode("_t").alias("term")).groupBy("term").agg(count.alias("n"))
-    starts = F.filter(F.transform("_t", lambda x, i: i), lambda i: i < F.size("_t") - 1)
-    pair = F.explode(F.transform(starts, lambda i: F.struct(F.get("_t", i).alias("a"), F.get("_t", i + 1).alias("b"))))
-    bi = t.select(pair.alias("p")).groupBy("p.a", "p.b").agg(count.alias("n"))
-    vocabulary = uni.select(F.lit(1)).unionByName(bi.select(F.lit(1))).agg(count).scalar()
+    counts = adjacent_counts(df, tokens)
+    uni = counts.groupBy(F.col("a").alias("term")).agg(F.sum("n").alias("n"))
+    bi = counts.where("b is not null")
+    vocabulary = uni.select(F.lit(1)).unionByName(bi.select(F.lit(1))).agg(F.count(F.lit(1))).scalar()
     frequent = bi.where(F.col("n") > min_count)
     scored = (
         frequent.join(uni.select(F.col("term").alias("a"), F.col("n").alias("na")), "a")
@@ -329,7 +334,8 @@ def train_classifier(
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    data = term_features(df, text, terms).select("features", F.col(target).cast("double").alias("label")).cache()
+    data = term_features(df, text, terms).select("features", F.col(target).cast("double").alias("label"))
+    data = cut_lineage(data, "features")  # the folds read the flags, not the texts
     classes = data.agg(F.max("label")).first()[0]
     gbt = GBTClassifier(maxIter=iters, maxDepth=depth, seed=seed)
     learner = gbt if classes <= 1 else OneVsRest(classifier=gbt)

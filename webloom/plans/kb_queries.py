@@ -134,7 +134,8 @@ def _(t):
     "select a as attribute, case a when 'brand' then 'maker' else a end as attribute_name, (select count(*) from part) as n from (select unnest(['brand', '中文名', '别名', 'size', '其他名称']) as a)",
 )
 def _(t):
-    mapping = t.part.select(F.lit("brand").alias("raw"), F.lit("maker").alias("mapped")).distinct()
+    known = part_pairs(t).where(F.length("attribute") == 5).select("attribute").distinct()
+    mapping = known.select(F.col("attribute").alias("raw"), F.lit("maker").alias("mapped"))
     rows = kb.attribute_mapping(part_pairs(t), mapping)
     return rows.groupBy("attribute", "attribute_name").agg(F.count(F.lit(1)).alias("n"))
 

@@ -131,7 +131,7 @@ def _(t):
     select event_type, block, min(value) as min_value from r group by all having count(*) = 6 and min(value) > 20""",
 )
 def _(t):
-    return ranking.min_over_samples(t.events, "event_type", ["ts", "event_id"], F.to_date("ts"), "value", limit=20.0)
+    return ranking.min_over_samples(t.events, "event_type", ["ts", "event_id"], F.date_trunc("hour", "ts"), "value", limit=20.0)
 
 
 @query("page", "select o_orderkey, o_totalprice, (select count(*) from orders) as total from orders order by o_totalprice desc, o_orderkey limit 20 offset 40")

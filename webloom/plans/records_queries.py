@@ -390,8 +390,8 @@ _PIPELINE_SQL = f"""with {_Q}, r as ({_PRICE_ROWS_SQL}),
 def _(t):
     """Rows to records, places mapped, unique insert by record id, statistics per domain."""
     r = records.price_records_rows(price_rows(t), place_map(t)).select(
-        F.col("rid"), F.col("series"), F.col("source.domain").alias("domain"), records.claims_text("claims").alias("flat")
+        F.col("rid"), F.col("series"), F.col("source.domain").alias("domain"), F.get("claims", F.lit(2))["o"].alias("price")
     )
-    stored = first_per_key(r, ["rid"], ["flat"])
+    stored = first_per_key(r, ["rid"], ["price"])
     rows = stored.select("domain", "series", F.split("series", "_")[0].alias("product"), F.lit(False).alias("is_news"))
     return stats.domain_stats(rows)

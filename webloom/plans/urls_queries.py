@@ -134,7 +134,7 @@ def _(t):
     log = t.events.select(
         "user_id", "ts", F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "failure").otherwise("use").alias("kind")
     )
-    return urls.proxy_score(log, ["user_id"], F.to_date("ts"))
+    return urls.proxy_score(log, ["user_id"], F.date_trunc("hour", "ts"))
 
 
 @query(

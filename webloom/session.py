@@ -59,3 +59,26 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class GrowingTable:
+    """A table that an iterative job extends pass by pass in the shared folder.
+
+    Only the new rows of a pass are written; the whole is read from the folder, so a
+    pass costs its own rows and the plan stays flat.
+    """
+
+    def __init__(self, first: DataFrame, label: str):
+        self._spark, self._schema = first.sparkSession, first.schema
+        self._path, self._passes = scratch_path(self._spark, label), 0
+        self.add(first)
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Write the rows of one pass and return them as read back."""
+        part = f"{self._path}/pass-{self._passes:05d}"
+        rows.select(*self._schema.names).write.parquet(part)
+        self._passes += 1
+        return self._spark.read.schema(self._schema).parquet(part)
+
+    def all(self) -> DataFrame:
+        return self._spark.read.schema(self._schema).parquet(f"{self._path}/pass-*")
