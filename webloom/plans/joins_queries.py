@@ -20,7 +20,7 @@ def _(t):
 
 
 def _ranks(t):
-    d = t.part.where("p_size % 3 = 0")
+    d = t.part.where("p_size > 20")
     return d.select(
         F.concat_ws(" ", "p_name", "p_type").alias("word"), F.col("p_size").alias("total"), F.col("p_partkey").alias("seq")
     )
@@ -32,7 +32,7 @@ def _named(t):
 
 @query(
     "attach_rank",
-    """with r as (select p_name || ' ' || p_type as word, p_size as total from part where p_size % 3 = 0
+    """with r as (select p_name || ' ' || p_type as word, p_size as total from part where p_size > 20
       qualify row_number() over (partition by p_name || ' ' || p_type order by p_partkey desc) = 1)
     select p_partkey, p_name || ' ' || p_type as word, total as searchscore from part left join r on p_name || ' ' || p_type = word""",
 )
@@ -43,11 +43,11 @@ def _(t):
 @query(
     "without_rank",
     """select distinct p_name || ' ' || p_type || p_brand as word from part where p_name || ' ' || p_type || p_brand not in
-    (select p_name || ' ' || p_type || p_brand from part where p_size % 3 = 0)""",
+    (select p_name || ' ' || p_type || p_brand from part where p_size > 20)""",
 )
 def _(t):
     w = F.concat(F.concat_ws(" ", "p_name", "p_type"), F.col("p_brand")).alias("word")
-    return joins.without_rank(t.part.select(w), t.part.where("p_size % 3 = 0").select(w), "word")
+    return joins.without_rank(t.part.select(w), t.part.where("p_size > 20").select(w), "word")
 
 
 _ALIASES = "p_name, p_name || ' ' || lower(p_type), p_brand"
@@ -95,7 +95,7 @@ def _(t):
 @query(
     "join_answers",
     """with q as (select conv_id, turn, text from conversations where role = 'user'),
-    a as (select conv_id, turn, text from conversations where role = 'assistant' and turn % 5 <> 0),
+    a as (select conv_id, turn, text from conversations where role = 'assistant' and length(text) > 200),
     i as (select conv_id, turn, unnest(range(1, 6)) as k from q)
     select q.conv_id, q.turn, coalesce(string_agg(a.text, '|' order by k), '') as answers from q
     left join i on q.conv_id = i.conv_id and q.turn = i.turn and k <= 3 left join a on a.conv_id = q.conv_id and a.turn = q.turn + k group by 1, 2""",
@@ -104,7 +104,7 @@ def _(t):
     c = t.conversations
     aid = lambda k: F.concat_ws(":", "conv_id", (F.col("turn") + k).cast("string"))
     q = c.where("role = 'user'").select("conv_id", "turn", F.array(*[aid(k) for k in range(1, 6)]).alias("answer_ids"))
-    a = c.where("role = 'assistant' and turn % 5 <> 0").select(aid(0).alias("answer_id"), F.col("text").alias("content"))
+    a = c.where("role = 'assistant' and length(text) > 200").select(aid(0).alias("answer_id"), F.col("text").alias("content"))
     return joins.join_answers(q, a).select("conv_id", "turn", F.array_join("answers", "|").alias("answers"))
 
 

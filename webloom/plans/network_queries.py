@@ -224,7 +224,7 @@ def rank_edges(t):
     down = t.lineitem.select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("src"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("dst"), F.col("l_quantity").alias("weight")
     )
-    up = t.supplier.where("s_suppkey % 2 = 0").select(
+    up = t.supplier.where("s_acctbal > 2000").select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("src"), F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("dst"), F.lit(1.0).alias("weight")
     )
     return down.unionByName(up)
@@ -233,7 +233,7 @@ def rank_edges(t):
 def _duck_rank(undirected: bool, weighted: bool, personal: bool, iters: int = 4) -> str:
     w = "sum(weight)" if weighted else "1.0"
     raw = f"""r as (select {_P} as src, {_S} as dst, l_quantity as weight from lineitem union all
-      select 'S' || cast(s_suppkey as varchar), 'P' || cast(s_suppkey as varchar), 1.0 from supplier where s_suppkey % 2 = 0)"""
+      select 'S' || cast(s_suppkey as varchar), 'P' || cast(s_suppkey as varchar), 1.0 from supplier where s_acctbal > 2000)"""
     e = "r" if not undirected else "(select * from r union all select dst, src, weight from r)"
     q = "case when name = 'P1' then 1.0 when name = 'S2' then 3.0 else 0.0 end" if personal else "1.0"
     steps = ""

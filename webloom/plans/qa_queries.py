@@ -103,14 +103,14 @@ def _typed(t):
     """Pairs in order, every fourth one repeated under another source."""
     p = qa_pairs(t).where("answers is not null").withColumn("seq", F.col("conv_id") * 100 + F.col("turn"))
     base = p.select(F.concat(F.lit("s"), (F.col("seq") % 3).cast("string")).alias("source"), "question", "answers", F.when(F.col("seq") % 5 == 0, 0).otherwise(1).alias("type"), "seq")
-    again = base.where("seq % 4 = 0").select(F.lit("s9").alias("source"), "question", F.when(F.col("seq") % 8 == 0, F.col("answers")).otherwise(F.concat("answers", F.lit(" more"))).alias("answers"),
+    again = base.where("length(question) > 150").select(F.lit("s9").alias("source"), "question", F.when(F.col("seq") % 8 == 0, F.col("answers")).otherwise(F.concat("answers", F.lit(" more"))).alias("answers"),
                                              F.lit(1).alias("type"), (F.col("seq") + 10_000_000).alias("seq"))
     return base.unionByName(again)
 
 
 _ITEMS = f"""{_PAIRS}, b as (select conv_id * 100 + turn as seq, question, answers from p where answers is not null),
     i as (select 's' || cast(seq % 3 as varchar) as source, question, answers, case when seq % 5 = 0 then 0 else 1 end as type, seq from b
-      union all select 's9', question, case when seq % 8 = 0 then answers else answers || ' more' end, 1, seq + 10000000 from b where seq % 4 = 0)"""
+      union all select 's9', question, case when seq % 8 = 0 then answers else answers || ' more' end, 1, seq + 10000000 from b where length(question) > 150)"""
 
 _TYPED = f"""{_ITEMS},
     u as (select *, sha1(question || answers) as id from i where type = 1 qualify row_number() over (partition by sha1(question || answers) order by seq) = 1),
@@ -155,14 +155,14 @@ def _(t):
 
 @query(
     "rewrite_answers",
-    f"""with m as (select p_name as old_answers, p_name || ' v' || cast(p_size as varchar) as answers from part where p_size % 3 <> 0 and p_name <> 'red ring'
+    f"""with m as (select p_name as old_answers, p_name || ' v' || cast(p_size as varchar) as answers from part where p_size > 20 and p_name <> 'red ring'
       qualify row_number() over (partition by p_name order by p_partkey desc) = 1),
     j as (select sha1(p_type || p_brand) as id, p_type || p_brand as question, m.answers, p_partkey as seq from part join m on p_name = old_answers)
     select id, question, answers from j where length(list_intersect({duck_words("question || answers")}, ['gear', 'v9'])) = 0
     qualify row_number() over (partition by id order by seq) = 1""",
 )
 def _(t):
-    mapping = t.part.where("p_size % 3 <> 0").select(
+    mapping = t.part.where("p_size > 20").select(
         F.when(F.col("p_name") == "red ring", "  ").otherwise(F.col("p_name")).alias("old_answers"),
         F.concat("p_name", F.lit(" v"), F.col("p_size").cast("string"), F.lit("  ")).alias("answers"), F.col("p_partkey").alias("seq"),
     )
@@ -188,10 +188,10 @@ def _(t):
 def _merged(t):
     c = _typed(t).withColumn("category", F.when(F.col("seq") % 6 == 1, "human:x").otherwise(""))
     parts = [(f"s{i}", c.where(F.col("source") == f"s{i}")) for i in (9, 0, 1, 2)]
-    return qa.merge_qa(parts, qa_pairs(t).where("conv_id % 10 = 3").select("question"), GROUPS)
+    return qa.merge_qa(parts, qa_pairs(t).where("length(question) > 400").select("question"), GROUPS)
 
 
-_MERGED = f"""{_ITEMS}, sk as (select question from p where conv_id % 10 = 3),
+_MERGED = f"""{_ITEMS}, sk as (select question from p where length(question) > 400),
     g as (select *, case when seq % 6 = 1 then 'human:x' else '' end as category, sha1(question || answers) as id, case source when 's9' then 0 when 's0' then 1 when 's1' then 2 else 3 end as o,
       list_distinct({duck_words("question || answers")}) as w from i where question not in (select question from sk)
       qualify row_number() over (partition by sha1(question || answers) order by case source when 's9' then 0 when 's0' then 1 when 's1' then 2 else 3 end, seq) = 1),
@@ -230,10 +230,9 @@ def _(t):
 
 def _search(t):
     c = candidates(t)
-    queries = c.select("conv_id", "query").distinct().groupBy("query").agg(F.min(F.col("conv_id") % 9).alias("_k"))
-    q = queries.select("query", (F.col("_k") != 4).alias("has_data"))
-    with_items = c.where("conv_id % 9 <> 5").drop("conv_id")
-    skip = qa_pairs(t).where("conv_id % 9 = 6 and turn = 0").select(F.col("question").alias("query"))
+    q = c.select("query").distinct().withColumn("has_data", F.length("query") > 30)
+    with_items = c.where("length(query) > 60").drop("conv_id")
+    skip = qa_pairs(t).where("length(question) > 350 and turn = 0").select(F.col("question").alias("query"))
     return qa.curate_search_results(q, with_items, skip, word_matcher(["und"]), GROUPS, answer_max=2000, question_max=2000, letters=LATIN)
 
 

@@ -49,7 +49,7 @@ def place_map(t):
     """Every third nation maps to a place word, the next to a spec word, the rest is unmapped."""
     k = F.col("n_nationkey") % 3
     mapped = F.when(k == 0, F.array(F.lit(V.PLACE_WORDS[0]))).when(k == 1, F.array(F.lit("spec"), F.lit(V.PLACE_WORDS[1])))
-    return t.nation.where("n_nationkey % 3 < 2").select(F.col("n_name").alias("place"), mapped.alias("mapped"))
+    return t.nation.select(F.col("n_name").alias("place"), mapped.alias("mapped")).where("mapped is not null")
 
 
 _DUCK_MAPPED = "case n_nationkey % 3 when 0 then '|国内' when 1 then '|spec|国外' else '' end"
@@ -156,9 +156,9 @@ def _(t):
     return out.join(back, F.col("source.trackingId") == F.col("tr")).select("event_id", "rid", _claims())
 
 
-@query("contract_filter", "select p_partkey, p_brand from part where contains(p_brand, '#2') and p_size % 4 <> 0")
+@query("contract_filter", "select p_partkey, p_brand from part where contains(p_brand, '#2') and p_size > 12")
 def _(t):
-    df = t.part.withColumn("px", F.when(F.col("p_size") % 4 == 0, "  ").otherwise("9.5"))
+    df = t.part.withColumn("px", F.when(F.col("p_size") <= 12, "  ").otherwise("9.5"))
     return records.contract_filter(df, "p_brand", "px", "#2").select("p_partkey", "p_brand")
 
 
@@ -234,15 +234,15 @@ def _materials(t):
         F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_brand")).alias("usage"), some(F.col("p_size") > 20, F.col("p_brand")).alias("upstream"),
         some(F.col("p_size") < 30, F.col("p_type")).alias("downstream"), info.alias("info"),
     )
-    entities = t.part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("nid"), F.array(F.concat_ws(" ", F.col("p_name"), F.col("p_partkey").cast("string"))).alias("alias"))
-    mapper = t.part.where("p_partkey % 3 = 0").select(F.concat_ws(" ", F.col("p_name"), F.col("p_partkey").cast("string")).alias("raw"), F.col("p_name").alias("mapped"))
+    entities = t.part.where("p_size > 25").select(F.col("p_partkey").alias("nid"), F.array(F.concat_ws(" ", F.col("p_name"), F.col("p_partkey").cast("string"))).alias("alias"))
+    mapper = t.part.where("p_size > 30").select(F.concat_ws(" ", F.col("p_name"), F.col("p_partkey").cast("string")).alias("raw"), F.col("p_name").alias("mapped"))
     return records.material_records(rows, entities, mapper)
 
 
 @query(
     "material_records",
-    """select p_name || ' ' || cast(p_partkey as varchar) as name, case when p_partkey % 2 = 0 then p_partkey end as nid,
-    case when p_partkey % 3 = 0 then p_name else p_name || ' ' || cast(p_partkey as varchar) end as entity, case when p_size % 3 <> 0 then p_brand end as description,
+    """select p_name || ' ' || cast(p_partkey as varchar) as name, case when p_size > 25 then p_partkey end as nid,
+    case when p_size > 30 then p_name else p_name || ' ' || cast(p_partkey as varchar) end as entity, case when p_size % 3 <> 0 then p_brand end as description,
     case when p_size > 20 then p_brand end as up, case when p_size < 30 then p_type end as down, 'm' || cast(p_partkey % 5 as varchar) || '.example.com' as site,
     cast(case when p_size % 2 = 0 then 1 else 2 end as int) as n_props from part""",
 )
@@ -285,12 +285,12 @@ def _(t):
     """with d as (select doc_id, source, lang, case when doc_id % 17 = 0 then '' else split_part(text, chr(10), 1) end as title, n_chars from documents)
     select sha1(title || '_2024-01-0' || cast(doc_id % 9 as varchar) || 'T00_' || source || '.example.com') as rid, '新闻|' || lang || case when doc_id % 2 = 0 then '|kind' else '' end as tags,
     '标题=' || title || ';摘要=' || source || ';来源=src;日期=2024-01-0' || cast(doc_id % 9 as varchar) || ';链接=http://' || source || '.example.com/' || cast(doc_id as varchar) || ';正文=' || cast(n_chars as varchar) as claims
-    from d where title <> '' and doc_id % 13 <> 0""",
+    from d where title <> '' and n_chars > 200""",
 )
 def _(t):
     d = t.documents.select(
         "doc_id", "source", "lang", F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.split("text", "\n")[0]).alias("title"), "n_chars",
-        F.when(F.col("doc_id") % 13 != 0, F.format_string("http://%s.example.com/%d", "source", "doc_id")).alias("url"),
+        F.when(F.col("n_chars") > 200, F.format_string("http://%s.example.com/%d", "source", "doc_id")).alias("url"),
         F.concat(F.lit("2024-01-0"), (F.col("doc_id") % 9).cast("string"), F.lit("T00")).alias("date"),
     )
     out = records.news_records(

@@ -55,16 +55,16 @@ def _(t):
 
 
 def _sources(t):
-    part = lambda m, off: t.part.where(f"p_partkey % 3 <> {m}").select(
+    part = lambda kind, off: t.part.where(F.col("p_type") != kind).select(
         F.concat_ws(" ", "p_name", "p_brand").alias("name"), (F.col("p_partkey") + off).alias("key_num")
     )
-    return [("first", part(0, 0)), ("second", part(1, 100000)), ("third", part(2, 200000))]
+    return [("first", part("SMALL", 0)), ("second", part("LARGE", 100000)), ("third", part("PROMO", 200000))]
 
 
 _MERGED = """m as (select name, key_num, source from (
-      select p_name || ' ' || p_brand as name, p_partkey as key_num, 'first' as source, 0 as pr from part where p_partkey % 3 <> 0 union all
-      select p_name || ' ' || p_brand, p_partkey + 100000, 'second', 1 from part where p_partkey % 3 <> 1 union all
-      select p_name || ' ' || p_brand, p_partkey + 200000, 'third', 2 from part where p_partkey % 3 <> 2)
+      select p_name || ' ' || p_brand as name, p_partkey as key_num, 'first' as source, 0 as pr from part where p_type <> 'SMALL' union all
+      select p_name || ' ' || p_brand, p_partkey + 100000, 'second', 1 from part where p_type <> 'LARGE' union all
+      select p_name || ' ' || p_brand, p_partkey + 200000, 'third', 2 from part where p_type <> 'PROMO')
     qualify row_number() over (partition by name order by pr, key_num) = 1)"""
 
 

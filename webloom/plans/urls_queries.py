@@ -52,27 +52,27 @@ _HREF = r'href="([^"]+)"'
 @query(
     "new_links",
     rf"""select distinct u as url, sha1(u) as url_key from (select unnest(regexp_extract_all(html, '{_HREF}', 1)) as u from pages)
-    where u not in (select unnest(regexp_extract_all(html, '{_HREF}', 1)) from pages where page_id % 5 = 0)""",
+    where u not in (select unnest(regexp_extract_all(html, '{_HREF}', 1)) from pages where url like 'https%')""",
 )
 def _(t):
     def links(df):
         return df.select(F.explode(F.regexp_extract_all("html", F.lit(_HREF), 1)).alias("url"))
 
-    return urls.new_links(links(t.pages), links(t.pages.where("page_id % 5 = 0")))
+    return urls.new_links(links(t.pages), links(t.pages.where("url like 'https%'")))
 
 
 _SEEN = "select distinct doc_id from labels"
-_MISS = "select doc_id from documents where doc_id not in (select doc_id from labels) and doc_id % 11 <> 0"
+_MISS = "select doc_id from documents where doc_id not in (select doc_id from labels) and lang <> 'fr'"
 
 
 @query("missing_items", _MISS)
 def _(t):
-    return urls.missing_items(t.documents, t.labels.select("doc_id"), t.documents.where("doc_id % 11 = 0").select("doc_id"), "doc_id")
+    return urls.missing_items(t.documents, t.labels.select("doc_id"), t.documents.where("lang = 'fr'").select("doc_id"), "doc_id")
 
 
 @query("miss_counts", f"select 'miss' as what, count(*) as n from ({_MISS}) union all select 'seen', count(*) from ({_SEEN})")
 def _(t):
-    return urls.miss_counts(t.documents, t.labels.select("doc_id"), t.documents.where("doc_id % 11 = 0").select("doc_id"), "doc_id")
+    return urls.miss_counts(t.documents, t.labels.select("doc_id"), t.documents.where("lang = 'fr'").select("doc_id"), "doc_id")
 
 
 def attempts(t):
