@@ -56,11 +56,26 @@ def _(t):
     return streams.daily_delta(counts, ["event_type"]).select(_text("day"), "event_type", "n", "delta")
 
 
-@query("attempt_timeout_stream")
+@query(
+    "attempt_timeout_stream",
+    """with recursive e as (select user_id as item, case event_type when 'purchase' then 'done' when 'error' then 'error' else 'start' end as kind, epoch_us(ts) // 1000 as ms,
+      row_number() over (partition by user_id order by ts, event_id) as i from events),
+    w as (select item, 0::bigint as i, 0 as attempts, cast(null as bigint) as started, cast(null as varchar) as status, 0 as tried, cast(null as bigint) as out_at from (select distinct item from e)
+      union all select e.item, e.i, case e.kind when 'start' then w.attempts + 1 when 'done' then 0 else w.attempts end,
+      case e.kind when 'start' then case when w.started is null or w.started < e.ms - 7200000 then e.ms else w.started end when 'done' then null
+        else case when w.started < e.ms - 7200000 then null else w.started end end,
+      case when w.started < e.ms - 7200000 then case when w.attempts + 1 > 3 then 'failed' else 'requeue' end end, w.attempts, w.started + 7200000
+      from w join e on e.item = w.item and e.i = w.i + 1),
+    z as (select item, status, tried as attempts, out_at from w where status is not null
+      union all select item, case when attempts + 1 > 3 then 'failed' else 'requeue' end, attempts, started + 7200000 from w
+      where started is not null and started + 7200000 < (select max(ms) from e) - 60000 and (item, i) in (select item, max(i) from e group by 1))
+    select item, status, attempts, strftime(to_timestamp(out_at // 1000)::timestamp, '%Y-%m-%d %H:%M:%S') as "at" from z""",
+)
 def _(t):
     kind = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "error").otherwise("start")
     s = events(t).select(F.col("user_id").alias("item"), kind.alias("kind"), "ts", F.col("event_id").alias("seq"))
-    return streams.run_available(streams.attempt_timeouts(s, timeout=7200), "attempts")
+    out = streams.run_available(streams.attempt_timeouts(s, timeout=7200), "attempts")
+    return out.select("item", "status", "attempts", _text("at"))
 
 
 @query(

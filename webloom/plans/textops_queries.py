@@ -19,13 +19,25 @@ def _(t):
     return t.documents.select("doc_id", F.size(w).alias("n"), F.array_join(w, " ").alias("tokens"))
 
 
+TERMS = ["是什么", "告诉我", "为何", "在那里", "价格", "介绍", "一下", "历史", "我国", "可能", "喜欢", "什么"]
+
+
 def _lexicon(t):
-    """Terms of the derived Chinese part texts: fixed words by part size, so that all occur."""
-    terms = ["是什么", "告诉我", "为何", "在那里", "价格", "介绍", "一下", "历史", "我国", "可能", "喜欢", "什么"]
-    return t.part.select(F.element_at(F.array(*[F.lit(x) for x in terms]), (F.col("p_partkey") % len(terms) + 1).cast("int")).alias("term")).distinct()
+    """One term per part, so that all occur."""
+    at = (F.col("p_partkey") % len(TERMS) + 1).cast("int")
+    return t.part.select(F.element_at(F.array(*[F.lit(x) for x in TERMS]), at).alias("term")).distinct()
 
 
-@query("tokenize_lexicon")
+@query(
+    "tokenize_lexicon",
+    rf"""with recursive p as (select p_partkey, unnest(regexp_extract_all(s, '([A-Za-z0-9]+|[^\sA-Za-z0-9]+)')) as piece,
+      generate_subscripts(regexp_extract_all(s, '([A-Za-z0-9]+|[^\sA-Za-z0-9]+)'), 1) as k from (select p_partkey, {CJK_PART} as s from part)),
+    l as (select unnest({TERMS}) as term),
+    w as (select p_partkey, k, piece, 1 as pos, cast(null as varchar) as tok, 0 as spot from p union all
+      select p_partkey, k, piece, pos + n, substr(piece, pos, n), pos from (select *, case when regexp_matches(piece, '^[A-Za-z0-9]') then cast(length(piece) as int)
+        else coalesce((select max(cast(length(term) as int)) from l where starts_with(substr(piece, pos), term)), 1) end as n from w where pos <= length(piece)))
+    select p_partkey, string_agg(tok, '|' order by k, spot) as tokens from w where tok is not null group by 1""",
+)
 def _(t):
     rows = t.part.select("p_partkey", F.expr(CJK_PART).alias("s"))
     return textops.tokenize(rows, "p_partkey", "s", _lexicon(t)).select("p_partkey", F.array_join("tokens", "|").alias("tokens"))

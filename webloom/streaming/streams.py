@@ -144,8 +144,8 @@ def attempt_events(timeout: int, max_fail: int) -> Callable:
             started = -1
         else:
             rows = pd.concat(list(batches)).sort_values(["ts", "seq"])
-            for kind, ts in zip(rows["kind"], rows["ts"]):
-                at = int(ts.timestamp() * 1000)
+            millis = rows["ts"].astype("datetime64[ms]").astype("int64")
+            for kind, at in zip(rows["kind"], millis.tolist()):
                 if 0 <= started < at - wait:  # the attempt had run out before this entry
                     out.append(verdict(key[0], attempts, started))
                     started = -1
