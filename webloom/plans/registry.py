@@ -10,6 +10,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+SPLIT_BYTES = 128 << 20  # the default size of a scan split
+TASK_BYTES = 16 << 10  # the least compressed input worth a task of its own
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a table that is too small to give every core a scan split of its own.
+
+    A file of one row group is read by one task, which would then do all the work of a
+    narrow job. Tables with a split per core are left as they are, and so are tiny ones; filters and
+    column choices still reach the scan.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = min(cores, size // TASK_BYTES)
+    return df.repartition(parts) if parts > 1 and size < cores * SPLIT_BYTES else df
+
+
 class Tables:
     """Lazy access to the parquet tables of one folder."""
 
@@ -24,7 +41,7 @@ class Tables:
         return f"{self.root}/{name}[.]parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return spread_small(self.spark.read.parquet(self.path(name)))
 
 
 def query(name: str, sql: str | None = None):
