@@ -82,3 +82,13 @@ def test_latest_page_strips_batch_digits(spark):
     contents = spark.createDataFrame([(1, "old"), (2, "new"), (3, "other")], "cached_id int, content string")
     got = io.latest_page(accessed, cached, contents, "daily-2099").collect()
     assert [(r.url_hash, r.content) for r in got] == [("h1", "new")]
+
+
+def test_shard_is_digest_modulo_n(spark):
+    import hashlib
+
+    keys = [f"key-{i}" for i in range(40)] + [""]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for n in (1, 7, 1000, 99991):
+        got = [r[0] for r in df.select(io.shard_of(F.col("k"), n)).collect()]
+        assert got == [int(hashlib.sha1(k.encode()).hexdigest(), 16) % n for k in keys]

@@ -268,3 +268,11 @@ def test_registries_choose_by_batch_name(spark):
     src = spark.createDataFrame([("http://x.com/1", "n", "g/o", "t", [("2024-01", 5.0)])], "source string, name string, specs string, access_time string, data array<struct<month:string,price:double>>")
     rec = records.load_batch("pairs-2024", src, {"pairs": "pairs"}).first()
     assert rec.recordDate == "2024-01-01" and rec.tags == ["n", "o", "g"]
+
+
+def test_both_header_routes_agree(spark):
+    rows = spark.createDataFrame([(1, {"a": "", "b": "2", "z": "9"}), (2, {"b": "", "a": "1"}), (3, {"q": None})], "k int, m map<string,string>")
+    mapping = spark.createDataFrame([("a", "X"), ("b", "X")], "raw string, canonical string")
+    local = {r.k: r.m for r in pages.normalise_headers(rows, "k", "m", mapping).collect()}
+    joined = {r.k: r.m for r in pages.normalise_headers(rows, "k", "m", mapping, max_lookup=1).collect()}
+    assert local == joined == {1: {"X": "2", "z": "9"}, 2: {"X": "1"}, 3: {"q": None}}

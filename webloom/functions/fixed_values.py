@@ -48,7 +48,7 @@ ANSWER_FOREIGN = r"[^\x{4E00}-\x{9FA5}，。？！,\d\w\.!\?\-\s]"
 
 # Screening of user questions: a match rejects the question
 SCREEN_REJECT = [
-    r"^[A-Za-z\*\~\{\}\(\)\[\]\+\?\^\$\"\\'\|\-\.\_\d\s,;/:<>!，。、！？（）＋‘’《》｛｝＊…～★【】“” ｜〈〉︿#％@=&`０１２３４５６７８９：；＜＞＠［］￥·—『』]+$",
+    r"^[A-Za-z\*\x{E412}\~\{\}\(\)\[\]\+\?\^\$\"\\'\|\-\.\_\d\s,;/:<>!，。、！？（）＋‘’《》｛｝＊…～★【】“” ｜〈〉︿#％@=&`０１２３４５６７８９：；＜＞＠［］￥·—『』]+$",
     r"\x{E41D}|善哉|尼玛|释迦牟尼|六根|师兄|观音|菩萨|出家|般若|波罗蜜|修行|方丈|三宝|三藏|菩提|素斋|业障|宗派|五蕴|开悟|参禅|涅槃|慧根|我执|众生|心经|俗家|受戒|龙泉|和尚|法师|佛|禪|禅|丈|淫|寺",
     r"下一句|馅儿|轮回|出家|诗|僧|阿弥|色即是空|唵|经书|经文|男无|释迦|[念诵].{0,2}经",
     r"师[叔公妹哥母]|师父|贤二|二贤|师傅",

@@ -59,12 +59,35 @@ def answer_json(df: DataFrame, column: str, keep: list[str], fields: dict = V.AN
     return parsed.select(*keep, *[F.col(f"_r.{name}").alias(out) for out, (name, _) in fields.items()])
 
 
-def normalise_headers(rows: DataFrame, key: str, column: str, mapping: DataFrame) -> DataFrame:
+MAX_LOOKUP = 10_000  # largest header table used as one map value
+
+
+def normalise_headers(rows: DataFrame, key: str, column: str, mapping: DataFrame, max_lookup: int = MAX_LOOKUP) -> DataFrame:
     """Rename map keys through ``mapping`` (raw, canonical); unknown keys stay. When two
-    headers meet in one field, the first filled one is kept."""
+    headers meet in one field, the first filled one is kept.
+
+    A header table of up to ``max_lookup`` spellings becomes one map value, so that the rows
+    are renamed where they are; a larger one is joined.
+    """
+    one = mapping.groupBy("raw").agg(F.max("canonical").alias("canonical"))
+    if one.limit(max_lookup + 1).count() > max_lookup:
+        return _normalise_by_join(rows, key, column, one)
+    lookup = one.agg(F.map_from_entries(F.collect_list(F.struct("raw", "canonical")))).scalar()
+    entries = F.transform(
+        F.map_entries(column),
+        lambda e, i: F.struct(
+            F.coalesce(F.try_element_at(F.col("_lookup"), e["key"]), e["key"]).alias("k"), e["value"].alias("v"),
+            F.struct((F.coalesce(e["value"], F.lit("")) == "").alias("blank"), i.alias("pos")).alias("rank"),
+        ),
+    )
+    named = rows.select(key, column).withColumn("_lookup", lookup).select(key, entries.alias("_e"))
+    first = F.filter("_e", lambda x: ~F.exists("_e", lambda y: (y["k"] == x["k"]) & (y["rank"] < x["rank"])))
+    return named.select(key, F.map_from_entries(F.transform(first, lambda x: F.struct(x["k"], x["v"]))).alias(column))
+
+
+def _normalise_by_join(rows: DataFrame, key: str, column: str, one: DataFrame) -> DataFrame:
     items = rows.select(key, F.posexplode(F.map_entries(column)).alias("_pos", "_e"))
     items = items.select(key, "_pos", F.col("_e.key").alias("raw"), F.col("_e.value").alias("_v"))
-    one = mapping.groupBy("raw").agg(F.max("canonical").alias("canonical"))
     named = items.join(one, "raw", "left").withColumn("_k", F.coalesce("canonical", "raw"))
     rank = F.struct((F.coalesce(F.col("_v"), F.lit("")) == "").alias("blank"), F.col("_pos"))
     fields = named.groupBy(key, "_k").agg(F.min_by("_v", rank).alias("_v"))

@@ -53,13 +53,20 @@ def _(t):
     return io.newest_batch(t.orders.select("o_orderkey", F.concat(F.lit("daily-"), F.date_format("o_orderdate", "yyyyMMdd")).alias("batch")))
 
 
+def _duck_shard(digest: str, n: int) -> str:
+    rest = "0::bigint"
+    for at in range(1, 41, 4):
+        rest = f"(({rest}) * 65536 + cast('0x' || substr({digest}, {at}, 4) as bigint)) % {n}"
+    return rest
+
+
 @query(
     "compact_objects",
-    """select cast(cast('0x' || substr(sha1(cast(doc_id as varchar)), 1, 15) as bigint) % 16 as int) as shard, count(*) as n,
-    cast(sum(length(text)) as bigint) as chars from documents group by 1""",
+    f"""select cast({_duck_shard('h', 7)} as int) as shard, count(*) as n, cast(sum(length(text)) as bigint) as chars
+    from (select sha1(cast(doc_id as varchar)) as h, text from documents) group by 1""",
 )
 def _(t):
-    d = io.compact_objects(t.documents.select(F.col("doc_id").cast("string").alias("key"), "text"), "key", 16)
+    d = io.compact_objects(t.documents.select(F.col("doc_id").cast("string").alias("key"), "text"), "key", 7)
     return d.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 
 

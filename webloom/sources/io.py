@@ -69,9 +69,12 @@ def newest_batch(df: DataFrame, batch: str = "batch") -> DataFrame:
 
 
 def shard_of(key: Column, n: int) -> Column:
-    """First characters of sha1(key) as a number, modulo ``n``."""
-    head = F.conv(F.substring(F.sha1(key), 1, 15), 16, 10).cast("bigint")
-    return F.pmod(head, F.lit(n)).cast("int")
+    """sha1(key) as a number, modulo ``n``; the digest is folded four hex digits at a time."""
+    digest, rest = F.sha1(key), F.lit(0).cast("bigint")
+    for at in range(1, 41, 4):
+        digits = F.conv(F.substring(digest, at, 4), 16, 10).cast("bigint")
+        rest = (rest * 65536 + digits) % n
+    return rest.cast("int")
 
 
 def compact_objects(df: DataFrame, key: str, n: int) -> DataFrame:
