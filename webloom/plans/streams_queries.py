@@ -18,7 +18,7 @@ def _text(c):
 
 
 def _mark(delay):
-    return f"(select to_timestamp(floor(epoch_us(max(ts)) / 1000) / 1000)::timestamp - interval '{delay}' from events)"
+    return f"(select make_timestamp((epoch_us(max(ts)) // 1000) * 1000) - interval '{delay}' from events)"
 
 
 @query(
@@ -69,7 +69,7 @@ def _(t):
     z as (select item, status, tried as attempts, out_at from w where status is not null
       union all select item, case when attempts + 1 > 3 then 'failed' else 'requeue' end, attempts, started + 7200000 from w
       where started is not null and started + 7200000 < (select max(ms) from e) - 60000 and (item, i) in (select item, max(i) from e group by 1))
-    select item, status, attempts, strftime(to_timestamp(out_at // 1000)::timestamp, '%Y-%m-%d %H:%M:%S') as "at" from z""",
+    select item, status, attempts, strftime(make_timestamp(out_at * 1000), '%Y-%m-%d %H:%M:%S') as "at" from z""",
 )
 def _(t):
     kind = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "error").otherwise("start")
@@ -80,14 +80,14 @@ def _(t):
 
 @query(
     "quiet_period_stream",
-    f"""with m as (select *, case when ts - lag(ts) over (partition by event_type order by ts) >= interval '30 minutes' then 1 else 0 end as cut from events),
-    s as (select *, sum(cut) over (partition by event_type order by ts rows unbounded preceding) as s from m)
-    select event_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as first, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last, count(*) as n from s
-    group by event_type, s having max(ts) + interval '30 minutes' <= {_mark('0 minutes')}""",
+    f"""with m as (select *, case when ts - lag(ts) over (partition by user_id order by ts) >= interval '30 minutes' then 1 else 0 end as cut from events),
+    s as (select *, sum(cut) over (partition by user_id order by ts rows unbounded preceding) as s from m)
+    select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as first, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last, count(*) as n from s
+    group by user_id, s having max(ts) + interval '30 minutes' <= {_mark('0 minutes')}""",
 )
 def _(t):
-    out = streams.run_available(streams.quiet_period(events(t), "ts", "event_type"), "quiet")
-    return out.select("event_type", _text("first"), _text("last"), "n")
+    out = streams.run_available(streams.quiet_period(events(t), "ts", "user_id"), "quiet")
+    return out.select("user_id", _text("first"), _text("last"), "n")
 
 
 _SLOT3 = "time_bucket(interval '3 minutes', ts, timestamp '1970-01-01')"
