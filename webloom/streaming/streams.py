@@ -168,7 +168,11 @@ def attempt_events(timeout: int, max_fail: int) -> Callable:
 def attempt_timeouts(df: DataFrame, timeout: int = 180, max_fail: int = 3, delay: str = "1 minute") -> DataFrame:
     """(item, status, attempts, at): an attempt open for more than ``timeout`` seconds of
     event time is requeued, or failed once attempts + 1 exceeds ``max_fail``; a finish
-    clears the item. Input stream: item, kind (start, done, ...), ts, seq."""
+    clears the item. Input stream: item, kind (start, done, ...), ts, seq.
+
+    An item's entries of one micro-batch are ordered in memory, so the size of a batch
+    (``files_per_batch`` of the source) bounds what a hot item can hold.
+    """
     return (
         df.withWatermark("ts", delay).groupBy("item")
         .applyInPandasWithState(attempt_events(timeout, max_fail), ATTEMPT_OUT, ATTEMPT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
