@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from webloom.llm import exact_dedup, mixing
+from webloom.llm import exact_dedup, mixing, packing, sharding
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.query,
+    "op4_packing": packing.query,
     "op8_mixing": mixing.query,
+    "op10_sharding": sharding.query,
 }
 
 ORACLES = {
