@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from webloom.llm import exact_dedup, mixing, packing, sharding
+from webloom.llm import exact_dedup, language, mixing, packing, sharding, toxicity
 
 QUERIES = {
+    "op1_language_id": language.query,
     "op2_exact_dedup": exact_dedup.query,
     "op4_packing": packing.query,
+    "op5_toxicity": toxicity.query,
     "op8_mixing": mixing.query,
     "op10_sharding": sharding.query,
 }
