@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from webloom.llm import exact_dedup, html_text, language, mixing, packing, sharding, toxicity
+from webloom.llm import exact_dedup, html_text, language, mixing, near_dedup, packing, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.query,
     "op2_exact_dedup": exact_dedup.query,
     "op4_packing": packing.query,
     "op5_toxicity": toxicity.query,
+    "op6_near_dedup": near_dedup.query,
     "op8_mixing": mixing.query,
     "op9_html_text": html_text.query,
     "op10_sharding": sharding.query,
