@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from webloom.llm import exact_dedup, html_text, language, mixing, near_dedup, packing, sharding, toxicity
+from webloom.llm import embedding_dedup, exact_dedup, html_text, language, mixing, near_dedup, packing, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_packing": packing.query,
     "op5_toxicity": toxicity.query,
     "op6_near_dedup": near_dedup.query,
+    "op7_embedding_dedup": embedding_dedup.query,
     "op8_mixing": mixing.query,
     "op9_html_text": html_text.query,
     "op10_sharding": sharding.query,
