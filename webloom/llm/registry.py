@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from webloom.llm import embedding_dedup, exact_dedup, html_text, language, mixing, near_dedup, packing, sharding, toxicity
+from webloom.llm import embedding_dedup, exact_dedup, html_text, language, mixing, near_dedup, packing, repeats, sharding, toxicity
 
 QUERIES = {
     "op1_language_id": language.query,
     "op2_exact_dedup": exact_dedup.query,
+    "op3_repeats": repeats.query,
     "op4_packing": packing.query,
     "op5_toxicity": toxicity.query,
     "op6_near_dedup": near_dedup.query,
