@@ -7,7 +7,7 @@ A byte goes when a string of ``length`` bytes that covers it starts at another p
    Runs whose name occurs once cannot be repeated. Runs with equal contexts are merged into one with a count, as all their
    starts are repeated.
 2. What is left, different contexts under one name, is concatenated name by name, and a task builds the suffix array and
-   from it the Burrows-Wheeler transform of about a megabyte at once. From the interval of the empty string, intervals are
+   from it the Burrows-Wheeler transform of about half a megabyte at once. From the interval of the empty string, intervals are
    extended backwards by one byte breadth first; an interval that ends at a place whose common prefix is still open settles it
    with the value of the level and goes on (Beller, Gog, Ohlebusch and Schnattinger, 2013). The expansion stops at ``length``: what is
    open then is a common prefix of at least that many bytes, so both suffixes beside it are repeated.
@@ -33,7 +33,7 @@ from webloom.session import cut_lineage
 
 LENGTH = 200
 LIMIT = 20_000
-BATCH = 1 << 20  # bytes of contexts in one transform
+BATCH = 1 << 19  # bytes of contexts in one transform, about
 _TOP = np.iinfo(np.uint64).max
 
 
@@ -96,7 +96,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     for j in range(8):
         key = key << np.uint64(8) | wide[j : j + n].astype(np.uint64)
     reach = 8
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     while True:
         ranked = key[order]
         new = np.ones(n, dtype=bool)
