@@ -21,7 +21,7 @@ from webloom.llm.common import table
 from webloom.scale import global_index
 from webloom.session import cut_lineage
 
-CHUNK_ROWS = 50_000  # documents of a source numbered in one task
+CHUNK_ROWS = 2_000  # documents of a source numbered in one task
 RANGES = 512  # virtual-time ranges summed per pass
 SORT_ROWS = 50_000  # a range of so few entries is sorted
 
