@@ -160,9 +160,16 @@ def fit(
 ) -> ByteNetwork | None:
     """A network from a bounded sample: of each language the ``per_language`` rows lowest in a hash
     of the id, and ``windows_each`` windows spread over the whole of each text. None without a labelled text that has a letter."""
-    ranked = docs.where(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(label_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit("language")).alias("at")
     )
+    # twice the wanted share goes to the ranking, so a frequent language sends few rows; one number per language, as in the model
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not sizes:
+        return None
+    size_of = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(r["n"]))])
+    share = labelled.where((F.col("at").cast("double") / float(1 << 64) + 0.5) * size_of[F.col("lang")] <= 2.0 * per_language)
+    ranked = share.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", "at")
     order = Window.partitionBy("lang").orderBy("at")
     sample = ranked.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
     shape = ByteNetwork([], np.zeros((0, 0)), {4: np.zeros(0)}, {}, np.zeros(0), np.zeros(0), window)
