@@ -13,3 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """The third of the rows that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def wrapped(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with each row in one struct "whole" beside the given columns, so no name of ``df`` can clash with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), *[v.alias(k) for k, v in values.items()])

@@ -10,10 +10,10 @@ out over many tasks by the hash of (run, digest), so no round gathers a run in o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webloom.llm.common import table
+from webloom.llm.common import table, wrapped
 from webloom.session import cut_lineage
 
 ARITY = 8
@@ -72,17 +72,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, all their columns unchanged: one row for each text."""
-    stay = exact_dedup(docs, id_col, text_col, keep).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")
-    )
+    stay = exact_dedup(docs, id_col, text_col, keep).where("kept").select("keep_id", "text_sha256")
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumn("_digest", F.sha2(body.cast("binary"), 256))
-    out = marked.join(stay, (marked["_digest"] == stay["_digest"]) & marked[id_col].eqNullSafe(stay["_id"]), "left_semi")
+    rows = wrapped(docs, id=F.col(id_col), digest=F.sha2(body.cast("binary"), 256))
+    left = rows.join(stay, (F.col("digest") == F.col("text_sha256")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
     # what is left of a text has one identifier; its repeated rows are few, and only they are compared
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("_digest").orderBy(F.lit(0))
-    return out.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    nth = F.row_number().over(Window.partitionBy("digest").orderBy("id"))
+    return left.withColumn("nth", nth).where("nth = 1").select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webloom.llm.common import table
+from webloom.llm.common import table, wrapped
 from webloom.scale import global_index
 from webloom.session import cut_lineage
 
@@ -157,12 +157,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken, columns unchanged."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     chosen = (
-        mix(docs, **options).where("times > 0").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.max("times").alias("_times"))
+        mix(docs, **options).where("times > 0").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+        .agg(F.max("times").alias("times"))
     )
-    marked = docs.withColumn("_own", F.xxhash64(text_col))
-    joined = marked.join(chosen, marked[id_col].eqNullSafe(chosen["_id"]) & (marked["_own"] == chosen["_hash"]))
-    return joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = wrapped(docs, own_id=F.col(id_col), own_hash=F.xxhash64(text_col))
+    joined = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
+    return joined.select("whole", F.explode(F.sequence(F.lit(1), F.col("times")))).select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

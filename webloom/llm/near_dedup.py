@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import table
+from webloom.llm.common import table, wrapped
 from webloom.llm.components import components
 from webloom.session import cut_lineage
 
@@ -34,6 +34,7 @@ BUCKETS = 1 << 18
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 ESTIMATE = 0.6  # samples in common from which a pair is verified: 3.9 standard errors below 0.8
+TIES = 4  # leaders a document is compared with in a bucket
 PART = 4_096  # documents of a bucket in one part
 CHUNK = 1 << 20  # bytes of text worked on at once
 
@@ -231,8 +232,8 @@ def _gather(rows: DataFrame) -> DataFrame:
     """One round of the buckets: (key, salt, id, sketch) -> (key, id, sketch, leader, leads, alike).
 
     Rows come sorted by (key, salt), so a part is worked through as a stream; only its leaders are held. A document is tied to the
-    leaders it is estimated to be like (the four likest); one that has no likest leader above
-    ESTIMATE leads itself.
+    TIES leaders it is estimated to be likest to, and leads itself while there are fewer and none is nearly the same. The order
+    within a part differs from bucket to bucket, so a group has other leaders in every band.
     """
 
     def part(sketches: np.ndarray, ids: list) -> tuple[list, list[bool]]:
@@ -245,9 +246,9 @@ def _gather(rows: DataFrame) -> DataFrame:
                 alike = (lead_sketch[:n] == sketches[i]).mean(axis=1)
                 near = np.flatnonzero(alike >= ESTIMATE)
                 if len(near):
-                    for j in near[np.argsort(-alike[near], kind="stable")][:4]:
+                    for j in near[np.argsort(-alike[near], kind="stable")][:TIES]:
                         ties.append((i, lead_at[j], float(alike[j])))
-                    if alike[near].max() >= 0.9:  # its leader stands for it
+                    if len(near) >= TIES or alike[near].max() >= 0.9:  # its leaders stand for it
                         continue
             leads[i] = True
             if n == len(lead_sketch):
@@ -304,32 +305,39 @@ def _gather(rows: DataFrame) -> DataFrame:
             yield work(pa.concat_tables(held))
 
     id_type = rows.schema["id"].dataType.simpleString()
-    laid = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "id")
+    laid = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", F.xxhash64("id", "key"), "id")
     return laid.select("key", "salt", "id", "sketch").mapInArrow(run, f"key long, id {id_type}, sketch binary, leader {id_type}, alike double")
 
 
 def candidate_pairs(signed: DataFrame) -> DataFrame:
     """(a, b, alike), a < b: what the buckets' rounds tie together."""
-    members = signed.select("id", "sketch", F.explode("bands").alias("key"))
+    triples = SAMPLES // 3
+    members = signed.select("id", "sketch", F.lit(0).alias("from"), F.explode("bands").alias("key"))
     found = None
     while True:
-        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("from").alias("from")).where("n > 1")
         split = F.ceil(F.col("n") / F.lit(PART)).cast("int")
-        dealt = members.join(sizes, "key").withColumn("salt", F.when(split > 1, F.pmod(F.xxhash64("id", "key"), split)).otherwise(0).cast("int"))
-        round_ = cut_lineage(_gather(dealt.select("key", "salt", "id", "sketch")).join(sizes, "key"), "buckets")
+        dealt = members.drop("from").join(sizes, "key").withColumn("salt", F.when(split > 1, F.pmod(F.xxhash64("id", "key"), split)).otherwise(0).cast("int"))
+        round_ = cut_lineage(_gather(dealt.select("key", "salt", "id", "sketch")), "buckets")
         pairs = round_.where("leader is not null").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), "alike")
         found = pairs if found is None else found.unionByName(pairs)
         # only the leaders of buckets in several parts meet again
-        again = round_.where((F.col("leader").isNull()) & (F.col("n") > PART)).select("id", "sketch", "key", "n")
-        fewer = again.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
-        stuck = fewer.where(F.col("m") > F.col("n") * 0.9).select("key")  # parts that hold mostly strangers: deal them by further samples
-        members = again.select("id", "sketch", "key").join(stuck, "key", "left_anti").unionByName(
-            again.join(stuck, "key").select("id", "sketch", F.explode(F.transform(
-                F.sequence(F.lit(0), F.lit(SAMPLES // 3 - 1)), lambda j: F.xxhash64("key", j, F.substring("sketch", j * 3 + 1, 3))
-            )).alias("key"))
-        )
-        if members.isEmpty():
+        large = cut_lineage(sizes.where(F.col("n") > PART), "large")
+        if large.isEmpty():
             break
+        again = round_.where("leader is null").join(large, "key")
+        # parts that hold mostly strangers are dealt by further samples, each time later ones, so this ends
+        left = again.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+        marked = again.join(left, "key").withColumn("strange", F.col("m") > F.col("n") * 0.9)
+        further = F.when(
+            F.col("from") < triples,
+            F.transform(F.sequence(F.col("from"), F.lit(triples - 1)), lambda j: F.struct(
+                (j + 1).cast("int").alias("from"), F.xxhash64("key", j, F.substring("sketch", j * 3 + 1, 3)).alias("key")
+            )),
+        )
+        members = marked.where("not strange").select("id", "sketch", "from", "key").unionByName(
+            marked.where("strange").select("id", "sketch", F.explode(further).alias("next")).select("id", "sketch", "next.from", "next.key")
+        )
     return found.groupBy("a", "b").agg(F.max("alike").alias("alike"))
 
 
@@ -418,8 +426,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that are the first of their group, all their columns unchanged."""
-    gone = near_groups(docs, id_col, text_col, similarity).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    gone = near_groups(docs, id_col, text_col, similarity).where("not kept").select("doc_id").distinct()
+    return wrapped(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
