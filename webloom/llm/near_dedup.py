@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import table, wrapped
+from webloom.llm.common import small_side, table, wrapped
 from webloom.llm.components import components
 from webloom.session import cut_lineage
 
@@ -312,13 +312,15 @@ def _gather(rows: DataFrame) -> DataFrame:
 def candidate_pairs(signed: DataFrame) -> DataFrame:
     """(a, b, alike), a < b: what the buckets' rounds tie together."""
     triples = SAMPLES // 3
-    members = signed.select("id", "sketch", F.lit(0).alias("from"), F.explode("bands").alias("key"))
+    members = signed.select("id", F.lit(0).alias("from"), F.explode("bands").alias("key"))
+    sketches = signed.select("id", "sketch")
     found = None
     while True:
         sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("from").alias("from")).where("n > 1")
         split = F.ceil(F.col("n") / F.lit(PART)).cast("int")
+        # only what shares a bucket takes its sketch along
         dealt = members.drop("from").join(sizes, "key").withColumn("salt", F.when(split > 1, F.pmod(F.xxhash64("id", "key"), split)).otherwise(0).cast("int"))
-        round_ = cut_lineage(_gather(dealt.select("key", "salt", "id", "sketch")), "buckets")
+        round_ = cut_lineage(_gather(dealt.select("key", "salt", "id").join(sketches, "id")), "buckets")
         pairs = round_.where("leader is not null").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), "alike")
         found = pairs if found is None else found.unionByName(pairs)
         # only the leaders of buckets in several parts meet again
@@ -335,8 +337,8 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
                 (j + 1).cast("int").alias("from"), F.xxhash64("key", j, F.substring("sketch", j * 3 + 1, 3)).alias("key")
             )),
         )
-        members = marked.where("not strange").select("id", "sketch", "from", "key").unionByName(
-            marked.where("strange").select("id", "sketch", F.explode(further).alias("next")).select("id", "sketch", "next.from", "next.key")
+        members = marked.where("not strange").select("id", "from", "key").unionByName(
+            marked.where("strange").select("id", F.explode(further).alias("next")).select("id", "next.from", "next.key")
         )
     return found.groupBy("a", "b").agg(F.max("alike").alias("alike"))
 
@@ -398,7 +400,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = signed.select("words", F.col("id").alias("copy")).join(first.select("words", "id"), "words").select(F.col("id").alias("a"), F.col("copy").alias("b"))
     pairs = cut_lineage(candidate_pairs(first), "pairs")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = small_side(cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted"))
     texts = cut_lineage(
         known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts"
     )
@@ -426,7 +428,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that are the first of their group, all their columns unchanged."""
-    gone = near_groups(docs, id_col, text_col, similarity).where("not kept").select("doc_id").distinct()
+    gone = small_side(cut_lineage(near_groups(docs, id_col, text_col, similarity).where("not kept").select("doc_id").distinct(), "gone"))
     return wrapped(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("whole.*")
 
 
