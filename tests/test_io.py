@@ -62,12 +62,17 @@ def test_insert_and_upsert(spark):
     assert rows(io.upsert_by_id(new, target, "k", ["seq"])) == {("a", 1), ("b", 20), ("c", 31)}
 
 
-def test_update_nested_continues_long_lists(spark):
-    docs = spark.createDataFrame([("d", []), ("e", [])], "id string, claims array<struct<p:string,o:string,rid:string>>")
-    inv = spark.createDataFrame([("d", i, f"n{i}", "u") for i in range(5)] + [("zz", 1, "n", "u")], "id string, seq long, name string, url string")
-    out = io.update_nested(docs, io.investment_claims(inv, "id", F.expr("seq div 10"), size=2), "id").orderBy("id", "part").collect()
-    assert [(r.id, r.part, len(r.claims)) for r in out] == [("d", 0, 6), ("d", 1, 6), ("d", 2, 3), ("e", 0, 0)]
-    assert [c.rid for r in out for c in r.claims if c.p == "子公司名称"] == ["_111", "_222", "_333", "_444", "_555"]
+def test_update_then_upsert_keeps_every_claim(spark):
+    docs = spark.createDataFrame([("d",), ("e",)], "id string")
+    own = spark.createDataFrame([("d", 0, "name", "D", None)], "id string, pos long, p string, o string, rid string")
+    inv = spark.createDataFrame([("d", i, f"n{i}", "u") for i in range(5)] + [("e", 1, "m", "u"), ("zz", 1, "n", "u")], "id string, seq long, name string, url string")
+    claims = io.update_nested(own, io.investment_claims(inv, "id", F.expr("seq div 2")), docs, "id")
+    rows = claims.orderBy("id", "pos").collect()
+    assert [(r.id, r.pos) for r in rows] == [("d", i) for i in range(16)] + [("e", i) for i in range(3)]
+    assert [r.rid for r in rows if r.p == "子公司名称"] == ["_111", "_222", "_333", "_444", "_555", "_111"]
+    keyed = claims.withColumn("key", F.concat_ws("/", "id", F.col("pos").cast("string"))).withColumn("seq", F.lit(0))
+    stored = io.upsert_by_id(keyed, keyed.drop("seq").limit(0), "key", ["seq"])
+    assert stored.count() == 19
 
 
 def test_read_dump(spark, tmp_path):

@@ -112,8 +112,7 @@ def best_fold(rows, skip_limit=4):
     return None if best is None else best[1]
 
 
-@pytest.mark.parametrize("list_size", [10_000, 3])
-def test_best_qapair(spark, list_size):
+def test_best_qapair(spark):
     rng = random.Random(7)
     rows, want = [], {}
     for qn in range(25):
@@ -129,10 +128,16 @@ def test_best_qapair(spark, list_size):
         if best_fold(mine) is not None:
             want[query] = best_fold(mine)
     none = word_matcher(["zzzz"])
-    got = qa.best_qapair(candidates(spark, rows), none, none, list_size=list_size)
+    got = qa.best_qapair(candidates(spark, rows), none, none)
     assert {r.query: r.result_index for r in got.collect()} == want
 
 
+def test_best_qapair_gives_one_row_for_equal_positions(spark):
+    rows = [("what is it", 1, "what is it", "an answer", "w", 3), ("what is it", 1, "what is it", "other answer", "w", 3)]
+    none = word_matcher(["zzzz"])
+    assert [r.answers for r in qa.best_qapair(candidates(spark, rows), none, none).collect()] == ["an answer"]
+
+
 def test_select_qapair_ties_and_notes(spark):
     rows = [("天气如何", 3, "天气如何", "今天晴天", "w", 0), ("天气如何", 1, "天气如何", "明天有雨", "w", 0), ("天气如何", 2, "天气", "后天多云", "w", 0),
             ("天气如何", 4, "无关的话", "多云转晴", "w", 0), ("天气如何", 5, "天气如何", None, "w", 0), ("天气如何", 6, "天气如何", "ok", "w", 0)]
@@ -240,12 +245,6 @@ def test_resolve_url(spark):
     assert got == want
 
 
-def test_page_parser_survives_broken_html(spark):
-    df = spark.createDataFrame([(1, "<table><tr><td>h<tr><td>k<td>v"), (2, ""), (3, None)], "k int, h string")
-    got = {r.page: r.fields for r in pages.extract_pages(df, "k", "h", "kv_table").collect()}
-    assert got[1] == {"k": "v"} and got[2] == {} and got[3] == {}
-
-
 def test_guess_province_order(spark):
     regions = spark.createDataFrame(
         [("province", "河北省", "河北省", "1"), ("province", "广西壮族自治区", "广西壮族自治区", "2"), ("city", "石家庄市", "河北省", "3"),
@@ -259,20 +258,20 @@ def test_guess_province_order(spark):
     assert got == {1: "广西", 2: "河北", 3: "", 4: "广西", 5: "", 6: "广西"}
 
 
-def test_registries_choose_by_batch_name(spark):
-    pages.register_extractor("title_only", lambda h: [{"title": h.upper(), "size": len(h)}], "title string, size int")
-    assert pages.extractor_for("daily-2024", {"daily": "title_only"}) == "title_only"
-    assert pages.extractor_for("other-2024", {"daily": "title_only"}) == "kv_table"
-    df = spark.createDataFrame([(1, "ab")], "k int, h string")
-    assert [tuple(r) for r in pages.extract_pages(df, "k", "h", "title_only").collect()] == [(1, "AB", 2)]
+def test_loader_is_chosen_by_batch_name(spark):
     src = spark.createDataFrame([("http://x.com/1", "n", "g/o", "t", [("2024-01", 5.0)])], "source string, name string, specs string, access_time string, data array<struct<month:string,price:double>>")
     rec = records.load_batch("pairs-2024", src, {"pairs": "pairs"}).first()
     assert rec.recordDate == "2024-01-01" and rec.tags == ["n", "o", "g"]
 
 
-def test_both_header_routes_agree(spark):
-    rows = spark.createDataFrame([(1, {"a": "", "b": "2", "z": "9"}), (2, {"b": "", "a": "1"}), (3, {"q": None})], "k int, m map<string,string>")
+def test_headers_keep_every_row(spark):
+    rows = spark.createDataFrame(
+        [(1, {"a": "", "b": "2", "z": "9"}), (2, {"b": "", "a": "1"}), (3, {"q": None}), (4, None), (5, {}), (1, {"a": "7"}), (6, {"a": "1"}), (6, {"a": "1"})],
+        "k int, m map<string,string>",
+    )
     mapping = spark.createDataFrame([("a", "X"), ("b", "X")], "raw string, canonical string")
-    local = {r.k: r.m for r in pages.normalise_headers(rows, "k", "m", mapping).collect()}
-    joined = {r.k: r.m for r in pages.normalise_headers(rows, "k", "m", mapping, max_lookup=1).collect()}
-    assert local == joined == {1: {"X": "2", "z": "9"}, 2: {"X": "1"}, 3: {"q": None}}
+    got = sorted((r.k, str(r.m and dict(sorted(r.m.items())) if r.m is not None else None)) for r in pages.normalise_headers(rows, "k", "m", mapping).collect())
+    assert got == sorted([
+        (1, "{'X': '2', 'z': '9'}"), (2, "{'X': '1'}"), (3, "{'q': None}"), (4, "None"), (5, "{}"), (1, "{'X': '7'}"), (6, "{'X': '1'}"), (6, "{'X': '1'}"),
+    ])
+

@@ -23,30 +23,6 @@ def test_position_in_group(spark):
     assert got == want
 
 
-def test_ordered_lists_split_long_keys(spark):
-    rows = hot_rows()
-    df = spark.createDataFrame(rows, "k string, o long").withColumn("v", F.col("o") * 2)
-    out = scale.ordered_lists(df, ["k"], ["o"], "v", F.expr("o div 50"), size=100).orderBy("k", "part").collect()
-    assert max(len(r["items"]) for r in out) <= 100
-    joined = {}
-    for r in out:
-        joined.setdefault(r.k, []).extend(r["items"])
-    assert joined == {k: [o * 2 for kk, o in rows if kk == k] for k in {r[0] for r in rows}}
-
-
-def test_distinct_lists_keep_all_values(spark):
-    rows = hot_rows() * 2 + [("hot", None)]
-    df = spark.createDataFrame(rows, "k string, o long")
-    out = scale.distinct_lists(df, ["k"], "o", size=50).collect()
-    joined = {}
-    for r in out:
-        assert r["items"] == sorted(r["items"])
-        joined.setdefault(r.k, []).extend(r["items"])
-    want = {k: sorted({o for kk, o in rows if kk == k and o is not None}) for k in {r[0] for r in rows}}
-    assert {k: sorted(v) for k, v in joined.items()} == want
-    assert any(r.part > 0 for r in out)
-
-
 def test_global_index_with_equal_sort_keys(spark):
     df = spark.createDataFrame([(i % 3, i) for i in range(500)], "s int, i int").repartition(5)
     out = scale.global_index(df, ["s"]).collect()

@@ -80,15 +80,22 @@ def test_similarity_ratio_matches_difflib(spark):
     assert all(g <= b + 1e-12 for g, b in zip(got, bound) if g is not None)
 
 
-def test_both_tokenizers_agree(spark):
+def test_tokens_of_every_row(spark):
     lexicon = spark.createDataFrame([(w,) for w in ["是什么", "什么", "天气", "天气预报", "a", "报"]], "term string")
-    rows = [(1, "天气预报是什么abc 12天气"), (2, ""), (3, None), (4, "，。天"), (5, "什么什么天气预")]
+    rows = [(1, "天气预报是什么abc 12天气"), (2, ""), (3, None), (4, "，。天"), (5, "什么什么天气预"), (6, "天气\u3000什么\u00a0a"), (1, "报"), (7, "报"), (7, "报")]
     df = spark.createDataFrame(rows, "k int, s string")
-    local = {r.k: r.tokens for r in textops.tokenize(df, "k", "s", lexicon).collect()}
-    joined = {r.k: r.tokens for r in textops.tokenize_by_join(df, "k", "s", lexicon).collect()}
-    assert local[1] == ["天气预报", "是什么", "abc", "12", "天气"]
-    assert local[5] == ["什么", "什么", "天气", "预"]
-    assert {k: v or [] for k, v in local.items()} == joined
+    got = sorted([(r.k, r.tokens) for r in textops.tokenize(df, "k", "s", lexicon).collect()], key=str)
+    assert got == sorted([
+        (1, ["天气预报", "是什么", "abc", "12", "天气"]), (2, []), (3, None), (4, ["，", "。", "天"]), (5, ["什么", "什么", "天气", "预"]),
+        (6, ["天气", "什么", "a"]), (1, ["报"]), (7, ["报"]), (7, ["报"]),
+    ], key=str)
+
+
+def test_strip_takes_every_blank(spark):
+    df = spark.createDataFrame([("\u3000 标题\u00a0\n",), ("\u2003a b\t",), (None,), ("\u3000",)], "s string")
+    from webloom.functions.text import strip
+
+    assert [r[0] for r in df.select(strip(F.col("s"))).collect()] == ["标题", "a b", None, ""]
 
 
 def test_fact_question(spark):

@@ -5,7 +5,6 @@ They are data. Change them through the parameters of the functions that use them
 
 # Character classes
 CJK = r"\x{4E00}-\x{9FA5}"
-CJK_WIDE = r"\x{4E00}-\x{9FFF}"
 EMOJI = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2600}-\x{26FF}\x{2700}-\x{27BF}]"
 SENTENCE_MARKS = "。！？"
 COMMAS = "，,"
@@ -75,7 +74,6 @@ RANGE_SUFFIX = ("山脉", "脉")
 ALIAS_ATTRIBUTES = ["别名", "又称"]
 ALIAS_LABELS = ["别名", "又称", "其他名称"]
 CHINESE_NAME_ATTRIBUTE = "中文名"
-DEFINITION_ATTRIBUTE = "定义"
 
 # Price, news and record claims
 MARKET_SUFFIX = "市场"
@@ -163,7 +161,6 @@ TAG_PREFIXES = ["AN:", "BN:", "MN:", "VN:"]
 
 # Pages
 GLYPH_MARKER = "word-replace"
-NOTE_SEPARATORS = r"[:：]"
 QUESTION_URLS = [  # label, pattern with one id group; the first match wins
     ("zhidao", r"zhidao.baidu.com/question/(\d+).html"),
     ("zybang", r"zybang.com/question/(.+).html"),
@@ -186,15 +183,8 @@ ANSWER_FIELDS = {  # output column: (JSON field, type)
     "is_recommend": ("isRecommend", "int"), "is_highquality": ("isHighQuality", "int"), "answer_time": ("createTime", "string"),
     "content": ("content", "string"), "agreement": ("valueNum", "int"), "disagreement": ("valueBadNum", "int"),
 }
-SEARCH_PAGE = {
-    "box": "wgt-baike", "box_url": r"http://baike.baidu.com/subview/\d+/(\d+).htm", "box_suffix": "_百度百科",
-    "total": "wgt-picker", "total_class": "f-lighter", "recommended": "wgt-autoask", "item_class": "dl",
-    "noise": ["推荐答案", "[详细]"],
-}
 BOOK_BREAK = "<hr />"
 SECTION_LABEL = "【.+?】"
-BOOK_NAME_LABEL = "摘录"
-TABLE_NOTE = "注"
 HEADWORD = {
     "entry": r'(?s)<span id="span2" class="STYLE2">(.+?)</span.+?<span id="span14".+?</SRIPT>(.+?)</table>',
     "font": "<font", "font_mark": "red>", "unreadable": r"^[\x{E000}-\x{EFFF}]",
@@ -202,27 +192,13 @@ HEADWORD = {
 NOTICE_BOX = ('<div class="mainbox">', '<div id="footer">')
 NOTICE_FIELDS = {"title": r"<h4[^>]*>([^<]*)", "public_date": r"<h5[^>]*>([^<]*)", "body": r"<pre[^>]*>([^<]*)"}
 DUMP_BREAK, DUMP_LINK = "</>", "@@@LINK="
-COMPANY_FIELDS = {
-    "注册号：": "registration_id", "统一社会信用代码：": "unified_social_credit_code", "组织机构代码：": "organization_code",
-    "经营状态：": "status", "公司类型：": "business_type", "成立日期：": "establish_date", "法定代表：": "legal_person",
-    "注册资本：": "registered_capital", "登记机关：": "registration_authority", "发照日期：": "approval_date",
-    "企业地址：": "address", "经营范围：": "business_scope",
-}
 COMPANY_TERM, TERM_SPLIT, TERM_OPEN, MAP_LINK_TEXT = "营业期限：", "至", "无固定期限", "查看地图"
-COMPANY_SECTIONS = {"股东信息": "shareholders", "主要人员": "executives", "分支机构": "branches", "变更记录": "changes", "经营异常": "abnormals"}
-SHAREHOLDER_FIELDS = {"认缴出资额": "subscribe_money", "认缴出资时间": "subscribe_time", "实缴出资额": "actual_money", "实缴出资时间": "actual_time"}
-CHANGE_FIELDS = {"变更项目": "project", "变更日期": "change_time", "变更前": "before_change", "变更后": "after_change"}
-ABNORMAL_FIELDS = {
-    "列入日期": "date", "作出决定机关": "organs", "列入经营异常名录原因": "reason", "移出日期": "end_date", "移出经营异常名录原因": "end_reason",
-}
-POSITION_NOISE = "点评动态"
 
 OVERALL_TREND = "总趋势"
 QUOTE_UNITS = {"grain": "元/吨"}
 QUOTE_CLAIMS = {"type": "报价类型", "agency": "报价机构", "place": "出产地", "grade": "等级"}
 GRADE_KEY = "等级"
 CONTRACT_CODE = "Pt9995"
-CONTRACT_CLAIMS = {"type": "加权平均价", "unit": "元/克"}
 HOLDER_CLAIMS = ["股东信息", "股东名称", "股东职务", "股东source_url"]
 CHANGE_CLAIMS = ["变更记录", "变更项目", "变更时间", "变更前", "变更后"]
 EXECUTIVE_CLAIMS = ["主要人员", "人员职务", "人员姓名"]

@@ -18,8 +18,8 @@ def replace_all(c: Column, rules: Iterable[tuple[str, str]]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Remove white space at both ends (line ends and tabs too, unlike ``trim``)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove white space at both ends, all of Unicode's (line ends, U+3000, U+00A0; unlike ``trim``)."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def extract_zh(c: Column, keep: str = V.CJK) -> Column:

@@ -12,7 +12,7 @@ from webloom.functions import fixed_values as V
 from webloom.functions import ids, text
 from webloom.operators.joins import map_name
 from webloom.operators.pages import clean_headword, dump_entries
-from webloom.scale import LIST_SIZE, distinct_lists, last_per_key, ordered_lists
+from webloom.scale import last_per_key, position_in_group
 
 FRAGMENT_DDL = "map<string, struct<Tags:array<string>, Information:string, `av pair`:array<array<string>>>>"
 
@@ -83,18 +83,18 @@ def exploded_pairs(merged: DataFrame) -> DataFrame:
     return p.select("entity", "ord", F.get("_p", F.lit(0)).alias("attribute"), F.get("_p", F.lit(1)).alias("value"))
 
 
-def eav_rows(pairs: DataFrame, skip: str = V.CHINESE_NAME_ATTRIBUTE, aliases: Sequence[str] = V.ALIAS_ATTRIBUTES,
-             size: int = LIST_SIZE) -> DataFrame:
-    """(entity, attribute, part, values): values of an attribute in order. The Chinese
+def eav_rows(pairs: DataFrame, skip: str = V.CHINESE_NAME_ATTRIBUTE, aliases: Sequence[str] = V.ALIAS_ATTRIBUTES) -> DataFrame:
+    """(entity, attribute, pos, value): one row per value, numbered from 0 in order. The Chinese
     name and alias attributes are left out; the latter are in ``alias_map``."""
     kept = pairs.where(~F.col("attribute").isin(skip, *aliases))
-    return ordered_lists(kept, ["entity", "attribute"], ["ord"], "value", F.expr("ord div 100000"), "values", size)
+    placed = position_in_group(kept, ["entity", "attribute"], ["ord"], F.expr("ord div 100000"))
+    return placed.select("entity", "attribute", "pos", "value")
 
 
-def alias_map(pairs: DataFrame, labels: Sequence[str] = V.ALIAS_LABELS, size: int = LIST_SIZE) -> DataFrame:
-    """(entity, part, alias): alias values of an entity in order."""
+def alias_map(pairs: DataFrame, labels: Sequence[str] = V.ALIAS_LABELS) -> DataFrame:
+    """(entity, pos, alias): one row per alias value, numbered from 0 in order."""
     kept = pairs.where(F.col("attribute").isin(*labels))
-    return ordered_lists(kept, ["entity"], ["ord"], "value", F.expr("ord div 100000"), "alias", size)
+    return position_in_group(kept, ["entity"], ["ord"], F.expr("ord div 100000")).select("entity", "pos", F.col("value").alias("alias"))
 
 
 def tag_map(frags: DataFrame) -> DataFrame:
@@ -118,36 +118,41 @@ def definition_values(c: Column, multi: bool = False, stop: str = "。") -> Colu
     return F.when(short == t, F.array(t)).otherwise(F.array(short, t))
 
 
-def eav_document(rows: DataFrame, kind: str) -> DataFrame:
-    """Served documents of (entity, attribute, attribute_name, values, alias, category,
-    searchscore); ``kind`` is the tag of the attribute class."""
+def eav_document(values: DataFrame, kind: str) -> DataFrame:
+    """Served documents, one per (entity, attribute), of the first values among (entity, attribute, attribute_name, pos, value,
+    category, searchscore); ``kind`` is the tag of the attribute class. All values stay in the table of ``values``,
+    all tags are in ``document_tags``."""
     e = F.col("entity")
-    name = text.drop_brackets(e)
-    bracketed = F.rlike(e, F.lit(V.BRACKETED_NAME))
-    none = F.array().cast("array<string>")
-    tags = F.concat(
-        F.array(e, F.lower(e), F.upper(e), F.lit(kind)), F.when(bracketed, F.array(F.lower(name), F.upper(name))).otherwise(none),
-        F.coalesce(F.col("alias"), none),
+    return values.where("pos = 0").select(
+        ids.attribute_id(e, F.col("attribute")).alias("id"), "entity", text.drop_brackets(e).alias("entity_name"), "attribute", "attribute_name",
+        F.coalesce("value", F.lit("")).alias("value"), F.lit(kind).alias("kind"), "category", "searchscore",
     )
-    return rows.select(
-        ids.attribute_id(e, F.col("attribute")).alias("id"), "entity", name.alias("entity_name"), "attribute", "attribute_name",
-        F.coalesce(F.get("values", F.lit(0)), F.lit("")).alias("value"), "values",
-        F.array_sort(F.array_distinct(tags)).alias("tags"), "category", "searchscore",
+
+
+def document_tags(documents: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(id, tag), distinct: the words a document is found by. ``aliases``: entity, alias."""
+    e = F.col("entity")
+    none = F.array().cast("array<string>")
+    own = F.concat(
+        F.array(e, F.lower(e), F.upper(e), F.col("kind")),
+        F.when(F.rlike(e, F.lit(V.BRACKETED_NAME)), F.array(F.lower("entity_name"), F.upper("entity_name"))).otherwise(none),
     )
+    named = documents.select("id", F.explode(own).alias("tag"))
+    other = documents.select("id", "entity").join(aliases.select("entity", F.col("alias").alias("tag")), "entity").select("id", "tag")
+    return named.unionByName(other).where("tag is not null").distinct()
 
 
 def merge_aliases(sources: Sequence[DataFrame], entities: DataFrame, special: tuple[str, str] = V.RANGE_SUFFIX,
-                  pattern: str = V.PURE_CHINESE, size: int = LIST_SIZE) -> DataFrame:
-    """(entity, part, total, alias): aliases of the listed entities from (entity, aliases)
+                  pattern: str = V.PURE_CHINESE) -> DataFrame:
+    """(entity, alias), distinct: aliases of the listed entities from (entity, aliases)
     sources of comma-separated text, plus the short form of a name with the special
     ending; one-character and non-Chinese aliases are dropped."""
     ending, tail = special
     texts = reduce(DataFrame.unionByName, [s.select("entity", "aliases") for s in sources])
     known = texts.join(entities.select("entity").distinct(), "entity", "left_semi")
-    listed = known.select("entity", F.explode(F.split("aliases", ",")).alias("_a"))
+    listed = known.select("entity", F.explode(F.split("aliases", ",")).alias("alias"))
     e = F.col("entity")
     short = entities.where(F.endswith(e, F.lit(ending))).select(
-        "entity", F.substring(e, F.lit(1), F.length(e) - len(tail)).alias("_a")
+        "entity", F.substring(e, F.lit(1), F.length(e) - len(tail)).alias("alias")
     )
-    kept = listed.unionByName(short).where((F.length("_a") > 1) & F.rlike("_a", F.lit(pattern)))
-    return distinct_lists(kept, ["entity"], "_a", "alias", size)
+    return listed.unionByName(short).where((F.length("alias") > 1) & F.rlike("alias", F.lit(pattern))).distinct()

@@ -12,12 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from webloom.functions import fixed_values as V
 from webloom.functions.text import normalise_region
-from webloom.scale import distinct_lists
-from webloom.session import GrowingTable, cut_lineage
+from webloom.session import GrowingTable, cut_bucketed, cut_lineage
 
 
 # --- name rules --------------------------------------------------------------
@@ -127,17 +125,26 @@ def candidate_companies(
     return rows.withColumn("why", why).where("why is not null")
 
 
+def _usable(edges: DataFrame, controllers: DataFrame | None, most: int) -> DataFrame:
+    """(company, related, size) of the companies with at most ``most`` relations in ``controllers``; size counts all relations."""
+    sizes = edges.groupBy("company").agg(F.count(F.lit(1)).alias("size"))
+    counted = edges if controllers is None else controllers
+    big = counted.groupBy("company").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select("company")
+    return edges.join(sizes, "company").join(big, "company", "left_anti")
+
+
 def expand_co_impact(
-    seeds: DataFrame, edges: DataFrame, depth: int = 5, share: float = 0.01, min_companies: int = 2, max_controllers: int = 500
+    seeds: DataFrame, edges: DataFrame, depth: int = 5, share: float = 0.01, min_companies: int = 2, max_controllers: int = 500,
+    controllers: DataFrame | None = None,
 ) -> DataFrame:
     """Front of agents grown from the seeds: (name, depth, rtype).
 
     Per pass, a company with a front relation that makes up ``share`` of its relations
     joins, and so does an agent related to ``min_companies`` such companies. Companies
-    with more than ``max_controllers`` relations take no part. Stops when nothing is new.
+    with more than ``max_controllers`` relations among ``controllers`` (without the companies they invest in; default: all of ``edges``) take no part.
+    A name found both as company and as agent has the agent's type. Stops when nothing is new.
     """
-    sizes = edges.groupBy("company").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= max_controllers)
-    usable = cut_lineage(edges.join(sizes, "company"), "impact-edges")
+    usable = cut_lineage(_usable(edges, controllers, max_controllers), "impact-edges")
     start = seeds.select("name").distinct().select("name", F.lit(0).alias("depth"), F.lit("person").alias("rtype"))
     grown = GrowingTable(start, "impact-front")
     for level in range(1, depth + 1):
@@ -155,11 +162,8 @@ def expand_co_impact(
         found = active.select(F.col("company").alias("name"), F.lit("xcompany").alias("rtype")).unionByName(
             agents.select("name", classify_agent(F.col("name")).alias("rtype"))
         )
-        # A name found both ways is kept as a company.
-        new = (
-            found.groupBy("name").agg(F.max("rtype").alias("rtype")).join(front, "name", "left_anti")
-            .select("name", F.lit(level).alias("depth"), "rtype")
-        )
+        kind = F.min(F.struct((F.col("rtype") == "xcompany").alias("late"), "rtype"))["rtype"].alias("rtype")
+        new = found.groupBy("name").agg(kind).join(front, "name", "left_anti").select("name", F.lit(level).alias("depth"), "rtype")
         if grown.add(new).isEmpty():
             break
     return grown.all()
@@ -210,15 +214,14 @@ def layered_expand(start: DataFrame, invests: DataFrame, holders: DataFrame, lim
 
 def noisy_or_spread(
     seeds: DataFrame, edges: DataFrame, depth: int = 10, damping: float = 0.8, admit: float = 0.5, seed_p: float = 0.9,
-    min_related: int = 2, share: float = 0.01, max_controllers: int = 500,
+    min_related: int = 2, share: float = 0.01, max_controllers: int = 500, controllers: DataFrame | None = None,
 ) -> DataFrame:
     """(name, depth, p): probability spread over undirected (company, related) edges.
 
     A name with at least ``min_related`` relations, ``share`` of them in the front, gets
     damping * (1 - product of (1 - p)); it is admitted at ``admit`` and keeps that value.
     """
-    size = edges.groupBy("company").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") <= max_controllers)
-    used = edges.join(size.select("company"), "company", "left_semi")
+    used = _usable(edges, controllers, max_controllers)
     both = used.select(F.col("company").alias("a"), F.col("related").alias("b")).unionByName(
         used.select(F.col("related").alias("a"), F.col("company").alias("b"))
     ).distinct()
@@ -253,12 +256,14 @@ def hospital_overlap(edges: DataFrame, hospitals: DataFrame, front: DataFrame) -
 
 
 def agent_report(front: DataFrame, edges: DataFrame) -> DataFrame:
-    """Per agent: type, depth, company count and sorted company list (a longer list goes on
-    in further parts)."""
-    lists = distinct_lists(edges.select(F.col("related").alias("name"), "company"), ["name"], "company", "companies")
-    return front.join(lists, "name", "left").select(
-        "name", "rtype", "depth", F.coalesce("total", F.lit(0)).alias("company_cnt"), F.coalesce("part", F.lit(0)).alias("part"),
-        F.array_join(F.coalesce("companies", F.array().cast("array<string>")), ",").alias("company_list"),
+    """(name, rtype, depth, company_cnt, company): the agents of the front, one row per company of the front they are related to
+    (null company when there is none)."""
+    agents = front.where("rtype <> 'xcompany'")
+    used = edges.join(front.where("rtype = 'xcompany'").select(F.col("name").alias("company")), "company", "left_semi")
+    pairs = used.select(F.col("related").alias("name"), "company").distinct()
+    counts = pairs.groupBy("name").agg(F.count(F.lit(1)).alias("company_cnt"))
+    return agents.join(pairs, "name", "left").join(counts, "name", "left").select(
+        "name", "rtype", "depth", F.coalesce("company_cnt", F.lit(0)).alias("company_cnt"), "company"
     )
 
 
@@ -271,8 +276,9 @@ def pagerank(
 ) -> DataFrame:
     """(name, rank) over (src, dst[, weight]) edges; ranks sum to 1.
 
-    The rank of vertices without out-edges is handed out like the restart. Stops after
-    ``iters`` passes or when the summed change falls below vertices * ``tol``.
+    The rank of vertices without out-edges is handed out like the restart. Without ``tol`` it makes
+    ``iters`` passes; with it, it stops when the summed change falls below vertices * ``tol`` and raises
+    ArithmeticError if that takes more than ``iters`` passes.
     ``personalization``: name, weight.
     """
     w = F.col(weight) if weight else F.lit(1.0)
@@ -289,9 +295,9 @@ def pagerank(
     out = cut_lineage(out, "rank-out")
     part = F.expr("pmod(xxhash64(dst), parts)").cast("int")
     weighted = e.join(out, "src").select("src", "dst", part.alias("part"), (F.col("w") / F.col("_out")).alias("w"))
-    # The edges are laid out by (src, part) once and kept on disk; a pass moves only the ranks.
+    # The edges are written once, in buckets by (src, part): a pass moves only the ranks.
     n_parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = weighted.repartition(n_parts, "src", "part").persist(StorageLevel.DISK_ONLY)
+    links = cut_bucketed(weighted, "rank-links", n_parts, ["src", "part"])
     names = e.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
     base = names.join(out.select(F.col("src").alias("name"), "parts"), "name", "left")
     base = base.withColumn("dangling", F.col("parts").isNull())
@@ -322,7 +328,9 @@ def pagerank(
         ranks = nxt.drop("_old")
         if change is not None and change < n * tol:
             break
-    links.unpersist()
+    else:
+        if tol is not None:
+            raise ArithmeticError(f"ranks have not converged to {tol} in {iters} passes")
     return ranks.select("name", "rank")
 
 

@@ -1,20 +1,13 @@
-"""Pages to typed rows.
-
-Flat pages are read with native expressions. Nested ones need a tree: those run
-as ``mapInPandas`` over the page table, one page at a time inside each task.
-"""
+"""Pages to typed rows, with native expressions only."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import fixed_values as V
-from webloom.functions.html_tree import Node, parse
 from webloom.functions.text import strip, strip_tags
 
 
@@ -59,40 +52,24 @@ def answer_json(df: DataFrame, column: str, keep: list[str], fields: dict = V.AN
     return parsed.select(*keep, *[F.col(f"_r.{name}").alias(out) for out, (name, _) in fields.items()])
 
 
-MAX_LOOKUP = 10_000  # largest header table used as one map value
-
-
-def normalise_headers(rows: DataFrame, key: str, column: str, mapping: DataFrame, max_lookup: int = MAX_LOOKUP) -> DataFrame:
+def normalise_headers(rows: DataFrame, key: str, column: str, mapping: DataFrame) -> DataFrame:
     """Rename map keys through ``mapping`` (raw, canonical); unknown keys stay. When two
-    headers meet in one field, the first filled one is kept.
-
-    A header table of up to ``max_lookup`` spellings becomes one map value, so that the rows
-    are renamed where they are; a larger one is joined.
+    headers meet in one field, the first filled one is kept. A null map stays null, an empty one empty;
+    rows with equal keys stay apart as long as their maps differ.
     """
     one = mapping.groupBy("raw").agg(F.max("canonical").alias("canonical"))
-    if one.limit(max_lookup + 1).count() > max_lookup:
-        return _normalise_by_join(rows, key, column, one)
-    lookup = one.agg(F.map_from_entries(F.collect_list(F.struct("raw", "canonical")))).scalar()
-    entries = F.transform(
-        F.map_entries(column),
-        lambda e, i: F.struct(
-            F.coalesce(F.try_element_at(F.col("_lookup"), e["key"]), e["key"]).alias("k"), e["value"].alias("v"),
-            F.struct((F.coalesce(e["value"], F.lit("")) == "").alias("blank"), i.alias("pos")).alias("rank"),
-        ),
-    )
-    named = rows.select(key, column).withColumn("_lookup", lookup).select(key, entries.alias("_e"))
-    first = F.filter("_e", lambda x: ~F.exists("_e", lambda y: (y["k"] == x["k"]) & (y["rank"] < x["rank"])))
-    return named.select(key, F.map_from_entries(F.transform(first, lambda x: F.struct(x["k"], x["v"]))).alias(column))
-
-
-def _normalise_by_join(rows: DataFrame, key: str, column: str, one: DataFrame) -> DataFrame:
-    items = rows.select(key, F.posexplode(F.map_entries(column)).alias("_pos", "_e"))
-    items = items.select(key, "_pos", F.col("_e.key").alias("raw"), F.col("_e.value").alias("_v"))
+    entries = F.map_entries(column)
+    numbered = rows.select(key, column, F.to_json(entries).alias("_row"))
+    items = numbered.select(key, "_row", F.posexplode(entries).alias("_pos", "_e"))
+    items = items.select(key, "_row", "_pos", F.col("_e.key").alias("raw"), F.col("_e.value").alias("_v")).distinct()
     named = items.join(one, "raw", "left").withColumn("_k", F.coalesce("canonical", "raw"))
     rank = F.struct((F.coalesce(F.col("_v"), F.lit("")) == "").alias("blank"), F.col("_pos"))
-    fields = named.groupBy(key, "_k").agg(F.min_by("_v", rank).alias("_v"))
-    # One row's own fields: the list is as long as the row's map, never longer.
-    return fields.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias(column))
+    fields = named.groupBy(key, "_row", "_k").agg(F.min(F.struct(rank.alias("rank"), "_v")).alias("_b"))
+    # one row's own fields: the list is as long as the row's map, never longer
+    done = fields.groupBy(key, "_row").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_b._v")))).alias("_named"))
+    back = done.withColumnsRenamed({key: "_key", "_row": "_from"})
+    joined = numbered.join(back, F.col(key).eqNullSafe(F.col("_key")) & F.col("_row").eqNullSafe(F.col("_from")), "left")
+    return joined.select(key, F.coalesce("_named", column).alias(column))
 
 
 def labelled_sections(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -212,267 +189,3 @@ def dump_definitions(pages: DataFrame, html: str, entry: str = V.HEADWORD["entry
     info = F.regexp_replace("_e.info", f"(?s){cut}(?!.*{cut}).*$", "")
     out = hit.select(strip(clean_headword(F.col("_e.word"))).alias("headword"), strip_tags(info).alias("definition"))
     return out.where("headword is not null")
-
-
-# --- tree extraction ---------------------------------------------------------
-
-
-def _first(nodes: list[Node]) -> Node | None:
-    return nodes[0] if nodes else None
-
-
-def _short_answer(text: str) -> str:
-    """Python twin of ``functions.text.clean_answers`` for use inside the page parser."""
-    marks, cjk = V.SENTENCE_MARKS, "一-龥"
-    t = re.sub(r"\.{3,10}$", "", text)
-    if t == text or re.search(f"[{marks}]", t):
-        return re.sub(f"([{marks}])[^{marks}]*$", r"\1", t).strip()
-    if re.match(f"^[{cjk}]{{20,1000}}$", t):
-        return ""
-    if len(t) > 80 and not re.search("[a-zA-Z]{2,100}", t):
-        at = t.find(" ", 80)
-        return (t[:at] if at > 80 else t).strip()
-    if len(t) > 120:
-        t = re.sub(f"[{V.COMMAS}][^{V.COMMAS}]*$", "", t)
-    return t.strip()
-
-
-def _number(text: str) -> int:
-    hit = re.search(r"\d+", text)
-    return int(hit.group(0)) if hit else 0
-
-
-def _search_item(node: Node) -> dict | None:
-    link = _first(node.tags("a"))
-    href = (link.attrs.get("href") or "") if link else ""
-    for source, pattern in V.QUESTION_URLS:
-        hit = re.search(pattern, href)
-        if hit:
-            break
-    else:
-        return None
-    likes, counts = 0, 0
-    for mark in node.classed("i-agree", "i"):
-        own = [x for x in mark.parent.items if isinstance(x, str)]
-        likes = _number(own[1]) if len(own) > 1 else likes
-    explain = [a.text() for dd in node.classed("explain", "dd") for a in dd.tags("a")]
-    if explain:
-        counts = _number(explain[-1])
-    item = {
-        "id": f"{source}:{hit.group(1)}", "question_id": hit.group(1), "source": source, "cnt_answer": counts, "cnt_like": likes,
-        "question": "".join(a.text() for dt in node.tags("dt") for a in dt.tags("a")).strip(),
-        "question_content": None, "answers": None, "answers_raw": None,
-    }
-    summary = [x for dd in node.classed("summary", "dd") for x in dd.texts()]
-    if summary:
-        item["question_content"] = "".join(summary[1:]).strip()
-    answer = [x for dd in node.classed("answer", "dd") for x in dd.texts()]
-    if answer:
-        raw = "".join(answer[1:]).strip()
-        for noise in V.SEARCH_PAGE["noise"]:
-            raw = raw.replace(noise, "")
-        item["answers_raw"] = raw.strip()
-        item["answers"] = _short_answer(raw.strip())
-    return item
-
-
-def _search_rows(html: str) -> list[dict]:
-    rules, tree, rows = V.SEARCH_PAGE, parse(html), []
-    by_id = {n.attrs.get("id"): n for n in tree.walk() if n.attrs.get("id")}
-    box = by_id.get(rules["box"])
-    link = _first(box.tags("a")) if box else None
-    hit = re.search(rules["box_url"], (link.attrs.get("href") or "")) if link else None
-    if hit:
-        title = "".join(a.text() for dt in box.classed("title", "dt") for a in dt.tags("a")).strip()
-        raw = "".join(
-            p.text() for d in box.classed("desc", "div") for p in d.children if p.tag == "p" and "lnkList" not in (p.attrs.get("class") or "")
-        ).strip()
-        rows.append({
-            "id": f"{V.TRUSTED_SOURCE}:{hit.group(1)}", "question_id": hit.group(1), "source": V.TRUSTED_SOURCE, "cnt_answer": 0,
-            "cnt_like": 0, "question": title.replace(rules["box_suffix"], ""), "question_content": None,
-            "answers": _short_answer(raw), "answers_raw": raw, "is_recommend": None, "result_index": None,
-        })
-    picker = by_id.get(rules["total"])
-    digits = re.sub("[^0-9]", "", "".join(n.text() for n in picker.classed(rules["total_class"], "span"))) if picker else ""
-    recommended = by_id.get(rules["recommended"])
-    nodes = [(recommended, 1)] if recommended else []
-    nodes += [(n, 0) for n in tree.find(lambda n: n.tag == "dl" and rules["item_class"] in (n.attrs.get("class") or ""))]
-    for node, flag in nodes:
-        item = _search_item(node)
-        if item:
-            rows.append({**item, "is_recommend": flag, "result_index": len(rows) + 1})
-    return [{**r, "total": int(digits) if digits else 0} for r in rows]
-
-
-def _kv_rows(html: str) -> list[dict]:
-    fields = {}
-    for tr in parse(html).tags("tr")[1:]:
-        cells = [td.text().strip() for td in tr.tags("td")]
-        key, value = (cells + ["", ""])[:2]
-        if value and key != V.TABLE_NOTE:
-            fields[key] = value
-    return [{"fields": fields}]
-
-
-def _header_rows(html: str) -> list[dict]:
-    tree = parse(html)
-    table = _first(tree.tags("table"))
-    if table is not None:
-        trs = table.tags("tr")
-        keys = [re.sub(r"\s", "", td.text()) for td in trs[0].tags("td")] if trs else []
-        rows = [[td.text().strip() for td in tr.tags("td") if td.text().strip()] for tr in trs[1:]]
-        body, node = "", table
-        while node.parent is not None and not body:
-            before = node.parent.items[: next(i for i, x in enumerate(node.parent.items) if x is node)]
-            body = "".join(x.text().strip() for x in before if isinstance(x, Node))
-            node = node.parent
-        return [{"row": i, "fields": dict(zip(keys, r)), "body": body} for i, r in enumerate(rows)]
-    fields, body = {}, ""
-    for line in (x.strip() for x in tree.texts()):
-        cut = re.split(V.NOTE_SEPARATORS, line)
-        if len(cut) > 1:
-            value = ":".join(cut[1:])
-            if value:
-                fields[cut[0]] = value
-        else:
-            body += line
-    return [{"row": 0, "fields": fields, "body": body}]
-
-
-def _pairs(blocks: list[Node], names: dict[str, str]) -> dict[str, str | None]:
-    out: dict[str, str | None] = dict.fromkeys(names.values())
-    for block in blocks:
-        head, _, value = block.text().strip().partition("：")
-        if head.strip() in names:
-            out[names[head.strip()]] = value.strip() or None
-    return out
-
-
-def _firm(href: str | None) -> str | None:
-    return re.sub(r"\.shtml$", "", href.lstrip("/")) if href and href.startswith("/firm_") else None
-
-
-def _company_rows(html: str) -> list[dict]:
-    tree = parse(html)
-    info: dict[str, str | None] = dict.fromkeys([*V.COMPANY_FIELDS.values(), "begin", "end"])
-    for base in tree.classed("company-base"):
-        for li in base.tags("li"):
-            label_node = _first(li.tags("label"))
-            label = label_node.text().strip() if label_node else ""
-            text = li.text().replace(label, "").strip()
-            if label == V.COMPANY_TERM:
-                ends = [x.strip() for x in text.split(V.TERM_SPLIT)] + [None]
-                info["begin"], info["end"] = [None if x == V.TERM_OPEN else x for x in ends[:2]]
-            elif label in V.COMPANY_FIELDS:
-                name = V.COMPANY_FIELDS[label]
-                if name == "address":
-                    text = text.replace(V.MAP_LINK_TEXT, "").strip()
-                if info[name] is None or name not in ("registration_id", "unified_social_credit_code"):
-                    info[name] = text
-    lists: dict[str, list] = {name: [] for name in V.COMPANY_SECTIONS.values()}
-    for section in tree.find(lambda n: n.tag == "section" and n.has("panel") and n.has("clear")):
-        heading = _first(section.classed("font-bold"))
-        kind = V.COMPANY_SECTIONS.get(heading.text().strip() if heading else "")
-        items = [d for b in section.classed("panel-body", "div") for d in b.children if d.tag == "div" and d.has("clear")]
-        for item in items:
-            muted = item.classed("text-muted")
-            link = _first(item.tags("a"))
-            name = link.text().strip() if link else None
-            if kind == "shareholders" and link:
-                role = _first(item.classed("text-ellipsis"))
-                lists[kind].append({
-                    "name": name, "role": role.text().strip() if role else None, "link": _firm(link.attrs.get("href")),
-                    **_pairs(item.classed("text-md"), V.SHAREHOLDER_FIELDS),
-                })
-            elif kind == "executives" and name and "</" not in name:
-                position = _first([n for n in muted if n.tag == "small"])
-                text = position.text().strip() if position else None
-                lists[kind].append({"name": name, "position": None if text and V.POSITION_NOISE in text else text})
-            elif kind == "branches" and link:
-                lists[kind].append({"name": name, "link": _firm(link.attrs.get("href"))})
-            elif kind == "changes":
-                lists[kind].append(_pairs(muted, V.CHANGE_FIELDS))
-            elif kind == "abnormals":
-                lists[kind].append(_pairs(muted, V.ABNORMAL_FIELDS))
-    return [{"info": info, **lists}]
-
-
-def _investment_rows(html: str) -> list[dict]:
-    out = {}
-    for a in parse(html).classed("list-group-item", "a"):
-        name = _first(a.classed("text-lg"))
-        href = a.attrs.get("href") or ""
-        parts = href.rsplit("_", 2)
-        if name is not None and len(parts) >= 2:
-            text = name.text().strip()
-            out[text] = {"name": text, "key_num": parts[-1], "province": parts[-2], "href": href}
-    return list(out.values())
-
-
-def _artist_rows(html: str) -> list[dict]:
-    rows = []
-    for block in parse(html).classed("artistBlock_list"):
-        for item in block.classed("hor-list-item"):
-            title = _first([n for p in item.classed("name") for n in p.classed("title")])
-            if title is None:
-                continue
-            region, name = _first(item.classed("singer_region")), _first(item.classed("singer_names"))
-            rows.append({
-                "singer_id": (title.attrs.get("href") or "").rsplit("/", 1)[-1], "singer_title": title.attrs.get("title"),
-                "singer_name": name.text() if name else None, "singer_region": region.attrs.get("title") if region else None,
-            })
-    return rows
-
-
-EXTRACTORS: dict[str, tuple[Callable[[str], list[dict]], str]] = {
-    "search_page": (_search_rows, "id string, question_id string, source string, cnt_answer int, cnt_like int, question string, "
-                    "question_content string, answers string, answers_raw string, is_recommend int, result_index int, total int"),
-    "kv_table": (_kv_rows, "fields map<string,string>"),
-    "header_table": (_header_rows, "row int, fields map<string,string>, body string"),
-    "company_page": (
-        _company_rows,
-        "info map<string,string>, "
-        "shareholders array<struct<name:string,role:string,link:string,subscribe_money:string,subscribe_time:string,actual_money:string,actual_time:string>>, "
-        "executives array<struct<name:string,position:string>>, branches array<struct<name:string,link:string>>, "
-        "changes array<struct<project:string,change_time:string,before_change:string,after_change:string>>, "
-        "abnormals array<struct<date:string,organs:string,reason:string,end_date:string,end_reason:string>>",
-    ),
-    "investments": (_investment_rows, "name string, key_num string, province string, href string"),
-    "artist_list": (_artist_rows, "singer_id string, singer_title string, singer_name string, singer_region string"),
-}
-
-
-def register_extractor(name: str, parser: Callable[[str], list[dict]], ddl: str) -> None:
-    """Add a site parser: page text to rows with the columns of ``ddl``."""
-    EXTRACTORS[name] = (parser, ddl)
-
-
-def extractor_for(batch_id: str, sites: dict[str, str], default: str = "kv_table") -> str:
-    """Parser name of a batch by its name prefix, with a default."""
-    return next((name for prefix, name in sites.items() if batch_id.startswith(prefix)), default)
-
-
-def extract_pages(pages: DataFrame, key: str, html: str, extractor: str) -> DataFrame:
-    """Rows of a registered page parser, with the page key as ``page``. A page that the
-    parser cannot read gives no row."""
-    parser, ddl = EXTRACTORS[extractor]
-    fields = [field.split(maxsplit=1) for field in re.split(r", (?=\w+ )", ddl)]
-    names, integers = [n for n, _ in fields], {n for n, kind in fields if kind == "int"}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for page, text in zip(batch["page"], batch["html"]):
-                try:
-                    rows = parser(text)
-                except (ValueError, IndexError, AttributeError):
-                    rows = []
-                out.extend((page, *[r.get(n) for n in names]) for r in rows)
-            frame = pd.DataFrame(out, columns=["page", *names], dtype=object)
-            for n in integers:
-                frame[n] = frame[n].astype("Int32")
-            yield frame
-
-    kind = dict(pages.dtypes)[key]
-    return pages.select(F.col(key).alias("page"), F.col(html).alias("html")).mapInPandas(run, f"page {kind}, {ddl}")
-

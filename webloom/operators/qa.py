@@ -17,7 +17,7 @@ from webloom.functions.text import answer_filter_word, clean_chat_answer, clean_
 from webloom.operators.stats import label_counts, seeded_order
 from webloom.operators.textops import chat_label, is_fact_question, ratio_bound, similarity_ratio
 from webloom.operators.urls import missing_items
-from webloom.scale import LIST_SIZE, first_per_key, global_index, last_per_key, top_per_group
+from webloom.scale import first_per_key, global_index, last_per_key, position_in_group, top_per_group
 from webloom.session import cut_lineage
 
 Matcher = Callable[[Column], Column]
@@ -98,27 +98,9 @@ def _beats(score: Column, like: Column, best: Column, best_like: Column) -> Colu
     return ((score > best) & (like >= best_like * 0.2)) | ((score > best * 0.95) & (like > best_like * 1.5 + 2))
 
 
-def _fold_short(rows: DataFrame) -> DataFrame:
-    """Winner of each query whose candidates fit one array."""
-    items = F.array_sort(F.collect_list(F.struct("result_index", "match_score", "cnt_like")))
-    grouped = rows.groupBy("query").agg(items.alias("_i"))
-    start = F.struct(
-        F.lit(BEST_START).alias("best"), F.lit(LIKE_START).cast("bigint").alias("like"), F.lit(None).cast("bigint").alias("at")
-    )
-
-    def step(s: Column, x: Column) -> Column:
-        won = F.struct(
-            F.greatest(x["match_score"], s["best"]).alias("best"), x["cnt_like"].cast("bigint").alias("like"),
-            x["result_index"].cast("bigint").alias("at"),
-        )
-        return F.when(_beats(x["match_score"], x["cnt_like"], s["best"], s["like"]), won).otherwise(s)
-
-    return grouped.select("query", F.aggregate("_i", start, step)["at"].alias("result_index")).where("result_index is not null")
-
-
-def _fold_long(rows: DataFrame) -> DataFrame:
-    """The same winner for queries of any size: each pass finds, for all queries at once,
-    the next candidate that beats the standing one. The passes number the changes of
+def _winners(rows: DataFrame) -> DataFrame:
+    """(query, pos) of the winner among (query, pos, match_score, cnt_like), ``pos`` unique in a query. Each pass finds, for all
+    queries at once, the next candidate that beats the standing one; the passes number the changes of
     the leader, not the candidates."""
     state = cut_lineage(
         rows.select("query").distinct().select(
@@ -127,8 +109,7 @@ def _fold_long(rows: DataFrame) -> DataFrame:
         ),
         "best-state",
     )
-    cand = rows.select(F.col("query").alias("_q"), F.col("result_index").cast("bigint").alias("idx"), "match_score", F.col("cnt_like").cast("bigint").alias("lk"))
-    cand = cut_lineage(cand, "best-cand")
+    cand = rows.select(F.col("query").alias("_q"), F.col("pos").alias("idx"), "match_score", F.col("cnt_like").cast("bigint").alias("lk"))
     while True:
         live = state.where("moved")
         nxt = (
@@ -144,21 +125,20 @@ def _fold_long(rows: DataFrame) -> DataFrame:
             "best-state",
         )
         if state.where("moved").isEmpty():
-            return state.where("at >= 0").select("query", F.col("at").alias("result_index"))
+            return state.where("at >= 0").select("query", F.col("at").alias("pos"))
 
 
 def best_qapair(
     candidates: DataFrame, sensitive_question: Matcher, sensitive_answer: Matcher, trusted: str = V.TRUSTED_SOURCE,
-    skipped: str = V.SKIPPED_SOURCE, pattern: str = V.ANSWER_FILTER, max_skipped: int = 4, list_size: int = LIST_SIZE,
+    skipped: str = V.SKIPPED_SOURCE, pattern: str = V.ANSWER_FILTER, max_skipped: int = 4,
 ) -> DataFrame:
-    """At most one candidate per query, read in result order.
+    """At most one candidate per query, read in result order (equal ones by question, then answer).
 
     Rows of the skipped source are counted and left out, as are sensitive questions or
     answers, answers shorter than two characters or with a filtered word. The last row of
     the trusted source wins; without one, a row replaces the leader when it is more alike
     and liked enough, or nearly as alike and liked much more. A query with
-    ``max_skipped`` skipped rows has no answer except a trusted one. Queries with more than
-    ``list_size`` eligible rows are settled by repeated joins instead of an array fold.
+    ``max_skipped`` skipped rows has no answer except a trusted one.
     """
     q, a = F.col("question"), F.col("answers")
     left_out = candidates.where(F.col("source") == skipped).groupBy("query").agg(F.count(F.lit(1)).alias("_skipped"))
@@ -171,14 +151,11 @@ def best_qapair(
     near = ratio_bound(F.col("query"), q) > BEST_START * 0.95
     scored = usable.where(~is_trusted & near).withColumn("match_score", similarity_ratio(F.col("query"), q, cleaned=True))
     scored = cut_lineage(scored.where(F.col("match_score") > BEST_START * 0.95), "best-scored")
-    sizes = scored.groupBy("query").agg(F.count(F.lit(1)).alias("_n"))
-    long_queries = cut_lineage(sizes.where(F.col("_n") > list_size).select("query"), "best-long")
-    winner = _fold_short(scored.join(long_queries, "query", "left_anti"))
-    if not long_queries.isEmpty():
-        winner = winner.unionByName(_fold_long(scored.join(long_queries, "query", "left_semi")))
-    winner = winner.join(left_out, "query", "left").where(F.coalesce("_skipped", F.lit(0)) < max_skipped).drop("_skipped")
+    placed = position_in_group(scored, ["query"], ["result_index", "question", "answers"], F.expr("result_index div 100000"))
+    scored = cut_lineage(placed, "best-placed")
+    winner = _winners(scored).join(left_out, "query", "left").where(F.coalesce("_skipped", F.lit(0)) < max_skipped).drop("_skipped")
     trusted_rows = last_per_key(usable.where(is_trusted), ["query"], ["result_index"])
-    other = scored.join(winner, ["query", "result_index"], "left_semi").join(trusted_rows.select("query"), "query", "left_anti")
+    other = scored.join(winner, ["query", "pos"], "left_semi").drop("pos").join(trusted_rows.select("query"), "query", "left_anti")
     return trusted_rows.withColumn("match_score", F.lit(None).cast("double")).unionByName(other)
 
 

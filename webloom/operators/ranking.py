@@ -113,18 +113,16 @@ def min_over_samples(samples: DataFrame, series: str, order: Sequence[str], chun
     )
 
 
-def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int, index_order: Sequence[str] = ()) -> DataFrame:
+def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> DataFrame:
     """One page in ``order`` with the total row count in ``total``.
 
-    A shallow page is a bounded top-k. A deep one would gather offset + limit rows in
-    one task, so it is cut from a distributed index over ``index_order`` instead.
+    Pages of any depth come from one distributed index in ``order``, which is written once; the
+    total is the number of rows of what was written.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    if offset + limit <= 10_000 or not index_order:
-        rows = df.orderBy(*order).offset(offset).limit(limit)
-    else:
-        rows = global_index(df, index_order, "_i").where((F.col("_i") >= offset) & (F.col("_i") < offset + limit)).drop("_i")
-    return rows.withColumn("total", total)
+    indexed = global_index(df, order, "_i")
+    total = indexed.count()
+    rows = indexed.where((F.col("_i") >= offset) & (F.col("_i") < offset + limit)).drop("_i")
+    return rows.withColumn("total", F.lit(total).cast("bigint"))
 
 
 def systematic_sample(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.scale import distinct_lists
 
 
 def _n() -> Column:
@@ -50,8 +49,8 @@ def attribute_frequency(pairs: DataFrame, attribute: str = "attribute") -> DataF
 
 
 def class_tables(tags: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(entity -> tag lists, attribute -> count)."""
-    return distinct_lists(tags, ["entity"], "tag", "tags"), attribute_frequency(pairs)
+    """(entity, tag) without repeats, and (attribute -> count)."""
+    return tags.where("tag is not null").select("entity", "tag").distinct(), attribute_frequency(pairs)
 
 
 def existence_ratio(df: DataFrame, section: str) -> DataFrame:

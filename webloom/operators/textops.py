@@ -13,68 +13,33 @@ from pyspark.sql import types as T
 from webloom.functions import fixed_values as V
 from webloom.functions.text import clean_question, words
 from webloom.operators.stats import classification_report
-from webloom.scale import distinct_lists
 from webloom.session import cut_lineage
 
-MAX_LOCAL_TERMS = 200_000  # largest lexicon handed to the tasks as a set; a larger one is joined
-
-PIECES = r"([A-Za-z0-9]+|[^\sA-Za-z0-9]+)"
+PIECES = r"(?U)([A-Za-z0-9]+|[^\sA-Za-z0-9]+)"  # Unicode white space separates
 
 
 # --- tokens ------------------------------------------------------------------
 
 
 def tokenize(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """(key, tokens): runs of Latin letters and digits are tokens; other runs are cut by
-    the longest lexicon term from left to right, one character where none fits.
+    """(key, tokens), one row per input row: runs of Latin letters and digits are tokens; other runs are
+    cut by the longest lexicon term from left to right, one character where none fits. A null text has null tokens.
 
-    A lexicon of up to MAX_LOCAL_TERMS terms is sent to the tasks; a larger one stays a
-    table and is joined, with the same result.
+    The lexicon stays a table of any size: substrings of the lengths that occur in it are
+    joined with it. Equal texts and equal runs are cut once.
     """
-    head = lexicon.select("term").distinct().limit(MAX_LOCAL_TERMS + 1)
-    terms = [r["term"] for r in head.collect()]
-    if len(terms) <= MAX_LOCAL_TERMS:
-        return df.select(key, _cutter(frozenset(terms))(F.col(text)).alias("tokens"))
-    return tokenize_by_join(df, key, text, lexicon)
-
-
-def _cutter(terms: frozenset[str]):
-    longest = max((len(t) for t in terms), default=1)
-
-    def cut(text: str) -> list[str]:
-        import re
-
-        out = []
-        for piece in re.findall(PIECES, text):
-            if piece[0].isascii() and piece[0].isalnum():
-                out.append(piece)
-                continue
-            at = 0
-            while at < len(piece):
-                size = next((n for n in range(min(longest, len(piece) - at), 1, -1) if piece[at : at + n] in terms), 1)
-                out.append(piece[at : at + size])
-                at += size
-        return out
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def tokens(texts: pd.Series) -> pd.Series:
-        return texts.map(cut, na_action="ignore")
-
-    return tokens
-
-
-def tokenize_by_join(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """The same cut with the lexicon as a joined table of any size."""
     terms = lexicon.select("term").where(F.length("term") > 1).distinct()
     sizes = terms.agg(F.sort_array(F.collect_set(F.length("term")))).scalar()
-    pieces = df.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(PIECES), 1)).alias("_piece", "_t"))
-    other = pieces.where(~F.rlike("_t", F.lit("^[A-Za-z0-9]"))).withColumn("_sizes", sizes)
+    texts = df.select(F.col(text).alias("_text")).where("_text is not null").distinct()
+    pieces = texts.select("_text", F.posexplode(F.regexp_extract_all("_text", F.lit(PIECES), 1)).alias("_piece", "_t"))
+    other = pieces.where(~F.rlike("_t", F.lit("^[A-Za-z0-9]"))).select("_t").distinct().withColumn("_sizes", sizes)
     at = other.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_t"))))
     fits = F.filter("_sizes", lambda n: n <= F.length("_t") - F.col("_at") + 1)
-    cand = at.withColumn("_n", F.explode(fits)).select(key, "_piece", "_at", "_n", F.substring(F.col("_t"), F.col("_at"), F.col("_n")).alias("term"))
-    hits = cand.join(terms, "term", "left_semi").groupBy(key, "_piece", "_at").agg(F.max("_n").alias("_n"))
-    spots = hits.groupBy(key, "_piece").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_n"))).alias("_m"))
-    joined = pieces.join(spots, [key, "_piece"], "left")
+    cand = at.withColumn("_n", F.explode(fits)).select("_t", "_at", "_n", F.substring(F.col("_t"), F.col("_at"), F.col("_n")).alias("term"))
+    hits = cand.join(terms, "term", "left_semi").groupBy("_t", "_at").agg(F.max("_n").alias("_n"))
+    # as long as the run itself
+    spots = hits.groupBy("_t").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_n"))).alias("_m"))
+    joined = pieces.join(spots, "_t", "left")
 
     def walk(state: Column, at: Column) -> Column:
         size = F.coalesce(F.try_element_at(F.col("_m"), at), F.lit(1))
@@ -86,9 +51,10 @@ def tokenize_by_join(df: DataFrame, key: str, text: str, lexicon: DataFrame) ->
     start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("out"))
     cut = F.aggregate(F.sequence(F.lit(1), F.length("_t")), start, walk)["out"]
     toks = F.when(F.rlike("_t", F.lit("^[A-Za-z0-9]")), F.array("_t")).otherwise(cut)
-    per = joined.select(key, "_piece", toks.alias("_k"))
-    rows = per.groupBy(key).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_k"))), lambda x: x["_k"])).alias("tokens"))
-    return df.select(key).join(rows, key, "left").select(key, F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
+    per = joined.select("_text", "_piece", toks.alias("_k"))
+    rows = per.groupBy("_text").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_k"))), lambda x: x["_k"])).alias("_tokens"))
+    out = df.select(key, F.col(text).alias("_own")).join(rows, F.col("_own") == F.col("_text"), "left")
+    return out.select(key, F.when(F.col("_own").isNotNull(), F.coalesce("_tokens", F.array().cast("array<string>"))).alias("tokens"))
 
 
 def word_matcher(listed: Sequence[str], tokens: Callable[[Column], Column] = words) -> Callable[[Column], Column]:
@@ -263,9 +229,9 @@ def keyword_bigrams(df: DataFrame, tokens: Column, limit: int = 100, skip: str |
 
 
 def mention_entities(docs: DataFrame, key: str, text: str, dictionary: DataFrame, tokens: Callable[[Column], Column] = words) -> DataFrame:
-    """(key, part, total, entities): dictionary names among the tokens of each text."""
+    """(key, name), distinct: dictionary names among the tokens of each text."""
     toks = docs.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("name"))
-    return distinct_lists(toks.join(dictionary.select("name").distinct(), "name", "left_semi"), [key], "name", "entities")
+    return toks.join(dictionary.select("name").distinct(), "name", "left_semi").select(key, "name").distinct()
 
 
 def region_dictionary(provinces: DataFrame, column: str, countries: DataFrame, text: str) -> DataFrame:

@@ -117,13 +117,12 @@ def _(t):
 
 @query(
     "update_nested",
-    """with c as (select s_suppkey, p_partkey, p_name, row_number() over (partition by s_suppkey order by p_partkey) as i
-      from part join supplier on p_partkey % 90 = s_suppkey),
-    l as (select s_suppkey, i * 10 as k, '对外投资=' || '#_' || cast(i * 111 as varchar) as s from c
-      union all select s_suppkey, i * 10 + 1, '子公司名称=' || p_name || '#_' || cast(i * 111 as varchar) from c
-      union all select s_suppkey, i * 10 + 2, 'source.url=' || cast(p_partkey as varchar) || '#_' || cast(i * 111 as varchar) from c
-      union all select s_suppkey, 0, 'name=' || s_name || '#' from supplier)
-    select s_suppkey, 0 as part, string_agg(s, ';' order by k) as claims from l group by 1""",
+    """with c as (select s_suppkey, p_partkey, p_name, row_number() over (partition by s_suppkey order by p_partkey) - 1 as i
+      from part join supplier on p_partkey % 90 = s_suppkey)
+    select s_suppkey, 0 as pos, 'name' as p, s_name as o, null as rid from supplier
+    union all select s_suppkey, i * 3 + 1, '对外投资', null, '_' || cast((i + 1) * 111 as varchar) from c
+    union all select s_suppkey, i * 3 + 2, '子公司名称', p_name, '_' || cast((i + 1) * 111 as varchar) from c
+    union all select s_suppkey, i * 3 + 3, 'source.url', cast(p_partkey as varchar), '_' || cast((i + 1) * 111 as varchar) from c""",
 )
 def _(t):
     inv = t.part.select(
@@ -131,15 +130,8 @@ def _(t):
         F.col("p_partkey").cast("string").alias("url"),
     )
     patch = io.investment_claims(inv, "s_suppkey", F.expr("seq div 100000"))
-    null = F.lit(None).cast("string")
-    docs = t.supplier.select(
-        "s_suppkey", F.array(F.struct(F.lit("name").alias("p"), F.col("s_name").alias("o"), null.alias("rid"))).alias("claims")
-    )
-    out = io.update_nested(docs, patch, "s_suppkey")
-    text = F.transform(
-        "claims", lambda c: F.concat(c["p"], F.lit("="), F.coalesce(c["o"], F.lit("")), F.lit("#"), F.coalesce(c["rid"], F.lit("")))
-    )
-    return out.select("s_suppkey", "part", F.array_join(text, ";").alias("claims"))
+    own = t.supplier.select("s_suppkey", F.lit(0).cast("bigint").alias("pos"), F.lit("name").alias("p"), F.col("s_name").alias("o"), F.lit(None).cast("string").alias("rid"))
+    return io.update_nested(own, patch, t.supplier, "s_suppkey")
 
 
 @query(

@@ -115,18 +115,20 @@ def part_pairs(t):
     "eav_rows",
     """with p as (select p_name || ' ' || p_type as entity, p_partkey, 'brand' as attribute, p_brand as value from part union all
       select p_name || ' ' || p_type, p_partkey, 'size', cast(p_size as varchar) from part union all select p_name || ' ' || p_type, p_partkey, '其他名称', p_brand from part)
-    select entity, attribute, 0 as part, string_agg(value, '|' order by p_partkey) as vals from p group by entity, attribute""",
+    select entity, attribute, row_number() over (partition by entity, attribute order by p_partkey) - 1 as pos, value from p""",
 )
 def _(t):
-    return kb.eav_rows(part_pairs(t)).select("entity", "attribute", "part", F.array_join("values", "|").alias("vals"))
+    return kb.eav_rows(part_pairs(t))
 
 
 @query(
     "alias_map",
-    "select p_name || ' ' || p_type as entity, 0 as part, string_agg(p_type || 'x|' || p_brand, '|' order by p_partkey) as alias from part group by 1",
+    """with p as (select p_name || ' ' || p_type as entity, p_partkey * 10 + 2 as o, p_type || 'x' as alias from part union all
+      select p_name || ' ' || p_type, p_partkey * 10 + 4, p_brand from part)
+    select entity, row_number() over (partition by entity order by o) - 1 as pos, alias from p""",
 )
 def _(t):
-    return kb.alias_map(part_pairs(t)).select("entity", "part", F.array_join("alias", "|").alias("alias"))
+    return kb.alias_map(part_pairs(t))
 
 
 @query(
@@ -154,22 +156,34 @@ def _(t):
     )
 
 
+def _values(t):
+    return t.part.select(
+        F.concat(F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).otherwise(F.col("p_name")), F.col("p_partkey").cast("string")).alias("entity"),
+        F.lit("kind").alias("attribute"), F.lit("kind").alias("attribute_name"), F.explode(F.array(F.lit(0), F.lit(1))).alias("pos"), "p_type", "p_brand", "p_size",
+    ).select("entity", "attribute", "attribute_name", "pos", F.when(F.col("pos") == 0, F.col("p_type")).otherwise("second").alias("value"),
+             F.col("p_brand").alias("category"), F.col("p_size").alias("searchscore"))
+
+
+_VALUES = "e as (select case when p_partkey % 2 = 0 then p_name || '(' || p_brand || ')' else p_name end || cast(p_partkey as varchar) as entity, p_type, p_brand, p_size from part)"
+
+
 @query(
     "eav_document",
-    """with e as (select p_partkey, case when p_partkey % 2 = 0 then p_name || '(' || p_brand || ')' else p_name end as entity, p_name as nm, p_partkey % 2 = 0 as b, p_brand, p_type, p_size from part),
-    g as (select *, list_sort(list_distinct([entity, lower(entity), upper(entity), 'attribute', p_type] || case when b then [lower(nm), upper(nm)] else [] end)) as tg from e)
-    select p_partkey, sha1(entity || '__kind') as id, nm as entity_name, p_type as value, array_to_string(tg, '|') as tags, p_brand as category, p_size as searchscore from g""",
+    rf"""with {_VALUES} select sha1(entity || '__kind') as id, entity, {_bra('entity')} as entity_name, 'kind' as attribute, 'kind' as attribute_name, p_type as value,
+    'attribute' as kind, p_brand as category, p_size as searchscore from e""",
 )
 def _(t):
-    rows = t.part.select(
-        F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).otherwise(F.col("p_name")).alias("entity"),
-        F.lit("kind").alias("attribute"), F.lit("kind").alias("attribute_name"), F.array("p_type", F.col("p_partkey").cast("string")).alias("values"),
-        F.array("p_type").alias("alias"), F.array("p_brand").alias("category"), F.col("p_size").alias("searchscore"),
-    )
-    return kb.eav_document(rows, "attribute").select(
-        F.element_at("values", 2).cast("bigint").alias("p_partkey"), "id", "entity_name", "value", F.array_join("tags", "|").alias("tags"),
-        F.array_join("category", "|").alias("category"), "searchscore",
-    )
+    return kb.eav_document(_values(t), "attribute")
+
+
+@query(
+    "document_tags",
+    rf"""with {_VALUES}, x as (select *, sha1(entity || '__kind') as id, {_bra('entity')} as nm from e)
+    select distinct id, unnest([entity, lower(entity), upper(entity), 'attribute', p_type || 'x'] || case when regexp_matches(entity, '{V.BRACKETED_NAME}') then [lower(nm), upper(nm)] else [] end) as tag from x""",
+)
+def _(t):
+    aliases = _values(t).where("pos = 0").select("entity", F.concat("value", F.lit("x")).alias("alias"))
+    return kb.document_tags(kb.eav_document(_values(t), "attribute"), aliases)
 
 
 @query(
@@ -179,28 +193,39 @@ def _(t):
       union all select '山' || p_type || '山脉', '东' || case when p_size % 3 = 0 then '岳' else '山' end from part union all
       select entity, left(entity, length(entity) - 1) from e where ends_with(entity, '山脉')),
     k as (select distinct entity, a from a where entity in (select entity from e) and length(a) > 1 and (regexp_matches(a, '^[\\x{4E00}-\\x{9FFF}]+$')))
-    select entity, cast(count(*) as bigint) as total, string_agg(a, '|' order by a) as alias from k group by 1""",
+    select entity, a as alias from k""",
 )
 def _(t):
     e = t.part.select(F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("山"), "p_type", F.lit("山脉"))).otherwise(F.col("p_name")).alias("entity")).distinct()
     one = t.part.select(F.col("p_name").alias("entity"), F.concat(F.lit("长,黄河,"), "p_brand", F.lit(",大"), F.when(F.col("p_size") % 2 == 0, "海").otherwise("江")).alias("aliases"))
     two = t.part.select(F.concat(F.lit("山"), "p_type", F.lit("山脉")).alias("entity"), F.concat(F.lit("东"), F.when(F.col("p_size") % 3 == 0, "岳").otherwise("山")).alias("aliases"))
-    return kb.merge_aliases([one, two], e).select("entity", "total", F.array_join("alias", "|").alias("alias"))
+    return kb.merge_aliases([one, two], e)
 
 
 @query(
     "kb_pipeline",
-    """with p as (select p_name || ' ' || p_type as entity, p_partkey, p_brand as value from part),
-    v as (select entity, string_agg(value, '|' order by p_partkey) as vals, arg_min(value, p_partkey) as value from p group by 1)
-    select sha1(entity || '__brand') as id, entity, value, vals, cast(length(entity) as int) as searchscore from v""",
+    """with p as (select p_name || ' ' || p_type as entity, p_partkey, unnest(['brand', 'size', '其他名称']) as attribute, unnest([p_brand, cast(p_size as varchar), p_brand]) as value from part),
+    d as (select entity, attribute, arg_min(value, p_partkey) as value, count(*) as n_values from p group by all),
+    g as (select p_name || ' ' || p_type as entity, 'T ' || p_brand as tag, row_number() over (partition by p_name || ' ' || p_type order by p_partkey desc) as i from part),
+    a as (select p_name || ' ' || p_type as entity, p_type || 'x' as tag from part union all select p_name || ' ' || p_type, p_brand from part),
+    w as (select entity, attribute, unnest([entity, lower(entity), upper(entity), 'attribute']) as tag from d union all select entity, attribute, tag from d join a using (entity)),
+    c as (select entity, attribute, count(distinct tag) as n_tags, min(tag) as first_tag from w group by all)
+    select sha1(d.entity || '__' || attribute) as id, d.entity, attribute, value, n_values, n_tags, first_tag, g.tag as category, cast(length(d.entity) as int) as searchscore
+    from d join c using (entity, attribute) join g on g.entity = d.entity and g.i = 1""",
 )
 def _(t):
-    """Pairs to attribute rows, search rank attached, served documents."""
+    """Pairs of all attributes to values, with rank, category and aliases; served documents and their tags."""
     from webloom.operators.joins import attach_rank
 
-    rows = kb.eav_rows(part_pairs(t).where("attribute = 'brand'"))
+    pairs = part_pairs(t)
+    values = kb.eav_rows(pairs)
     ranks = t.part.select(F.concat_ws(" ", "p_name", "p_type").alias("word"), F.col("p_partkey").alias("seq")).withColumn("total", F.length("word"))
-    ranked = attach_rank(rows, ranks, "entity").withColumn("attribute_name", F.col("attribute"))
-    none = F.array().cast("array<string>")
-    docs = kb.eav_document(ranked.withColumn("alias", none).withColumn("category", none), "attribute")
-    return docs.select("id", "entity", "value", F.array_join("values", "|").alias("vals"), "searchscore")
+    tagged = t.part.select(F.concat_ws(" ", "p_name", "p_type").alias("entity"), F.col("p_partkey").alias("seq"), F.concat(F.lit("T "), "p_brand").alias("tags"))
+    category = kb.tag_map(tagged).withColumnRenamed("tags", "category")
+    ranked = attach_rank(values, ranks, "entity").withColumn("attribute_name", F.col("attribute")).join(category, "entity", "left")
+    docs = kb.eav_document(ranked, "attribute")
+    tags = kb.document_tags(docs, kb.alias_map(pairs)).groupBy("id").agg(F.count(F.lit(1)).alias("n_tags"), F.min("tag").alias("first_tag"))
+    counts = values.groupBy("entity", "attribute").agg(F.count(F.lit(1)).alias("n_values"))
+    return docs.join(tags, "id").join(counts, ["entity", "attribute"]).select(
+        "id", "entity", "attribute", "value", "n_values", "n_tags", "first_tag", "category", "searchscore"
+    )

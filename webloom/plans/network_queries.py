@@ -125,18 +125,18 @@ def _(t):
 def _impact_pass(front: str, i: int) -> str:
     return f"""a{i} as (select company from u where related in (select name from {front}) group by company having count(*) >= max(size) * 0.04),
     g{i} as (select related as name from u where company in (select company from a{i}) group by 1 having count(*) >= 2),
-    n{i} as (select name, max(rtype) as rtype from (select company as name, 'xcompany' as rtype from a{i} union all
+    n{i} as (select name, coalesce(max(rtype) filter (rtype <> 'xcompany'), 'xcompany') as rtype from (select company as name, 'xcompany' as rtype from a{i} union all
       select name, case when length(name) <= 4 then 'person' else 'company' end from g{i}) where name not in (select name from {front}) group by 1),
     f{i} as (select * from {front} union all select name, {i}, rtype from n{i})"""
 
 
 _IMPACT = f"""with {_EDGES}, {_SEEDS}, z as (select company, count(*) as size from e group by 1), u as (select * from e join z using (company) where size <= 500),
-    f0 as (select distinct name, 0 as depth, 'person' as rtype from s), {_impact_pass('f0', 1)}, {_impact_pass('f1', 2)}"""
+    f0 as (select distinct name, 0 as depth, 'person' as rtype from s), {', '.join(_impact_pass(f'f{i - 1}', i) for i in range(1, 6))}"""
 
 
-@query("expand_co_impact", _IMPACT + " select name, depth, rtype from f2")
+@query("expand_co_impact", _IMPACT + " select name, depth, rtype from f5")
 def _(t):
-    return network.expand_co_impact(seeds(t), edges(t), depth=2, share=0.04)
+    return network.expand_co_impact(seeds(t), edges(t), share=0.04)
 
 
 @query(
@@ -191,11 +191,11 @@ def _spread_pass(front: str, i: int) -> str:
     "noisy_or_spread",
     f"""with {_EDGES}, {_SEEDS}, z as (select company from e group by 1 having count(*) <= 500), w as (select * from e where company in (select company from z)),
     b as (select company as a, related as b from w union select related, company from w), g as (select a, count(*) as deg from b group by 1 having count(*) >= 2),
-    l as (select b.a, b.b, deg from b join g using (a)), f0 as (select distinct name, 0 as depth, 0.9::double as p from s), {_spread_pass('f0', 1)}, {_spread_pass('f1', 2)}, {_spread_pass('f2', 3)}
-    select name, depth, round(p, 6) as p from f3""",
+    l as (select b.a, b.b, deg from b join g using (a)), f0 as (select distinct name, 0 as depth, 0.9::double as p from s), {', '.join(_spread_pass(f'f{i - 1}', i) for i in range(1, 11))}
+    select name, depth, round(p, 6) as p from f10""",
 )
 def _(t):
-    out = network.noisy_or_spread(seeds(t), edges(t), depth=3)
+    out = network.noisy_or_spread(seeds(t), edges(t))
     return out.select("name", "depth", F.round("p", 6).alias("p"))
 
 
@@ -212,11 +212,11 @@ def _(t):
 
 @query(
     "agent_report",
-    _IMPACT + """ select name, rtype, depth, count(company) as company_cnt, 0 as part, coalesce(string_agg(company, ',' order by company), '') as company_list
-    from f2 left join e on related = name group by all""",
+    _IMPACT + """ , q as (select distinct related as name, company from e where company in (select name from f5 where rtype = 'xcompany'))
+    select name, rtype, depth, count(company) over (partition by name) as company_cnt, company from f5 left join q using (name) where rtype <> 'xcompany'""",
 )
 def _(t):
-    return network.agent_report(network.expand_co_impact(seeds(t), edges(t), depth=2, share=0.04), edges(t))
+    return network.agent_report(network.expand_co_impact(seeds(t), edges(t), share=0.04), edges(t))
 
 
 def rank_edges(t):
@@ -272,7 +272,7 @@ def _(t):
 
 @query("pagerank_converged")
 def _(t):
-    return network.pagerank(rank_edges(t), iters=30, tol=1e-6)
+    return network.pagerank(rank_edges(t), iters=200, tol=1e-6)
 
 
 def regions(t):

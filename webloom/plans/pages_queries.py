@@ -175,109 +175,3 @@ _ENTRY = r"(?s)<title>(.+?)</title>.+?<article>(.+?)</article>"
 )
 def _(t):
     return pages.dump_definitions(t.pages, "html", _ENTRY, "</p>")
-
-
-# Tree parsers: the page text is built by Spark from the table's own columns.
-_SEARCH = (
-    "'<div id=\"wgt-picker\"><span class=\"f-lighter\">about ' || cast(p_size as varchar(9)) || ' results</span></div>' || "
-    "case when p_partkey % 3 = 0 then '<div id=\"wgt-baike\"><a href=\"http://baike.baidu.com/subview/1/' || cast(p_partkey as varchar(9)) || '.htm\">x</a><dl><dt class=\"title\"><a>' "
-    "|| p_name || '_百度百科</a></dt></dl><div class=\"desc\"><p>' || p_type || '。' || p_brand || '</p></div></div>' else '' end || "
-    "'<dl class=\"dl\"><dt><a href=\"http://zhidao.baidu.com/question/' || cast(p_partkey as varchar(9)) || '.html\">' || p_name || '</a></dt><dd class=\"dd answer\"><i>a</i>推荐答案' "
-    "|| p_brand || '。tail</dd><dd class=\"explain\"><span>x<i class=\"i-agree\"></i>' || cast(p_size as varchar(9)) || '</span></dd></dl>'"
-)
-
-
-@query(
-    "search_page",
-    """with r as (select p_partkey as page, 1 as o, 'baike:' || cast(p_partkey as varchar) as id, 0 as cnt_like, p_name as question, p_type || '。' as answers,
-      p_type || '。' || p_brand as answers_raw, cast(null as int) as is_recommend, cast(null as int) as result_index, p_size as total from part where p_partkey % 3 = 0
-      union all select p_partkey, 2, 'zhidao:' || cast(p_partkey as varchar), p_size, p_name, p_brand || '。', p_brand || '。tail', 0,
-      case when p_partkey % 3 = 0 then 2 else 1 end, p_size from part)
-    select page, id, cnt_like, question, answers, answers_raw, is_recommend, result_index, total from r""",
-)
-def _(t):
-    p = t.part.select("p_partkey", F.expr(_SEARCH).alias("html"))
-    return pages.extract_pages(p, "p_partkey", "html", "search_page").select(
-        "page", "id", "cnt_like", "question", "answers", "answers_raw", "is_recommend", "result_index", "total"
-    )
-
-
-def flat_map(c):
-    return F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
-
-
-@query(
-    "kv_table",
-    "select p_partkey as page, 'brand=' || p_brand || case when p_size % 2 = 0 then ',type=' || p_type else '' end as fields from part",
-)
-def _(t):
-    html = F.expr(
-        "'<table><tr><td>head</td></tr><tr><td> brand </td><td>' || p_brand || '</td></tr><tr><td>type</td><td>' || "
-        "case when p_size % 2 = 0 then p_type else ' ' end || '</td></tr><tr><td>注</td><td>note</td></tr></table>'"
-    )
-    return pages.extract_pages(t.part.select("p_partkey", html.alias("html")), "p_partkey", "html", "kv_table").select("page", flat_map("fields").alias("fields"))
-
-
-@query(
-    "header_table",
-    """select p_partkey as page, 0 as "row", 'brand=' || p_brand || ',typename=' || p_type as fields, p_name as body from part where p_partkey % 2 = 0
-    union all select p_partkey, 0, 'brand=' || p_brand || ',type=' || p_type || ':x', p_name from part where p_partkey % 2 = 1""",
-)
-def _(t):
-    html = F.expr(
-        "case p_partkey % 2 when 0 then '<div><p>' || p_name || '</p><table><tr><td>brand</td><td>type\nname</td></tr><tr><td>' || p_brand || '</td><td>' || p_type || '</td></tr></table></div>' "
-        "else '<p>' || p_name || '</p><p>brand：' || p_brand || '</p><p>type:' || p_type || ':x</p><p>empty:</p>' end"
-    )
-    out = pages.extract_pages(t.part.select("p_partkey", html.alias("html")), "p_partkey", "html", "header_table")
-    return out.select("page", "row", flat_map("fields").alias("fields"), "body")
-
-
-@query(
-    "company_page",
-    """select s_suppkey as page, s_name as legal_person, cast(s_acctbal as varchar) as capital, '2001-01-01' as begin_date, cast(null as varchar) as end_date,
-    'H' || cast(s_suppkey as varchar) || ':boss:firm_' || cast(s_suppkey as varchar) || ':9' as holders, 'E:ceo' as execs, 'name:day::new' as changes from supplier""",
-)
-def _(t):
-    html = F.expr(
-        "'<ul class=\"company-base\"><li><label>法定代表：</label>' || s_name || '</li><li><label>注册资本：</label>' || cast(s_acctbal as string) "
-        "|| '</li><li><label>营业期限：</label>2001-01-01 至 无固定期限</li></ul><section class=\"panel clear\"><div class=\"panel-heading\"><span class=\"font-bold\">股东信息</span></div>"
-        "<div class=\"panel-body\"><div class=\"clear\"><a href=\"/firm_' || s_suppkey || '.shtml\">H' || s_suppkey || '</a><p class=\"text-ellipsis\">boss</p><p class=\"text-md\">认缴出资额：9</p></div></div></section>"
-        "<section class=\"panel clear\"><span class=\"font-bold\">主要人员</span><div class=\"panel-body\"><div class=\"clear\"><a class=\"text-lg\">E</a><small class=\"text-muted\">ceo</small></div></div></section>"
-        "<section class=\"panel clear\"><span class=\"font-bold\">变更记录</span><div class=\"panel-body\"><div class=\"clear\"><p class=\"text-muted\">变更项目：name</p><p class=\"text-muted\">变更日期：day</p>"
-        "<p class=\"text-muted\">变更前：</p><p class=\"text-muted\">变更后：new</p></div></div></section>'"
-    )
-    out = pages.extract_pages(t.supplier.select("s_suppkey", html.alias("html")), "s_suppkey", "html", "company_page")
-
-    def flat(col, *names):
-        return F.array_join(F.transform(col, lambda x: F.concat_ws(":", *[F.coalesce(x[n], F.lit("")) for n in names])), ",")
-
-    return out.select(
-        "page", F.col("info")["legal_person"].alias("legal_person"), F.col("info")["registered_capital"].alias("capital"),
-        F.col("info")["begin"].alias("begin_date"), F.col("info")["end"].alias("end_date"),
-        flat("shareholders", "name", "role", "link", "subscribe_money").alias("holders"), flat("executives", "name", "position").alias("execs"),
-        flat("changes", "project", "change_time", "before_change", "after_change").alias("changes"),
-    )
-
-
-@query(
-    "investments",
-    "select s_suppkey as page, 'sub ' || s_name as name, 'k' || cast(s_suppkey as varchar) as key_num, n_name as province from supplier join nation on s_nationkey = n_nationkey",
-)
-def _(t):
-    named = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).withColumn("prov", F.replace("n_name", F.lit("_"), F.lit("-")))
-    html = F.expr("'<div class=\"list-group\"><a class=\"list-group-item\" href=\"/firm_' || prov || '_k' || s_suppkey || '\"><span class=\"clear\"><b class=\"text-lg\">sub ' || s_name || '</b></span></a></div>'")
-    out = pages.extract_pages(named.select("s_suppkey", html.alias("html")), "s_suppkey", "html", "investments")
-    return out.select("page", "name", "key_num", F.replace("province", F.lit("-"), F.lit("_")).alias("province"))
-
-
-@query(
-    "artist_list",
-    """select s_suppkey as page, cast(s_suppkey as varchar) as singer_id, s_name as singer_title, case when s_suppkey % 2 = 0 then '(' || s_name || ')' end as singer_name,
-    case when s_suppkey % 3 = 0 then 'region ' || cast(s_nationkey as varchar) end as singer_region from supplier""",
-)
-def _(t):
-    html = F.expr(
-        "'<div class=\"artistBlock_list\"><div class=\"hor-list-item\"><p class=\"name\"><a class=\"title\" href=\"/artist/' || s_suppkey || '\" title=\"' || s_name || '\">x</a></p>' || "
-        "case when s_suppkey % 2 = 0 then '<b class=\"singer_names\">(' || s_name || ')</b>' else '' end || case when s_suppkey % 3 = 0 then '<i class=\"singer_region\" title=\"region ' || s_nationkey || '\"></i>' else '' end || '</div></div>'"
-    )
-    return pages.extract_pages(t.supplier.select("s_suppkey", html.alias("html")), "s_suppkey", "html", "artist_list")

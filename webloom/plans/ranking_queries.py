@@ -139,10 +139,10 @@ def _(t):
     return ranking.page(t.orders.select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 40, 20)
 
 
-@query("page_deep", "select o_orderkey, o_totalprice, (select count(*) from orders) as total from orders order by o_totalprice, o_orderkey limit 200 offset 12000")
+@query("page_deep", "select o_orderkey, o_totalprice, (select count(*) from orders) as total from orders order by o_totalprice desc, o_orderkey limit 200 offset 12000")
 def _(t):
     o = t.orders.select("o_orderkey", "o_totalprice")
-    return ranking.page(o, [F.asc("o_totalprice"), F.asc("o_orderkey")], 12000, 200, ["o_totalprice", "o_orderkey"])
+    return ranking.page(o, [F.desc("o_totalprice"), F.asc("o_orderkey")], 12000, 200)
 
 
 @query(

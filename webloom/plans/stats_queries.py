@@ -56,14 +56,14 @@ def _(t):
 
 @query(
     "class_attribute_tables",
-    """select 'tags' as what, p_name as key, string_agg(distinct p_brand, ',' order by p_brand) as val from part group by p_name
+    """select distinct 'tags' as what, p_name as key, p_brand as val from part
     union all select 'attribute', p_type, cast(count(*) as varchar) from part group by p_type""",
 )
 def _(t):
     tags, attrs = stats.class_tables(
         t.part.select(F.col("p_name").alias("entity"), F.col("p_brand").alias("tag")), t.part.select(F.col("p_type").alias("attribute"))
     )
-    return tags.select(F.lit("tags").alias("what"), F.col("entity").alias("key"), F.array_join("tags", ",").alias("val")).unionByName(
+    return tags.select(F.lit("tags").alias("what"), F.col("entity").alias("key"), F.col("tag").alias("val")).unionByName(
         attrs.select(F.lit("attribute").alias("what"), F.col("attribute").alias("key"), F.col("n").cast("string").alias("val"))
     )
 

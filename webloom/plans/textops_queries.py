@@ -183,11 +183,11 @@ def _(t):
     "mention_entities",
     f"""with w as (select doc_id, unnest(list_distinct({duck_words()})) as name from documents),
     d as (select distinct unnest({duck_words('text')}) as name from benchmark union select lower(r_name) from region)
-    select doc_id, count(*) as total, string_agg(name, ',' order by name) as entities from w where name in (select name from d) group by 1""",
+    select doc_id, name from w where name in (select name from d)""",
 )
 def _(t):
     d = t.benchmark.select(F.explode(words(F.col("text"))).alias("name")).unionByName(t.region.select(F.lower("r_name").alias("name"))).distinct()
-    return textops.mention_entities(t.documents, "doc_id", "text", d).select("doc_id", "total", F.array_join("entities", ",").alias("entities"))
+    return textops.mention_entities(t.documents, "doc_id", "text", d)
 
 
 @query(

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from webloom.session import cut_lineage
 
-LIST_SIZE = 10_000  # longest array built for one row; longer lists continue in the next part
-
-
 def _same(left: str, right: str, cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -42,43 +39,8 @@ def position_in_group(
     )
 
 
-def ordered_lists(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunk: Column,
-    out: str = "items", size: int = LIST_SIZE,
-) -> DataFrame:
-    """Values of a key in order, as arrays of at most ``size``: (keys, part, out)."""
-    placed = position_in_group(df, keys, order, chunk, "_pos")
-    return (
-        placed.withColumn("part", F.floor(F.col("_pos") / size).cast("int"))
-        .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", value))).alias("_l"))
-        .select(*keys, "part", F.transform("_l", lambda x: x[value]).alias(out))
-    )
-
-
-def distinct_lists(
-    df: DataFrame, keys: Sequence[str], value: str, out: str = "items", size: int = LIST_SIZE
-) -> DataFrame:
-    """Distinct values of a key as sorted arrays: (keys, part, total, out).
-
-    A key with up to ``size`` values has the single part 0. A larger key is cut by
-    a hash of the value into as many parts as keep every array near ``size``.
-    """
-    keys = list(keys)
-    pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
-    totals = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    joined = pairs.alias("l").join(totals.alias("r"), _same("l", "r", keys))
-    parted = joined.select(
-        *[F.col(f"l.{k}") for k in keys], F.col(f"l.{value}").alias("_v"), F.col("r.total").alias("total"),
-        F.when(F.col("r.total") <= size, F.lit(0))
-        .otherwise(F.expr(f"pmod(xxhash64(l.`{value}`), cast(ceil(r.total / {size}) as int))").cast("int"))
-        .alias("part"),
-    )
-    return parted.groupBy(*keys, "part", "total").agg(F.array_sort(F.collect_list("_v")).alias(out))
-
-
-def global_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFrame:
-    """0-based index over the whole table in ``order``, without a single-task window.
+def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx") -> DataFrame:
+    """0-based index over the whole table in ``order`` (names or sort columns), without a single-task window.
 
     Range partitioning spreads the rows (a row number of the scan breaks ties, so
     equal sort keys can be split); the numbered parts are written once, and the
@@ -100,7 +62,7 @@ def global_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataF
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One whole row per key, the lowest in ``order``; partial aggregation, no sort."""
+    """One whole row per key, the lowest in ``order``, by an aggregation that combines before the shuffle (a sort aggregate when rows hold strings)."""
     rest = [c for c in df.columns if c not in keys]
     return (
         df.groupBy(*keys)

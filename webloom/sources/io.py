@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.scale import LIST_SIZE, first_per_key, global_index, last_per_key, ordered_lists
+from webloom.scale import first_per_key, global_index, last_per_key, position_in_group
 
 CORRUPT = "_corrupt_record"
 
@@ -106,37 +106,25 @@ def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def investment_claims(investments: DataFrame, key: str, chunk: Column, size: int = LIST_SIZE) -> DataFrame:
-    """Claim lists to append per document: three claims per investment, group ids
-    ``_111, _222, ...`` in the order of ``seq``. Lists longer than ``size``
-    investments go on in further parts."""
-    numbered = investments.withColumn("inv", F.struct("name", "url"))
-    lists = ordered_lists(numbered, [key], ["seq"], "inv", chunk, "invs", size)
+def investment_claims(investments: DataFrame, key: str, chunk: Column) -> DataFrame:
+    """(key, pos, p, o, rid): claims to append to documents, three per investment in the order of
+    ``seq``, with the group ids ``_111, _222, ...``."""
+    placed = position_in_group(investments, [key], ["seq"], chunk, "_inv")
+    rid = F.concat(F.lit("_"), ((F.col("_inv") + 1) * 111).cast("string"))
 
-    def claims(inv: Column, i: Column) -> Column:
-        rid = F.concat(F.lit("_"), ((i + 1 + F.col("part") * size) * 111).cast("string"))
+    def claim(p: str, o: Column) -> Column:
+        return F.struct(F.lit(p).alias("p"), o.cast("string").alias("o"), rid.alias("rid"))
 
-        def claim(p: str, o: Column) -> Column:
-            return F.struct(F.lit(p).alias("p"), o.cast("string").alias("o"), rid.alias("rid"))
+    three = F.array(claim("对外投资", F.lit(None)), claim("子公司名称", F.col("name")), claim("source.url", F.col("url")))
+    return placed.select(key, "_inv", F.posexplode(three).alias("_n", "_c")).select(key, (F.col("_inv") * 3 + F.col("_n")).alias("pos"), "_c.*")
 
-        return F.array(claim("对外投资", F.lit(None)), claim("子公司名称", inv["name"]), claim("source.url", inv["url"]))
 
-    return lists.select(key, "part", F.flatten(F.transform("invs", claims)).alias("claims"))
-
-
-def update_nested(target: DataFrame, patch: DataFrame, key: str, field: str = "claims") -> DataFrame:
-    """Append patch arrays to the documents they match; patches without a document
-    are ignored, documents without a patch stay as they are. The first part joins
-    the document's own array, further parts follow as extra rows (``part`` > 0)."""
-    joined = target.alias("t").join(patch.alias("p"), F.col(f"t.{key}") == F.col(f"p.{key}"), "left")
-    part = F.coalesce(F.col("p.part"), F.lit(0))
-    empty = F.array().cast(target.schema[field].dataType)
-    own = F.when(part == 0, F.coalesce(F.col(f"t.{field}"), empty)).otherwise(empty)
-    cols = [
-        F.concat(own, F.coalesce(F.col(f"p.{field}"), empty)).alias(c) if c == field else F.col(f"t.{c}").alias(c)
-        for c in target.columns
-    ]
-    return joined.select(*cols, part.alias("part"))
+def update_nested(claims: DataFrame, patch: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """``claims`` (key, pos, ...) after appending the rows of ``patch`` to the documents they belong to; patches
+    without a document are ignored. A document's claims stay rows, so it may have any number of them."""
+    own = claims.groupBy(key).agg(F.max("pos").alias("_last"))
+    known = patch.join(documents.select(key).distinct(), key, "left_semi").join(own, key, "left")
+    return claims.unionByName(known.withColumn("pos", F.col("pos") + F.coalesce(F.col("_last") + 1, F.lit(0))).select(*claims.columns))
 
 
 def paged(df: DataFrame, order: Sequence[str], page_size: int = 2000) -> DataFrame:
