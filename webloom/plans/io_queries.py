@@ -71,9 +71,9 @@ def _(t):
 
 
 def _duck_insert(refresh: bool) -> str:
-    fresh = """select o_custkey, o_orderkey, o_totalprice from orders where o_orderdate >= timestamp '1999-01-01'
+    fresh = """select o_custkey, o_orderkey, o_totalprice from orders where o_orderdate >= timestamp '1997-01-01'
       qualify row_number() over (partition by o_custkey order by o_orderkey) = 1"""
-    stored = """select o_custkey, o_orderkey, o_totalprice from orders where o_orderdate < timestamp '1996-01-01'
+    stored = """select o_custkey, o_orderkey, o_totalprice from orders where o_orderdate < timestamp '1997-01-01'
       qualify row_number() over (partition by o_custkey order by o_orderkey) = 1"""
     if refresh:
         return f"with f as ({fresh}), s as ({stored}) select * from s where o_custkey not in (select o_custkey from f) union all select * from f"
@@ -86,19 +86,19 @@ def _orders(t, cond):
 
 @query("insert_new", _duck_insert(False))
 def _(t):
-    stored = io.first_per_key(_orders(t, "o_orderdate < timestamp_ntz '1996-01-01'"), ["o_custkey"], ["o_orderkey"])
-    return io.insert_new(_orders(t, "o_orderdate >= timestamp_ntz '1999-01-01'"), stored, "o_custkey", ["o_orderkey"])
+    stored = io.first_per_key(_orders(t, "o_orderdate < timestamp_ntz '1997-01-01'"), ["o_custkey"], ["o_orderkey"])
+    return io.insert_new(_orders(t, "o_orderdate >= timestamp_ntz '1997-01-01'"), stored, "o_custkey", ["o_orderkey"])
 
 
 @query("insert_refresh", _duck_insert(True))
 def _(t):
-    stored = io.first_per_key(_orders(t, "o_orderdate < timestamp_ntz '1996-01-01'"), ["o_custkey"], ["o_orderkey"])
-    return io.insert_new(_orders(t, "o_orderdate >= timestamp_ntz '1999-01-01'"), stored, "o_custkey", ["o_orderkey"], refresh=True)
+    stored = io.first_per_key(_orders(t, "o_orderdate < timestamp_ntz '1997-01-01'"), ["o_custkey"], ["o_orderkey"])
+    return io.insert_new(_orders(t, "o_orderdate >= timestamp_ntz '1997-01-01'"), stored, "o_custkey", ["o_orderkey"], refresh=True)
 
 
 @query(
     "upsert_by_id",
-    """with f as (select o_custkey, o_orderkey, o_totalprice from orders where o_orderdate >= timestamp '1999-01-01'
+    """with f as (select o_custkey, o_orderkey, o_totalprice from orders
       qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1),
     s as (select c_custkey as o_custkey, cast(-1 as bigint) as o_orderkey, c_acctbal as o_totalprice from customer)
     select * from s where o_custkey not in (select o_custkey from f) union all select * from f""",
@@ -107,7 +107,7 @@ def _(t):
     stored = t.customer.select(
         F.col("c_custkey").alias("o_custkey"), F.lit(-1).cast("bigint").alias("o_orderkey"), F.col("c_acctbal").alias("o_totalprice")
     )
-    return io.upsert_by_id(_orders(t, "o_orderdate >= timestamp_ntz '1999-01-01'"), stored, "o_custkey", ["o_orderkey"])
+    return io.upsert_by_id(_orders(t, "true"), stored, "o_custkey", ["o_orderkey"])
 
 
 @query("duplicate_ids", "select o_custkey, count(*) as n from orders group by all having count(*) > 1")

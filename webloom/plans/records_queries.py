@@ -282,19 +282,19 @@ def _(t):
 
 @query(
     "news_records",
-    """with d as (select doc_id, source, lang, case when doc_id % 17 = 0 then '' else split_part(text, chr(10), 1) end as title, n_chars from documents)
+    """with d as (select doc_id, source, lang, case when doc_id % 17 = 0 then '' else split_part(text, chr(10), 1) end as title, text, n_chars from documents)
     select sha1(title || '_2024-01-0' || cast(doc_id % 9 as varchar) || 'T00_' || source || '.example.com') as rid, '新闻|' || lang || case when doc_id % 2 = 0 then '|kind' else '' end as tags,
-    '标题=' || title || ';摘要=' || source || ';来源=src;日期=2024-01-0' || cast(doc_id % 9 as varchar) || ';链接=http://' || source || '.example.com/' || cast(doc_id as varchar) || ';正文=' || cast(n_chars as varchar) as claims
+    '标题=' || title || ';摘要=' || source || ';来源=src;日期=2024-01-0' || cast(doc_id % 9 as varchar) || ';链接=http://' || source || '.example.com/' || cast(doc_id as varchar) || ';正文=' || text as claims
     from d where title <> '' and n_chars > 200""",
 )
 def _(t):
     d = t.documents.select(
-        "doc_id", "source", "lang", F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.split("text", "\n")[0]).alias("title"), "n_chars",
+        "doc_id", "source", "lang", F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.split("text", "\n")[0]).alias("title"), "text",
         F.when(F.col("n_chars") > 200, F.format_string("http://%s.example.com/%d", "source", "doc_id")).alias("url"),
         F.concat(F.lit("2024-01-0"), (F.col("doc_id") % 9).cast("string"), F.lit("T00")).alias("date"),
     )
     out = records.news_records(
-        d, url=F.col("url"), title=F.col("title"), summary=F.col("source"), origin=F.lit("src"), date=F.col("date"), content=F.col("n_chars").cast("string"),
+        d, url=F.col("url"), title=F.col("title"), summary=F.col("source"), origin=F.lit("src"), date=F.col("date"), content=F.col("text"),
         tags=F.array(F.lit(V.NEWS_TAG), F.col("lang"), F.when(F.col("doc_id") % 2 == 0, "kind").otherwise("")), time=F.col("date"),
     )
     return out.select("rid", _tags(), _claims())
@@ -302,13 +302,13 @@ def _(t):
 
 @query(
     "entity_records",
-    """with d as (select doc_id, source, lang, regexp_replace(split_part(text, chr(10), 1), '^\\s+|\\s+$', '', 'g') as line from documents)
+    """with d as (select doc_id, source, lang, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as line from documents)
     select doc_id, sha1('e' || cast(doc_id as varchar) || '_' || source || '.example.com') as nid, 'e' || cast(doc_id as varchar) || '|' || lang || '|b' as alias,
     '实体定义=' || line || ';kind=' || case when doc_id % 2 = 0 then 'preferred' else 'first' end as claims from d where line <> ''""",
 )
 def _(t):
     f = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
-    line = F.split("text", "\n")[0]
+    line = F.col("text")
     fields = lambda kind: F.array(
         f("kind", F.lit(kind)), f(V.ALIAS_FIELD, F.concat("lang", F.lit("，b。"))), f(V.SOURCE_FIELD, line), f("empty", F.lit(""))
     )

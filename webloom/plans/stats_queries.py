@@ -166,13 +166,13 @@ def _(t):
     "search_completeness",
     """with e as (select o_custkey as keyword, cast(count(*) as bigint) as expected from orders group by 1),
     g as (select o_custkey as keyword, count(*) as collected, count(distinct l_partkey) as actual from orders join lineitem on o_orderkey = l_orderkey
-      where l_linenumber = 1 group by 1)
+      group by 1)
     select keyword, expected, coalesce(collected, 0) as collected, coalesce(actual, 0) as actual, expected <> coalesce(actual, 0) as mismatch
     from e left join g using (keyword)""",
 )
 def _(t):
     expected = t.orders.groupBy(F.col("o_custkey").alias("keyword"), F.col("o_orderstatus").alias("idx")).agg(F.count(F.lit(1)).alias("total"))
-    items = t.orders.join(t.lineitem.where("l_linenumber = 1"), F.col("o_orderkey") == F.col("l_orderkey")).select(
+    items = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_custkey").alias("keyword"), F.col("o_orderstatus").alias("idx"), F.col("l_partkey").alias("name")
     )
     return stats.search_completeness(expected, items)
