@@ -21,6 +21,14 @@ from webloom.scale import first_per_key, global_index, last_per_key, position_in
 from webloom.session import cut_lineage
 
 Matcher = Callable[[Column], Column]
+Scorer = Callable[..., Column]  # (a, b, when=, cleaned=) -> likeness from 0 to 1
+
+
+def _near(score: Scorer, a: Column, b: Column, least: float, open_end: bool = False) -> Column:
+    """A cheap test that only texts pass which can reach ``least``; lengths bound the block ratio alone."""
+    if score is not similarity_ratio:
+        return F.lit(True)
+    return ratio_bound(a, b) > least if open_end else ratio_bound(a, b) >= least
 
 
 def is_foreign_answer(answer: Column, letters: str = V.CJK) -> Column:
@@ -34,10 +42,9 @@ def _length(c: Column) -> Column:
 
 def note_qapairs(
     candidates: DataFrame, answer_max: int = 100, question_max: int = 30, min_ratio: float = 0.3, letters: str = V.CJK,
-    groups: Sequence[tuple[str, Sequence[str]]] = (),
+    groups: Sequence[tuple[str, Sequence[str]]] = (), score: Scorer = similarity_ratio,
 ) -> DataFrame:
-    """Candidates with match_score, match_score_answers, qa_label and the reason a row is
-    dropped (``debug_note``, null for a kept row)."""
+    """Candidates with match_score, qa_label and the reason a row is dropped (``debug_note``, null for a kept row)."""
     q, a = F.col("question"), F.col("answers")
     gate = (
         F.when(a.isNull(), "[-]无答案")
@@ -48,27 +55,28 @@ def note_qapairs(
     )
     gated = candidates.withColumn("_gate", gate)
     open_row = F.col("_gate").isNull()
-    scored = gated.withColumn("match_score", similarity_ratio(F.col("query"), q, when=open_row)).withColumn(
-        "match_score_answers", similarity_ratio(F.col("query"), a, when=open_row)
-    )
+    close = open_row & _near(score, F.col("query"), q, min_ratio)
+    scored = gated.withColumn("match_score", F.when(open_row, F.coalesce(score(F.col("query"), q, when=close), ratio_bound(F.col("query"), q))))
     low = F.when(F.col("match_score") < min_ratio, F.concat(F.lit("[-]问题匹配度低: "), F.format_number("match_score", 2)))
     label = F.when(open_row, chat_label(q, a, groups))
     return scored.withColumn("qa_label", label).withColumn("debug_note", F.coalesce("_gate", low)).drop("_gate")
 
 
-def select_qapair(candidates: DataFrame, n: int = 3, **gates) -> DataFrame:
-    """The best ``n`` kept candidates of each query by match score, ties in result order."""
-    kept = note_qapairs(candidates, **gates).where("debug_note is null").drop("debug_note")
-    return top_per_group(kept, ["query"], [F.desc("match_score"), F.asc("result_index")], n)
+def select_qapair(candidates: DataFrame, n: int = 3, score: Scorer = similarity_ratio, **gates) -> DataFrame:
+    """The best ``n`` kept candidates of each query by match score, ties in result order, with match_score_answers, which is
+    worked out for these alone."""
+    kept = note_qapairs(candidates, score=score, **gates).where("debug_note is null").drop("debug_note")
+    best = top_per_group(kept, ["query"], [F.desc("match_score"), F.asc("result_index")], n)
+    return best.withColumn("match_score_answers", score(F.col("query"), F.col("answers")))
 
 
-def top_n_chat_two_tier(candidates: DataFrame, n: int, min_ratio: float = 0.6, pattern: str = V.ANSWER_FILTER) -> DataFrame:
+def top_n_chat_two_tier(
+    candidates: DataFrame, n: int, min_ratio: float = 0.6, pattern: str = V.ANSWER_FILTER, score: Scorer = similarity_ratio
+) -> DataFrame:
     """Candidates at the threshold, those without a filtered word before those with one,
     each by score."""
-    close = ratio_bound(F.col("query"), F.col("question")) >= min_ratio
-    rows = candidates.where(close & F.col("answers").isNotNull()).withColumn(
-        "match_score", similarity_ratio(F.col("query"), F.col("question"))
-    )
+    close = _near(score, F.col("query"), F.col("question"), min_ratio)
+    rows = candidates.where(close & F.col("answers").isNotNull()).withColumn("match_score", score(F.col("query"), F.col("question")))
     rows = rows.where(F.col("match_score") >= min_ratio).withColumn(
         "tier", F.when(answer_filter_word(F.col("answers"), pattern) == "", 0).otherwise(1)
     )
@@ -77,15 +85,15 @@ def top_n_chat_two_tier(candidates: DataFrame, n: int, min_ratio: float = 0.6, p
 
 def top_n_chat(
     candidates: DataFrame, n: int = 3, answer_max: int = 30, question_max: int = 20, min_ratio: float = 0.4, letters: str = V.CJK,
-    groups: Sequence[tuple[str, Sequence[str]]] = (),
+    groups: Sequence[tuple[str, Sequence[str]]] = (), score: Scorer = similarity_ratio,
 ) -> DataFrame:
     """Short candidates of enough likeness, the best ``n`` per query, with a chat label."""
     q, a = F.col("question"), F.col("answers")
     rows = candidates.where(
         a.isNotNull() & (F.length(a) <= answer_max) & (F.length(q) <= question_max) & ~is_foreign_answer(a, letters)
-        & (ratio_bound(F.col("query"), q) >= min_ratio)
+        & _near(score, F.col("query"), q, min_ratio)
     )
-    rows = rows.withColumn("match_score", similarity_ratio(F.col("query"), q)).where(F.col("match_score") >= min_ratio)
+    rows = rows.withColumn("match_score", score(F.col("query"), q)).where(F.col("match_score") >= min_ratio)
     return top_per_group(rows.withColumn("label", chat_label(q, a, groups)), ["query"], [F.desc("match_score"), F.asc("result_index")], n)
 
 
@@ -130,7 +138,7 @@ def _winners(rows: DataFrame) -> DataFrame:
 
 def best_qapair(
     candidates: DataFrame, sensitive_question: Matcher, sensitive_answer: Matcher, trusted: str = V.TRUSTED_SOURCE,
-    skipped: str = V.SKIPPED_SOURCE, pattern: str = V.ANSWER_FILTER, max_skipped: int = 4,
+    skipped: str = V.SKIPPED_SOURCE, pattern: str = V.ANSWER_FILTER, max_skipped: int = 4, score: Scorer = similarity_ratio,
 ) -> DataFrame:
     """At most one candidate per query, read in result order (equal ones by question, then answer).
 
@@ -148,8 +156,8 @@ def best_qapair(
     )
     is_trusted = F.col("source") == trusted
     # A score at or under 0.95 of the starting best can never win, so it need not be computed.
-    near = ratio_bound(F.col("query"), q) > BEST_START * 0.95
-    scored = usable.where(~is_trusted & near).withColumn("match_score", similarity_ratio(F.col("query"), q, cleaned=True))
+    near = _near(score, F.col("query"), q, BEST_START * 0.95, open_end=True)
+    scored = usable.where(~is_trusted & near).withColumn("match_score", score(F.col("query"), q, cleaned=True))
     scored = cut_lineage(scored.where(F.col("match_score") > BEST_START * 0.95), "best-scored")
     placed = position_in_group(scored, ["query"], ["result_index", "question", "answers"], F.expr("result_index div 100000"))
     scored = cut_lineage(placed, "best-placed")

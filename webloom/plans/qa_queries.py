@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions import fixed_values as V
 from webloom.operators import qa
-from webloom.operators.textops import word_matcher
+from webloom.operators.textops import similarity_ratio, word_matcher, word_overlap
 from webloom.plans.functions_queries import duck_chain, duck_chat_question, duck_strip
 from webloom.plans.registry import query
 from webloom.plans.textops_queries import ALLOW, DENY, PRONOUNS, duck_fact_tokens, duck_is_fact, duck_words
@@ -80,7 +80,76 @@ def _(t):
     return qa.best_qapair(candidates(t), m, m).select("query", "result_index", "source", "match_score")
 
 
+def duck_overlap(a: str, b: str) -> str:
+    x, y = f"list_distinct({duck_words(a)})", f"list_distinct({duck_words(b)})"
+    return f"(case when length({x}) + length({y}) = 0 then 1.0 else 2.0 * length(list_intersect({x}, {y}))::double / (length({x}) + length({y})) end)"
+
+
+_LABELLED = "case " + " ".join(
+    f"when length(list_intersect({duck_words('question || answers')}, {w!r})) > 0 then '{name}:' || array_to_string(list_sort(list_intersect({duck_words('question || answers')}, {w!r})), ',')"
+    for name, w in GROUPS
+) + " else '' end"
+_LETTERS = r"regexp_replace(answers, '[^\p{L}]', '', 'g')"
+_SOURCE = f"case when result_index % 7 = 3 then '{V.SKIPPED_SOURCE}' when result_index % 11 = 5 then '{V.TRUSTED_SOURCE}' else 'zhidao' end"
+_SELECTED = rf"""k as (select *, {duck_overlap('query', 'question')} as match_score, {_LABELLED} as qa_label from c
+      where answers is not null and length(question) <= 2000 and length(answers) between 2 and 2000 and length({_LETTERS}) >= 2),
+    picked as (select *, row_number() over (partition by query order by match_score desc, result_index) as rank from k where match_score >= 0.3 qualify rank <= 3)"""
+
+
+@query("select_qapair_overlap", f"with {_CAND}, {_SELECTED} select query, result_index, rank, match_score, {duck_overlap('query', 'answers')} as match_score_answers, qa_label from picked")
+def _(t):
+    out = qa.select_qapair(candidates(t), answer_max=2000, question_max=2000, letters=LATIN, groups=GROUPS, score=word_overlap)
+    return out.select("query", "result_index", "rank", "match_score", "match_score_answers", "qa_label")
+
+
+@query(
+    "top_n_chat_two_tier_overlap",
+    f"""with {_CAND}, k as (select *, {duck_overlap('query', 'question')} as match_score, case when regexp_matches(answers, '{V.ANSWER_FILTER}') then 1 else 0 end as tier from c where answers is not null)
+    select query, result_index, row_number() over (partition by query order by tier, match_score desc, result_index) as rank, tier, match_score from k where match_score >= 0.6 qualify rank <= 3""",
+)
+def _(t):
+    return qa.top_n_chat_two_tier(candidates(t), 3, score=word_overlap).select("query", "result_index", "rank", "tier", "match_score")
+
+
+@query(
+    "top_n_chat_overlap",
+    rf"""with {_CAND}, k as (select *, {duck_overlap('query', 'question')} as match_score, {_LABELLED} as label from c
+      where answers is not null and length(question) <= 400 and length(answers) <= 600 and length({_LETTERS}) >= 2)
+    select query, result_index, row_number() over (partition by query order by match_score desc, result_index) as rank, match_score, label from k where match_score >= 0.4 qualify rank <= 3""",
+)
+def _(t):
+    return qa.top_n_chat(candidates(t), answer_max=600, question_max=400, letters=LATIN, groups=GROUPS, score=word_overlap).select(
+        "query", "result_index", "rank", "match_score", "label"
+    )
+
+
 _S = "[" + ", ".join(f"'{w}'" for w in SENSITIVE) + "]"
+
+
+@query(
+    "best_qapair_overlap",
+    f"""with recursive {_CAND}, w as (select *, {_SOURCE} as source, length(answers) % 20 as cnt_like from c),
+    skipped as (select query, count(*) as n from w where source = '{V.SKIPPED_SOURCE}' group by 1),
+    usable as (select * from w where source <> '{V.SKIPPED_SOURCE}' and len(list_intersect({duck_words('question')}, {_S})) = 0 and len(list_intersect({duck_words('answers')}, {_S})) = 0
+      and length(answers) >= 2 and not regexp_matches(answers, '{V.ANSWER_FILTER}')),
+    sure as (select query, max(result_index) as result_index from usable where source = '{V.TRUSTED_SOURCE}' group by 1),
+    clean as (select *, {duck_chain('lower(query)', V.QUESTION_CLEANUP)} as q1, {duck_chain('lower(question)', V.QUESTION_CLEANUP)} as q2 from usable where source <> '{V.TRUSTED_SOURCE}'),
+    s as (select *, row_number() over (partition by query order by result_index) as pos from (select *, {duck_overlap('q1', 'q2')} as match_score from clean) where match_score > 0.57),
+    st as (select query, cast(0 as bigint) as pos, 0.6::double as best, cast(-1 as bigint) as lk, cast(null as bigint) as won_at from (select distinct query from s)
+      union all select query, pos, case when won then greatest(match_score, best) else best end, case when won then cnt_like else lk end, case when won then result_index else won_at end
+      from (select s.query, s.pos, s.match_score, s.cnt_like, s.result_index, st.best, st.lk, st.won_at,
+        (s.match_score > st.best and s.cnt_like >= st.lk * 0.2) or (s.match_score > st.best * 0.95 and s.cnt_like > st.lk * 1.5 + 2) as won
+        from st join s on s.query = st.query and s.pos = st.pos + 1)),
+    fin as (select query, arg_max(coalesce(won_at, -1), pos) as result_index from st group by 1)
+    select query, result_index, '{V.TRUSTED_SOURCE}' as source, cast(null as double) as match_score from sure
+    union all select s.query, s.result_index, s.source, s.match_score from s join fin using (query, result_index) left join skipped k on k.query = s.query
+      where coalesce(k.n, 0) < 4 and s.query not in (select query from sure)""",
+)
+def _(t):
+    m = word_matcher(SENSITIVE)
+    return qa.best_qapair(candidates(t), m, m, score=word_overlap).select("query", "result_index", "source", "match_score")
+
+
 _REWRITTEN = duck_chain("text", V.QUERY_REWRITE)
 _FACT, _NOTE = duck_is_fact("q", "k")
 
@@ -228,12 +297,20 @@ def _(t):
     return qa.missing_questions(qa_pairs(t).select("question"), _merged(t))
 
 
-def _search(t):
+def _search(t, score=similarity_ratio):
     c = candidates(t)
     q = c.select("query").distinct().withColumn("has_data", F.length("query") > 30)
     with_items = c.where("length(query) > 60").drop("conv_id")
     skip = qa_pairs(t).where("length(question) > 350 and turn = 0").select(F.col("question").alias("query"))
-    return qa.curate_search_results(q, with_items, skip, word_matcher(["und"]), GROUPS, answer_max=2000, question_max=2000, letters=LATIN)
+    return qa.curate_search_results(
+        q, with_items, skip, word_matcher(["und"]), GROUPS, answer_max=2000, question_max=2000, letters=LATIN, score=score
+    )
+
+
+_SEARCHED = rf"""{_CAND}, {_SELECTED}, state as (select query, case when not length(query) > 30 then 'no_data' when not length(query) > 60 then 'no_item'
+      when query in (select question from p where length(question) > 350 and turn = 0) then 'skip' when len(list_intersect({duck_words('query')}, ['und'])) > 0 then 'sensitive' end as reason
+      from (select distinct query from c)),
+    mine as (select * from picked where query in (select query from state where reason is null))"""
 
 
 @query("curate_search_results")
@@ -241,6 +318,23 @@ def _(t):
     return _search(t)[0].select("id", "query", "result_index", "qa_label")
 
 
+@query(
+    "curate_search_results_overlap",
+    f"""with {_SEARCHED} select id, query, result_index, qa_label from (select sha1(question || answers) as id, * from mine)
+    qualify row_number() over (partition by id order by query, result_index) = 1""",
+)
+def _(t):
+    return _search(t, word_overlap)[0].select("id", "query", "result_index", "qa_label")
+
+
 @query("curate_search_counts")
 def _(t):
     return _search(t)[1]
+
+
+@query(
+    "curate_search_counts_overlap",
+    f"""with {_SEARCHED} select coalesce(reason, case when query in (select query from mine) then 'yes' else 'no' end) as reason, count(*) as n from state group by 1""",
+)
+def _(t):
+    return _search(t, word_overlap)[1]

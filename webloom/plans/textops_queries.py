@@ -150,13 +150,6 @@ def _(t):
     return qa_pairs(t).where("answers is not null").select("conv_id", "turn", label.alias("label"))
 
 
-@query("similarity_ratio")
-def _(t):
-    from webloom.plans.qa_queries import qa_pairs
-
-    p = qa_pairs(t).where("answers is not null")
-    return p.select("conv_id", "turn", textops.similarity_ratio(F.col("question"), F.col("answers")).alias("ratio"))
-
 
 @query(
     "learn_lexicon",
