@@ -30,7 +30,7 @@ def test_read_batches_and_newest(spark, tmp_path):
         (d / "x").write_text(json.dumps({"a": int(day), "b": "v"}) + "\n")
     (tmp_path / "other-20250101").mkdir()
     (tmp_path / "other-20250101" / "x").write_text('{"a": 9}\n')
-    df = io.read_batches(spark, str(tmp_path), "daily-", SCHEMA)
+    df, broken = io.read_batches(spark, str(tmp_path), "daily-", SCHEMA)
     assert {(r.a, r.batch, str(r.batch_date)) for r in df.collect()} == {
         (20240101, "daily-20240101", "2024-01-01"), (20240103, "daily-20240103", "2024-01-03"),
     }

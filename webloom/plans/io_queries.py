@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webloom.plans.registry import query
+from webloom.session import scratch_path
 from webloom.sources import io
 
 _LINES = "case event_id % 50 when 7 then '{\"k\": ' when 9 then '  ' else props end"
@@ -165,15 +166,63 @@ def _(t):
     return out.select("url_hash", "cached_id", F.col("created_time").cast("string").alias("created"), "content")
 
 
-@query(
-    "access_log",
-    "select 'b' || cast(user_id % 10 as varchar) as batch_id, cast(ts as date) as day, count(*) as n from events group by all",
-)
-def _(t):
-    line = F.to_json(
+_BAD = "event_id % 41 = 0"
+
+
+def _log_lines(t):
+    whole = F.to_json(
         F.struct(
             F.col("ts").cast("string").alias("date"), F.concat(F.lit("b"), (F.col("user_id") % 10).cast("string")).alias("batch_id"),
             F.col("event_type").alias("groups"), F.concat(F.lit("http://x/"), F.col("event_id").cast("string")).alias("url"),
         )
     )
-    return io.access_log(t.events.select(line.alias("line")), "line")
+    return F.when(F.expr(_BAD), F.substring(whole, F.lit(1), F.length(whole) - 9)).otherwise(whole)
+
+
+@query(
+    "access_log",
+    f"""select 'b' || cast(user_id % 10 as varchar) as batch_id, cast(ts as date) as day, count(*) as n from events where not {_BAD} group by all
+    union all select '(malformed)', null, count(*) from events where {_BAD} having count(*) > 0""",
+)
+def _(t):
+    return io.access_log(t.events.select(_log_lines(t).alias("line")), "line")
+
+
+@query(
+    "read_batches",
+    f"""select 'daily-2024010' || cast(user_id % 3 + 1 as varchar) as batch, make_date(2024, 1, cast(user_id % 3 + 1 as int)) as batch_date, count(*) filter (not {_BAD}) as records,
+    count(*) filter ({_BAD}) as malformed, count(distinct event_type) filter (not {_BAD}) as kinds from events where user_id % 4 < 3 group by all""",
+)
+def _(t):
+    """Lines written as batch folders, also of another batch name, and read back."""
+    path = scratch_path(t.spark, "batches")
+    name = F.concat(F.when(F.col("user_id") % 4 < 3, "daily-2024010").otherwise("weekly-2024010"), (F.col("user_id") % 3 + 1).cast("string"))
+    lines = t.events.select(_log_lines(t).alias("value"), name.alias("name"))
+    for batch in sorted(r["name"] for r in lines.select("name").distinct().collect()):  # six folder names
+        lines.where(F.col("name") == batch).select("value").write.text(f"{path}/{batch}")
+    good, bad = io.read_batches(t.spark, path, "daily-", io.LOG_SCHEMA)
+    counted = good.groupBy("batch", "batch_date").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("groups").alias("kinds"))
+    lost = bad.groupBy("batch").agg(F.count(F.lit(1)).alias("malformed"))
+    return counted.join(lost, "batch", "left").select("batch", "batch_date", "records", F.coalesce("malformed", F.lit(0)).alias("malformed"), "kinds")
+
+
+@query("write_compacted", "select count(*) as n, sum(length(text)) as chars from documents")
+def _(t):
+    """Shards written as JSON lines and read back."""
+    path = scratch_path(t.spark, "shards")
+    io.write_compacted(t.documents.select(F.col("doc_id").cast("string").alias("key"), "text"), "key", 7, path)
+    back = t.spark.read.schema("key string, text string, shard int").json(path)
+    return back.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query(
+    "written_pages",
+    """with r as (select (row_number() over (order by o_totalprice, o_orderkey) - 1) // 2000 as page, o_orderkey from orders)
+    select page, count(*) as n, min(o_orderkey) as low, max(o_orderkey) as high from r group by 1""",
+)
+def _(t):
+    """Pages written as CSV and read back."""
+    path = scratch_path(t.spark, "pages")
+    io.write_paged(t.orders.select("o_totalprice", "o_orderkey"), ["o_totalprice", "o_orderkey"], path)
+    back = t.spark.read.csv(path, header=True, schema="o_totalprice double, o_orderkey long, page long")
+    return back.groupBy("page").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))

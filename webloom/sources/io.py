@@ -52,14 +52,18 @@ def effective_lexicon(base: DataFrame, minus: DataFrame, plus: DataFrame) -> Dat
     return base.join(minus, "term", "left_anti").unionByName(plus).distinct()
 
 
-def read_batches(spark: SparkSession, root: str, prefix: str, schema: T.StructType) -> DataFrame:
-    """Records of every batch folder ``root/<prefix>*`` with ``batch`` and ``batch_date``."""
+def read_batches(spark: SparkSession, root: str, prefix: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(records, malformed lines) of every batch folder ``root/<prefix>*``, both with ``batch`` and ``batch_date``."""
     lines = spark.read.text(f"{root.rstrip('/')}/{prefix}*").select("value", F.col("_metadata.file_path").alias("_path"))
-    records, _ = parse_json_lines(lines, "value", schema)
-    batch = F.element_at(F.split("_path", "/"), -2)
-    return records.withColumn("batch", batch).withColumn(
-        "batch_date", F.try_to_timestamp(F.regexp_extract("batch", r"(\d{8})$", 1), F.lit("yyyyMMdd")).cast("date")
-    ).drop("_path")
+
+    def dated(df: DataFrame) -> DataFrame:
+        batch = F.element_at(F.split("_path", "/"), -2)
+        return df.withColumn("batch", batch).withColumn(
+            "batch_date", F.try_to_timestamp(F.regexp_extract("batch", r"(\d{8})$", 1), F.lit("yyyyMMdd")).cast("date")
+        ).drop("_path")
+
+    records, malformed = parse_json_lines(lines, "value", schema)
+    return dated(records), dated(malformed)
 
 
 def newest_batch(df: DataFrame, batch: str = "batch") -> DataFrame:
@@ -155,14 +159,17 @@ def latest_page(accessed: DataFrame, cached: DataFrame, contents: DataFrame, bat
     return newest.join(contents.select("cached_id", "content"), "cached_id")
 
 
+MALFORMED = "(malformed)"
 LOG_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("date", "batch_id", "groups", "url")]
 )
 
 
 def access_log(lines: DataFrame, column: str) -> DataFrame:
-    """Accesses per batch and day of JSON log lines."""
-    rows, _ = parse_json_lines(lines.select(column), column, LOG_SCHEMA)
-    return rows.groupBy("batch_id", F.to_date("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    """Accesses per batch and day of JSON log lines; lines that cannot be read are counted under the batch ``MALFORMED``."""
+    rows, malformed = parse_json_lines(lines.select(column), column, LOG_SCHEMA)
+    counts = rows.groupBy("batch_id", F.to_date("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    lost = malformed.groupBy(F.lit(MALFORMED).alias("batch_id"), F.lit(None).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(lost)
 
 
