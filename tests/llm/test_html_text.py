@@ -2,6 +2,7 @@ import html
 import re
 
 import pytest
+from webloom.llm import html_text
 from webloom.llm.html_text import Page, extract, vote
 
 from .helpers import CLASHES, load
@@ -36,7 +37,9 @@ def test_fragments(source, text):
     assert Page(source).text([]) == text
 
 
-def test_host_votes_decide(spark):
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_host_votes_decide(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_text, "BROADCAST_BYTES", limit)
     usual = "<body><div class=story><p>{}</p></div><div class=extra><p>short</p></div></body>"
     odd = "<body><div class=story><p>brief</p></div><div class=extra><p>{}</p></div></body>"
     rows = [(i, f"http://www.h.com/{i}", usual.format("long text " * 20)) for i in range(9)] + [(10, "https://h.com:80/x", odd.format("longer text " * 20))]

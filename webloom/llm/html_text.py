@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webloom.llm.common import table
+from webloom.session import cut_lineage
 
 VOTES = 3  # paths a page votes for
 WINNERS = 5  # paths kept per host
+BROADCAST_BYTES = 32 << 20
+SALTS = 64
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -228,6 +231,19 @@ def vote(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Data
     )
 
 
+def _with_paths(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """``rows`` with the ``paths`` of their host.
+
+    Winners of up to BROADCAST_BYTES are sent to the pages, which then need no shuffle. Beyond that both sides are dealt by (host,
+    salt), each host's winners once per salt, so a host with very many pages is spread over SALTS tasks at least.
+    """
+    weight = F.sum(F.octet_length("host") + F.octet_length(F.array_join("paths", "")) + 64)
+    if (winners.agg(weight).first()[0] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(winners), "host", "left")
+    spread = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("html", "url"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: (page_id, url, text, n_chars).
 
@@ -252,7 +268,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"),
         host_of(F.col(url_col)).alias("host"),
     )
-    return rows.join(vote(pages, url_col, html_col), "host", "left").select("id", "url", "html", "paths").mapInArrow(
+    return _with_paths(rows, cut_lineage(vote(pages, url_col, html_col), "paths")).select("id", "url", "html", "paths").mapInArrow(
         read, f"page_id {id_type}, url string, text string, n_chars long"
     )
 
