@@ -261,16 +261,14 @@ def dialogue_line_set(df: DataFrame, key: str, text: str, keep: str = V.CJK) ->
 
 
 def merge_qa(
-    sources: Sequence[tuple[str, DataFrame]], skip: DataFrame, groups: Sequence[tuple[str, Sequence[str]]], seq: str = "seq"
+    rows: DataFrame, sources: Sequence[str], skip: DataFrame, groups: Sequence[tuple[str, Sequence[str]]], seq: str = "seq"
 ) -> DataFrame:
-    """Merged rows (id, source, category, question, answers, label) of (category, question,
-    answers, seq) sources: skipped questions left out, equal pairs once (first source, then
-    order), a human category kept as label."""
-    union = None
-    for i, (name, df) in enumerate(sources):
-        part = df.select("category", "question", "answers", seq, F.lit(name).alias("source"), F.lit(i).alias("_o"))
-        union = part if union is None else union.unionByName(part)
-    kept = union.join(skip.select("question").distinct(), "question", "left_anti")
+    """Merged rows (id, source, category, question, answers, label) of (source, category, question,
+    answers, seq), read once: skipped questions left out, equal pairs once (first source in the order of ``sources``, then
+    order), a human category kept as label. Rows of other sources are left out."""
+    place = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source"))
+    ordered = rows.where(F.col("source").isin(*sources)).select("category", "question", "answers", seq, "source", place.alias("_o"))
+    kept = ordered.join(skip.select("question").distinct(), "question", "left_anti")
     kept = kept.withColumn("id", ids.text_id(F.concat("question", "answers")))
     one = first_per_key(kept, ["id"], ["_o", seq]).drop("_o")
     return one.withColumn("label", chat_label(F.col("question"), F.col("answers"), groups, F.col("category")))

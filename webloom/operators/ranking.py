@@ -60,10 +60,13 @@ def entity_tiering(candidates: DataFrame, name: str, score: str) -> DataFrame:
 
 def top_share_per_group(df: DataFrame, group: str, item: str, share: float = 0.3) -> DataFrame:
     """Items of each group by count: the top int(n * share + 0.99) of its n items, without
-    items counted once. Items counted once come last, so they are left out before ranking."""
+    items counted once. Items counted once come last, so they are left out before ranking. A group is numbered in
+    chunks of one count and one beginning (or thousand) of the item, so equal counts do not gather in one task."""
     counts = df.groupBy(group, item).agg(F.count(F.lit(1)).alias("cnt"))
     sizes = counts.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = position_in_group(counts.where("cnt > 1"), [group], [item], -F.col("cnt"), "_pos")
+    begins = F.substring(item, 1, 3) if dict(df.dtypes)[item] == "string" else F.floor(F.col(item) / 1000)
+    chunk = F.struct((-F.col("cnt")).alias("cnt"), begins.alias("begins"))
+    ranked = position_in_group(counts.where("cnt > 1"), [group], [item], chunk, "_pos")
     keep = F.floor(F.col("_n") * share + 0.99)
     return ranked.join(sizes, group).where(F.col("_pos") < keep).drop("_n", "_pos")
 

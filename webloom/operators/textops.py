@@ -6,7 +6,7 @@ import difflib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -274,22 +274,53 @@ def phrase_vocabulary(
     return kept.withColumn("score", F.lit(None).cast("double")).unionByName(scored)
 
 
+def phrased_tokens(df: DataFrame, key: str, tokens: Column, phrases: DataFrame, glue: str = "_") -> DataFrame:
+    """(key, tokens) with adjacent tokens that form a phrase joined, from left to right, none used twice.
+
+    ``phrases``: term, the joined form (the scored terms of ``phrase_vocabulary``). ``key`` is unique. The phrases are
+    joined as a table of any size; a text is ordered by itself.
+    """
+    t = df.select(key, tokens.alias("_t"))
+    spread = t.where(F.size("_t") > 0).select(
+        key, F.posexplode(F.arrays_zip(F.col("_t").alias("a"), F.slice("_t", F.lit(2), F.size("_t")).alias("b"))).alias("pos", "p")
+    ).select(key, "pos", "p.a", F.concat(F.col("p.a"), F.lit(glue), F.col("p.b")).alias("term"))
+    known = phrases.select("term", F.lit(True).alias("hit")).distinct()
+    marked = spread.join(known, "term", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    # in a row of places that could each begin a phrase, every second one does
+    w = Window.partitionBy(key).orderBy("pos")
+    row = F.when(F.col("hit"), F.col("pos") - F.sum(F.col("hit").cast("int")).over(w))
+    marked = marked.withColumn("_row", row)
+    nth = F.row_number().over(Window.partitionBy(key, "_row").orderBy("pos"))
+    begun = marked.withColumn("begins", F.col("hit") & (nth % 2 == 1))
+    used = F.coalesce(F.lag("begins").over(w), F.lit(False))
+    kept = begun.withColumn("used", used).where("not used")
+    joined = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("begins"), F.col("term")).otherwise(F.col("a")).alias("w")))).alias("_l"))
+    out = t.join(joined.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key"), "left")
+    return out.select(key, F.coalesce(F.transform("_l", lambda x: x["w"]), F.col("_t")).alias("tokens"))
+
+
 def topic_terms(
-    df: DataFrame, tokens: Column, topics: int = 10, per_topic: int = 50, top: int = 100, vocabulary: int = 20_000, seed: int = 7,
-    iters: int = 10,
+    df: DataFrame, tokens: Column, topics: int = 10, per_topic: int = 50, top: int = 100, seed: int = 7, iters: int = 10,
+    stop: DataFrame | None = None,
 ) -> DataFrame:
-    """(term, topics): terms by the number of topics that list them among their best.
-    The topic model is LDA over counts, since Spark has no latent semantic indexing."""
+    """(term, topics): terms by the number of topics that list them among their best, over the whole vocabulary
+    without the terms of ``stop``. The topic model is LDA over counts, since Spark has no latent semantic indexing."""
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
-    bag = df.select(F.filter(tokens, lambda x: F.length(x) > 1).alias("_t")).where(F.size("_t") > 0)
-    model = CountVectorizer(inputCol="_t", outputCol="features", vocabSize=vocabulary).fit(bag)
+    bag = df.select(F.filter(tokens, lambda x: F.length(x) > 1).alias("_t"))
+    if stop is not None:
+        numbered = cut_lineage(bag.withColumn("_id", F.monotonically_increasing_id()), "bags")
+        words_ = numbered.select("_id", F.explode("_t").alias("term")).join(stop.select("term").distinct(), "term", "left_anti")
+        bag = words_.groupBy("_id").agg(F.collect_list("term").alias("_t")).select("_t")  # as long as the text
+    bag = cut_lineage(bag.where(F.size("_t") > 0), "bag")
+    vocabulary = bag.select(F.explode("_t").alias("term")).agg(F.count_distinct("term")).first()[0]
+    model = CountVectorizer(inputCol="_t", outputCol="features", vocabSize=max(1, vocabulary)).fit(bag)
     lda = LDA(k=topics, maxIter=iters, seed=seed, featuresCol="features").fit(model.transform(bag))
-    names = F.array(*[F.lit(w) for w in model.vocabulary])
+    names = df.sparkSession.createDataFrame(enumerate(model.vocabulary), "_i int, term string")
     best = lda.describeTopics(per_topic).select(F.explode("termIndices").alias("_i"))
     counted = best.groupBy("_i").agg(F.count(F.lit(1)).cast("int").alias("topics"))
-    listed = counted.withColumn("term", F.element_at(names, F.col("_i") + 1)).select("term", "topics")
+    listed = counted.join(names, "_i").select("term", "topics")
     return listed.orderBy(F.desc("topics"), F.asc("term")).limit(top)
 
 

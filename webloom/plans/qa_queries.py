@@ -256,8 +256,7 @@ def _(t):
 
 def _merged(t):
     c = _typed(t).withColumn("category", F.when(F.col("seq") % 6 == 1, "human:x").otherwise(""))
-    parts = [(f"s{i}", c.where(F.col("source") == f"s{i}")) for i in (9, 0, 1, 2)]
-    return qa.merge_qa(parts, qa_pairs(t).where("length(question) > 400").select("question"), GROUPS)
+    return qa.merge_qa(c, ["s9", "s0", "s1", "s2"], qa_pairs(t).where("length(question) > 400").select("question"), GROUPS)
 
 
 _MERGED = f"""{_ITEMS}, sk as (select question from p where length(question) > 400),

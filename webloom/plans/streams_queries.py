@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from webloom.plans.qa_queries import qa_pairs
 from webloom.plans.registry import query
+from webloom.scale import global_index
 from webloom.streaming import streams
 
 
@@ -128,10 +129,10 @@ def _(t):
 
 @query(
     "late_rows",
-    """with r as (select event_id, ts, max(ts) over (order by (event_id * 7919) % 1000003 rows between unbounded preceding and 1 preceding) as seen from events)
+    """with r as (select event_id, ts, max(ts) over (order by (event_id * 7919) % 1000003, event_id rows between unbounded preceding and 1 preceding) as seen from events)
     select event_id, round((epoch_us(seen) - epoch_us(ts)) / 1e6, 3) as late_by from r where epoch_us(seen) - epoch_us(ts) > 86400000000""",
 )
 def _(t):
-    e = t.events.select("event_id", "ts", ((F.col("event_id") * 7919) % 1000003).alias("arrival"))
-    out = streams.late_rows(e, "ts", "arrival", F.floor(F.col("arrival") / 1000), 86400)
+    e = global_index(t.events.select("event_id", "ts"), [(F.col("event_id") * 7919) % 1000003, F.col("event_id")], "arrival")
+    out = streams.late_rows(e, "ts", "arrival", F.floor(F.col("arrival") / 10_000), 86400)
     return out.select("event_id", F.round("late_by", 3).alias("late_by"))

@@ -209,9 +209,30 @@ def _(t):
     return out.select("term", "n", F.round("score", 4).alias("score"))
 
 
+@query(
+    "phrased_tokens",
+    f"""with d as (select doc_id, {duck_words()} as w from documents), u as (select unnest(w) as a, unnest(range(1, length(w) + 1)) as i, doc_id from d),
+    y as (select *, lead(a) over (partition by doc_id order by i) as b from u), n as (select a as term, count(*) as n from u group by 1),
+    p as (select a, b, count(*) as n from y where b is not null group by all), v as (select (select count(*) from n) + (select count(*) from p) as v),
+    s as (select p.a, p.b from p join n na on a = na.term join n nb on b = nb.term where p.n > 5 and (p.n - 5) * (select v from v) / (na.n * nb.n) > 10),
+    m as (select y.*, s.a is not null as hit from y left join s on y.a = s.a and y.b = s.b),
+    r as (select *, i - sum(case when hit then 1 else 0 end) over (partition by doc_id order by i) as run from m),
+    q as (select *, hit and row_number() over (partition by doc_id, hit, run order by i) % 2 = 1 as begins from r),
+    k as (select *, lag(begins) over (partition by doc_id order by i) as used from q)
+    select doc_id, string_agg(case when begins then a || '_' || b else a end, ' ' order by i) as tokens from k where not coalesce(used, false) group by 1""",
+)
+def _(t):
+    stop = t.benchmark.select(F.explode(words(F.col("text"))).alias("term")).distinct()
+    phrases = textops.phrase_vocabulary(t.documents, words(F.col("text")), stop).where("score is not null")
+    return textops.phrased_tokens(t.documents, "doc_id", words(F.col("text")), phrases).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
+
+
 @query("topic_terms")
 def _(t):
-    return textops.topic_terms(t.documents, words(F.col("text")))
+    stop = t.benchmark.select(F.explode(words(F.col("text"))).alias("term")).distinct()
+    phrases = textops.phrase_vocabulary(t.documents, words(F.col("text")), stop).where("score is not null")
+    texts = textops.phrased_tokens(t.documents, "doc_id", words(F.col("text")), phrases)
+    return textops.topic_terms(texts, F.col("tokens"), stop=stop)
 
 
 @query("train_classifier")
