@@ -185,10 +185,15 @@ def seeded_order(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def error_lists(df: DataFrame, key: str, expect: str, actual: str, sample: int = 1500, seed: int = 1) -> DataFrame:
+def error_lists(
+    df: DataFrame, key: str, expect: str, actual: str, sample: int = 1500, seed: int = 1, matched: Column | None = None
+) -> DataFrame:
     """Rows tagged false_positive, false_negative or true_negative; of the last kind a
-    seeded sample of ``sample`` rows."""
+    seeded sample of ``sample`` rows. ``matched``, the listed words a text holds, is put beside each row
+    as ``matched``, with commas between."""
     e, a = F.col(expect), F.col(actual)
+    if matched is not None:
+        df = df.withColumn("matched", F.array_join(matched, ","))
     wrong = df.where(e != a).withColumn("kind", F.when(a == 1, "false_positive").otherwise("false_negative"))
     right = df.where((e == 0) & (a == 0)).withColumn("kind", F.lit("true_negative"))
     return wrong.unionByName(right.orderBy(seeded_order(key, seed), key).limit(sample))

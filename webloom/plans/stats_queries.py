@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions.text import words
 from webloom.operators import stats
+from webloom.operators.textops import word_matcher
 from webloom.plans.registry import query
 
 _TOKENS = r"(select unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) as w from documents)"
@@ -223,12 +224,16 @@ def _(t):
 
 @query(
     "error_lists",
-    f"""select doc_id, target, predicted, case when predicted = 1 then 'false_positive' else 'false_negative' end as kind from {_LAB}
+    rf"""with e as (select doc_id, target, predicted, case when predicted = 1 then 'false_positive' else 'false_negative' end as kind from {_LAB}
     where target <> predicted union all (select doc_id, target, predicted, 'true_negative' from {_LAB} where target = 0 and predicted = 0
-    order by md5(cast(doc_id as varchar) || ':1'), doc_id limit 20)""",
+    order by md5(cast(doc_id as varchar) || ':1'), doc_id limit 20))
+    select doc_id, target, predicted, kind, array_to_string(list_sort(list_intersect(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''), ['que', 'the', 'und'])), ',') as matched
+    from e join documents using (doc_id)""",
 )
 def _(t):
-    return stats.error_lists(_predicted(t), "doc_id", "target", "predicted", sample=20)
+    rows = _predicted(t).join(t.documents.select("doc_id", "text"), "doc_id")
+    out = stats.error_lists(rows, "doc_id", "target", "predicted", sample=20, matched=word_matcher(["the", "und", "que"])(F.col("text")))
+    return out.select("doc_id", "target", "predicted", "kind", "matched")
 
 
 @query("record_dictionary", "select distinct p_brand as domain, p_type as entity, p_name as name from part")
