@@ -193,10 +193,12 @@ def power_iteration(edges, alpha=0.85, iters=60):
 def test_pagerank(spark):
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("d", "c"), ("c", "dangling")]
     df = spark.createDataFrame(edges, "src string, dst string")
-    got = {r.name: r["rank"] for r in network.pagerank(df, iters=25, tol=1e-9).collect()}
+    got = {r.name: r["rank"] for r in network.pagerank(df, iters=200, tol=1e-5).collect()}
     want = power_iteration(edges)
     assert abs(sum(got.values()) - 1) < 1e-9
     assert all(abs(got[n] - want[n]) < 1e-3 for n in want)
+    with pytest.raises(ArithmeticError):
+        network.pagerank(df, iters=3, tol=1e-9)
 
 
 def test_merge_fragments_first_non_empty(spark):
