@@ -185,7 +185,9 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
 
 
 def inverse_frequencies(counts: np.ndarray, n: int) -> np.ndarray:
-    return (1 + np.log((1 + n) / (1 + np.minimum(counts, n)))).astype(np.float32)
+    """Damped inverse document frequencies: with the root, one rare word in a shingle does not outweigh the others, and
+    the weighted similarity stays near that of plain shingles."""
+    return np.sqrt(1 + np.log((1 + n) / (1 + np.minimum(counts, n)))).astype(np.float32)
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) -> DataFrame:
