@@ -37,6 +37,8 @@ def test_windows_are_partitioned(spark, name):
     """A window without keys may only run over one row per chunk or part."""
     for spec in re.findall(r"windowspecdefinition\(([^)]*)", plan(spark, name)):
         first = spec.split(",")[0]
+        if first.startswith("_part#"):  # the offsets of a distributed index: one row per part
+            continue
         assert "ASC" not in first and "DESC" not in first, spec
 
 
