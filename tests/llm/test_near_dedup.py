@@ -54,6 +54,44 @@ def test_large_group_and_parts(spark, monkeypatch, part):
     assert {r.group_size for r in got} == {120, 1} and sum(r.kept for r in got) == 61
 
 
+def family(rng, size, pairs, words=400):
+    """Texts about 0.75 alike to each other, and pairs of them that are over 0.8 alike, as (id, text)."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+
+    def edited(of, edits, mark):
+        at = set(rng.sample(range(words), edits))
+        return [f"{mark}{k}" if k in at else w for k, w in enumerate(of)]
+
+    rows = [(i, edited(base, 6, f"e{i}x")) for i in range(size)]
+    rows += [(size + k, edited(rows[size - pairs + k][1], 6, f"p{k}x")) for k in range(pairs)]
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+@pytest.mark.parametrize("limits", [{}, {"PART": 12, "BLOCK": 40, "AT_ONCE": 6_000}])
+def test_pairs_in_a_family_that_is_not_linked(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    rows = family(random.Random(8), 160, 30)
+    docs = documents(spark, rows)
+    want = brute_groups(rows, near_dedup.inverse_frequencies(*near_dedup.document_frequencies(docs)))
+    assert 20 <= len(rows) - len(set(want.values())) <= 60  # the planted pairs, and few others
+    assert {r.doc_id: r.group_id for r in near_groups(docs).collect()} == want
+
+
+@pytest.mark.parametrize("part", [4_096, 4])
+def test_strangers_of_a_bucket_are_all_compared(spark, monkeypatch, part):
+    monkeypatch.setattr(near_dedup, "PART", part)
+    rng = np.random.default_rng(2)
+    sketch = rng.integers(0, 256, (60, near_dedup.SAMPLES), dtype=np.uint8)
+    sketch[1::2, 24:] = sketch[::2, 24:]  # pairs 2k, 2k + 1 agree in 40 of 64 samples
+    signed = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sketch)], "id long, sketch binary")
+    shared = signed.selectExpr("id", "1L as key")
+    groups = spark.createDataFrame([(0, 0), (1, 0)], "id long, component long")
+    monkeypatch.setattr(near_dedup, "BLOCK", part)
+    got = near_dedup.open_pairs(shared, signed, groups).collect()
+    assert sorted((r.a, r.b) for r in got) == [(i, i + 1) for i in range(2, 60, 2)] and min(r.alike for r in got) >= 0.625
+
+
 def test_words_as_python_sees_them():
     texts = ["One two\tTHREE four  five six", "", " \n ", "é ß ünï", "x" * 5000, "a b"]
     column = pa.array(texts)

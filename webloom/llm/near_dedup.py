@@ -10,13 +10,18 @@
    leaders then meet in the same way, round by round, so no task holds a whole large bucket and no bucket makes all its pairs.
 5. Pairs are verified by the weighted Jaccard similarity of the whole texts; verified links are unioned to groups. A pair that
    would not join anything new is not verified again.
+6. Leaders only find most of the links cheaply. Every bucket that still holds documents of different groups is then compared
+   whole, block by block in many tasks, and every pair of different groups with a high enough estimate is verified too, the likest
+   first. So which pairs are verified does not depend on who leads; the work grows with the square of the documents of a bucket that are alike
+   but not linked.
 
-Documents with one and the same sequence of words are one document in steps 3 to 5.
+Documents with one and the same sequence of words are one document in steps 3 to 6.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,8 +39,10 @@ BUCKETS = 1 << 18
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 ESTIMATE = 0.6  # samples in common from which a pair is verified: 3.9 standard errors below 0.8
-TIES = 4  # leaders a document is compared with in a bucket
+TIES = 4  # leaders a document is tied to in a bucket at first; what they miss is compared whole later
 PART = 4_096  # documents of a bucket in one part
+BLOCK = 2_048  # documents of a bucket that are compared whole with those of another block
+AT_ONCE = 1 << 18  # pairs verified before groups are named anew
 CHUNK = 1 << 20  # bytes of text worked on at once
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -311,10 +318,17 @@ def _gather(rows: DataFrame) -> DataFrame:
     return laid.select("key", "salt", "id", "sketch").mapInArrow(run, f"key long, id {id_type}, sketch binary, leader {id_type}, alike double")
 
 
-def candidate_pairs(signed: DataFrame) -> DataFrame:
-    """(a, b, alike), a < b: what the buckets' rounds tie together."""
+def shared_buckets(signed: DataFrame) -> DataFrame:
+    """(id, key) of the buckets with several documents."""
+    members = signed.select("id", F.explode("bands").alias("key"))
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return members.join(sizes.select("key"), "key").select("id", "key")
+
+
+def candidate_pairs(signed: DataFrame, shared: DataFrame) -> DataFrame:
+    """(a, b, alike), a < b: what the buckets' rounds tie together; ``shared`` are the shared buckets."""
     triples = SAMPLES // 3
-    members = signed.select("id", F.lit(0).alias("from"), F.explode("bands").alias("key"))
+    members = shared.select("id", F.lit(0).alias("from"), "key")
     sketches = signed.select("id", "sketch")
     found = None
     while True:
@@ -330,7 +344,7 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
         if large.isEmpty():
             break
         again = round_.where("leader is null").join(large, "key")
-        # parts that hold mostly strangers are dealt by further samples, each time later ones, so this ends
+        # parts that hold mostly strangers are dealt by further samples, each time later ones, so this ends; open_pairs compares what is left
         left = again.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
         marked = again.join(left, "key").withColumn("strange", F.col("m") > F.col("n") * 0.9)
         further = F.when(
@@ -345,6 +359,59 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     return found.groupBy("a", "b").agg(F.max("alike").alias("alike"))
 
 
+def open_pairs(shared: DataFrame, sketches: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b, alike), a < b: all pairs of a bucket that are in different ``groups`` and estimated to be alike.
+
+    Large buckets are dealt into blocks, and every two blocks meet in a task of their own; none is cut.
+    """
+    named = shared.join(groups, "id", "left").select("id", "key", F.coalesce("component", "id").alias("own"))
+    mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("_low"), F.max("own").alias("_high")).where("_low <> _high")
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    dealt = named.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
+    met = dealt.join(sketches, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "id", "own", "sketch", "block", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    )
+    id_type = shared.schema["id"].dataType.simpleString()
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
+        own = rows.column("own").combine_chunks().dictionary_encode().indices.to_numpy()
+        block, x, y = (rows.column(c).to_numpy() for c in ("block", "x", "y"))
+        left, right, alike = [], [], []
+        for i in range(len(block) - 1):
+            # in a block all that follow, else those of the other block
+            same = (sketch[i + 1 :] == sketch[i]).sum(axis=1)
+            near = np.flatnonzero((same >= ESTIMATE * SAMPLES) & (own[i + 1 :] != own[i]) & ((x[0] == y[0]) | (block[i + 1 :] != block[i])))
+            left.append(np.full(len(near), i))
+            right.append(near + i + 1)
+            alike.append(same[near] / SAMPLES)
+        ids = rows.column("id").combine_chunks()
+        sides = [ids.take(pa.array(np.concatenate(v))) for v in (left, right)]
+        return pa.RecordBatch.from_arrays([*sides, pa.array(np.concatenate(alike))], names=["a", "b", "alike"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in chain(batches, [None]):
+            if batch is not None and not batch.num_rows:
+                continue
+            if batch is not None:
+                held.append(batch)
+            if not held:
+                continue
+            whole = pa.Table.from_batches(held)
+            names = [whole.column(c).to_numpy() for c in ("key", "x", "y")]
+            new = np.flatnonzero(np.any([v[1:] != v[:-1] for v in names], axis=0)) + 1
+            bounds = [0, *new.tolist(), *([whole.num_rows] if batch is None else [])]
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                if b - a > 1:
+                    yield compare(whole.slice(a, b - a))
+            held = whole.slice(bounds[-1]).to_batches()
+
+    laid = met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    got = laid.mapInArrow(run, f"a {id_type}, b {id_type}, alike double")
+    return got.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("alike").alias("alike"))
+
+
 def features_of(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted feature hashes of a text and their weights."""
     data = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8)
@@ -400,25 +467,46 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = signed.groupBy("words").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"), F.min_by("sketch", "id").alias("sketch"))
     first = cut_lineage(first, "distinct")
     same = signed.select("words", F.col("id").alias("copy")).join(first.select("words", "id"), "words").select(F.col("id").alias("a"), F.col("copy").alias("b"))
-    pairs = cut_lineage(candidate_pairs(first), "pairs")
+    shared = cut_lineage(shared_buckets(first), "shared")
+    pairs = cut_lineage(candidate_pairs(first, shared), "pairs")
 
-    wanted = small_side(cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted"))
-    texts = cut_lineage(
-        known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts"
-    )
+    def texts_of(some: DataFrame) -> DataFrame:
+        wanted = small_side(cut_lineage(some.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted"))
+        return cut_lineage(
+            known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts"
+        )
+
+    texts = texts_of(pairs)
     # first the likest partner of every document, then only pairs that would join two groups
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a"))
     links = cut_lineage(verified(best.select("a", "b"), texts, idf, similarity), "verified")
     joined = cut_lineage(components(links.select("a", "b")), "joined")
 
-    def name(column: str, out: str) -> DataFrame:
-        return joined.select(F.col("id").alias(column), F.col("component").alias(out))
+    def apart(some: DataFrame, groups: DataFrame) -> DataFrame:
+        ga, gb = (groups.select(F.col("id").alias(c), F.col("component").alias(f"g{c}")) for c in "ab")
+        return some.join(ga, "a", "left").join(gb, "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
 
-    rest = pairs.join(best, ["a", "b"], "left_anti").join(name("a", "ga"), "a", "left").join(name("b", "gb"), "b", "left")
-    rest = rest.where(F.coalesce("ga", "a") != F.coalesce("gb", "b"))
-    more = cut_lineage(verified(rest.select("a", "b"), texts, idf, similarity), "verified")
+    rest = apart(pairs.join(best, ["a", "b"], "left_anti"), joined)
+    more = cut_lineage(verified(rest, texts, idf, similarity), "verified")
     every = links.select("a", "b").unionByName(more.select("a", "b")).unionByName(same)
     groups = cut_lineage(components(every), "groups")
+
+    # then all pairs of a bucket that are still apart, whoever led it
+    left = cut_lineage(open_pairs(shared, first.select("id", "sketch"), groups).join(pairs, ["a", "b"], "left_anti"), "open")
+    levels = left.groupBy("alike").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("alike")).collect()  # at most SAMPLES rows
+    if levels:
+        texts = texts_of(left)
+    while levels:
+        high, low, n = levels[0]["alike"], levels[0]["alike"], levels.pop(0)["n"]
+        while levels and n + levels[0]["n"] <= AT_ONCE:
+            low, n = levels[0]["alike"], n + levels.pop(0)["n"]
+        runs = -(-n // AT_ONCE)
+        for run in range(runs):
+            some = left.where(F.col("alike").between(low, high) & (F.pmod(F.xxhash64("a", "b"), F.lit(runs)) == run))
+            more = cut_lineage(verified(apart(some, groups), texts, idf, similarity).select("a", "b"), "verified")
+            if not more.isEmpty():
+                every = every.unionByName(more)
+                groups = cut_lineage(components(every), "groups")
     sizes = signed.select("id").join(groups, "id").groupBy("component").agg(F.count(F.lit(1)).alias("group_size"))
     named = groups.join(sizes, "component").withColumnRenamed("id", "_id")
     out = docs.select(F.col(id_col).alias("doc_id")).join(named, F.col("doc_id") == F.col("_id"), "left")
