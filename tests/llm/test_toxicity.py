@@ -26,6 +26,26 @@ def test_marks():
     assert marks("calm weather") == set()
 
 
+@pytest.mark.parametrize("text", [
+    "I will kill you", "we will hurt them", "stab him", "we beat all of you", "Ich töte dich", "wir verprügeln euch", "je vais frapper fort, toi", "tue-toi",
+    "voy a matar a ellos", "voy a matarte", "te mato",
+])
+def test_threats_with_the_object_behind(text):
+    g = Grammar({"idiot*": 3.0})
+    words = toxicity.WORD.findall(text.lower())
+    assert g.clause(words) == (1.5, {"match": 1, "threat": 1, "aimed": 1})
+    assert any(g.features(text))
+    assert toxicity.UNTRAINED.score(g.features(text)) > toxicity.UNTRAINED.score(g.features("calm weather"))
+
+
+def test_marks_of_a_threat_stay():
+    g = Grammar({"idiot*": 3.0})
+    assert g.clause("i will never kill you".split())[1] == {"match": 1, "threat": 1, "negated": 1, "aimed": 1}
+    assert g.clause("you kill you".split())[0] == 1.5  # aimed once
+    assert not any(g.features("kill one two three four five six you"))  # out of reach
+    assert not any(g.features("tuer le temps"))
+
+
 def test_weights_of_paths():
     g = Grammar({"idiot*": 3.0})
 

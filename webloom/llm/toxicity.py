@@ -2,10 +2,11 @@
 
 Transducers read the words of a clause and are composed into one machine:
 
-* words -> symbols: insult, threat, target (second person and names of people), negation, report, other;
+* words -> symbols: insult, threat, target (pronouns, no names), negation, report, other;
 * report: what follows a verb of saying is marked as reported;
 * negation: an insult or threat shortly after a negation is marked as negated;
-* target: an insult or threat in reach of a target is marked as aimed.
+* target: an insult or threat shortly after a target is marked as aimed, and so is a threat shortly before one: the
+  machine of targets also reads the clause from its end.
 
 The weight of a clause's path is the sum of its arcs' weights: what was matched, and how it was marked. A text is
 scored by its matched clauses (strongest, sum, number, share, and how many were aimed,
@@ -34,8 +35,9 @@ from webloom.session import cut_lineage
 
 # Seed words of the grammar (en, de, fr, es).
 INSULTS = "idiot moron scum pathetic worthless loser clown trash disgusting stupid dumb imbecile fool".split()
-THREATS = "kill hurt destroy beat shoot stab burn töten umbringen verprügeln tuer frapper détruire matar golpear destruir".split()
-TARGETS = "you your yours he she they him her them du dich dir ihr euch tu toi vous ils elles tú usted ustedes ellos ellas".split()
+THREATS = "kill hurt destroy beat shoot stab burn töten töte umbringen verprügeln verprügle tuer tue frapper frappe détruire matar mato matarte golpear golpearte destruir destruirte".split()
+TARGETS = "you your yours he she they him her them du dich dir ihr euch ihn ihnen tu te toi vous eux ils elles tú usted ustedes ellos ellas".split()
+CLITICS = frozenset("matarte golpearte destruirte".split())  # threats with their target in one word
 NEGATIONS = "not no never neither nor nicht kein keine nie pas jamais aucun aucune nunca ni tampoco".split()
 REPORTS = "said says say told quoted wrote claimed sagte sagt schrieb dit écrit affirmé dijo dice escribió".split()
 
@@ -121,6 +123,7 @@ class Grammar:
         self.threats = set(THREATS)
         self.stem_lengths = sorted({len(w) - 1 for w in weights if w.endswith("*")})
         self.machine = Composed([report_marks(), negation_marks(), target_marks()])
+        self.behind = target_marks()  # reads from the end of a clause: what has a target behind it
         parts = sorted({w.rstrip("*") for w in [*weights, *THREATS]}, key=lambda w: (-len(w), w))
         self.trigger = re.compile("|".join(map(re.escape, parts))) if parts else None
 
@@ -136,11 +139,19 @@ class Grammar:
 
     def clause(self, words: list[str]) -> tuple[float, Counter]:
         """Weight of the path of a clause, and how often each mark was put."""
+        symbols = [self.symbol(word) for word in words]
+        after, state = [0.0] * len(words), self.behind.start
+        for i in range(len(words) - 1, -1, -1):
+            state, _, weight = self.behind.step(state, symbols[i][0])
+            if symbols[i][0] == "threat":
+                # a clitic is a target in the word itself
+                after[i] = 0.5 if words[i] in CLITICS else weight
         state, total, marks = self.machine.start, 0.0, Counter()
-        for word in words:
-            symbol, own = self.symbol(word)
+        for (symbol, own), aim in zip(symbols, after, strict=True):
             state, out, weight = self.machine.step(state, symbol)
             if symbol in ("insult", "threat"):
+                if aim and "+aimed" not in out:
+                    out, weight = f"{out}+aimed", weight + aim
                 total += own * (1 + weight)
                 marks["match"] += 1
                 marks["threat"] += symbol == "threat"
