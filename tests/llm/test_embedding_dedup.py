@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from webloom.llm import embedding_dedup
@@ -43,6 +45,23 @@ def test_matches_brute_force(spark, monkeypatch, block, rows):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute(ids, x)
 
 
+@pytest.mark.parametrize("rows", [20_000, 1_500])
+def test_pairs_in_a_dense_clump(spark, monkeypatch, rows):
+    monkeypatch.setattr(embedding_dedup, "TASK_ROWS", rows)
+    rng = np.random.default_rng(5)
+
+    def around(of, cosine):
+        noise = rng.normal(size=of.shape)
+        noise -= (noise * of).sum(axis=1, keepdims=True) * of
+        return cosine * of + math.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+
+    middle = np.eye(64)[:1]
+    clump = around(np.repeat(middle, 2_500, axis=0), math.sqrt(0.7))  # 0.7 to each other
+    x = np.concatenate([clump, around(clump[:120], 0.92), rng.normal(size=(1_500, 64))]).astype(np.float32)
+    got = near_vectors(table(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute(list(range(len(x))), x)
+
+
 def test_scaled_double_vectors(spark):
     got = near_vectors(table(spark, [(1, [1.0, 2.0], 0), (2, [10.0, 20.0], 0), (3, [-1.0, -2.0], 0), (4, [1.0, 2.0, 3.0], 0)], "double")).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]

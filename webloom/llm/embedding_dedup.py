@@ -1,28 +1,30 @@
 """Near-duplicate vectors by sorted projection passes.
 
 1. Vectors that are bit for bit the same are one vector with a count.
-2. In every pass a vector gets a key of 64 signs of random projections, and all vectors are sorted by the key, spread
-   over many tasks. A task goes through its rows and compares each with the ``NEIGHBOURS`` rows after it; what
-   lies across the end of a task's rows is compared in a small second step.
+2. In every pass a vector gets a key of the signs of some random projections, and all vectors are sorted by the key, spread
+   over many tasks. All vectors with one key are compared with each other, however many they are; a key that goes
+   over the end of a task's rows is compared in a second step, every two tasks' rows of it in a task of their own.
 3. Verified links of all passes are unioned to components. Only links that join something go on, as the others
    cannot change a component.
 4. Inside a component all vectors are compared, block by block in many tasks, to count each one's links: the count
    does not depend on which passes found which link.
 
-The number of passes follows from the number of vectors, so that a pair right at the threshold is missed
-with a probability below ``MISS``: a pair stays together for the log2(n / NEIGHBOURS) signs that narrow n rows down
-to a window with the probability (1 - angle / pi) for each.
+The number of passes follows from the number of signs in a key, so that a pair right at the threshold is missed with a
+probability below ``MISS``: it has one key in a pass with the probability (1 - angle / pi) for each sign, whatever the other vectors are. The
+number of signs follows from the density measured on a sample: more signs part dense clumps, fewer need fewer passes. It only
+changes the cost. Inside a clump that no sign parts the work grows with the square of its vectors.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.llm.common import table
@@ -32,14 +34,30 @@ from webloom.session import cut_lineage
 NEIGHBOURS = 32
 MISS = 1e-3
 TASK_ROWS = 20_000
+SAMPLE = 2_000  # vectors on which the density is measured
+ROW_COST = 500  # of projecting and sorting a vector in a pass, in comparisons
+MOST_SIGNS = 40
 BLOCK = 512
 
 
-def passes_for(n: int, threshold: float) -> int:
-    together = (1 - math.acos(threshold) / math.pi) ** max(0.0, math.log2(max(n, 1) / NEIGHBOURS))
+def passes_for(n: int, threshold: float, signs: float | None = None) -> int:
+    """Passes with keys of ``signs`` signs; by default as many as narrow ``n`` evenly spread rows to NEIGHBOURS."""
+    signs = max(0.0, math.log2(max(n, 1) / NEIGHBOURS)) if signs is None else signs
+    together = (1 - math.acos(threshold) / math.pi) ** signs
     return 1 if together >= 1 else math.ceil(math.log(MISS) / math.log(1 - together))
 
 
+def signs_for(n: int, threshold: float, sample: list[np.ndarray]) -> int:
+    """The number of signs with the least cost, by how often pairs of the ``sample`` (unit vectors by dimension) agree in a sign."""
+    agree = [1 - np.arccos(np.clip(x @ x.T, -1, 1))[np.triu_indices(len(x), 1)] / math.pi for x in sample]
+    pairs = np.concatenate(agree) if agree else np.zeros(0)
+    most = math.ceil(max(0.0, math.log2(max(n, 1) / NEIGHBOURS)))
+    if not len(pairs):
+        return most
+    costs = [passes_for(n, threshold, k) * (ROW_COST + n / 2 * float((pairs**k).mean())) for k in range(min(MOST_SIGNS, 2 * most) + 1)]
+    return int(np.argmin(costs))
+
+
 def planes(turn: int, dimension: int) -> np.ndarray:
     return np.random.default_rng([turn, dimension]).normal(size=(dimension, 64))
 
@@ -49,28 +67,28 @@ def unit(raw: list[bytes], kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def window_links(x: np.ndarray, threshold: float, fresh_from: int = 0, groups: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links between rows at most NEIGHBOURS apart that join something; pairs before ``fresh_from`` are left out."""
-    n, out = len(x), []
-    parent = list(range(n))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for a in range(0, n, 64):
-        b = min(n, a + 64)
-        rest = x[a : min(n, b + NEIGHBOURS)]
-        near = np.argwhere(x[a:b] @ rest.T >= threshold)
-        near = near[(near[:, 1] > near[:, 0]) & (near[:, 1] - near[:, 0] <= NEIGHBOURS)] + a
-        for i, j in near.tolist():
-            if j >= fresh_from and (groups is None or groups[i] == groups[j]):
-                p, q = find(i), find(j)
-                if p != q:
-                    parent[q] = p
-                    out.append((i, j))
+def key_links(x: np.ndarray, keys: np.ndarray, threshold: float, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join something between rows with one key, which stand together; with ``sides`` only between two sides."""
+    n, step, out = len(x), 256, []
+    label = np.arange(n)
+    for a in range(0, n, step):
+        last = keys[min(n, a + step) - 1]
+        for b in range(a, n, step):
+            if b > a and keys[b] != last:
+                break
+            p, q = slice(a, a + step), slice(b, b + step)
+            hit = (x[p] @ x[q].T >= threshold) & (keys[p][:, None] == keys[q][None, :])
+            if sides is not None:
+                hit &= sides[p][:, None] != sides[q][None, :]
+            while True:
+                left = hit & (label[p][:, None] != label[q][None, :])
+                rows = np.flatnonzero(left.any(axis=1))
+                if not len(rows):
+                    break
+                for i, j in zip((rows + a).tolist(), (left[rows].argmax(axis=1) + b).tolist(), strict=True):
+                    if label[i] != label[j]:
+                        label[label == label[j]] = label[i]
+                        out.append((i, j))
     return out
 
 
@@ -102,7 +120,10 @@ def _vectors(table_: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame
 def linked(vectors: DataFrame, kind: str, threshold: float) -> DataFrame:
     """(a, b): verified links found by the passes, enough of them to hold every component together."""
     spark, n = vectors.sparkSession, vectors.count()
-    turns = passes_for(n, threshold)
+    # at most SAMPLE vectors, the lowest in a hash of the id
+    some = vectors.orderBy(F.xxhash64("id", F.lit("density"))).limit(SAMPLE).select("vec", "dim").toPandas()
+    signs = signs_for(n, threshold, [unit(g["vec"].tolist(), kind) for _, g in some.groupby("dim")])
+    turns = passes_for(n, threshold, signs)
     parts = max(1, n * turns // TASK_ROWS)
     id_type = vectors.schema["id"].dataType.simpleString()
 
@@ -114,8 +135,8 @@ def linked(vectors: DataFrame, kind: str, threshold: float) -> DataFrame:
                 mine = batch.filter(pa.array(dims == dim))
                 x = unit(mine.column("vec").to_pylist(), kind)
                 for turn in range(turns):
-                    bits = (x @ planes(turn, int(dim)) > 0).astype(np.uint64)
-                    key = (bits * weights[::-1]).sum(axis=1, dtype=np.uint64).view(np.int64)
+                    bits = (x @ planes(turn, int(dim))[:, :signs] > 0).astype(np.uint64)
+                    key = (bits * weights[:signs]).sum(axis=1, dtype=np.uint64).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), turn, dtype=np.int32)), pa.array(key), *[mine.column(c) for c in ("id", "vec", "dim")]],
                         names=["turn", "key", "id", "vec", "dim"],
@@ -124,70 +145,74 @@ def linked(vectors: DataFrame, kind: str, threshold: float) -> DataFrame:
     laid = vectors.mapInArrow(project, f"turn int, key long, id {id_type}, vec binary, dim int").repartitionByRange(parts, "turn", "dim", "key", "id").sortWithinPartitions(
         "turn", "dim", "key", "id"
     )
-    schema = f"part int, tail boolean, nth int, a {id_type}, b {id_type}, turn int, dim int, vec binary"
+    schema = f"part int, a {id_type}, b {id_type}, turn int, dim int, key long, vec binary"
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        carry: pa.Table | None = None
-        head_left = NEIGHBOURS
+        held: list[pa.RecordBatch] = []
+        first = True
 
-        def rows(tail: bool, nth: int, t: pa.Table) -> pa.RecordBatch:
+        def edge(t: pa.Table) -> pa.RecordBatch:
             m = t.num_rows
             return pa.RecordBatch.from_arrays(
-                [pa.array([part] * m, pa.int32()), pa.array([tail] * m, pa.bool_()), pa.array(range(nth, nth + m), pa.int32()), t.column("id").combine_chunks(),
-                 pa.nulls(m, t.schema.field("id").type), t.column("turn").combine_chunks(), t.column("dim").combine_chunks(), t.column("vec").combine_chunks()],
-                names=["part", "tail", "nth", "a", "b", "turn", "dim", "vec"],
+                [pa.array([part] * m, pa.int32()), t.column("id").combine_chunks(), pa.nulls(m, t.schema.field("id").type), *[t.column(c).combine_chunks() for c in ("turn", "dim", "key", "vec")]],
+                names=["part", "a", "b", "turn", "dim", "key", "vec"],
             )
 
-        for batch in batches:
-            if not batch.num_rows:
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                held.append(batch)
+            if not held:
                 continue
-            new = pa.Table.from_batches([batch])
-            if head_left:
-                first = new.slice(0, head_left)
-                yield rows(False, NEIGHBOURS - head_left, first)
-                head_left -= first.num_rows
-            whole = new if carry is None else pa.concat_tables([carry, new])
-            old = 0 if carry is None else carry.num_rows
-            groups = whole.column("turn").to_numpy().astype(np.int64) << 32 | whole.column("dim").to_numpy()
-            ids = whole.column("id").combine_chunks()
-            for g in np.unique(groups):
-                at = np.flatnonzero(groups == g)
-                x = unit(whole.column("vec").take(pa.array(at)).to_pylist(), kind)
-                links = window_links(x, threshold, int(np.searchsorted(at, old)))
+            whole = pa.Table.from_batches(held)
+            names = [whole.column(c).to_numpy() for c in ("turn", "dim", "key")]
+            new = np.flatnonzero(np.any([v[1:] != v[:-1] for v in names], axis=0)) + 1
+            end = whole.num_rows if batch is None else int(new[-1]) if len(new) else 0
+            held = whole.slice(end).to_batches()
+            if not end:
+                continue
+            start_of_last = int(new[-1]) if len(new) else 0
+            if first:
+                to = int(new[0]) if len(new) else end
+                yield edge(whole.slice(0, to))
+                if batch is None and to < end:
+                    yield edge(whole.slice(start_of_last))
+            elif batch is None:
+                yield edge(whole.slice(start_of_last))
+            first = False
+            keys = np.zeros(whole.num_rows, dtype=np.int64)
+            keys[new] = 1
+            keys, ids = np.cumsum(keys)[:end], whole.column("id").combine_chunks()
+            for dim in np.unique(names[1][:end]):
+                at = np.flatnonzero(names[1][:end] == dim)
+                links = key_links(unit(whole.column("vec").take(pa.array(at)).to_pylist(), kind), keys[at], threshold)
                 if links:
                     i, j = (pa.array(at[list(side)]) for side in zip(*links, strict=True))
-                    m = len(links)
+                    m, none = len(links), pa.int32()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(m, pa.int32()), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int32()), ids.take(i), ids.take(j), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, batch.schema.field("vec").type)],
-                        names=["part", "tail", "nth", "a", "b", "turn", "dim", "vec"],
+                        [pa.nulls(m, none), ids.take(i), ids.take(j), pa.nulls(m, none), pa.nulls(m, none), pa.nulls(m, pa.int64()), pa.nulls(m, whole.schema.field("vec").type)],
+                        names=["part", "a", "b", "turn", "dim", "key", "vec"],
                     )
-            carry = whole.slice(max(0, whole.num_rows - NEIGHBOURS))
-        if carry is not None:
-            yield rows(True, 0, carry)
 
     swept = cut_lineage(laid.mapInArrow(sweep, schema), "swept")
     inside = swept.where("part is null").select("a", "b")
-    edge = swept.where("part is not null")
-    # the task after a task: one row for each task
-    filled = edge.select("part").distinct()
-    before = filled.select("part", F.lag("part").over(Window.orderBy("part")).alias("before"))
-    seams = edge.where("tail").select(F.col("part").alias("seam"), F.lit(0).alias("side"), "nth", "a", "turn", "dim", "vec").unionByName(
-        edge.where("not tail").join(before.where("before is not null"), "part").select(F.col("before").alias("seam"), F.lit(1).alias("side"), "nth", "a", "turn", "dim", "vec")
+    # keys in several tasks: every two tasks' rows of a key meet
+    edge = swept.where("part is not null").select("part", F.col("a").alias("id"), "turn", "dim", "key", "vec")
+    spread = edge.groupBy("turn", "dim", "key").agg(F.array_sort(F.collect_set("part")).alias("all")).where(F.size("all") > 1)
+    met = edge.join(spread, ["turn", "dim", "key"]).withColumn("other", F.explode("all")).where("other <> part").select(
+        "turn", "dim", "key", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "id", "vec"
     )
 
     def join_seam(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "nth"], kind="stable").reset_index(drop=True)
-        out = []
-        for _, part in rows.groupby(["turn", "dim"], sort=True):
-            links = window_links(unit(part["vec"].tolist(), kind), threshold, int((part["side"] == 0).sum()))
-            ids = part["a"].tolist()
-            out.extend((ids[i], ids[j]) for i, j in links)
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    across = seams.groupBy("seam").applyInPandas(join_seam, f"a {id_type}, b {id_type}")
+        ids, same = rows["id"].tolist(), np.zeros(len(rows), dtype=np.int64)
+        links = key_links(unit(rows["vec"].tolist(), kind), same, threshold, rows["part"].to_numpy())
+        return pd.DataFrame([(ids[i], ids[j]) for i, j in links], columns=["a", "b"])
+
+    across = met.groupBy("turn", "dim", "key", "x", "y").applyInPandas(join_seam, f"a {id_type}, b {id_type}")
     return inside.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
