@@ -48,6 +48,31 @@ def test_host_votes_decide(spark, monkeypatch, limit):
     assert got[10] == "brief" and got[0] == ("long text " * 20).strip()
 
 
+def test_two_templates_on_one_host(spark):
+    long, other = "long text " * 20, "other text " * 20
+    first = f"<html><body><main><article><p>{long}</p></article></main><div class=box><p>box</p></div></body></html>"
+    second = f"<html><body><div class=story><p>{other}</p></div><div class=box><p>box</p></div><main><article><p>tiny</p></article></main></body></html>"
+    third = f"<html><body><div class=story><p>{other}</p></div><div class=box><p>box</p></div></body></html>"
+    rows = [(i, f"http://h/{i}", first) for i in range(12)] + [(20 + i, f"http://h/{i}", (second, third)[i % 2]) for i in range(4)]
+    got = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
+    assert set(got[i] for i in range(12)) == {long.strip()}
+    assert {got[i] for i in range(20, 24)} == {other.strip()}
+
+
+PART = "<p>" + "words of a part " * 20 + "</p>"
+
+
+@pytest.mark.parametrize("source", [
+    f"<body><article><h1>Title</h1><p>lead</p><section>{PART}</section><section>{PART}</section></article><div>box</div></body>",
+    f"<body><article><h1>Title</h1><p>lead</p><table><tr><td>{PART}</td><td>{PART}</td></tr></table></article><div>box</div></body>",
+    f"<body><div class=page><h1>Title</h1><p>lead</p><div class=part>{PART}</div><div class=part>{PART}</div></div><div>box</div></body>",
+])
+def test_titles_and_leads_stay_with_divided_articles(source):
+    page = Page(source)
+    for paths in ([], [page.best()[0][0]]):
+        assert page.text(paths).split("\n\n") == ["Title", "lead", *["words of a part " * 19 + "words of a part"] * 2]
+
+
 def test_edges(spark):
     rows = [(1, None, None), (2, "nonsense", ""), (None, "http://a.b/", PAGE), (4, "http://a.b/", PAGE), (4, "http://a.b/", PAGE), (5, "http://c/", "<p>" + "wörd " * 100_000)]
     got = extract(pages(spark, rows)).collect()

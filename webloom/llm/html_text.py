@@ -4,9 +4,11 @@
    and the like are left out by tag, role, class and id. Each container is scored by the text of its blocks
    that is not link text, half of which counts for its parent container too.
 2. A container's place is generalised to a path of tags with their classes, digits taken out. Each page votes
-   for its best paths; votes are summed per (host, path) in Spark, and the best supported paths of a host win.
-3. Every page is read again, and the blocks below its host's first winning path that the page has are its
-   text. A page that has none of these paths is read by its own best container.
+   for its best paths but not for what is around the best of them; votes are summed per (host, path) in Spark, and the best
+   supported paths of a host win: the first, and those that are the best of two pages at least (further templates).
+3. Every page is read again by its own best path if that has won, else by its host's first winning path that the
+   page has, else by its own best container. If the path occurs several times on the page, the container common to all is read, and
+   if it lies in an article or main, the whole of that.
 """
 
 from __future__ import annotations
@@ -184,16 +186,39 @@ class Page:
         for node, value in self.scores().items():
             by_path[self.paths[node]] = by_path.get(self.paths[node], 0.0) + value
         total = sum(by_path.values())
-        ranked = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
-        return [(p, v / total) for p, v in ranked]
+        ranked = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))
+        # what is around the best path would gather the votes of all templates
+        return [(p, v / total) for p, v in ranked if p == ranked[0][0] or not ranked[0][0].startswith(f"{p}/")][:VOTES]
+
+    def _top(self, nodes: list[int]) -> int:
+        """The container common to ``nodes``, or the article or main that it lies in."""
+        def line(node: int) -> list[int]:
+            out = []
+            while node >= 0:
+                out.append(node)
+                node = self.parents[node]
+            return out[::-1]
+
+        common = line(nodes[0])
+        for node in nodes[1:]:
+            common = [a for a, b in zip(common, line(node), strict=False) if a == b]
+        return next((n for tag in ("article", "main") for n in reversed(common) if self.tags[n] == tag), common[-1])
 
     def text(self, paths: list[str]) -> str:
-        """Text below the first of ``paths`` that holds any, else below the page's own best container."""
-        for path in [*paths, *[p for p, _ in self.best()[:1]]]:
-            inside = [p == path or p.startswith(f"{path}/") for p in self.paths]
-            got = [t for node, t, _ in self.blocks if inside[node]]
-            if got:
-                return "\n\n".join(got)
+        """Text below the page's own best path if it is one of ``paths``, else the first of them that holds any, else the own best."""
+        own = [p for p, _ in self.best()[:1]]
+        for path in [*[p for p in own if p in paths], *paths, *own]:
+            holds = [False] * len(self.paths)
+            for node, *_ in self.blocks:
+                while node >= 0 and not holds[node]:
+                    holds[node] = True
+                    node = self.parents[node]
+            nodes = [n for n, p in enumerate(self.paths) if p == path and holds[n]]
+            if nodes:
+                top, inside = self._top(nodes), [False] * len(self.paths)
+                for n in range(top, len(self.paths)):
+                    inside[n] = n == top or self.parents[n] >= 0 and inside[self.parents[n]]
+                return "\n\n".join(t for node, t, _ in self.blocks if inside[node])
         return ""
 
 
@@ -208,24 +233,25 @@ def vote(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Data
 
     def ballots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, paths, shares = [], [], []
+            at, paths, shares, firsts = [], [], [], []
             for i, source in enumerate(batch.column("html")):
-                for path, share in Page(source.as_py() or "").best():
+                for nth, (path, share) in enumerate(Page(source.as_py() or "").best()):
                     at.append(i)
                     paths.append(path)
                     shares.append(share)
+                    firsts.append(nth == 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host").take(pa.array(at, pa.int64())), pa.array(paths, pa.string()), pa.array(shares, pa.float64())],
-                names=["host", "path", "share"],
+                [batch.column("host").take(pa.array(at, pa.int64())), pa.array(paths, pa.string()), pa.array(shares, pa.float64()), pa.array(firsts, pa.bool_())],
+                names=["host", "path", "share", "first"],
             )
 
     cast = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html")).mapInArrow(
-        ballots, "host string, path string, share double"
+        ballots, "host string, path string, share double, first boolean"
     )
     # sums of decimals do not depend on the order of the rows
-    votes = cast.groupBy("host", "path").agg(F.sum(F.col("share").cast("decimal(18,9)")).alias("votes"))
+    votes = cast.groupBy("host", "path").agg(F.sum(F.col("share").cast("decimal(18,9)")).alias("votes"), F.sum(F.col("first").cast("long")).alias("firsts"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
-    ranked = votes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= WINNERS)
+    ranked = votes.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= WINNERS) & ((F.col("rank") == 1) | (F.col("firsts") > 1)))
     return ranked.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path"))).alias("_l")).select(
         "host", F.transform("_l", lambda x: x["path"]).alias("paths")
     )
