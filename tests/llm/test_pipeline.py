@@ -6,6 +6,7 @@ import corpus_pipeline
 import pytest
 from webloom.llm import mixing, near_dedup, toxicity
 from webloom.llm.common import held_out
+from webloom.session import cut_lineage
 
 from .helpers import SF, documents, load
 from .test_near_dedup import brute_groups
@@ -13,9 +14,9 @@ from .test_near_dedup import brute_groups
 
 @pytest.fixture(scope="module")
 def stages(spark):
-    docs, out = load(spark, "documents").cache(), []
+    docs, out = load(spark, "documents"), []
     for _, stage in corpus_pipeline.STAGES:
-        left = stage(spark, docs, SF).cache()
+        left = cut_lineage(stage(spark, docs, SF), "stage")
         out.append((docs, left))
         docs = left
     return out
