@@ -17,6 +17,11 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
     "op9": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op10": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
+    "op11": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string", "formatted_chars": "bigint"},
+    "op12": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
+    "op13": {
+        "doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output_sha256": "string", "restored_sha256": "string",
+    },
 }
 
 
@@ -30,7 +35,8 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF).toPandas()
     want = con.execute(ORACLES[name]).df()[list(got.columns)]
     a, b = (x.sort_values(list(x.columns)).round(6).reset_index(drop=True) for x in (got, want))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from webloom.llm import embedding_dedup, exact_dedup, html_text, language, mixing, near_dedup, packing, repeats, sharding, toxicity
+from webloom.llm import (
+    chat_format, embedding_dedup, exact_dedup, fill_in_middle, html_text, language, mixing, near_dedup, packing, repeats, sharding, target_resampling, toxicity,
+)
 
 QUERIES = {
     "op1_language_id": language.query,
@@ -15,9 +17,15 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_html_text": html_text.query,
     "op10_sharding": sharding.query,
+    "op11_chat_format": chat_format.query,
+    "op12_target_resampling": target_resampling.query,
+    "op13_fill_in_middle": fill_in_middle.query,
 }
 
 ORACLES = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op8_mixing": mixing.SQL,
+    "op11_chat_format": chat_format.SQL,
+    "op12_target_resampling": target_resampling.SQL,
+    "op13_fill_in_middle": fill_in_middle.SQL,
 }
