@@ -67,7 +67,7 @@ def family(rng, size, pairs, words=400):
     return [(i, " ".join(w)) for i, w in rows]
 
 
-@pytest.mark.parametrize("limits", [{}, {"PART": 12, "BLOCK": 40, "AT_ONCE": 6_000}])
+@pytest.mark.parametrize("limits", [{}, {"PART": 12, "BLOCK": 40}, {"BLOCK_BYTES": 30_000}])
 def test_pairs_in_a_family_that_is_not_linked(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(near_dedup, name, value)
@@ -87,9 +87,24 @@ def test_strangers_of_a_bucket_are_all_compared(spark, monkeypatch, part):
     signed = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sketch)], "id long, sketch binary")
     shared = signed.selectExpr("id", "1L as key")
     groups = spark.createDataFrame([(0, 0), (1, 0)], "id long, component long")
+    # pairs 2k, 2k + 1 are alike for even k only, and all others have nothing in common
+    texts = [" ".join(f"t{i // 2 if i // 2 % 2 == 0 else i}w{j}" for j in range(60)) + f" last{i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     monkeypatch.setattr(near_dedup, "BLOCK", part)
-    got = near_dedup.open_pairs(shared, signed, groups).collect()
-    assert sorted((r.a, r.b) for r in got) == [(i, i + 1) for i in range(2, 60, 2)] and min(r.alike for r in got) >= 0.625
+    idf = np.ones(near_dedup.BUCKETS, dtype=np.float32)
+    got = near_dedup.open_links(shared, signed, groups, docs, idf, 0.8).collect()
+    assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in got) == [(i, i + 1) for i in range(4, 60, 4)]
+
+
+def test_links_of_a_block_are_fewer_than_its_rows(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(300)) + f" own{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    signed = docs.selectExpr("id", f"unhex(repeat('00', {near_dedup.SAMPLES})) as sketch")
+    shared = docs.selectExpr("id", "explode(array(1L, 2L)) as key")
+    none = spark.createDataFrame([], "id long, component long")
+    idf = np.ones(near_dedup.BUCKETS, dtype=np.float32)
+    got = near_dedup.open_links(shared, signed, none, docs, idf, 0.8)
+    assert got.count() == 2 * 199 and components(got).select("component").distinct().count() == 1
 
 
 def test_words_as_python_sees_them():

@@ -8,12 +8,11 @@
    of their weighted Jaccard similarity. Samples are banded; documents that agree in a band meet in a bucket.
 4. In a bucket, documents gather around leaders by their estimated similarity. A large bucket is dealt into parts first, whose
    leaders then meet in the same way, round by round, so no task holds a whole large bucket and no bucket makes all its pairs.
-5. Pairs are verified by the weighted Jaccard similarity of the whole texts; verified links are unioned to groups. A pair that
-   would not join anything new is not verified again.
+5. The likest pair of every document is verified by the weighted Jaccard similarity of the whole texts; verified links are unioned to groups.
 6. Leaders only find most of the links cheaply. Every bucket that still holds documents of different groups is then compared
-   whole, block by block in many tasks, and every pair of different groups with a high enough estimate is verified too, the likest
-   first. So which pairs are verified does not depend on who leads; the work grows with the square of the documents of a bucket that are alike
-   but not linked.
+   whole, block by block in many tasks: all pairs of different groups with a high enough estimate are verified there, on the
+   features of the block, and only links that join two groups leave the task. So no link depends on who leads and no table of pairs is made; the
+   work, but not its output, grows with the square of the documents of a bucket that are alike but not linked.
 
 Documents with one and the same sequence of words are one document in steps 3 to 6.
 """
@@ -42,7 +41,7 @@ ESTIMATE = 0.6  # samples in common from which a pair is verified: 3.9 standard
 TIES = 4  # leaders a document is tied to in a bucket at first; what they miss is compared whole later
 PART = 4_096  # documents of a bucket in one part
 BLOCK = 2_048  # documents of a bucket that are compared whole with those of another block
-AT_ONCE = 1 << 18  # pairs verified before groups are named anew
+BLOCK_BYTES = 1 << 24  # and about the text of these
 CHUNK = 1 << 20  # bytes of text worked on at once
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -344,7 +343,7 @@ def candidate_pairs(signed: DataFrame, shared: DataFrame) -> DataFrame:
         if large.isEmpty():
             break
         again = round_.where("leader is null").join(large, "key")
-        # parts that hold mostly strangers are dealt by further samples, each time later ones, so this ends; open_pairs compares what is left
+        # parts that hold mostly strangers are dealt by further samples, each time later ones, so this ends; open_links compares what is left
         left = again.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
         marked = again.join(left, "key").withColumn("strange", F.col("m") > F.col("n") * 0.9)
         further = F.when(
@@ -359,35 +358,90 @@ def candidate_pairs(signed: DataFrame, shared: DataFrame) -> DataFrame:
     return found.groupBy("a", "b").agg(F.max("alike").alias("alike"))
 
 
-def open_pairs(shared: DataFrame, sketches: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a, b, alike), a < b: all pairs of a bucket that are in different ``groups`` and estimated to be alike.
-
-    Large buckets are dealt into blocks, and every two blocks meet in a task of their own; none is cut.
+def _block_features(texts: pa.ChunkedArray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """(first places, feature numbers, weights, total weights, number of features) of the texts of a block, features numbered across them."""
+    owners, hashes, weights = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.float32)]
+    rows = 0
+    for part in texts.chunks:
+        for at, data, ends in _chunks(part):
+            words, owner = words_of(data, ends)
+            h, of, mean = shingles_of(words, owner, idf)
+            h, of, w = weighted(h, of, mean)
+            owners.append(of + rows + at)
+            hashes.append(h)
+            weights.append(w)
+        rows += len(part)
+    owner, weight = np.concatenate(owners), np.concatenate(weights)
+    names, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    starts = np.searchsorted(owner, np.arange(rows + 1))
+    total = np.bincount(owner, weight, minlength=rows)
+    return starts, number, weight, total, len(names)
+
+
+def _joining(rows: pa.Table, idf: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links of a block that join what is still apart: candidates by their sketches, verified by the weighted Jaccard similarity
+    of the whole texts. One union of the block's groups tells what is apart, so there are fewer links than rows."""
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
+    root = rows.column("own").combine_chunks().dictionary_encode().indices.to_numpy().copy()
+    block, within = rows.column("block").to_numpy(), rows.column("x")[0].as_py() == rows.column("y")[0].as_py()
+    features, links = None, []
+    for i in range(len(root) - 1):
+        # in a block all that follow, else those of the other block
+        open_ = root[i + 1 :] != root[i]
+        if not within:
+            open_ &= block[i + 1 :] != block[i]
+        near = np.flatnonzero(open_) + i + 1
+        if len(near):
+            near = near[(sketch[near] == sketch[i]).sum(axis=1) >= ESTIMATE * SAMPLES]
+        if not len(near):
+            continue
+        if features is None:
+            features = _block_features(rows.column("text"), idf)
+            starts, number, weight, total, size = features
+            mine = np.zeros(size, dtype=np.float32)
+        own = slice(starts[i], starts[i + 1])
+        # the lighter text holds at most its whole weight in common
+        near = near[np.minimum(total[near], total[i]) >= similarity * np.maximum(total[near], total[i]) * (1 - 1e-6)]
+        if not len(near) or not total[i]:
+            continue
+        mine[number[own]] = weight[own]
+        sizes = starts[near + 1] - starts[near]
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(starts[near] - first, sizes)
+        low = np.add.reduceat(np.minimum(mine[number[at]], weight[at]), first, dtype=np.float64)
+        mine[number[own]] = 0
+        for j in near[low / (total[i] + total[near] - low) >= similarity]:
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                links.append((i, int(j)))
+    return links
+
+
+def open_links(shared: DataFrame, sketches: DataFrame, groups: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """(a, b): links between different ``groups`` among all documents that share a bucket, such that groups and links have
+    the components that all links would have.
+
+    Buckets that hold several groups are dealt into blocks of at most BLOCK documents and about BLOCK_BYTES of text, and every two
+    blocks meet in a task of their own; none is cut. Pairs are compared inside the task, and what leaves it is less than a row per document.
     """
     named = shared.join(groups, "id", "left").select("id", "key", F.coalesce("component", "id").alias("own"))
-    mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("_low"), F.max("own").alias("_high")).where("_low <> _high")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    dealt = named.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
-    met = dealt.join(sketches, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "id", "own", "sketch", "block", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
-    )
+    mixed = named.groupBy("key").agg(F.min("own").alias("_low"), F.max("own").alias("_high")).where("_low <> _high").select("key")
+    open_ = cut_lineage(named.join(mixed, "key"), "open")
+    wanted = small_side(cut_lineage(open_.select("id").distinct(), "wanted"))
+    texts = cut_lineage(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]).join(sketches, "id").select("id", "sketch", "text"), "texts")
+    lengths = texts.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    sizes = open_.join(lengths, "id").groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = open_.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "id", "own", "block", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    ).join(texts, "id")
     id_type = shared.schema["id"].dataType.simpleString()
+    known = shared.sparkSession.sparkContext.broadcast(idf)  # BUCKETS numbers
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
-        own = rows.column("own").combine_chunks().dictionary_encode().indices.to_numpy()
-        block, x, y = (rows.column(c).to_numpy() for c in ("block", "x", "y"))
-        left, right, alike = [], [], []
-        for i in range(len(block) - 1):
-            # in a block all that follow, else those of the other block
-            same = (sketch[i + 1 :] == sketch[i]).sum(axis=1)
-            near = np.flatnonzero((same >= ESTIMATE * SAMPLES) & (own[i + 1 :] != own[i]) & ((x[0] == y[0]) | (block[i + 1 :] != block[i])))
-            left.append(np.full(len(near), i))
-            right.append(near + i + 1)
-            alike.append(same[near] / SAMPLES)
+        links = _joining(rows, known.value, similarity)
         ids = rows.column("id").combine_chunks()
-        sides = [ids.take(pa.array(np.concatenate(v))) for v in (left, right)]
-        return pa.RecordBatch.from_arrays([*sides, pa.array(np.concatenate(alike))], names=["a", "b", "alike"])
+        return pa.RecordBatch.from_arrays([ids.take(pa.array([p[k] for p in links], pa.int64())) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -408,8 +462,7 @@ def open_pairs(shared: DataFrame, sketches: DataFrame, groups: DataFrame) -> Dat
             held = whole.slice(bounds[-1]).to_batches()
 
     laid = met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    got = laid.mapInArrow(run, f"a {id_type}, b {id_type}, alike double")
-    return got.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("alike").alias("alike"))
+    return laid.select("key", "x", "y", "id", "own", "block", "sketch", "text").mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
 def features_of(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -468,45 +521,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = cut_lineage(first, "distinct")
     same = signed.select("words", F.col("id").alias("copy")).join(first.select("words", "id"), "words").select(F.col("id").alias("a"), F.col("copy").alias("b"))
     shared = cut_lineage(shared_buckets(first), "shared")
-    pairs = cut_lineage(candidate_pairs(first, shared), "pairs")
-
-    def texts_of(some: DataFrame) -> DataFrame:
-        wanted = small_side(cut_lineage(some.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted"))
-        return cut_lineage(
-            known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts"
-        )
-
-    texts = texts_of(pairs)
-    # first the likest partner of every document, then only pairs that would join two groups
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a"))
-    links = cut_lineage(verified(best.select("a", "b"), texts, idf, similarity), "verified")
-    joined = cut_lineage(components(links.select("a", "b")), "joined")
-
-    def apart(some: DataFrame, groups: DataFrame) -> DataFrame:
-        ga, gb = (groups.select(F.col("id").alias(c), F.col("component").alias(f"g{c}")) for c in "ab")
-        return some.join(ga, "a", "left").join(gb, "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
-
-    rest = apart(pairs.join(best, ["a", "b"], "left_anti"), joined)
-    more = cut_lineage(verified(rest, texts, idf, similarity), "verified")
-    every = links.select("a", "b").unionByName(more.select("a", "b")).unionByName(same)
-    groups = cut_lineage(components(every), "groups")
-
-    # then all pairs of a bucket that are still apart, whoever led it
-    left = cut_lineage(open_pairs(shared, first.select("id", "sketch"), groups).join(pairs, ["a", "b"], "left_anti"), "open")
-    levels = left.groupBy("alike").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("alike")).collect()  # at most SAMPLES rows
-    if levels:
-        texts = texts_of(left)
-    while levels:
-        high, low, n = levels[0]["alike"], levels[0]["alike"], levels.pop(0)["n"]
-        while levels and n + levels[0]["n"] <= AT_ONCE:
-            low, n = levels[0]["alike"], n + levels.pop(0)["n"]
-        runs = -(-n // AT_ONCE)
-        for run in range(runs):
-            some = left.where(F.col("alike").between(low, high) & (F.pmod(F.xxhash64("a", "b"), F.lit(runs)) == run))
-            more = cut_lineage(verified(apart(some, groups), texts, idf, similarity).select("a", "b"), "verified")
-            if not more.isEmpty():
-                every = every.unionByName(more)
-                groups = cut_lineage(components(every), "groups")
+    pairs = candidate_pairs(first, shared)
+
+    # first the likest partner of every document, then all that share a bucket and are still apart, whoever led it
+    best = cut_lineage(pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b"), "best")
+    plain = known.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    wanted = small_side(cut_lineage(best.select(F.col("a").alias("id")).unionByName(best.select(F.col("b").alias("id"))).distinct(), "wanted"))
+    texts = cut_lineage(plain.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    links = cut_lineage(verified(best, texts, idf, similarity).select("a", "b"), "verified")
+    groups = cut_lineage(components(links.unionByName(same)), "groups")
+    more = cut_lineage(open_links(shared, first.select("id", "sketch"), groups, plain, idf, similarity), "joining")
+    if not more.isEmpty():
+        groups = cut_lineage(components(links.unionByName(same).unionByName(more)), "groups")
     sizes = signed.select("id").join(groups, "id").groupBy("component").agg(F.count(F.lit(1)).alias("group_size"))
     named = groups.join(sizes, "component").withColumnRenamed("id", "_id")
     out = docs.select(F.col(id_col).alias("doc_id")).join(named, F.col("doc_id") == F.col("_id"), "left")
