@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from webloom.llm import html_text
@@ -45,7 +46,7 @@ def test_host_votes_decide(spark, monkeypatch, limit):
     rows = [(i, f"http://www.h.com/{i}", usual.format("long text " * 20)) for i in range(9)] + [(10, "https://h.com:80/x", odd.format("longer text " * 20))]
     assert [(r.host, r.paths[0]) for r in vote(pages(spark, rows)).collect()] == [("h.com", "/body/div.story")]
     got = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
-    assert got[10] == "brief" and got[0] == ("long text " * 20).strip()
+    assert got[10] == ("longer text " * 20).strip() and got[0] == ("long text " * 20).strip()
 
 
 def test_two_templates_on_one_host(spark):
@@ -59,6 +60,38 @@ def test_two_templates_on_one_host(spark):
     assert {got[i] for i in range(20, 24)} == {other.strip()}
 
 
+def test_many_templates_on_one_host(spark):
+    rows = [
+        (10 * k + i, f"http://h/{k}/{i}", f"<body><div class=box><p>box box</p></div><div class=kind-{'abcdefgh'[k]}><p>{f'text {k} ' * 30}</p></div><div>foot</div></body>")
+        for k in range(8) for i in range(9 - k)
+    ]
+    got = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
+    assert got == {i: f"text {i // 10} " * 29 + f"text {i // 10}" for i, *_ in rows}
+
+
+@pytest.mark.parametrize("name, kept", [
+    *[(n, True) for n in ("content has-sidebar", "no-comments", "with-banner", "related-to-x", "article-tags", "share-price-report", "sidebar", "byline")],
+    *[(n, False) for n in ("comments", "comment-list", "disqus")],
+])
+def test_names_of_containers(name, kept):
+    text = Page(f'<body><p>little</p><div class="{name}"><p>{"the article itself " * 30}</p></div></body>').text([])
+    assert ("the article itself" in text) == kept
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "sidebar-left", "cookie-banner", "newsletter-signup", "related-posts", "share-buttons", "ad", "ad-slot-2", "user-comments"])
+def test_names_of_what_is_no_article(name):
+    source = f'<body><div class=story><p>{"the article itself " * 30}</p><div class="{name}"><p>not the article</p></div></div></body>'
+    assert Page(source).text([]) == ("the article itself " * 30).strip()
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a '", '<a b="', "<a b=\"' ", "<", "<p x='>", '"<a>'])
+@pytest.mark.parametrize("end", ["", ">", '">', "'"])
+def test_broken_tags_take_linear_time(unit, end):
+    began = time.perf_counter()
+    Page("<p>text</p>" + unit * (400_000 // len(unit)) + end).text([])
+    assert time.perf_counter() - began < 5
+
+
 PART = "<p>" + "words of a part " * 20 + "</p>"
 
 

@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check(got, docs, tokenizer, capacity):
@@ -48,7 +46,7 @@ def test_blocks_and_islands(spark, tokenizer, monkeypatch):
 
 
 def test_edges(spark, tokenizer):
-    rows = [r for r in ODD if r[0] not in (None, 6)] + [(8, "<|endoftext|> stays text")]
+    rows = [r for r in ODD if r[0] not in (None, 6)] + [(8, "hello <|endoftext|> world"), (9, "<|endoftext|>"), (10, "a<|endoftext|><|endoftext|>b <|endoftext|"), (11, "  <|endoftext|>  x ")]
     check(packing.pack_documents(documents(spark, rows), PATH).toPandas(), rows, tokenizer, 1024)
     assert packing.pack_documents(documents(spark, ODD), PATH).where("doc_id = 6").count() == 2
     assert packing.pack_documents(documents(spark, []), PATH).count() == 0

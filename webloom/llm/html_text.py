@@ -6,8 +6,8 @@
 2. A container's place is generalised to a path of tags with their classes, digits taken out. Each page votes
    for its best paths but not for what is around the best of them; votes are summed per (host, path) in Spark, and the best
    supported paths of a host win: the first, and those that are the best of two pages at least (further templates).
-3. Every page is read again by its own best path if that has won, else by its host's first winning path that the
-   page has, else by its own best container. If the path occurs several times on the page, the container common to all is read, and
+3. Every page is read again by its own best path if that has won, else by its host's first winning path that holds at least half as much
+   of the page, else by its own best container (a template of its own). If the path occurs several times on the page, the container common to all is read, and
    if it lies in an article or main, the whole of that.
 """
 
@@ -30,10 +30,11 @@ BROADCAST_BYTES = 32 << 20
 SALTS = 64
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)", re.S
 )
+# The rest of an ordinary tag: it ends at the next "<" at the latest, matching or not.
+PLAIN_END = re.compile(r"(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>")
+END_OR_QUOTE = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "noscript", "template", "iframe", "xmp", "title")}
 SPACE = re.compile(r"\s+")
@@ -48,27 +49,58 @@ BREAKS = CONTAINERS | frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED_TAGS = frozenset("nav footer aside form menu dialog button select svg canvas object audio video head math".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-# Words of a class or id that mark what is not the article.
+# Names in a class or id that mark what is not the article: alone, or joined only with each other and with words that say where or how.
 SKIPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion promos banner cookie cookies consent gdpr "
     "notice notices notification notifications alert alerts disclaimer sidebar sidebars aside menu menus nav navbar navigation navi breadcrumb breadcrumbs "
     "pagination pager footer masthead topbar toolbar comment comments commentlist reply replies respond disqus discussion share sharing social related recommended recommendations "
-    "teaser teasers newsletter subscribe subscription signup login popup modal overlay paywall widget widgets skip copyright byline tags hidden".split()
+    "teaser teasers newsletter subscribe subscription signup login popup modal overlay paywall widget widgets skip copyright hidden".split()
+)
+#: Of these, what holds readers' comments, however long they are.
+COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+JOINED_NAMES = frozenset(
+    "site page main top bottom left right upper lower first second third primary secondary sub global mobile desktop fixed sticky floating outer inner wide small large big "
+    "box wrapper wrap container holder block area bar list item items section region panel pane column col row slot unit zone strip links link buttons button icons "
+    "form field posts post articles stories thread user reader notice message text js the and".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_SAME = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
+def marks_skipped(names: str) -> bool:
+    """Whether a class or id holds a name that is not the article's: ``sidebar``, ``site-footer``, but not ``has-sidebar`` or ``share-price``."""
+    for name in names.split():
+        parts = NAME.findall(name)
+        if not SKIPPED_NAMES.isdisjoint(parts) and all(p in SKIPPED_NAMES or p in JOINED_NAMES or p.isdigit() for p in parts):
+            return True
+    return False
+
+
 class Page:
-    """Blocks of a page, each with its container; containers with parent and generalised path."""
+    """Blocks of a page, each with its container; containers with parent and generalised path.
 
-    def __init__(self, source: str):
-        self.paths, self.parents, self.tags = [""], [-1], [""]
-        self.blocks: list[tuple[int, str, int]] = []  # (container, text, characters in links)
-        self._read(source)
+    A container that is left out for its class or id, but holds more than half of the page's text that is not link text, is
+    no menu or notice whatever its name (but for readers' comments): the page is then read again with it.
+    """
 
-    def _read(self, source: str) -> None:
-        stack: list[tuple[str, int, bool, bool]] = []  # (tag, container, skipped, in a header)
+    def __init__(self, source: str):
+        spared: set[int] = set()
+        while True:
+            self.paths, self.parents, self.tags = [""], [-1], [""]
+            self.blocks: list[tuple[int, str, int]] = []  # (container, text, characters in links)
+            left_out = self._read(source, spared)
+            kept = sum(max(0, len(t) - n) for _, t, n in self.blocks)
+            large = {at for at, n in left_out.items() if n > kept + sum(left_out.values()) - n}
+            if not large:
+                break
+            spared |= large
+
+    def _read(self, source: str, spared: set[int]) -> dict[int, int]:
+        """Read the page. Returns, for each place where a container was left out for its name, its characters outside links."""
+        left_out: dict[int, int] = {}
+        by_name = -1  # where the container left out for its name began
+        last_end, strict = source.rfind(">"), True
+        stack: list[tuple[str, int, bool, bool, int]] = []  # (tag, container, skipped, in a header, left out for its name)
         text: list[str] = []
         linked, in_link, at = 0, False, 0
         node, skipped, heading_only = 0, False, False
@@ -83,8 +115,8 @@ class Page:
             linked = 0
 
         def restore() -> None:
-            nonlocal node, skipped, heading_only
-            node, skipped, heading_only = stack[-1][1:] if stack else (0, False, False)
+            nonlocal node, skipped, heading_only, by_name
+            node, skipped, heading_only, by_name = stack[-1][1:] if stack else (0, False, False, -1)
 
         while True:
             found = TOKEN.search(source, at)
@@ -92,10 +124,31 @@ class Page:
             if piece and not skipped:
                 text.append(piece)
                 linked += len(piece) * in_link
+            elif piece and by_name >= 0 and not in_link:
+                left_out[by_name] += len(piece.strip())
             if not found:
                 break
             at = found.end()
             tag = found["tag"]
+            if tag is not None:
+                # the end of the tag; once the quotes of a page do not pair up, the next ">" ends any tag
+                plain = PLAIN_END.match(source, at) if last_end >= at else None
+                end = plain.end() if plain else at if last_end >= at else 0
+                while end and not plain:
+                    stop = END_OR_QUOTE.search(source, end) if strict else None
+                    close = source.find(stop[0], stop.end()) if stop and stop[0] != ">" else -1
+                    if close >= 0:
+                        end = close + 1
+                        continue
+                    strict = strict and stop is not None and stop[0] == ">"
+                    end = stop.end() if strict else source.find(">", at) + 1
+                    break
+                if not end:  # no tag
+                    if not skipped:
+                        text.append("<")
+                    at = found.start() + 1
+                    continue
+                attrs, at = source[at : end - 1], end
             if tag is None:
                 if found["cdata"] and not skipped:
                     text.append(html.escape(found["cdata"]))
@@ -122,20 +175,20 @@ class Page:
                 if not skipped:
                     text.append(" ")
                 continue
-            attrs = found["attrs"]
-            bad, classes = tag in SKIPPED_TAGS, ()
+            bad, classes, named = tag in SKIPPED_TAGS, (), False
             if attrs and not attrs.isspace():
                 given = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attrs)}
                 classes = sorted(set(DIGITS.sub("", html.unescape(given.get("class", "")).lower()).split()))
                 if tag not in ("html", "body", "article", "main"):
-                    names = NAME.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
                     style = given.get("style", "").replace(" ", "").lower()
                     bad = (
-                        bad or not SKIPPED_NAMES.isdisjoint(names) or given.get("role", "").lower() in SKIPPED_ROLES
+                        bad or given.get("role", "").lower() in SKIPPED_ROLES
                         or "hidden" in given or given.get("aria-hidden", "").lower() == "true" or "display:none" in style
                     )
-                elif tag == "article":
-                    bad = not {"comment", "comments", "reply", "ad", "advert", "sponsored", "teaser", "related"}.isdisjoint(NAME.findall(f"{given.get('class', '')} {given.get('id', '')}".lower()))
+                if tag not in ("html", "body", "main") and not bad:
+                    names = f"{given.get('class', '')} {given.get('id', '')}".lower()
+                    bad = found.start() not in spared and marks_skipped(names)
+                    named = bad and COMMENT_NAMES.isdisjoint(NAME.findall(names))
             if tag in VOID or attrs.endswith("/") and tag not in BREAKS:
                 if tag in BREAKS:
                     flush()
@@ -164,10 +217,15 @@ class Page:
                 self.paths.append(f"{self.paths[node]}/{name}")
                 self.tags.append(tag)
                 node = len(self.paths) - 1
+            if bad and not skipped:
+                by_name = found.start() if named else -1
+                if named:
+                    left_out[by_name] = 0
             skipped = skipped or bad
             heading_only = heading_only or tag == "header"
-            stack.append((tag, node, skipped, heading_only))
+            stack.append((tag, node, skipped, heading_only, by_name))
         flush()
+        return left_out
 
     def scores(self) -> dict[int, float]:
         """Score per container with text."""
@@ -180,11 +238,15 @@ class Page:
                 node, worth = self.parents[node], worth / 2
         return out
 
+    def _by_path(self) -> dict[str, float]:
+        out: dict[str, float] = {}
+        for node, value in self.scores().items():
+            out[self.paths[node]] = out.get(self.paths[node], 0.0) + value
+        return out
+
     def best(self) -> list[tuple[str, float]]:
         """Paths of the page, best first, with their share of the page's score."""
-        by_path: dict[str, float] = {}
-        for node, value in self.scores().items():
-            by_path[self.paths[node]] = by_path.get(self.paths[node], 0.0) + value
+        by_path = self._by_path()
         total = sum(by_path.values())
         ranked = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))
         # what is around the best path would gather the votes of all templates
@@ -205,9 +267,12 @@ class Page:
         return next((n for tag in ("article", "main") for n in reversed(common) if self.tags[n] == tag), common[-1])
 
     def text(self, paths: list[str]) -> str:
-        """Text below the page's own best path if it is one of ``paths``, else the first of them that holds any, else the own best."""
+        """Text below the page's own best path if it is one of ``paths``, else the first of them that scores at least half as much on
+        this page and does not lie around the own best path, else the own best."""
+        by_path = self._by_path()
         own = [p for p, _ in self.best()[:1]]
-        for path in [*[p for p in own if p in paths], *paths, *own]:
+        fit = [p for p in paths if by_path.get(p, 0.0) * 2 >= by_path[own[0]] and not own[0].startswith(f"{p}/")] if own else []
+        for path in [*[p for p in own if p in paths], *fit, *own]:
             holds = [False] * len(self.paths)
             for node, *_ in self.blocks:
                 while node >= 0 and not holds[node]:

@@ -47,7 +47,7 @@ def encoder(vocabulary: str):
     """The byte-level BPE of a tokenizer file as a callable text -> ids, loaded once in a process.
 
     The vocabulary and merges are those of the ``tokenizers`` JSON file; its ranks are handed to the tiktoken
-    engine, which gives the same ids several times faster. Special tokens in a text are ordinary text.
+    engine, which gives the same ids several times faster. An added token of the file that stands in a text gets its own id, as there.
     """
     if vocabulary not in _ENCODER:
         import json
@@ -60,18 +60,18 @@ def encoder(vocabulary: str):
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-        special = {x["content"] for x in made.get("added_tokens", [])}
+        special = {x["content"]: x["id"] for x in made.get("added_tokens", [])}
         ranks = {bytes(byte_of[c] for c in word): i for word, i in made["model"]["vocab"].items() if word not in special}
-        engine = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        engine = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         _ENCODER[vocabulary] = engine.encode_to_numpy
     return _ENCODER[vocabulary]
 
 
 def _encode(encode, text: str) -> np.ndarray:
     try:
-        return encode(text, allowed_special=set(), disallowed_special=())
+        return encode(text, allowed_special="all")
     except UnicodeEncodeError:  # a lone surrogate cannot come from Parquet; kept for other callers
-        return encode(text.encode("utf-16", "surrogatepass").decode("utf-16", "replace"), allowed_special=set(), disallowed_special=())
+        return encode(text.encode("utf-16", "surrogatepass").decode("utf-16", "replace"), allowed_special="all")
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
