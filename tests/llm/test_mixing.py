@@ -53,3 +53,17 @@ def test_order_of_one_source_is_whole_turns(spark):
     got = mix(documents(spark, [(i, "w " * (1 + i % 5), "en", "s") for i in range(50)])).toPandas()
     assert set(got.times) == {1}  # one source gets exactly its own words
     assert defaultdict(int, got.groupby("source_size").taken.sum().to_dict()) == {int(got["size"].sum()): got["size"].sum()}
+
+
+def test_repeated_rows_come_as_often_as_the_mix_says(spark):
+    other = [(100 + i, f"w{i} " * 10, "en", "abc"[i % 3]) for i in range(40)]
+    for repeats in (1, 2, 5, 7):
+        rows = [(5, "one text again and again", "en", "b")] * repeats + [(5, "one text again and again", "en", "c"), (None, "no id", "en", None), (None, "no id", "en", None)] + other
+        docs = documents(spark, rows).repartition(3)
+        want = Counter()
+        for r in mix(docs).collect():
+            want[(r.doc_id, r.source, r.text_hash)] += r.times
+        got = Counter((r.doc_id, r.source, r.h) for r in mixed_documents(docs).selectExpr("*", "xxhash64(text) as h").collect())
+        assert got == Counter({k: v for k, v in want.items() if v})
+    only = documents(spark, [(1, "a b c", "en", "s")] * 7)
+    assert mixed_documents(only).count() == sum(r.times for r in mix(only).collect()) == 7

@@ -39,5 +39,5 @@ def test_sql(spark, name):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF).toPandas()
     want = con.execute(ORACLES[name]).df()[list(got.columns)]
-    a, b = (x.sort_values(list(x.columns)).round(6).reset_index(drop=True) for x in (got, want))
+    a, b = (x.sort_values(list(x.columns)).round(6).convert_dtypes().reset_index(drop=True) for x in (got, want))
     assert a.astype(str).equals(b.astype(str))

@@ -71,7 +71,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns unchanged: one row for each text."""
+    """The rows of ``docs`` that stay, all their columns unchanged: one row for each text.
+
+    A null text is the empty text; of rows repeated with one id and text one stays, whichever. A null id counts as the lowest. An empty table
+    gives an empty result; columns of any name may be there.
+    """
     stay = exact_dedup(docs, id_col, text_col, keep).where("kept").select("keep_id", "text_sha256")
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = wrapped(docs, id=F.col(id_col), digest=F.sha2(body.cast("binary"), 256))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webloom.llm.common import table, wrapped
-from webloom.scale import global_index
+from webloom.scale import global_index, position_in_group
 from webloom.session import cut_lineage
 
 CHUNK_ROWS = 2_000  # documents of a source numbered in one task
@@ -64,7 +64,7 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: str = "mix",
 ) -> DataFrame:
-    """One row per document: (doc_id, size, source_size, target, taken, times, text_hash).
+    """One row per document: (doc_id, size, source_size, target, taken, times, text_hash, source).
 
     ``times`` is how often the mix takes the document (0 to ``cap``), ``taken`` the words that
     makes. The shuffled order is that of md5(seed + id), so reruns agree. Documents without a
@@ -94,7 +94,7 @@ def mix(
     sent = cut.withColumn("run", F.sum("size").over(inner))
     placed = cut_lineage(
         sent.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
-        .select("doc_id", "text_hash", "size", "source_size", "target", "rank", (F.col("before") + F.col("run")).alias("sent")),
+        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "rank", (F.col("before") + F.col("run")).alias("sent")),
         "queues",
     )
 
@@ -114,7 +114,7 @@ def mix(
     times = F.when(F.col("size") > 0, times).otherwise(0)
     return placed.select(
         "doc_id", "size", "source_size", F.col("target"), (F.col("size") * times).cast("bigint").alias("taken"),
-        times.cast("int").alias("times"), "text_hash",
+        times.cast("int").alias("times"), "text_hash", "source",
     )
 
 
@@ -154,15 +154,28 @@ def _last_taken(entries: DataFrame, budget: int) -> tuple | None:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it is taken, columns unchanged."""
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    chosen = (
-        mix(docs, **options).where("times > 0").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-        .agg(F.max("times").alias("times"))
+    """The rows of ``docs`` that the mix takes, each as often as it is taken, columns unchanged.
+
+    Rows that agree in id, source and text share what the mix takes of them as evenly as it goes; which of them gets one
+    more is arbitrary. Rows with a null id or source are taken like any others, texts without a word (null, empty, blank) never. An empty
+    table gives an empty result.
+    """
+    id_col, text_col, source_col = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("source_col", "source")
+    chosen = cut_lineage(
+        mix(docs, **options).groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.col("source").alias("from"))
+        .agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("n")).where("times > 0"), "chosen"
     )
-    rows = wrapped(docs, own_id=F.col(id_col), own_hash=F.xxhash64(text_col))
-    joined = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
-    return joined.select("whole", F.explode(F.sequence(F.lit(1), F.col("times")))).select("whole.*")
+    rows = wrapped(docs, own_id=F.col(id_col), own_hash=F.xxhash64(text_col), own_source=F.col(source_col))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")) & F.col("own_source").eqNullSafe(F.col("from"))
+    taken = rows.join(chosen.where("n = 1"), same).select("whole", "times")
+    repeated = chosen.where("n > 1")
+    if not repeated.isEmpty():
+        # numbered within what one task wrote, so that no group of equal rows is numbered in one place
+        several = rows.join(repeated, same).withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
+        placed = position_in_group(cut_lineage(several, "repeated"), ["id", "hash", "from"], ["row"], F.col("part"), "nth")
+        share = F.floor(F.col("times") / F.col("n")) + F.when(F.col("nth") < F.col("times") % F.col("n"), 1).otherwise(0)
+        taken = taken.unionByName(placed.select("whole", share.alias("times")).where("times > 0"))
+    return taken.select("whole", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

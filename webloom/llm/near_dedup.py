@@ -543,7 +543,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group, all their columns unchanged."""
+    """The rows of ``docs`` that are the first of their group, all their columns unchanged.
+
+    Rows with a null id, and those with a null, empty or blank text, stay. Rows repeated with one id stay or go together. An empty table
+    gives an empty result; columns of any name may be there.
+    """
     gone = small_side(cut_lineage(near_groups(docs, id_col, text_col, similarity).where("not kept").select("doc_id").distinct(), "gone"))
     return wrapped(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("whole.*")
 
