@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from webloom.operators import joins, kb, music, network, pages, qa, ranking, records, urls
+from webloom.operators import affix, kb, music, network, pages, qa, ranking, records, urls
 from webloom.operators.textops import word_matcher
 
 
@@ -29,15 +29,50 @@ def test_affix_groups(spark, seed):
     items = list({"".join(rng.choice("ab") for _ in range(rng.randint(1, 7))) for _ in range(60)})
     rng.shuffle(items)
     df = spark.createDataFrame([(x, i) for i, x in enumerate(items)] + [("", 99)], "item string, rank int")
-    got = {(r.head, r.member) for r in joins.affix_groups(df).collect()}
+    got = {(r.head, r.member) for r in affix.affix_groups(df).collect()}
     assert got == greedy_groups(items)
 
 
-def test_containment_pairs(spark):
-    words = ["red", "reddish", "ed", "blue", "a red hat", "x"]
-    df = spark.createDataFrame([(w,) for w in words], "term string")
+@pytest.mark.parametrize("order", ["short first", "long first", "mixed"])
+def test_nested_items_make_no_pairs(spark, order):
+    items = ["a" * n for n in range(1, 401)] + ["b" + "a" * n for n in range(200)]
+    items.sort(key=len, reverse=order == "long first")
+    if order == "mixed":
+        random.Random(4).shuffle(items)
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(items)] + [(None, 5)], "item string, rank int").repartition(5)
+    got = affix.affix_groups(df)
+    assert {(r.head, r.member) for r in got.collect()} == greedy_groups(items)
+    assert got.count() == len(greedy_groups(items))
+    ranked = spark.createDataFrame(list(enumerate(items)), "r long, item string")
+    places = affix._places(ranked)
+    assert places.where("own").count() == 2 * len(items)
+    parts = places.select("side", "part").distinct().count()
+    assert places.count() <= 2 * len(items) + parts * 401
+
+
+def test_affix_groups_without_items(spark):
+    df = spark.createDataFrame([("", 1), (None, 2)], "item string, rank int")
+    assert affix.affix_groups(df).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_containment_pairs(spark, seed):
+    rng = random.Random(seed)
+    words = ["red", "reddish", "ed", "blue", "a red hat", "x", "漢字", "漢", "á漢字b", "abcdefgh", "abcdefghi", "zabcdefgh", "0123456789", "x0123456789"]
+    words += ["".join(rng.choice("abc") for _ in range(rng.randint(2, 12))) for _ in range(150)]
+    words += ["".join(rng.choice("mnopqrstuv") for _ in range(rng.randint(3, 30))) for _ in range(150)]
+    df = spark.createDataFrame([(w,) for w in [*words, "", None, "red"]], "term string")
     want = {w for w in words for o in words if o != w and o in w}
-    assert {r.term for r in joins.containment_pairs(df).collect()} == want
+    got = [r.term for r in affix.containment_pairs(df).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_containment_of_a_long_word(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefghijklmnop") for _ in range(20_000))
+    words = [long, long[5_000:5_013], long[700:705], "zzz", "q" + long[10:30], long + "z"]
+    df = spark.createDataFrame([(w,) for w in words], "term string")
+    assert {r.term for r in affix.containment_pairs(df).collect()} == {long, long + "z"}
 
 
 def proxy_fold(kinds):
@@ -193,12 +228,24 @@ def power_iteration(edges, alpha=0.85, iters=60):
 def test_pagerank(spark):
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("d", "c"), ("c", "dangling")]
     df = spark.createDataFrame(edges, "src string, dst string")
-    got = {r.name: r["rank"] for r in network.pagerank(df, iters=200, tol=1e-5).collect()}
-    want = power_iteration(edges)
-    assert abs(sum(got.values()) - 1) < 1e-9
-    assert all(abs(got[n] - want[n]) < 1e-3 for n in want)
+    want = power_iteration(edges, iters=200)
+    for at_once, part_edges in ((1, 1_000_000), (6, 1)):
+        got = {r.name: r["rank"] for r in network.pagerank(df, tol=1e-8, at_once=at_once, part_edges=part_edges).collect()}
+        assert abs(sum(got.values()) - 1) < 1e-9
+        assert sum(abs(got[n] - want[n]) for n in want) < 1e-8
     with pytest.raises(ArithmeticError):
         network.pagerank(df, iters=3, tol=1e-9)
+    assert network.pagerank(df.where("false")).count() == 0
+
+
+def test_pagerank_of_a_graph_laid_out_a_hundred_times(spark):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("d", "c"), ("c", "dangling")]
+    df = spark.createDataFrame(edges, "src string, dst string").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(99))))
+    laid = df.select(F.concat_ws("-", "src", "i").alias("src"), F.concat_ws("-", "dst", "i").alias("dst"))
+    got = network.pagerank(laid, tol=1e-8).collect()
+    want = power_iteration(edges, iters=200)
+    assert len(got) == 500 and abs(sum(r["rank"] for r in got) - 1) < 1e-9
+    assert sum(abs(r["rank"] - want[r.name.split("-")[0]] / 100) for r in got) < 1e-8
 
 
 def test_merge_fragments_first_non_empty(spark):
@@ -277,3 +324,51 @@ def test_headers_keep_every_row(spark):
         (1, "{'X': '2', 'z': '9'}"), (2, "{'X': '1'}"), (3, "{'q': None}"), (4, "None"), (5, "{}"), (1, "{'X': '7'}"), (6, "{'X': '1'}"), (6, "{'X': '1'}"),
     ])
 
+
+
+def page_key(r, order):
+    part = lambda v, falls: (v is None, [-v] if v is not None else []) if falls else (v is not None, [v] if v is not None else [])
+    return [part(r[c.removeprefix("-")], c.startswith("-")) for c in order]
+
+
+@pytest.mark.parametrize("order", [["a", "-b"], ["-a", "b"], ["-b", "-a"]])
+def test_pages_of_any_depth(spark, order):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(7)]), rng.choice([None, *range(400)]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int").repartition(3)
+    want = sorted(df.collect(), key=lambda r: page_key(r, order))
+    for offset, limit in ((0, 20), (1490, 20), (2990, 20), (2500, 100), (4000, 5)):
+        got = ranking.page(df, order, offset, limit, most=150).collect()
+        assert [page_key(r, order) for r in got] == [page_key(r, order) for r in want[offset : offset + limit]]
+        assert {r.total for r in got} <= {3000}
+    whole = [r.c for offset in range(0, 3000, 750) for r in ranking.page(df, order, offset, 750, most=150).collect()]
+    assert sorted(whole) == list(range(3000))
+
+
+def test_page_among_equal_rows(spark):
+    df = spark.createDataFrame([(1,)] * 700 + [(0,)] * 5 + [(2,)] * 5, "a int").repartition(4)
+    for offset in (0, 3, 300, 690, 701, 705, 709):
+        got = [r.a for r in ranking.page(df, ["a"], offset, 8, most=50).collect()]
+        assert got == ([0] * 5 + [1] * 700 + [2] * 5)[offset : offset + 8]
+    assert ranking.page(df.where("a > 9"), ["a"], 0, 5).count() == 0
+
+
+def test_equal_counts_spread_over_tasks(spark, monkeypatch):
+    seen = []
+
+    def keep(df, label="step", real=ranking.global_index.__globals__["cut_lineage"]):
+        out = real(df, label)
+        if label == "ranged":
+            seen.append([r["count"] for r in out.groupBy("_part").count().collect()])
+        return out
+
+    monkeypatch.setitem(ranking.global_index.__globals__, "cut_lineage", keep)
+    df = spark.range(60_000).selectExpr("'g' as g", "concat('https://site.example/page/', id div 2) as url")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.top_share_per_group(df, "g", "url", 0.3)
+        urls = {r.url for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert urls == set(sorted(f"https://site.example/page/{i}" for i in range(30_000))[:9_000])
+    assert len(seen[0]) >= 4 and max(seen[0]) < 2 * 30_000 / len(seen[0])

@@ -1,7 +1,9 @@
 """Streams over several files give what the static job gives."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from webloom.streaming import streams
@@ -65,3 +67,50 @@ def test_question_stream_upserts(spark, tmp_path):
     stored = spark.createDataFrame([(1, "墙")], "id int, answer string")
     out = streams.run_upsert(streams.question_stream(s, stored, "question", ["id"]), "t-q", ["id"], ["n"])
     assert [(r.id, r.question, r.answer) for r in out.collect()] == [(1, "什么是长城？", "墙")]
+
+
+def test_upsert_sink_keeps_few_runs(spark, tmp_path):
+    path, want, rng = str(tmp_path / "sink"), {}, random.Random(7)
+    write = streams.upsert_sink(path, ["k"], ["n"])
+    for number in range(75):
+        rows = [(rng.randrange(40), number * 10 + i) for i in range(rng.randrange(4))]
+        batch = spark.createDataFrame(rows, "k int, n int").coalesce(1)
+        for _ in range(1 + (number % 8 == 7 or number == 63)):  # a batch that is done twice does no harm
+            write(batch, number)
+        want.update({k: n for k, n in sorted(rows, key=lambda r: r[1])})
+        if number in (0, 6, 7, 8, 62, 63, 74):
+            got = streams.read_upserted(spark, path, ["k"], ["n"])
+            assert {r.k: r.n for r in got.collect()} == want and got.columns == ["k", "n"]
+            assert len(streams.runs_in_use(spark, path)) <= 14
+    stored = spark.read.parquet(*streams.runs_in_use(spark, path)).count()
+    assert stored <= 40 * 2 + 3 * 8  # live rows once a level, and the last batches
+
+
+def test_a_batch_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "sink")
+    write = streams.upsert_sink(path, ["k"], ["n"])
+    batch = lambda number: spark.createDataFrame([(1, number), (number + 10, number)], "k int, n int").coalesce(1)
+    for number in range(7):
+        write(batch(number), number)
+    before = sorted(streams.read_upserted(spark, path, ["k"], ["n"]).collect())
+    monkeypatch.setattr(streams, "last_per_key", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        write(batch(7), 7)  # its run is written, the merge is not
+    monkeypatch.undo()
+    assert sorted(streams.read_upserted(spark, path, ["k"], ["n"]).collect()) == before
+    write(batch(7), 7)
+    got = {r.k: r.n for r in streams.read_upserted(spark, path, ["k"], ["n"]).collect()}
+    assert got == {1: 7, **{n + 10: n for n in range(8)}}
+
+
+def test_an_item_with_very_many_entries(spark, tmp_path):
+    n = 300_000
+    root = str(tmp_path / "in" / "b0")
+    kind = F.when(F.col("id") == n - 1, "done").when(F.col("id") % 3 == 0, "start").otherwise("error")
+    rows = spark.range(n).select(F.lit(5).cast("long").alias("item"), kind.alias("kind"), F.timestamp_seconds(F.lit(1.7e9) + F.col("id") * 100).alias("ts"), F.col("id").alias("seq"))
+    rows.repartition(3).write.parquet(root)
+    later = spark.range(1).select(F.lit(6).cast("long").alias("item"), F.lit("start").alias("kind"), F.timestamp_seconds(F.lit(1.9e9)).alias("ts"), F.lit(n).cast("long").alias("seq"))
+    later.write.parquet(str(tmp_path / "in" / "b1"))
+    got = streams.run_available(streams.attempt_timeouts(streams.file_stream(spark, str(tmp_path / "in" / "*"), rows.schema), timeout=180), "t-many")
+    # every third entry starts an attempt, which has run out two entries later
+    assert got.where("item = 5").count() == n // 3 and got.where("status = 'requeue'").count() == 2

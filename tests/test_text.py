@@ -1,7 +1,9 @@
 """Text functions on edge cases: null, empty, ties."""
 
 import difflib
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from webloom.functions import fixed_values as V
@@ -78,6 +80,12 @@ def test_similarity_ratio_matches_difflib(spark):
     assert got == want
     bound = [r[0] for r in df.select(textops.ratio_bound(F.col("a"), F.col("b"))).collect()]
     assert all(g <= b + 1e-12 for g, b in zip(got, bound) if g is not None)
+    rng = random.Random(6)
+    many = [("".join(rng.choice("abcde\U0001f600\u00e9") for _ in range(rng.randint(0, 30))), "".join(rng.choice("abcdfg\U0001f600") for _ in range(rng.randint(0, 30)))) for _ in range(300)]
+    df = spark.createDataFrame(many, "a string, b string")
+    bound = [r[0] for r in df.select(textops.ratio_bound(F.col("a"), F.col("b"))).collect()]
+    match = [difflib.SequenceMatcher(None, a, b, autojunk=False) for a, b in many]
+    assert bound == pytest.approx([m.quick_ratio() for m in match]) and all(m.ratio() <= b + 1e-12 for m, b in zip(match, bound))
 
 
 def test_tokens_of_every_row(spark):
@@ -91,6 +99,38 @@ def test_tokens_of_every_row(spark):
     ], key=str)
 
 
+def longest_match(run, terms):
+    out, at, longest = [], 0, max(map(len, terms), default=1)
+    while at < len(run):
+        n = next((n for n in range(longest, 1, -1) if run[at : at + n] in terms and at + n <= len(run)), 1)
+        out.append(run[at : at + n])
+        at += n
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 256])
+def test_tokens_over_chunks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(textops, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    terms = {"".join(rng.choice("甲乙丙") for _ in range(rng.randint(1, 7))) for _ in range(25)} | {"甲甲", "丁" * 9, "\U00020000丙"}
+    runs = ["".join(rng.choice("甲乙丙丁\U00020000") for _ in range(rng.randint(1, 90))) for _ in range(60)] + ["丁" * 40, "甲" * 41]
+    df = spark.createDataFrame(list(enumerate(runs)), "k int, s string")
+    lexicon = spark.createDataFrame([(t,) for t in sorted(terms)], "term string")
+    got = {r.k: r.tokens for r in textops.tokenize(df, "k", "s", lexicon).collect()}
+    assert got == {i: longest_match(r, terms) for i, r in enumerate(runs)}
+
+
+def test_tokens_of_a_long_run(spark):
+    rng = random.Random(1)
+    run = "".join(rng.choice("甲乙丙丁戊") for _ in range(300_000))
+    terms = {"甲乙", "乙丙丁", "丁丁", "戊甲乙丙丁"}
+    lexicon = spark.createDataFrame([(t,) for t in terms], "term string")
+    got = textops.tokenize(spark.createDataFrame([(1, run), (2, "戊甲乙")], "k int, s string"), "k", "s", lexicon)
+    assert {r.k: r.tokens for r in got.collect()} == {1: longest_match(run, terms), 2: ["戊", "甲乙"]}
+    empty = textops.tokenize(spark.createDataFrame([(2, "戊甲乙a")], "k int, s string"), "k", "s", lexicon.where("false"))
+    assert empty.first().tokens == ["戊", "甲", "乙", "a"]
+
+
 def test_strip_takes_every_blank(spark):
     df = spark.createDataFrame([("\u3000 标题\u00a0\n",), ("\u2003a b\t",), (None,), ("\u3000",)], "s string")
     from webloom.functions.text import strip

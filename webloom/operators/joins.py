@@ -1,4 +1,4 @@
-"""Look-ups, entity links and affix relations.
+"""Look-ups and entity links.
 
 No join forces a broadcast: the planner broadcasts a side only when its measured
 size is under the threshold, and otherwise shuffles and splits skewed keys.
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.scale import last_per_key
-from webloom.session import GrowingTable, cut_lineage
 
 
 def map_name(df: DataFrame, column: str, mapper: DataFrame, out: str) -> DataFrame:
@@ -83,85 +82,6 @@ def compare_sources(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return left.join(right, key)
 
 
-def containment_pairs(words: DataFrame, column: str = "term") -> DataFrame:
-    """Words made redundant by a shorter word they contain.
-
-    Each word is cut into its substrings of the lengths that occur in the word
-    list, and these are matched by equality: no word is compared with every other.
-    """
-    w = words.select(F.col(column)).distinct()
-    lengths = w.agg(F.sort_array(F.collect_set(F.length(column)))).scalar()
-    subs = w.withColumn("_lens", lengths)
-    subs = subs.withColumn("_len", F.explode(F.filter("_lens", lambda n: n < F.length(F.col(column)))))
-    subs = subs.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(column) - F.col("_len") + 1)))
-    subs = subs.select(column, F.substring(F.col(column), F.col("_at"), F.col("_len")).alias("_sub"))
-    hits = subs.where("_sub <> ''").join(w.select(F.col(column).alias("_sub")), "_sub", "left_semi")
-    return hits.select(column).distinct()
-
-
-def affix_pairs(items: DataFrame, column: str = "item") -> DataFrame:
-    """(shorter, longer) where the shorter item is a prefix or suffix of the longer."""
-    c = F.col(column)
-    # Only lengths that some item has can match, so a very long item adds few affixes.
-    lengths = items.agg(F.sort_array(F.collect_set(F.length(column)))).scalar()
-    cuts = F.filter(F.col("_lens"), lambda n: n < F.length(c))
-    affixes = F.array_union(
-        F.transform(cuts, lambda n: F.substring(c, F.lit(1), n)),
-        F.transform(cuts, lambda n: F.substring(c, F.length(c) - n + 1, n)),
-    )
-    longer = items.where(F.length(c) > 1).withColumn("_lens", lengths).select(c.alias("longer"), F.explode(affixes).alias("shorter"))
-    return longer.join(items.select(c.alias("shorter")), "shorter").select("shorter", "longer")
-
-
-def affix_groups(items: DataFrame, column: str = "item", rank: str = "rank") -> DataFrame:
-    """Greedy grouping of ranked distinct items: (head, member).
-
-    In rank order, an item that no earlier head matches becomes a head and takes
-    every later item that shares a prefix or suffix with it; a member can belong to
-    several heads. Each pass settles all items whose earlier neighbours are settled,
-    so the number of passes is the length of the longest undecided chain.
-    """
-    named = items.where(F.col(column) != "").select(F.col(column).alias("item"), F.col(rank).alias("rank"))
-    pairs = affix_pairs(named, "item")
-    ranked = (
-        pairs.join(named.select(F.col("item").alias("shorter"), F.col("rank").alias("_rs")), "shorter")
-        .join(named.select(F.col("item").alias("longer"), F.col("rank").alias("_rl")), "longer")
-    )
-    first = F.col("_rs") < F.col("_rl")
-    edges = cut_lineage(
-        ranked.select(
-            F.when(first, F.col("shorter")).otherwise(F.col("longer")).alias("early"),
-            F.when(first, F.col("longer")).otherwise(F.col("shorter")).alias("late"),
-        ),
-        "affix-edges",
-    )
-    early, late = (edges.select(F.col(c).alias("item")).distinct() for c in ("early", "late"))
-    heads = GrowingTable(early.join(late, "item", "left_anti"), "affix-heads")
-    open_edges, fresh = edges, heads.all()
-    while True:
-        # Neighbours of the new heads are members; no edge of a member decides anything any more.
-        members = open_edges.join(fresh.select(F.col("item").alias("early")), "early", "left_semi").select(
-            F.col("late").alias("item")
-        ).distinct()
-        members = cut_lineage(members, "affix-members")
-        settled = members.unionByName(fresh)
-        left = open_edges.join(settled.select(F.col("item").alias("early")), "early", "left_anti").join(
-            members.select(F.col("item").alias("late")), "late", "left_anti"
-        )
-        left = cut_lineage(left, "affix-open")
-        # An undecided item that lost all its earlier neighbours is a head.
-        undecided = open_edges.select(F.col("late").alias("item")).distinct().join(members, "item", "left_anti")
-        fresh = heads.add(undecided.join(left.select(F.col("late").alias("item")), "item", "left_anti"))
-        if fresh.isEmpty():
-            break
-        # The new heads still have edges to later items: those come back from all edges.
-        open_edges = cut_lineage(
-            left.unionByName(edges.join(fresh.select(F.col("item").alias("early")), "early", "left_semi")).distinct(), "affix-open"
-        )
-    out = edges.join(heads.all().select(F.col("item").alias("early")), "early", "left_semi")
-    return out.select(F.col("early").alias("head"), F.col("late").alias("member"))
-
-
 def dict_semi(df: DataFrame, words: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(words, list(on), "left_semi")
 

@@ -219,28 +219,39 @@ def noisy_or_spread(
     """(name, depth, p): probability spread over undirected (company, related) edges.
 
     A name with at least ``min_related`` relations, ``share`` of them in the front, gets
-    damping * (1 - product of (1 - p)); it is admitted at ``admit`` and keeps that value.
+    damping * (1 - product of (1 - p)); it is admitted at ``admit`` and keeps that value. A pass joins the links, which are laid out
+    once by neighbour, with the names admitted in the pass before only, and adds what they bring to sums kept per name.
     """
     used = _usable(edges, controllers, max_controllers)
     both = used.select(F.col("company").alias("a"), F.col("related").alias("b")).unionByName(
         used.select(F.col("related").alias("a"), F.col("company").alias("b"))
     ).distinct()
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg")).where(F.col("deg") >= min_related)
-    links = cut_lineage(both.join(degree, "a"), "spread-links")
+    parts = int(used.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = cut_bucketed(both.join(degree, "a"), "spread-links", parts, ["b"])
     grown = GrowingTable(seeds.select("name").distinct().select("name", F.lit(0).alias("depth"), F.lit(seed_p).alias("p")), "spread-front")
+    fresh, sums = grown.all(), None
     for level in range(1, depth + 1):
-        front = grown.all()
         # ln(1 - p) is summed; a certain neighbour (p = 1) is counted apart, since its log has no value
-        sure = F.max((F.col("p") >= 1).cast("int"))
-        log_rest = F.sum(F.when(F.col("p") < 1, F.log1p(-F.col("p"))))
-        scored = (
-            links.join(front.select(F.col("name").alias("b"), "p"), "b")
-            .groupBy("a").agg(F.count(F.lit(1)).alias("_n"), F.first("deg").alias("deg"), sure.alias("_sure"), log_rest.alias("_l"))
-            .where(F.col("_n") >= F.col("deg") * share)
-            .select(F.col("a").alias("name"), (damping * F.when(F.col("_sure") == 1, 1.0).otherwise(1 - F.exp("_l"))).alias("p"))
+        sure = F.count_if(F.col("p") >= 1).alias("sure")
+        log_rest = F.coalesce(F.sum(F.when(F.col("p") < 1, F.log1p(-F.col("p")))), F.lit(0.0)).alias("log_rest")
+        gained = links.join(fresh.select(F.col("name").alias("b"), "p"), "b").groupBy("a").agg(
+            F.count(F.lit(1)).alias("n"), F.first("deg").alias("deg"), sure, log_rest
         )
-        new = scored.where(F.col("p") >= admit).join(front, "name", "left_anti").select("name", F.lit(level).alias("depth"), "p")
-        if grown.add(new).isEmpty():
+        if sums is None:
+            sums = GrowingTable(gained, "spread-sums")
+            gained = sums.all()
+        else:
+            gained = sums.add(gained)
+        # only names that gained a neighbour can pass now: what they have so far, and whether that is enough
+        so_far = sums.all().join(gained.select("a"), "a", "left_semi").groupBy("a").agg(
+            F.sum("n").alias("n"), F.first("deg").alias("deg"), F.sum("sure").alias("sure"), F.sum("log_rest").alias("log_rest")
+        )
+        p = damping * F.when(F.col("sure") > 0, 1.0).otherwise(1 - F.exp("log_rest"))
+        scored = so_far.where(F.col("n") >= F.col("deg") * share).select(F.col("a").alias("name"), p.alias("p"))
+        new = scored.where(F.col("p") >= admit).join(grown.all(), "name", "left_anti").select("name", F.lit(level).alias("depth"), "p")
+        fresh = grown.add(new)
+        if fresh.isEmpty():
             break
     return grown.all()
 
@@ -271,15 +282,16 @@ def agent_report(front: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def pagerank(
-    edges: DataFrame, alpha: float = 0.85, iters: int = 100, tol: float | None = 1e-6, directed: bool = True,
-    weight: str | None = None, personalization: DataFrame | None = None, part_edges: int = 1_000_000,
+    edges: DataFrame, alpha: float = 0.85, iters: int = 1000, tol: float = 1e-6, directed: bool = True,
+    weight: str | None = None, personalization: DataFrame | None = None, part_edges: int = 1_000_000, at_once: int = 6,
 ) -> DataFrame:
-    """(name, rank) over (src, dst[, weight]) edges; ranks sum to 1.
+    """(name, rank) over (src, dst[, weight]) edges; ranks sum to 1 and differ from the exact ones by at most ``tol`` in sum.
 
-    The rank of vertices without out-edges is handed out like the restart. Without ``tol`` it makes
-    ``iters`` passes; with it, it stops when the summed change falls below vertices * ``tol`` and raises
-    ArithmeticError if that takes more than ``iters`` passes.
-    ``personalization``: name, weight.
+    The rank of vertices without out-edges is handed out like the restart, which only scales the ranks that come from the
+    restart alone; so these are worked out and made to sum to 1. Every vertex begins with its restart as residual. A pass
+    settles the residuals that are large enough to matter and hands ``alpha`` of them on along the edges, so it moves
+    only ranks that still change; small ones wait and add up. ``at_once`` passes make one job. More than ``iters`` passes are an
+    ArithmeticError. ``personalization``: name, weight.
     """
     w = F.col(weight) if weight else F.lit(1.0)
     e = edges.select("src", "dst", w.cast("double").alias("w"))
@@ -293,45 +305,49 @@ def pagerank(
         F.sum("w").alias("_out"), F.ceil(F.count(F.lit(1)) / part_edges).cast("int").alias("parts")
     ).where("_out > 0")
     out = cut_lineage(out, "rank-out")
+    hubs = out.where("parts > 1").select("src", "parts")
     part = F.expr("pmod(xxhash64(dst), parts)").cast("int")
-    weighted = e.join(out, "src").select("src", "dst", part.alias("part"), (F.col("w") / F.col("_out")).alias("w"))
-    # The edges are written once, in buckets by (src, part): a pass moves only the ranks.
+    weighted = e.join(out, "src").select("src", "dst", part.alias("part"), (F.lit(alpha) * F.col("w") / F.col("_out")).alias("w"))
+    # The edges are written once, in buckets by (src, part): a pass moves only residuals.
     n_parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = cut_bucketed(weighted, "rank-links", n_parts, ["src", "part"])
     names = e.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
-    base = names.join(out.select(F.col("src").alias("name"), "parts"), "name", "left")
-    base = base.withColumn("dangling", F.col("parts").isNull())
     if personalization is None:
-        base = base.withColumn("q", F.lit(1.0))
+        base = names.withColumn("r", F.lit(1.0))
     else:
-        q = personalization.groupBy("name").agg(F.sum("weight").alias("q"))
-        base = base.join(q, "name", "left").withColumn("q", F.coalesce("q", F.lit(0.0)))
+        q = personalization.groupBy("name").agg(F.sum("weight").cast("double").alias("r"))
+        base = names.join(q, "name", "left").withColumn("r", F.coalesce("r", F.lit(0.0)))
     base = cut_lineage(base, "rank-base")
-    totals = base.agg(F.count(F.lit(1)).alias("n"), F.sum("q").alias("q")).first()
-    if not totals["n"]:
+    n, whole = base.agg(F.count(F.lit(1)), F.sum("r")).first()
+    if not n:
         return base.select("name", F.lit(0.0).alias("rank"))
-    n, q_sum = totals["n"], totals["q"]
-    ranks = cut_lineage(base.select("name", "parts", "dangling", (F.col("q") / q_sum).alias("q"), F.lit(1.0 / n).alias("rank")), "rank-0")
-    for i in range(iters):
-        handed = ranks.where("not dangling").select(
-            F.col("name").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-        )
-        inflow = (
-            links.join(handed, ["src", "part"])
-            .groupBy(F.col("dst").alias("name")).agg(F.sum(F.col("rank") * F.col("w")).alias("_in"))
-        )
-        lost = ranks.where("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
-        rank = alpha * (F.coalesce("_in", F.lit(0.0)) + lost * F.col("q")) + (1 - alpha) * F.col("q")
-        nxt = ranks.withColumnRenamed("rank", "_old").join(inflow, "name", "left").select("name", "parts", "dangling", "q", rank.alias("rank"), "_old")
-        nxt = cut_lineage(nxt, f"rank-{i + 1}")
-        change = None if tol is None else nxt.agg(F.sum(F.abs(F.col("rank") - F.col("_old")))).first()[0]
-        ranks = nxt.drop("_old")
-        if change is not None and change < n * tol:
+    least = tol * (1 - alpha) * whole / n
+    left, settled = base.where("r > 0").select("name", "r"), None
+    for done in range(0, iters, at_once):
+        found = []
+        for _ in range(min(at_once, iters - done)):
+            moved = left.where(F.col("r") > least)
+            found += [moved.withColumn("open", F.lit(False)), left.where(F.col("r") <= least).withColumn("open", F.lit(True))]
+            handed = moved.withColumnRenamed("name", "src").join(hubs, "src", "left").select(
+                "src", "r", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+            )
+            left = links.join(handed, ["src", "part"]).groupBy(F.col("dst").alias("name")).agg(F.sum(F.col("r") * F.col("w")).alias("r"))
+        found.append(left.withColumn("open", F.lit(True)))
+        step = reduce(DataFrame.unionByName, found).groupBy("name", "open").agg(F.sum("r").alias("r"))
+        if settled is None:
+            settled = GrowingTable(step, "rank-settled")
+            step = settled.all()
+        else:
+            step = settled.add(step)
+        left = step.where("open").select("name", "r")
+        if left.where(F.col("r") > least).isEmpty():
             break
     else:
-        if tol is not None:
-            raise ArithmeticError(f"ranks have not converged to {tol} in {iters} passes")
-    return ranks.select("name", "rank")
+        raise ArithmeticError(f"ranks have not converged to {tol} in {iters} passes")
+    scores = settled.all().where("not open").select("name", "r").unionByName(left).groupBy("name").agg(F.sum("r").alias("r"))
+    scores = cut_lineage(scores, "rank-scores")
+    total = scores.agg(F.sum("r")).first()[0]
+    return base.select("name").join(scores, "name", "left").select("name", (F.coalesce("r", F.lit(0.0)) / total).alias("rank"))
 
 
 # --- provinces ---------------------------------------------------------------

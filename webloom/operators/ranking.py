@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.operators.stats import seeded_order
 from webloom.scale import global_index, position_in_group, top_per_group
+from webloom.session import cut_lineage
 
 
 def recommended_first(results: DataFrame, query: str = "query") -> DataFrame:
@@ -60,25 +62,26 @@ def entity_tiering(candidates: DataFrame, name: str, score: str) -> DataFrame:
 
 def top_share_per_group(df: DataFrame, group: str, item: str, share: float = 0.3) -> DataFrame:
     """Items of each group by count: the top int(n * share + 0.99) of its n items, without
-    items counted once. Items counted once come last, so they are left out before ranking. A group is numbered in
-    chunks of one count and one beginning (or thousand) of the item, so equal counts do not gather in one task."""
-    counts = df.groupBy(group, item).agg(F.count(F.lit(1)).alias("cnt"))
+    items counted once. Items counted once come last, so they are left out before ranking. Places come from one index over all
+    groups, laid out by sampled bounds of group, count and item, so neither a large group nor equal counts gather in one task."""
+    counts = cut_lineage(df.groupBy(group, item).agg(F.count(F.lit(1)).alias("cnt")), "share-counts")
     sizes = counts.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    begins = F.substring(item, 1, 3) if dict(df.dtypes)[item] == "string" else F.floor(F.col(item) / 1000)
-    chunk = F.struct((-F.col("cnt")).alias("cnt"), begins.alias("begins"))
-    ranked = position_in_group(counts.where("cnt > 1"), [group], [item], chunk, "_pos")
+    indexed = global_index(counts.where("cnt > 1"), [F.col(group).asc(), F.col("cnt").desc(), F.col(item).asc()], "_i")
+    starts = indexed.groupBy(group).agg(F.min("_i").alias("_first"))
     keep = F.floor(F.col("_n") * share + 0.99)
-    return ranked.join(sizes, group).where(F.col("_pos") < keep).drop("_n", "_pos")
+    placed = indexed.join(sizes.join(starts, group), group)
+    return placed.where(F.col("_i") - F.col("_first") < keep).select(group, item, "cnt")
 
 
 def latest_report_block(rows: DataFrame, page: str, idx: str, report: str) -> DataFrame:
-    """Rows of a page before its report time first changes."""
-    first = rows.groupBy(page).agg(F.min_by(report, idx).alias("_first"))
-    marked = rows.join(first, page)
-    change = (
-        marked.where(~F.col(report).eqNullSafe(F.col("_first"))).groupBy(page).agg(F.min(idx).alias("_change"))
-    )
-    out = rows.join(change, page, "left")
+    """Rows of a page before its report time first changes.
+
+    Where each report time of a page begins is an aggregation; the change is where the second one begins. One table of
+    pages and changes is joined to the rows; before that only the three columns are read.
+    """
+    begins = rows.groupBy(page, report).agg(F.min(idx).alias("_change"))
+    second = top_per_group(begins, [page], [F.asc("_change")], 2, "_nth").where("_nth = 2").select(page, "_change")
+    out = rows.join(second, page, "left")
     return out.where(F.col("_change").isNull() | (F.col(idx) < F.col("_change"))).drop("_change")
 
 
@@ -116,16 +119,62 @@ def min_over_samples(samples: DataFrame, series: str, order: Sequence[str], chun
     )
 
 
-def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> DataFrame:
+#: A page is sorted within a range of at most so many rows; a pass over the order columns cuts it at so many places.
+PAGE_RANGE, PAGE_CUTS = 100_000, 24
+
+
+def _before(names: Sequence[str], down: Sequence[bool], row: Sequence[object]) -> Column:
+    """Whether a row comes before the given values of ``names``: ascending with nulls first, descending with nulls last."""
+    out = F.lit(False)
+    for name, falls, value in reversed(list(zip(names, down, row, strict=True))):
+        c = F.col(name)
+        if value is None:
+            less = c.isNotNull() if falls else F.lit(False)
+        else:
+            less = F.coalesce(c > F.lit(value), F.lit(False)) if falls else F.coalesce(c < F.lit(value), F.lit(True))
+        out = less | (c.eqNullSafe(F.lit(value)) & out)
+    return out
+
+
+def page(df: DataFrame, order: Sequence[str], offset: int, limit: int, most: int = PAGE_RANGE) -> DataFrame:
     """One page in ``order`` with the total row count in ``total``.
 
-    Pages of any depth come from one distributed index in ``order``, which is written once; the
-    total is the number of rows of what was written.
+    ``order`` names columns, a leading minus makes one descending; nulls come first in ascending and last in descending order, and rows
+    with equal columns come in the order of a hash of the whole row, so that pages do not overlap.
+
+    Only counts are taken of all rows: passes over the order columns count the rows before some sampled places and go on
+    between the two that hold the page, until the range has at most ``most`` rows (or twice the page); only that range is sorted. Nothing is written. The range stays
+    wider only when a page begins or ends among more equal rows than that.
     """
-    indexed = global_index(df, order, "_i")
-    total = indexed.count()
-    rows = indexed.where((F.col("_i") >= offset) & (F.col("_i") < offset + limit)).drop("_i")
-    return rows.withColumn("total", F.lit(total).cast("bigint"))
+    down = [*[c.startswith("-") for c in order], False]
+    names = [f"_o{i}" for i in range(len(down))]
+    tie = F.xxhash64(*df.columns)
+    keyed = df.select(*df.columns, *[F.col(c.removeprefix("-")).alias(n) for c, n in zip(order, names)], tie.alias(names[-1]))
+    keys = keyed.select(*names)
+    total = keys.count()
+    low, high, skipped, held, idle = F.lit(True), F.lit(True), 0, total, 0
+    while held > max(most, 2 * limit) and offset < total and idle < 3:
+        inside = keys.where(low & high)
+        cuts = inside.orderBy(F.xxhash64(*names, F.monotonically_increasing_id(), F.lit(held + idle))).limit(PAGE_CUTS).collect()
+        under = [_before(names, down, r) for r in cuts]
+        upto = [b | reduce(Column.__and__, [F.col(n).eqNullSafe(F.lit(v)) for n, v in zip(names, r)]) for b, r in zip(under, cuts)]
+        places = [*zip(under, cuts), *zip(upto, cuts)]
+        counts = inside.agg(*[F.count_if(cond).alias(f"c{i}") for i, (cond, _) in enumerate(places)]).first()
+        known = sorted(zip(counts, range(len(places)), strict=True))
+        starts = [(n, i) for n, i in known if n <= offset - skipped]
+        ends = [(n, i) for n, i in known if n >= offset + limit - skipped]
+        first, last = starts[-1][0] if starts else 0, ends[0][0] if ends else held
+        idle = idle + 1 if last - first == held else 0
+        if starts:
+            low = low & ~places[starts[-1][1]][0]
+        if ends:
+            high = high & places[ends[0][1]][0]
+        skipped, held = skipped + first, last - first
+        if starts and ends and places[starts[-1][1]][1] == places[ends[0][1]][1]:
+            skipped, idle = offset, 3  # all that is left is one row over and over: any of it makes the page
+    sorted_ = keyed.where(low & high).orderBy(*[F.col(n).desc() if d else F.col(n).asc() for n, d in zip(names, down)])
+    rows = sorted_.offset(max(0, offset - skipped)).limit(limit)
+    return rows.select(*df.columns, F.lit(total).cast("bigint").alias("total"))
 
 
 def systematic_sample(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

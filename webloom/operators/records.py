@@ -392,10 +392,10 @@ def company_records(df: DataFrame, url_template: str) -> DataFrame:
 
 def record_search(
     df: DataFrame, *, all_of: Sequence[str] = (), any_of: Sequence[str] = (), equals: dict[str, object] | None = None,
-    dates: Column | None = None, order: Sequence[Column], offset: int = 0, limit: int = 20, hide: Sequence[str] = ("rid", "gid", "nid"),
+    dates: Column | None = None, order: Sequence[str], offset: int = 0, limit: int = 20, hide: Sequence[str] = ("rid", "gid", "nid"),
 ) -> DataFrame:
     """Search of stored records: not soft-deleted, tags hold all of / any of the given ones,
-    fields equal, dates in range; sorted page with the total of all matches, ids nulled."""
+    fields equal, dates in range; page in ``order`` (see ``page``) with the total of all matches, ids nulled."""
     keep = F.lit(True)
     if "deletedTime" in df.columns:
         keep = keep & F.col("deletedTime").isNull()

@@ -21,40 +21,76 @@ PIECES = r"(?U)([A-Za-z0-9]+|[^\sA-Za-z0-9]+)"  # Unicode white space separates
 # --- tokens ------------------------------------------------------------------
 
 
-def tokenize(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """(key, tokens), one row per input row: runs of Latin letters and digits are tokens; other runs are
-    cut by the longest lexicon term from left to right, one character where none fits. A null text has null tokens.
+CHUNK = 256
 
-    The lexicon stays a table of any size: substrings of the lengths that occur in it are
-    joined with it. Equal texts and equal runs are cut once.
+
+def _cut_runs(runs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(id, tokens) of distinct runs (id, run): cut by the longest term from left to right.
+
+    A run is cut into chunks, each with as much of the next as the longest term can reach. For a chunk, where a walk
+    leaves it depends only on where it comes in, fewer characters from its beginning than the longest term has: a small table
+    per chunk. These tables, taken one after the other, tell where each chunk is entered, and then all chunks are walked at
+    once. Rows are positions times lengths of terms at most, and nothing but the tables of a run meets in one place.
     """
     terms = lexicon.select("term").where(F.length("term") > 1).distinct()
     sizes = terms.agg(F.sort_array(F.collect_set(F.length("term")))).scalar()
-    texts = df.select(F.col(text).alias("_text")).where("_text is not null").distinct()
-    pieces = texts.select("_text", F.posexplode(F.regexp_extract_all("_text", F.lit(PIECES), 1)).alias("_piece", "_t"))
-    other = pieces.where(~F.rlike("_t", F.lit("^[A-Za-z0-9]"))).select("_t").distinct().withColumn("_sizes", sizes)
-    at = other.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_t"))))
-    fits = F.filter("_sizes", lambda n: n <= F.length("_t") - F.col("_at") + 1)
-    cand = at.withColumn("_n", F.explode(fits)).select("_t", "_at", "_n", F.substring(F.col("_t"), F.col("_at"), F.col("_n")).alias("term"))
-    hits = cand.join(terms, "term", "left_semi").groupBy("_t", "_at").agg(F.max("_n").alias("_n"))
-    # as long as the run itself
-    spots = hits.groupBy("_t").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_n"))).alias("_m"))
-    joined = pieces.join(spots, "_t", "left")
-
-    def walk(state: Column, at: Column) -> Column:
-        size = F.coalesce(F.try_element_at(F.col("_m"), at), F.lit(1))
-        token = F.substring(F.col("_t"), at, size)
-        return F.when(at < state["next"], state).otherwise(
-            F.struct((at + size).alias("next"), F.array_append(state["out"], token).alias("out"))
+    longest = F.coalesce(F.array_max("sizes"), F.lit(1))
+    run, size = F.col("run"), F.length("run")
+    cut = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / CHUNK).cast("int")), lambda i: F.substr(run, i * CHUNK + 1, longest + (CHUNK - 1)))
+    chunks = runs.withColumn("sizes", sizes).select("id", "sizes", size.alias("size"), F.posexplode(cut).alias("chunk", "part"))
+    chunks = chunks.withColumn("own", F.least(F.lit(CHUNK), F.col("size") - F.col("chunk") * CHUNK))
+    chunks = cut_lineage(chunks, "chunks")
+
+    part = F.col("part")
+    found = lambda at: F.transform(
+        F.filter("sizes", lambda n: at + n - 1 <= F.length(part)), lambda n: F.struct(at.alias("at"), n.alias("n"), F.substr(part, at, n).alias("term"))
+    )
+    spots = chunks.select("id", "chunk", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.col("own")), found))).alias("x"))
+    hits = spots.select("id", "chunk", "x.at", "x.n", "x.term").join(terms, "term", "left_semi")
+    hits = hits.groupBy("id", "chunk", "at").agg(F.max("n").alias("n"))
+    hits = hits.groupBy("id", "chunk").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("hits"))  # at most CHUNK
+    steps = F.transform(F.sequence(F.lit(1), F.col("own")), lambda at: F.coalesce(F.try_element_at("hits", at), F.lit(1)))
+    stepped = chunks.join(hits, ["id", "chunk"], "left").select("id", "chunk", "size", "own", "part", longest.alias("longest"), steps.alias("steps"))
+    stepped = cut_lineage(stepped, "steps")
+
+    places = F.sequence(F.lit(0), F.col("own") - 1)
+    leave = lambda entry: F.aggregate(places, entry, lambda at, i: F.when(i < at, at).otherwise(at + F.get("steps", i))) - F.col("own")
+    tables = stepped.where(F.col("size") > CHUNK).select("id", "chunk", F.transform(F.sequence(F.lit(0), F.col("longest") - 1), leave).alias("exits"))
+    in_turn = tables.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("chunk", "exits"))).alias("t"))
+    entries = F.aggregate("t", F.array(F.lit(0)), lambda seen, x: F.array_append(seen, F.get(x["exits"], F.element_at(seen, -1))))
+    entered = in_turn.select("id", F.posexplode(entries).alias("chunk", "entry"))
+
+    def walk(state: Column, i: Column) -> Column:
+        step = F.get("steps", i)
+        return F.when(i < state["next"], state).otherwise(
+            F.struct((i + step).alias("next"), F.array_append(state["out"], F.substr(part, i + 1, step)).alias("out"))
         )
 
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("out"))
-    cut = F.aggregate(F.sequence(F.lit(1), F.length("_t")), start, walk)["out"]
-    toks = F.when(F.rlike("_t", F.lit("^[A-Za-z0-9]")), F.array("_t")).otherwise(cut)
-    per = joined.select("_text", "_piece", toks.alias("_k"))
-    rows = per.groupBy("_text").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_k"))), lambda x: x["_k"])).alias("_tokens"))
-    out = df.select(key, F.col(text).alias("_own")).join(rows, F.col("_own") == F.col("_text"), "left")
-    return out.select(key, F.when(F.col("_own").isNotNull(), F.coalesce("_tokens", F.array().cast("array<string>"))).alias("tokens"))
+    start = F.struct(F.coalesce("entry", F.lit(0)).alias("next"), F.array().cast("array<string>").alias("out"))
+    tokens = F.aggregate(places, start, walk)["out"]
+    walked = stepped.join(entered, ["id", "chunk"], "left").select("id", F.struct("chunk", tokens.alias("tokens")).alias("x"))
+    return walked.groupBy("id").agg(F.flatten(F.sort_array(F.collect_list("x"))["tokens"]).alias("tokens"))
+
+
+def tokenize(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+    """(key, tokens), one row per input row: runs of Latin letters and digits are tokens; other runs are
+    cut by the longest lexicon term from left to right, one character where none fits. A null text has null tokens.
+
+    The lexicon stays a table of any size: substrings of the lengths that occur in it are
+    joined with it. Equal texts and equal runs are cut once; both go by their digest.
+    """
+    own = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.md5(F.col(text).cast("binary")).alias("digest"))
+    spread = own.where("text is not null").select("digest", F.posexplode(F.regexp_extract_all("text", F.lit(PIECES), 1)).alias("piece", "run"))
+    pieces = spread.groupBy("digest", "piece").agg(F.any_value("run").alias("run"))
+    latin = F.rlike("run", F.lit("^[A-Za-z0-9]"))
+    pieces = pieces.withColumn("id", F.when(~latin, F.md5(F.col("run").cast("binary"))))
+    runs = spread.where(~latin).groupBy(F.md5(F.col("run").cast("binary")).alias("id")).agg(F.any_value("run").alias("run"))
+    cut = _cut_runs(runs, lexicon).withColumnRenamed("tokens", "cut")
+    per = pieces.join(cut, "id", "left").select("digest", F.struct("piece", F.coalesce("cut", F.array("run")).alias("k")).alias("x"))
+    tokens = per.groupBy("digest").agg(F.flatten(F.sort_array(F.collect_list("x"))["k"]).alias("tokens"))
+    out = own.select("key", "digest").join(tokens, "digest", "left")
+    none = F.when(F.col("digest").isNotNull(), F.array().cast("array<string>"))
+    return out.select(F.col("key").alias(key), F.coalesce("tokens", none).alias("tokens"))
 
 
 def word_matcher(listed: Sequence[str], tokens: Callable[[Column], Column] = words) -> Callable[[Column], Column]:
@@ -189,9 +225,12 @@ def similarity_ratio(a: Column, b: Column, cleaned: bool = False, when: Column |
 
 
 def ratio_bound(a: Column, b: Column) -> Column:
-    """Upper bound of the ratio from the lengths alone."""
+    """Upper bound of the ratio, without Python: blocks in common can hold no character more often than both texts do."""
     total = F.length(a) + F.length(b)
-    return F.when(total == 0, 1.0).otherwise(2.0 * F.least(F.length(a), F.length(b)) / total)
+    times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    letters = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(a)), lambda i: F.substr(a, i, F.lit(1))))
+    in_common = F.aggregate(letters, F.lit(0), lambda n, c: n + F.least(times(a, c), times(b, c)))
+    return F.when(total == 0, 1.0).otherwise(2.0 * in_common / total)
 
 
 def word_overlap(a: Column, b: Column, when: Column | None = None, cleaned: bool = False) -> Column:
@@ -299,31 +338,6 @@ def phrased_tokens(df: DataFrame, key: str, tokens: Column, phrases: DataFrame,
     return out.select(key, F.coalesce(F.transform("_l", lambda x: x["w"]), F.col("_t")).alias("tokens"))
 
 
-def topic_terms(
-    df: DataFrame, tokens: Column, topics: int = 10, per_topic: int = 50, top: int = 100, seed: int = 7, iters: int = 10,
-    stop: DataFrame | None = None,
-) -> DataFrame:
-    """(term, topics): terms by the number of topics that list them among their best, over the whole vocabulary
-    without the terms of ``stop``. The topic model is LDA over counts, since Spark has no latent semantic indexing."""
-    from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer
-
-    bag = df.select(F.filter(tokens, lambda x: F.length(x) > 1).alias("_t"))
-    if stop is not None:
-        numbered = cut_lineage(bag.withColumn("_id", F.monotonically_increasing_id()), "bags")
-        words_ = numbered.select("_id", F.explode("_t").alias("term")).join(stop.select("term").distinct(), "term", "left_anti")
-        bag = words_.groupBy("_id").agg(F.collect_list("term").alias("_t")).select("_t")  # as long as the text
-    bag = cut_lineage(bag.where(F.size("_t") > 0), "bag")
-    vocabulary = bag.select(F.explode("_t").alias("term")).agg(F.count_distinct("term")).first()[0]
-    model = CountVectorizer(inputCol="_t", outputCol="features", vocabSize=max(1, vocabulary)).fit(bag)
-    lda = LDA(k=topics, maxIter=iters, seed=seed, featuresCol="features").fit(model.transform(bag))
-    names = df.sparkSession.createDataFrame(enumerate(model.vocabulary), "_i int, term string")
-    best = lda.describeTopics(per_topic).select(F.explode("termIndices").alias("_i"))
-    counted = best.groupBy("_i").agg(F.count(F.lit(1)).cast("int").alias("topics"))
-    listed = counted.join(names, "_i").select("term", "topics")
-    return listed.orderBy(F.desc("topics"), F.asc("term")).limit(top)
-
-
 def term_features(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
     """Add ``features``: 1 for each term the text contains, else 0."""
     from pyspark.ml.functions import array_to_vector

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from webloom.functions.text import words
-from webloom.operators import joins
+from webloom.operators import affix, joins
 from webloom.plans.registry import query
 
 
@@ -133,14 +133,27 @@ _TERM_SQL = """(select distinct unnest(list_filter(regexp_split_to_array(lower(t
 )
 def _(t):
     terms = t.documents.select(F.explode(words(F.col("text"))).alias("term")).union(t.part.select(F.lower("p_name"))).distinct()
-    return joins.containment_pairs(terms)
+    return affix.containment_pairs(terms)
 
 
-@query("affix_groups")
+@query(
+    "affix_groups",
+    f"""with recursive w as (select unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) as item from documents),
+    c as materialized (select item, row_number() over (order by count(*) desc, item) as r from w group by item),
+    lens as (select distinct length(item) as n from c),
+    cuts as (select r, substr(item, 1, n) as affix from c join lens on n < length(item) union select r, right(item, n) from c join lens on n < length(item)),
+    pairs as materialized (select least(x.r, c.r) as early, greatest(x.r, c.r) as late from cuts x join c on c.item = x.affix),
+    states as (select 0 as pass, r, 0 as s from c union all
+      select t.pass + 1, t.r, case when t.s <> 0 then t.s when q.head then 2 when coalesce(q.members, true) then 1 else 0 end
+      from states t left join (select late, bool_or(n.s = 1) as head, bool_and(n.s = 2) as members from pairs join states n on n.r = early group by late) q on q.late = t.r
+      where exists (select 1 from states where s = 0)),
+    heads as (select r from states where s = 1 and pass = (select max(pass) from states))
+    select h.item as head, m.item as member from pairs join heads on heads.r = early join c h on h.r = early join c m on m.r = late""",
+)
 def _(t):
     tokens = t.documents.select(F.explode(words(F.col("text"))).alias("item"))
     counted = tokens.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    return joins.affix_groups(counted.select("item", F.struct(-F.col("n"), F.col("item")).alias("rank")))
+    return affix.affix_groups(counted.select("item", F.struct(-F.col("n"), F.col("item")).alias("rank")))
 
 
 @query("dict_semi", "select doc_id, lang from documents where doc_id in (select doc_id from labels where quality = 1)")

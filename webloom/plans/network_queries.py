@@ -230,36 +230,33 @@ def rank_edges(t):
     return down.unionByName(up)
 
 
-def _duck_rank(undirected: bool, weighted: bool, personal: bool, iters: int = 4) -> str:
+def _duck_rank(undirected: bool, weighted: bool, personal: bool) -> str:
+    """What the restart hands on, step after step until it is below all places that are compared, made to sum to 1."""
     w = "sum(weight)" if weighted else "1.0"
     raw = f"""r as (select {_P} as src, {_S} as dst, l_quantity as weight from lineitem union all
       select 'S' || cast(s_suppkey as varchar), 'P' || cast(s_suppkey as varchar), 1.0 from supplier where s_acctbal > 2000)"""
     e = "r" if not undirected else "(select * from r union all select dst, src, weight from r)"
     q = "case when name = 'P1' then 1.0 when name = 'S2' then 3.0 else 0.0 end" if personal else "1.0"
-    steps = ""
-    for i in range(1, iters + 1):
-        steps += f""", i{i} as (select dst as name, sum(rank * w) as inflow from l join x{i - 1} on src = x{i - 1}.name group by 1),
-      x{i} as (select x.name, q, dangling, 0.85 * (coalesce(inflow, 0) + (select coalesce(sum(rank), 0) from x{i - 1} where dangling) * q) + 0.15 * q as rank
-        from x{i - 1} x left join i{i} using (name))"""
-    return f"""with {raw}, e as (select src, dst, {w} as w from {e} group by src, dst), o as (select src, sum(w) as o from e group by 1),
-      l as (select src, dst, w / o as w from e join o using (src)), n as (select src as name from e union select dst from e),
-      b as (select name, {q} as q, name not in (select src from o) as dangling from n),
-      x0 as (select name, q / (select sum(q) from b) as q, dangling, 1.0::double / (select count(*) from b) as rank from b){steps}
-    select name, round(rank, 9) as rank from x{iters}"""
+    return f"""with recursive {raw}, e as (select src, dst, {w} as w from {e} group by src, dst), o as (select src, sum(w) as o from e group by 1),
+      l as materialized (select src, dst, 0.85 * w / o as w from e join o using (src)), n as (select src as name from e union select dst from e),
+      b as materialized (select name, ({q})::double as q from n),
+      x as (select 0 as step, name, q from b where q > 0 union all select step + 1, dst, sum(q * w) from x join l on src = name where step < 200 group by step, dst),
+      y as (select name, sum(q) as y from x group by name)
+    select name, round(coalesce(y, 0) / (select sum(y) from y), 7) as rank from b left join y using (name)"""
 
 
 def _rounded(df):
-    return df.select("name", F.round("rank", 9).alias("rank"))
+    return df.select("name", F.round("rank", 7).alias("rank"))
 
 
 @query("pagerank", _duck_rank(False, False, False))
 def _(t):
-    return _rounded(network.pagerank(rank_edges(t), iters=4, tol=None))
+    return _rounded(network.pagerank(rank_edges(t), tol=1e-9))
 
 
 @query("pagerank_weighted", _duck_rank(False, True, False))
 def _(t):
-    return _rounded(network.pagerank(rank_edges(t), iters=4, tol=None, weight="weight"))
+    return _rounded(network.pagerank(rank_edges(t), tol=1e-9, weight="weight"))
 
 
 @query("pagerank_undirected_personalized", _duck_rank(True, False, True))
@@ -267,12 +264,16 @@ def _(t):
     who = t.supplier.where("s_suppkey = 1").select(F.lit("P1").alias("name"), F.lit(1.0).alias("weight")).unionByName(
         t.supplier.where("s_suppkey = 2").select(F.lit("S2").alias("name"), F.lit(3.0).alias("weight"))
     )
-    return _rounded(network.pagerank(rank_edges(t), iters=4, tol=None, directed=False, personalization=who))
+    return _rounded(network.pagerank(rank_edges(t), tol=1e-9, directed=False, personalization=who))
 
 
-@query("pagerank_converged")
+@query(
+    "pagerank_converged",
+    f"with t as ({_duck_rank(False, False, False)}) select count(*) as names, round(sum(rank), 3) as total, round(max(rank), 6) as most from t",
+)
 def _(t):
-    return network.pagerank(rank_edges(t), iters=200, tol=1e-6)
+    ranks = network.pagerank(rank_edges(t), tol=1e-6)
+    return ranks.agg(F.count(F.lit(1)).alias("names"), F.round(F.sum("rank"), 3).alias("total"), F.round(F.max("rank"), 6).alias("most"))
 
 
 def regions(t):

@@ -136,13 +136,19 @@ def _(t):
 
 @query("page", "select o_orderkey, o_totalprice, (select count(*) from orders) as total from orders order by o_totalprice desc, o_orderkey limit 20 offset 40")
 def _(t):
-    return ranking.page(t.orders.select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 40, 20)
+    return ranking.page(t.orders.select("o_orderkey", "o_totalprice"), ["-o_totalprice", "o_orderkey"], 40, 20)
 
 
 @query("page_deep", "select o_orderkey, o_totalprice, (select count(*) from orders) as total from orders order by o_totalprice desc, o_orderkey limit 200 offset 12000")
 def _(t):
     o = t.orders.select("o_orderkey", "o_totalprice")
-    return ranking.page(o, [F.desc("o_totalprice"), F.asc("o_orderkey")], 12000, 200)
+    return ranking.page(o, ["-o_totalprice", "o_orderkey"], 12000, 200)
+
+
+@query("page_narrowed", "select l_orderkey, l_linenumber, l_shipdate, (select count(*) from lineitem) as total from lineitem order by l_shipdate desc, l_orderkey, l_linenumber desc limit 300 offset 2500")
+def _(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    return ranking.page(rows, ["-l_shipdate", "l_orderkey", "-l_linenumber"], 2500, 300, most=1000)
 
 
 @query(

@@ -360,7 +360,7 @@ def _(t):
     r = records.price_records_rows(price_rows(t), place_map(t)).withColumn("flat", records.claims_text("claims"))
     out = records.record_search(
         r, all_of=["ECONOMY"], any_of=["国内", "spec"], dates=range_filter(F.col("recordDate"), "1996-01-01", "1998-01-01", hi_open=True),
-        order=[F.desc("recordDate"), F.asc("series"), F.asc("flat")], offset=50, limit=25,
+        order=["-recordDate", "series", "flat"], offset=50, limit=25,
     )
     return out.select("series", "recordDate", "totalClaim", "total")
 

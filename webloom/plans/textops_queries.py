@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions import fixed_values as V
 from webloom.functions.text import words
-from webloom.operators import textops
+from webloom.operators import textops, topics
 from webloom.plans.functions_queries import CJK_PART, duck_chain
 from webloom.plans.registry import query
 
@@ -232,7 +232,7 @@ def _(t):
     stop = t.benchmark.select(F.explode(words(F.col("text"))).alias("term")).distinct()
     phrases = textops.phrase_vocabulary(t.documents, words(F.col("text")), stop).where("score is not null")
     texts = textops.phrased_tokens(t.documents, "doc_id", words(F.col("text")), phrases)
-    return textops.topic_terms(texts, F.col("tokens"), stop=stop)
+    return topics.topic_terms(texts, F.col("tokens"), stop=stop)
 
 
 @query("train_classifier")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -127,6 +128,9 @@ ATTEMPT_OUT = T.StructType([
 ATTEMPT_STATE = T.StructType([T.StructField("attempts", T.IntegerType()), T.StructField("started", T.LongType())])
 
 
+START, DONE = 1, 2
+
+
 def attempt_events(timeout: int, max_fail: int) -> Callable:
     """State function of one item: (attempts, start of the open attempt in ms, -1 if none)."""
     wait = timeout * 1000
@@ -143,16 +147,23 @@ def attempt_events(timeout: int, max_fail: int) -> Callable:
                 out.append(verdict(key[0], attempts, started))
             started = -1
         else:
-            rows = pd.concat(list(batches)).sort_values(["ts", "seq"])
-            millis = rows["ts"].astype("datetime64[ms]").astype("int64")
-            for kind, at in zip(rows["kind"], millis.tolist()):
+            # of an entry only its place, moment and kind are held: a million entries of an item are some 20 MB
+            held = [
+                (f["ts"].astype("datetime64[us]").astype("int64").to_numpy(), f["seq"].to_numpy(),
+                 np.select([f["kind"] == "start", f["kind"] == "done"], [START, DONE], 0).astype(np.int8))
+                for f in batches
+            ]
+            micros, seq, kinds = (np.concatenate(column) for column in zip(*held, strict=True))
+            del held
+            for i in np.lexsort((seq, micros)):
+                kind, at = kinds[i], int(micros[i]) // 1000
                 if 0 <= started < at - wait:  # the attempt had run out before this entry
                     out.append(verdict(key[0], attempts, started))
                     started = -1
-                if kind == "start":
+                if kind == START:
                     attempts += 1
                     started = at if started < 0 else started
-                elif kind == "done":
+                elif kind == DONE:
                     attempts, started = 0, -1
         if attempts or started >= 0:
             state.update((attempts, started))
@@ -170,7 +181,7 @@ def attempt_timeouts(df: DataFrame, timeout: int = 180, max_fail: int = 3, delay
     event time is requeued, or failed once attempts + 1 exceeds ``max_fail``; a finish
     clears the item. Input stream: item, kind (start, done, ...), ts, seq.
 
-    An item's entries of one micro-batch are ordered in memory, so the size of a batch
+    An item's entries of one micro-batch are ordered in memory, as numbers of 17 bytes an entry; the size of a batch
     (``files_per_batch`` of the source) bounds what a hot item can hold.
     """
     return (
@@ -188,19 +199,55 @@ def question_stream(questions: DataFrame, answers: DataFrame, question: str, key
     return questions.where(rule).join(answers, keys, "left")
 
 
-def upsert_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that stores each batch once under its own number. A
-    repeated batch replaces itself, and nothing stored before is rewritten."""
+#: Runs of one level that are merged into one run of the next.
+FAN = 8
+
+
+def _digits(count: int) -> list[int]:
+    """How many runs each level holds after ``count`` batches."""
+    out = []
+    while count:
+        out.append(count % FAN)
+        count //= FAN
+    return out
+
+
+def _run(path: str, level: int, slot: int) -> str:
+    return f"{path}/level{level}-run{slot}"
+
+
+def upsert_sink(path: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that stores each batch as a run and merges ``FAN`` runs of a level into one of the next, which
+    keeps the last row of a key only.
+
+    A run is written where no run in use is, and comes into use with the batch number written last. So a
+    repeated batch writes the same runs again, whatever broke off before, and the number of runs grows with the logarithm of the
+    batches. Rows carry their batch in ``_batch``.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        rows = batch.withColumn("_batch", F.lit(number).cast("bigint"))
+        rows.write.mode("overwrite").parquet(_run(path, 0, number % FAN))
+        count, level = number + 1, 0
+        while count % FAN == 0:
+            runs = spark.read.schema(rows.schema).parquet(*[_run(path, level, i) for i in range(FAN)])
+            count, level = count // FAN, level + 1
+            merged = last_per_key(runs, keys, ["_batch", *order])
+            merged.write.mode("overwrite").parquet(_run(path, level, (count - 1) % FAN))
+        spark.range(1).select(F.lit(number).cast("bigint").alias("number")).coalesce(1).write.mode("overwrite").parquet(f"{path}/last")
 
     return write
 
 
+def runs_in_use(spark: SparkSession, path: str) -> list[str]:
+    count = spark.read.parquet(f"{path}/last").first()["number"] + 1
+    return [_run(path, level, slot) for level, n in enumerate(_digits(count)) for slot in range(n)]
+
+
 def read_upserted(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """Current rows of an upsert sink: per key the last by batch and ``order``."""
-    return last_per_key(spark.read.parquet(path), keys, ["batch", *order]).drop("batch")
+    return last_per_key(spark.read.parquet(*runs_in_use(spark, path)), keys, ["_batch", *order]).drop("_batch")
 
 
 def run_upsert(df: DataFrame, label: str, keys: list[str], order: list[str]) -> DataFrame:
@@ -208,7 +255,7 @@ def run_upsert(df: DataFrame, label: str, keys: list[str], order: list[str]) ->
     spark = df.sparkSession
     out, mark = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
     query = (
-        df.writeStream.foreachBatch(upsert_sink(out)).option("checkpointLocation", mark).trigger(availableNow=True).start()
+        df.writeStream.foreachBatch(upsert_sink(out, keys, order)).option("checkpointLocation", mark).trigger(availableNow=True).start()
     )
     query.awaitTermination()
     return read_upserted(spark, out, keys, order)
