@@ -121,10 +121,14 @@ def containment_pairs(words: DataFrame, column: str = "term") -> DataFrame:
     c = F.col("term")
     w = words.select(F.col(column).alias("term")).where(c != "").distinct()
     w = cut_lineage(w.withColumn("id", F.monotonically_increasing_id()), "terms")
-    places = F.sequence(F.lit(1), F.length(c))
-    grams = F.flatten(F.transform(F.array(*map(F.lit, GRAMS)), lambda n: F.transform(
-        F.filter(places, lambda at: at + n <= F.length(c) + 1), lambda at: F.substr(c, at, n))))
-    held = cut_lineage(w.select("id", F.length(c).alias("size"), F.explode(F.array_distinct(grams)).alias("gram")), "grams")
+    letters = w.select("id", F.length(c).alias("size"), F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)).alias("letters"))
+
+    def grams(n: int) -> Column:
+        made = F.transform(F.sequence(F.lit(1), F.col("size") - n + 1), lambda at: F.array_join(F.slice("letters", at, n), ""))
+        return F.when(F.col("size") >= n, made).otherwise(F.array().cast("array<string>"))
+
+    every = F.array_distinct(F.flatten(F.array(*map(grams, GRAMS))))
+    held = cut_lineage(letters.select("id", "size", F.explode(every).alias("gram")), "grams")
     size_of = F.length("gram")
     whole = w.where(F.length(c).isin(GRAMS)).select(F.col("term").alias("gram"))
     sure = held.where(size_of < F.col("size")).join(whole, "gram", "left_semi").select("id").distinct()

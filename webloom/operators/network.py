@@ -283,7 +283,7 @@ def agent_report(front: DataFrame, edges: DataFrame) -> DataFrame:
 
 def pagerank(
     edges: DataFrame, alpha: float = 0.85, iters: int = 1000, tol: float = 1e-6, directed: bool = True,
-    weight: str | None = None, personalization: DataFrame | None = None, part_edges: int = 1_000_000, at_once: int = 6,
+    weight: str | None = None, personalization: DataFrame | None = None, part_edges: int = 1_000_000, at_once: int = 8,
 ) -> DataFrame:
     """(name, rank) over (src, dst[, weight]) edges; ranks sum to 1 and differ from the exact ones by at most ``tol`` in sum.
 
@@ -305,10 +305,10 @@ def pagerank(
         F.sum("w").alias("_out"), F.ceil(F.count(F.lit(1)) / part_edges).cast("int").alias("parts")
     ).where("_out > 0")
     out = cut_lineage(out, "rank-out")
-    hubs = out.where("parts > 1").select("src", "parts")
     part = F.expr("pmod(xxhash64(dst), parts)").cast("int")
     weighted = e.join(out, "src").select("src", "dst", part.alias("part"), (F.lit(alpha) * F.col("w") / F.col("_out")).alias("w"))
-    # The edges are written once, in buckets by (src, part): a pass moves only residuals.
+    # The edges are written once, in buckets by (src, part), with the parts of their targets: a pass moves only residuals.
+    weighted = weighted.join(out.select(F.col("src").alias("dst"), F.col("parts").alias("parts")), "dst", "left")
     n_parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = cut_bucketed(weighted, "rank-links", n_parts, ["src", "part"])
     names = e.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
@@ -317,34 +317,37 @@ def pagerank(
     else:
         q = personalization.groupBy("name").agg(F.sum("weight").cast("double").alias("r"))
         base = names.join(q, "name", "left").withColumn("r", F.coalesce("r", F.lit(0.0)))
-    base = cut_lineage(base, "rank-base")
+    base = cut_lineage(base.join(out.select(F.col("src").alias("name"), "parts"), "name", "left"), "rank-base")
     n, whole = base.agg(F.count(F.lit(1)), F.sum("r")).first()
     if not n:
         return base.select("name", F.lit(0.0).alias("rank"))
     least = tol * (1 - alpha) * whole / n
-    left, settled = base.where("r > 0").select("name", "r"), None
+    left, settled = base.where("r > 0").select("name", "parts", "r"), None
     for done in range(0, iters, at_once):
         found = []
         for _ in range(min(at_once, iters - done)):
             moved = left.where(F.col("r") > least)
             found += [moved.withColumn("open", F.lit(False)), left.where(F.col("r") <= least).withColumn("open", F.lit(True))]
-            handed = moved.withColumnRenamed("name", "src").join(hubs, "src", "left").select(
-                "src", "r", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+            # vertices without out-edges have no parts
+            handed = moved.where("parts is not null").select(
+                F.col("name").alias("src"), "r", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+            )
+            left = links.join(handed, ["src", "part"]).groupBy(F.col("dst").alias("name")).agg(
+                F.max("parts").alias("parts"), F.sum(F.col("r") * F.col("w")).alias("r")
             )
-            left = links.join(handed, ["src", "part"]).groupBy(F.col("dst").alias("name")).agg(F.sum(F.col("r") * F.col("w")).alias("r"))
         found.append(left.withColumn("open", F.lit(True)))
-        step = reduce(DataFrame.unionByName, found).groupBy("name", "open").agg(F.sum("r").alias("r"))
+        step = reduce(DataFrame.unionByName, found).groupBy("name", "open").agg(F.max("parts").alias("parts"), F.sum("r").alias("r"))
         if settled is None:
             settled = GrowingTable(step, "rank-settled")
             step = settled.all()
         else:
             step = settled.add(step)
-        left = step.where("open").select("name", "r")
+        left = step.where("open").select("name", "parts", "r")
         if left.where(F.col("r") > least).isEmpty():
             break
     else:
         raise ArithmeticError(f"ranks have not converged to {tol} in {iters} passes")
-    scores = settled.all().where("not open").select("name", "r").unionByName(left).groupBy("name").agg(F.sum("r").alias("r"))
+    scores = settled.all().where("not open").select("name", "r").unionByName(left.select("name", "r")).groupBy("name").agg(F.sum("r").alias("r"))
     scores = cut_lineage(scores, "rank-scores")
     total = scores.agg(F.sum("r")).first()[0]
     return base.select("name").join(scores, "name", "left").select("name", (F.coalesce("r", F.lit(0.0)) / total).alias("rank"))

@@ -86,7 +86,7 @@ def _product(by_term: DataFrame, by_text: DataFrame, block: DataFrame, width: in
     return by_text.join(texts, "d").groupBy("t").agg(F.max("parts").alias("parts"), *sums).select("t", "parts", vector)
 
 
-def singular_vectors(entries: DataFrame, k: int, tol: float = 1e-7, passes: int = 200) -> tuple[list[float], DataFrame]:
+def singular_vectors(entries: DataFrame, k: int, tol: float = 1e-5, passes: int = 200) -> tuple[list[float], DataFrame]:
     """The largest ``k`` singular values of (d, t, w), fewer if the rank is lower, and their right vectors as (t, v array).
 
     Block Krylov passes with Rayleigh-Ritz projection: each multiplies a block ``DEPTH`` times by the matrix and its transpose and
