@@ -140,7 +140,8 @@ def page(df: DataFrame, order: Sequence[str], offset: int, limit: int, most: int
     """One page in ``order`` with the total row count in ``total``.
 
     ``order`` names columns, a leading minus makes one descending; nulls come first in ascending and last in descending order, and rows
-    with equal columns come in the order of a hash of the whole row, so that pages do not overlap.
+    with equal columns come in the order of a hash of the row, so that pages do not overlap. The hash leaves out maps, which have none,
+    and timestamps, which may be those of the call.
 
     Only counts are taken of all rows: passes over the order columns count the rows before some sampled places and go on
     between the two that hold the page, until the range has at most ``most`` rows (or twice the page); only that range is sorted. Nothing is written. The range stays
@@ -148,7 +149,8 @@ def page(df: DataFrame, order: Sequence[str], offset: int, limit: int, most: int
     """
     down = [*[c.startswith("-") for c in order], False]
     names = [f"_o{i}" for i in range(len(down))]
-    tie = F.xxhash64(*df.columns)
+    fixed = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "timestamp" not in kind]
+    tie = F.xxhash64(*fixed) if fixed else F.lit(0)
     keyed = df.select(*df.columns, *[F.col(c.removeprefix("-")).alias(n) for c, n in zip(order, names)], tie.alias(names[-1]))
     keys = keyed.select(*names)
     total = keys.count()
