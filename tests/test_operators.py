@@ -248,6 +248,22 @@ def test_pagerank_of_a_graph_laid_out_a_hundred_times(spark):
     assert sum(abs(r["rank"] - want[r.name.split("-")[0]] / 100) for r in got) < 1e-8
 
 
+@pytest.mark.parametrize("directed", [True, False])
+def test_pagerank_converges_in_few_passes(spark, directed):
+    # handing on residuals one pass after the other takes over 100 passes to get there
+    edges = sorted({(f"P{i}", f"S{(i * i + 7 * k) % 23}") for i in range(60) for k in range(4)} | {(f"S{i}", f"P{i}") for i in range(0, 23, 2)})
+    want = power_iteration(edges if directed else sorted({*edges, *((d, s) for s, d in edges)}), iters=200)
+    df = spark.createDataFrame(edges, "src string, dst string")
+    got = {r.name: r["rank"] for r in network.pagerank(df, iters=40, tol=1e-7, directed=directed).collect()}
+    assert got.keys() == want.keys() and sum(abs(got[n] - want[n]) for n in want) < 1e-7
+
+
+def test_pagerank_without_a_restart_has_no_ranks(spark):
+    df = spark.createDataFrame([("a", "b")], "src string, dst string")
+    nobody = spark.createDataFrame([("z", 1.0)], "name string, weight double")
+    assert {(r.name, r["rank"]) for r in network.pagerank(df, personalization=nobody).collect()} == {("a", None), ("b", None)}
+
+
 def test_merge_fragments_first_non_empty(spark):
     lines = ['{"E": {"Tags": []}}', '{"E": {"Tags": ["t1"]}}', '{"E": {"Tags": ["t2"], "Information": "i"}}', '{"F": {"av pair": [["a", "1"], ["a", "2"]]}}']
     df = spark.createDataFrame(list(enumerate(lines)), "n int, line string")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -288,10 +289,11 @@ def pagerank(
     """(name, rank) over (src, dst[, weight]) edges; ranks sum to 1 and differ from the exact ones by at most ``tol`` in sum.
 
     The rank of vertices without out-edges is handed out like the restart, which only scales the ranks that come from the
-    restart alone; so these are worked out and made to sum to 1. Every vertex begins with its restart as residual. A pass
-    settles the residuals that are large enough to matter and hands ``alpha`` of them on along the edges, so it moves
-    only ranks that still change; small ones wait and add up. ``at_once`` passes make one job. More than ``iters`` passes are an
-    ArithmeticError. ``personalization``: name, weight.
+    restart alone; so these are worked out and made to sum to 1. Every vertex begins with its restart as residual. ``alpha`` of the
+    residuals is handed on along the edges ``at_once`` times, then that combination of the passes is added to the ranks which
+    leaves least: the one of least squares, or the plain sum of all passes where that leaves less. The plain sum leaves at most ``alpha`` to
+    the power of ``at_once``, so every graph converges; on most the least squares need far fewer passes. More than ``iters`` passes are an
+    ArithmeticError. ``personalization``: name, weight, none below 0.
     """
     w = F.col(weight) if weight else F.lit(1.0)
     e = edges.select("src", "dst", w.cast("double").alias("w"))
@@ -321,36 +323,61 @@ def pagerank(
     n, whole = base.agg(F.count(F.lit(1)), F.sum("r")).first()
     if not n:
         return base.select("name", F.lit(0.0).alias("rank"))
-    least = tol * (1 - alpha) * whole / n
-    left, settled = base.where("r > 0").select("name", "parts", "r"), None
+    if not whole:  # nobody restarts, so nobody has a rank
+        return base.select("name", F.lit(None).cast("double").alias("rank"))
+    # a residual of this sum hands out at most tol / 2 of all ranks, and making the ranks sum to 1 can double that
+    least = tol * (1 - alpha) * whole / 2
+    left, gains = base.where("r > 0").select("name", "parts", "r"), []
     for done in range(0, iters, at_once):
-        found = []
-        for _ in range(min(at_once, iters - done)):
-            moved = left.where(F.col("r") > least)
-            found += [moved.withColumn("open", F.lit(False)), left.where(F.col("r") <= least).withColumn("open", F.lit(True))]
+        passes = [left]
+        turns = min(at_once, iters - done)
+        for turn in range(turns):
             # vertices without out-edges have no parts
-            handed = moved.where("parts is not null").select(
+            handed = passes[-1].where("parts is not null").select(
                 F.col("name").alias("src"), "r", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
             )
-            left = links.join(handed, ["src", "part"]).groupBy(F.col("dst").alias("name")).agg(
+            # the few residuals are hashed, so the edges need not be sorted
+            got = links.join(handed.hint("shuffle_hash"), ["src", "part"]).groupBy(F.col("dst").alias("name")).agg(
                 F.max("parts").alias("parts"), F.sum(F.col("r") * F.col("w")).alias("r")
             )
-        found.append(left.withColumn("open", F.lit(True)))
-        step = reduce(DataFrame.unionByName, found).groupBy("name", "open").agg(F.max("parts").alias("parts"), F.sum("r").alias("r"))
-        if settled is None:
-            settled = GrowingTable(step, "rank-settled")
-            step = settled.all()
-        else:
-            step = settled.add(step)
-        left = step.where("open").select("name", "parts", "r")
-        if left.where(F.col("r") > least).isEmpty():
+            passes.append(cut_lineage(got, "rank-pass") if turn < turns - 1 else got)  # the last is written with the others
+        rows = reduce(DataFrame.unionByName, [p.withColumn("at", F.lit(i)) for i, p in enumerate(passes)])
+        each = [F.sum(F.when(F.col("at") == i, F.col("r")).otherwise(0.0)).alias(f"v{i}") for i in range(len(passes))]
+        step = cut_lineage(rows.groupBy("name").agg(F.max("parts").alias("parts"), *each), "rank-passes")
+        rest, gain, missing = _least_rest(step, len(passes) - 1)
+        gains.append(step.select("name", gain.alias("r")))
+        if missing <= least:
             break
+        left = step.select("name", "parts", rest.alias("r"))
     else:
         raise ArithmeticError(f"ranks have not converged to {tol} in {iters} passes")
-    scores = settled.all().where("not open").select("name", "r").unionByName(left.select("name", "r")).groupBy("name").agg(F.sum("r").alias("r"))
-    scores = cut_lineage(scores, "rank-scores")
-    total = scores.agg(F.sum("r")).first()[0]
-    return base.select("name").join(scores, "name", "left").select("name", (F.coalesce("r", F.lit(0.0)) / total).alias("rank"))
+    scores = cut_lineage(reduce(DataFrame.unionByName, gains).groupBy("name").agg(F.sum("r").alias("got")), "rank-scores")
+    total = scores.agg(F.sum("got")).first()[0]
+    # no rank is below the restart; rounding of the combinations may say so
+    rank = F.when(F.col("got").isNull(), 0.0).otherwise(F.greatest("r", "got") / total)
+    return base.join(scores, "name", "left").select("name", rank.alias("rank"))
+
+
+def _least_rest(step: DataFrame, m: int) -> tuple[Column, Column, float]:
+    """(residual left, ranks gained, sum of the residual's sizes) of the best combination of ``m`` passes: v0 is the residual,
+    v1 to vm what it hands on once to ``m`` times. The driver sees their inner products only."""
+    v = [F.col(f"v{i}") for i in range(m + 1)]
+    pairs = [(i, j) for i in range(m + 1) for j in range(i, m + 1)]
+    inner = np.zeros((m + 1, m + 1))
+    for (i, j), x in zip(pairs, step.agg(*[F.sum(v[i] * v[j]) for i, j in pairs]).first(), strict=True):
+        inner[i, j] = inner[j, i] = x
+    # taking y of the passes v0 to v(m-1) leaves v0 - sum of y_i (v_i - v_i+1)
+    lost = np.eye(m + 1, m) - np.eye(m + 1, m, -1)
+    size = np.sqrt(np.maximum(np.diag(lost.T @ inner @ lost), 1e-300))
+    scaled = lost / size
+    fitted = np.linalg.lstsq(scaled.T @ inner @ scaled, scaled.T @ inner[:, 0], rcond=1e-13)[0] / size
+    combined = lambda c: reduce(lambda x, y: x + y, [F.lit(float(k)) * v[i] for i, k in enumerate(c)])
+    choices = []
+    for y in (fitted, np.ones(m)):
+        choices.append((combined(np.eye(m + 1)[0] - lost @ y), combined(y)))
+    sums = step.agg(*[F.sum(F.abs(rest)) for rest, _ in choices]).first()
+    best = 0 if sums[0] < sums[1] else 1
+    return *choices[best], sums[best]
 
 
 # --- provinces ---------------------------------------------------------------
