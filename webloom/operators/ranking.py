@@ -89,21 +89,32 @@ def rate_in_last_minute(calls: DataFrame, key: str, ts: str, order: str, seconds
     """Per call: calls of the key within the last ``seconds``, mean gap among them, and
     whether the threshold is passed.
 
-    Windows run within (key, time slot); every call is also handed to the following
-    slot, which is all the look-back needed, so a hot key is spread over its slots.
+    Calls of one instant are counted first; calls without a time are left out. Windows run within (key, time slot); every instant is
+    also handed to the following slot, which is all the look-back needed, so a hot key is spread over its slots. Beside the
+    instants stand marks where their look-back begins. Counts run on from the start of a slot, so a slot is read once, however
+    many calls a look-back holds: the calls of a look-back are the count at the instant less the count at its mark.
     """
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    slot = F.floor(at / (seconds * 1_000_000))
-    both = calls.withColumn("_at", at).withColumn("_own", slot).withColumn("_slot", F.explode(F.array(slot, slot + 1)))
-    w = Window.partitionBy(key, "_slot").orderBy("_at").rangeBetween(-seconds * 1_000_000, 0)
-    n = F.count(F.lit(1)).over(w)
-    first = F.min("_at").over(w)
+    span = seconds * 1_000_000
+    timed = calls.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
+    slot = F.floor(F.col("_at") / span)
+    instants = timed.where("_at is not null").groupBy(F.col(key).alias("_key"), "_at").agg(F.count(F.lit(1)).alias("_c")).withColumn("_own", slot)
+    points = instants.select("_key", "_at", "_c", "_own", F.explode(F.array(F.col("_own"), F.col("_own") + 1)).alias("_slot"), F.col("_at").alias("_t"))
+    marks = instants.select("_key", "_at", F.lit(0).cast("bigint").alias("_c"), "_own", F.col("_own").alias("_slot"), (F.col("_at") - span).alias("_t"))
+    kind = lambda df, n: df.withColumn("_kind", F.lit(n))  # a mark stands before a call of its instant
+    both = kind(points, 1).unionByName(kind(marks, 0))
+    on = Window.partitionBy("_key", "_slot").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("_key", "_slot").orderBy(F.desc("_t"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    counted = both.withColumn("_n", F.sum("_c").over(on)).withColumn("_next", F.last(F.when(F.col("_kind") == 1, F.col("_t")), ignorenulls=True).over(back))
+    mark = F.col("_kind") == 0
+    per = counted.where(F.col("_slot") == F.col("_own")).groupBy("_key", "_at").agg(
+        (F.max(F.when(~mark, F.col("_n"))) - F.max(F.when(mark, F.col("_n")))).alias("calls"), F.max(F.when(mark, F.col("_next"))).alias("_first")
+    ).withColumnRenamed("_at", "_then")
+    n = F.col("calls")
     return (
-        both.withColumn("calls", n)
-        .withColumn("mean_gap", F.when(n > 1, (F.col("_at") - first) / 1e6 / (n - 1)))
-        .where(F.col("_slot") == F.col("_own"))
-        .withColumn("over", F.col("calls") > threshold)
-        .drop("_at", "_own", "_slot")
+        timed.join(per, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_then")))
+        .withColumn("mean_gap", F.when(n > 1, (F.col("_at") - F.col("_first")) / 1e6 / (n - 1)))
+        .withColumn("over", n > threshold)
+        .select(*calls.columns, "calls", "mean_gap", "over")
     )
 
 
