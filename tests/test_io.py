@@ -45,6 +45,15 @@ def test_write_compacted(spark, tmp_path):
     assert {r.shard for r in back.select("shard").distinct().collect()} <= {0, 1, 2, 3}
 
 
+def test_large_shards_are_dealt_over_several_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(io, "PART_BYTES", 4_000, raising=False)
+    df = spark.createDataFrame([(str(i), "x" * 100) for i in range(400)] + [(None, "y")], "key string, body string")
+    held = io.compact_objects(df, "key", 2).withColumn("task", F.spark_partition_id()).groupBy("shard", "task").count().collect()
+    assert sum(r["count"] for r in held) == 401 and max(r["count"] for r in held) < 150
+    io.write_compacted(df, "key", 2, str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 401
+
+
 def test_write_paged(spark, tmp_path):
     df = spark.createDataFrame([(i, ["x", str(i)]) for i in range(25)], "k int, tags array<string>").repartition(3)
     io.write_paged(df, ["k"], str(tmp_path / "pages"), page_size=10)

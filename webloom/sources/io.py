@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 from webloom.scale import first_per_key, global_index, last_per_key, position_in_group
 
 CORRUPT = "_corrupt_record"
+#: Bytes of a shard, about, that one task takes.
+PART_BYTES = 1 << 26
 
 
 def parse_json_lines(df: DataFrame, column: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -82,12 +86,18 @@ def shard_of(key: Column, n: int) -> Column:
 
 
 def compact_objects(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Assign every small object to one of ``n`` shards, spread evenly by digest."""
-    return df.withColumn("shard", shard_of(F.col(key), n)).repartition(n, "shard")
+    """Assign every small object to one of ``n`` shards, spread evenly by digest. A shard of more than ``PART_BYTES`` is
+    dealt over several tasks by a hash of the key, so a task's share does not grow with the table."""
+    kinds = (T.StringType, T.BinaryType)
+    sizes = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, kinds)]
+    held = df.agg(F.sum(reduce(Column.__add__, sizes, F.lit(16).cast("bigint")))).first()[0] or 0
+    parts = max(1, math.ceil(held / n / PART_BYTES))
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    return df.withColumn("shard", shard_of(F.col(key), n)).repartition(n * parts, "shard", part)
 
 
 def write_compacted(df: DataFrame, key: str, n: int, path: str) -> None:
-    """Write the shards as JSON lines, one folder per shard."""
+    """Write the shards as JSON lines, one folder per shard, with a file for every part of a large one."""
     compact_objects(df, key, n).write.partitionBy("shard").json(path)
 
 
