@@ -389,3 +389,28 @@ def test_equal_counts_spread_over_tasks(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert urls == set(sorted(f"https://site.example/page/{i}" for i in range(30_000))[:9_000])
     assert len(seen[0]) >= 4 and max(seen[0]) < 2 * 30_000 / len(seen[0])
+
+
+def test_rate_counts_without_reading_the_look_back_again(spark, capsys):
+    calls = [(i, "ab"[i % 2], (i * i * 37) % 4000) for i in range(300)] + [(900, "a", 60), (901, "a", 60), (902, None, 61), (903, "a", None)]
+    df = spark.createDataFrame(calls, "i int, k string, s int").withColumn("ts", F.timestamp_seconds("s"))
+    out = ranking.rate_in_last_minute(df, "k", "ts", "i", seconds=600, threshold=20)
+    out.explain()
+    assert "RangeFrame" not in capsys.readouterr().out  # a frame that slides is read anew for every row
+    got = {r.i: (r.calls, r.mean_gap, r.over) for r in out.collect()}
+    want = {}
+    for i, k, s in calls:
+        if s is not None:
+            near = [x for _, y, x in calls if y == k and x is not None and s - 600 <= x <= s]
+            want[i] = (len(near), pytest.approx((s - min(near)) / (len(near) - 1)) if len(near) > 1 else None, len(near) > 20)
+    assert got == want
+
+
+def test_document_tags_are_dealt_before_they_are_spread(spark, capsys):
+    docs = spark.createDataFrame([("i", "A", "a", "k"), ("i", "A", "a", "k"), ("j", "B", "b", None), (None, None, None, "k")], "id string, entity string, entity_name string, kind string")
+    aliases = spark.createDataFrame([("A", "x"), ("A", "a"), ("A", None), ("Z", "z")], "entity string, alias string")
+    out = kb.document_tags(docs, aliases)
+    out.explain(True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert 0 <= plan.index("Generate explode") < plan.index("RepartitionByExpression")
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("i", "A"), ("i", "a"), ("i", "k"), ("i", "x"), ("j", "B"), ("j", "b"), (None, "k")], key=str)

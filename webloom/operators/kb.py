@@ -137,9 +137,11 @@ def document_tags(documents: DataFrame, aliases: DataFrame) -> DataFrame:
         F.array(e, F.lower(e), F.upper(e), F.col("kind")),
         F.when(F.rlike(e, F.lit(V.BRACKETED_NAME)), F.array(F.lower("entity_name"), F.upper("entity_name"))).otherwise(none),
     )
-    named = documents.select("id", F.explode(own).alias("tag"))
-    other = documents.select("id", "entity").join(aliases.select("entity", F.col("alias").alias("tag")), "entity").select("id", "tag")
-    return named.unionByName(other).where("tag is not null").distinct()
+    # dealt before the tags are spread: a task holds its share of the documents only, and the tags need no further shuffle
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    other = documents.select("id", "entity").join(aliases.select("entity", "alias"), "entity").select("id", F.array("alias").alias("_own"))
+    dealt = documents.select("id", F.array_distinct(own).alias("_own")).unionByName(other).repartition(parts, "id")
+    return dealt.select("id", F.explode("_own").alias("tag")).where("tag is not null").distinct()
 
 
 def merge_aliases(sources: Sequence[DataFrame], entities: DataFrame, special: tuple[str, str] = V.RANGE_SUFFIX,
