@@ -152,3 +152,23 @@ def test_keyword_bigrams(spark):
     df = spark.createDataFrame([(["a", "b", "a", "b"],), (["ab", "1"],)], "t array<string>")
     got = {r.name: r.freq for r in textops.keyword_bigrams(df, F.col("t"), skip="^[0-9]$").collect()}
     assert got == {"a": 2, "b": 2, "ab": 1 + 2, "ba": 1}
+
+
+def test_phrased_tokens_of_many_texts(spark, capsys):
+    rng = random.Random(5)
+    texts = {i: [rng.choice("abcde") for _ in range(rng.randrange(40))] for i in range(60)}
+    pairs = {("a", "b"), ("b", "a"), ("c", "c"), ("d", "e")}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()] + [(None, "a b"), (99, None)], "k int, t string")
+    phrases = spark.createDataFrame([(f"{a}_{b}",) for a, b in pairs] * 2, "term string")
+    out = textops.phrased_tokens(df, "k", F.filter(F.split("t", " "), lambda x: x != ""), phrases)
+    out.explain()
+    assert "arrays_zip" not in capsys.readouterr().out  # only places that begin a phrase leave their text
+    got = {r.k: r.tokens for r in out.collect()}
+    for i, t in texts.items():
+        want, at = [], 0
+        while at < len(t):
+            two = tuple(t[at:at + 2]) in pairs
+            want.append("_".join(t[at:at + 2]) if two else t[at])
+            at += 1 + two
+        assert got[i] == want
+    assert got[None] == ["a", "b"] and got[99] is None

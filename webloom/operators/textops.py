@@ -316,23 +316,43 @@ def phrase_vocabulary(
 def phrased_tokens(df: DataFrame, key: str, tokens: Column, phrases: DataFrame, glue: str = "_") -> DataFrame:
     """(key, tokens) with adjacent tokens that form a phrase joined, from left to right, none used twice.
 
-    ``phrases``: term, the joined form (the scored terms of ``phrase_vocabulary``). ``key`` is unique. The phrases are
-    joined as a table of any size; a text is ordered by itself.
+    ``phrases``: term, the joined form (the scored terms of ``phrase_vocabulary``). ``key`` is unique; rows that share one are worked
+    on as one text, in which the words of a place follow each other. The phrases are joined as a table of any size, and only
+    places that begin one leave the text: it is put together again from the pieces between them.
     """
     t = df.select(key, tokens.alias("_t"))
+    known = cut_lineage(phrases.select("term").where("term is not null").distinct(), "phrases")
+    repeated = cut_lineage(t.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key), "repeated")
+    single = t
+    if not repeated.isEmpty():
+        single = t.join(repeated, key, "left_anti")
+    ends = F.zip_with(F.slice("_t", F.lit(1), F.size("_t") - 1), F.slice("_t", F.lit(2), F.size("_t")), lambda a, b: F.concat(a, F.lit(glue), b))
+    places = single.where(F.size("_t") > 1).select(key, F.posexplode(ends).alias("pos", "term"))
+    hits = places.join(known, "term").select(F.col(key).alias("_key"), "pos")
+    # in a row of places that could each begin a phrase, every second one does
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("_key").orderBy("pos"))
+    nth = F.row_number().over(Window.partitionBy("_key", "_run").orderBy("pos"))
+    begun = hits.withColumn("_run", run).withColumn("_nth", nth).where("_nth % 2 = 1").groupBy("_key").agg(F.sort_array(F.collect_list("pos")).alias("_b"))
+    word = lambda at: F.get("_t", at)
+    later = F.concat(F.slice("_b", F.lit(2), F.size("_b")), F.array(F.size("_t")))
+    piece = lambda x, y: F.concat(F.array(F.concat(word(x), F.lit(glue), word(x + 1))), F.slice("_t", x + 3, y - x - 2))
+    whole = F.concat(F.slice("_t", F.lit(1), F.get("_b", F.lit(0))), F.flatten(F.zip_with("_b", later, piece)))
+    joined = single.join(begun, F.col(key) == F.col("_key"), "left")
+    out = joined.select(key, F.when(F.col("_b").isNull(), F.col("_t")).otherwise(whole).alias("tokens"))
+    return out if repeated.isEmpty() else out.unionByName(_phrased_together(t.join(repeated, key, "left_semi"), key, known, glue))
+
+
+def _phrased_together(t: DataFrame, key: str, known: DataFrame, glue: str) -> DataFrame:
+    """(key, tokens) of rows (key, _t) that share keys: a word at a time, those of a key in one order of places."""
     spread = t.where(F.size("_t") > 0).select(
         key, F.posexplode(F.arrays_zip(F.col("_t").alias("a"), F.slice("_t", F.lit(2), F.size("_t")).alias("b"))).alias("pos", "p")
     ).select(key, "pos", "p.a", F.concat(F.col("p.a"), F.lit(glue), F.col("p.b")).alias("term"))
-    known = phrases.select("term", F.lit(True).alias("hit")).distinct()
-    marked = spread.join(known, "term", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
-    # in a row of places that could each begin a phrase, every second one does
+    marked = spread.join(known.withColumn("hit", F.lit(True)), "term", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
     w = Window.partitionBy(key).orderBy("pos")
     row = F.when(F.col("hit"), F.col("pos") - F.sum(F.col("hit").cast("int")).over(w))
-    marked = marked.withColumn("_row", row)
     nth = F.row_number().over(Window.partitionBy(key, "_row").orderBy("pos"))
-    begun = marked.withColumn("begins", F.col("hit") & (nth % 2 == 1))
-    used = F.coalesce(F.lag("begins").over(w), F.lit(False))
-    kept = begun.withColumn("used", used).where("not used")
+    begun = marked.withColumn("_row", row).withColumn("begins", F.col("hit") & (nth % 2 == 1))
+    kept = begun.withColumn("used", F.coalesce(F.lag("begins").over(w), F.lit(False))).where("not used")
     joined = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("begins"), F.col("term")).otherwise(F.col("a")).alias("w")))).alias("_l"))
     out = t.join(joined.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key"), "left")
     return out.select(key, F.coalesce(F.transform("_l", lambda x: x["w"]), F.col("_t")).alias("tokens"))
