@@ -1,13 +1,14 @@
 """Latent semantic topics: a truncated singular value decomposition of TF-IDF rows, as tables throughout.
 
 Neither the vocabulary nor a vector over it is ever on the driver. A block of some vectors over the terms is a
-table (t, v); a product with the matrix is a join with its entries and a sum by text, and one with its transpose the same by term. The
-entries are written once in buckets by term and once in buckets by text, so a product ships blocks only. What the driver
-sees are the inner products of a few vectors.
+table (t, v). The entries are written once, in groups of texts; a product ships to every group the vectors of the terms that
+occur in it, multiplies with the group's part of the matrix and its transpose there, and ships back one vector a term. So neither
+entries nor vectors over the texts are ever shuffled. What the driver sees are the inner products of a few vectors.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,8 @@ from webloom.session import cut_bucketed, cut_lineage
 
 #: Vectors beyond the wanted ones in a block, and products per pass: both only decide how fast the passes converge.
 SPARE, DEPTH = 30, 6
-#: A term of more texts than this is laid over several tasks.
-SPLIT = 100_000
+#: Entries of a group of texts, about: what one task multiplies at once.
+SPLIT = 1_000_000
 
 
 def tfidf(df: DataFrame, tokens: Column, stop: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -72,18 +73,32 @@ def _combined(block: DataFrame, weights: np.ndarray) -> DataFrame:
             x = _matrix(batch.column("v"), len(batch.column("v")[0])) if batch.num_rows else np.zeros((0, used))
             out = (x[:, :used] @ weights).ravel()
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width), pa.array(out))
-            yield pa.RecordBatch.from_arrays([batch.column("t"), batch.column("parts"), lists], names=["t", "parts", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column("t"), lists], names=["t", "v"])
 
-    return block.select("t", "parts", "v").mapInArrow(turn, "t bigint, parts bigint, v array<double>")
+    return block.select("t", "v").mapInArrow(turn, "t bigint, v array<double>")
 
 
-def _product(by_term: DataFrame, by_text: DataFrame, block: DataFrame, width: int) -> DataFrame:
-    """The block times the matrix and then its transpose."""
-    sums = [F.sum(F.col("w") * F.col("v")[i]).alias(f"v{i}") for i in range(width)]
-    vector = F.array(*[f"v{i}" for i in range(width)]).alias("v")
-    spread = block.select("t", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "v")
-    texts = by_term.join(spread, ["t", "part"]).groupBy("d").agg(*sums).select("d", vector)
-    return by_text.join(texts, "d").groupBy("t").agg(F.max("parts").alias("parts"), *sums).select("t", "parts", vector)
+def _product(entries: DataFrame, needed: DataFrame, block: DataFrame, width: int) -> DataFrame:
+    """The block times the matrix and then its transpose; ``entries``: g, d, t, w; ``needed``: the t of each g."""
+
+    def multiply(part: pa.Table, vectors: pa.Table) -> pa.Table:
+        if not part.num_rows or not vectors.num_rows:
+            return pa.table({"t": pa.array([], pa.int64()), "v": pa.array([], pa.list_(pa.float64()))})
+        x = _matrix(vectors.column("v").combine_chunks(), width)
+        terms = vectors.column("t").to_numpy()
+        order = np.argsort(terms)
+        at = order[np.searchsorted(terms[order], part.column("t").to_numpy())]
+        _, text = np.unique(part.column("d").to_numpy(), return_inverse=True)
+        w, out = part.column("w").to_numpy(), np.empty_like(x)
+        for i in range(width):
+            y = np.bincount(text, weights=w * x[at, i])
+            out[:, i] = np.bincount(at, weights=w * y[text], minlength=len(x))
+        offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * width)
+        return pa.table({"t": pa.array(terms), "v": pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))})
+
+    shipped = needed.join(block, "t").select("g", "t", "v")
+    got = entries.groupBy("g").cogroup(shipped.groupBy("g")).applyInArrow(multiply, "t bigint, v array<double>")
+    return got.groupBy("t").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(width)]).alias("v"))
 
 
 def singular_vectors(entries: DataFrame, k: int, tol: float = 1e-5, passes: int = 200) -> tuple[list[float], DataFrame]:
@@ -95,23 +110,23 @@ def singular_vectors(entries: DataFrame, k: int, tol: float = 1e-5, passes: int
     """
     spark = entries.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = entries.groupBy("t").agg(F.ceil(F.count(F.lit(1)) / SPLIT).alias("parts"))
-    sized = entries.join(sizes, "t").withColumn("part", F.pmod(F.xxhash64("d"), F.col("parts")))
-    by_term = cut_bucketed(sized, "weights-by-term", parts, ["t", "part"])
-    by_text = cut_bucketed(by_term, "weights-by-text", parts, ["d"])
+    groups = max(1, math.ceil(entries.count() / SPLIT))
+    grouped = entries.withColumn("g", F.pmod(F.xxhash64("d"), F.lit(groups)))
+    by_group = cut_bucketed(grouped, "weights-by-group", parts, ["g"])
+    needed = cut_bucketed(by_group.select("g", "t").distinct(), "terms-by-group", parts, ["t"])
     width = k + SPARE
     first = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.xxhash64(F.col("t"), i).cast("double") / float(1 << 63))
-    block = cut_lineage(sizes.select("t", "parts", first.alias("v")), "block")
+    block = cut_lineage(needed.select("t").distinct().select("t", first.alias("v")), "block")
     for _ in range(passes):
         powers = [block]
         for _ in range(DEPTH):
-            powers.append(cut_lineage(_product(by_term, by_text, powers[-1], width), "block"))
-        steps = [p.select("t", "parts", F.lit(i).alias("i"), "v") for i, p in enumerate(powers)]
+            powers.append(cut_lineage(_product(by_group, needed, powers[-1], width), "block"))
+        steps = [p.select("t", F.lit(i).alias("i"), "v") for i, p in enumerate(powers)]
         rows = steps[0]
         for more in steps[1:]:
             rows = rows.unionByName(more)
         ordered = F.sort_array(F.collect_list(F.struct("i", "v")))  # one entry a power
-        basis = cut_lineage(rows.groupBy("t", "parts").agg(F.flatten(ordered["v"]).alias("v")), "basis")
+        basis = cut_lineage(rows.groupBy("t").agg(F.flatten(ordered["v"]).alias("v")), "basis")
         inner = _inner_products(basis, width * (DEPTH + 1))
         # the products of all but the last power with the matrix are the powers one further
         scale = 1 / np.sqrt(np.maximum(np.diag(inner), 1e-300))
