@@ -81,3 +81,15 @@ def test_edges(spark):
     assert toxicity.keep_clean(documents(spark, []), UNTRAINED).count() == 0
     long_text = "calm words. " * 30_000 + "You pathetic idiot. " * 40
     assert toxicity.score(documents(spark, [(1, long_text)]), UNTRAINED).first().matched_clauses == 40
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    import inspect
+
+    assert "sample_rows" not in inspect.signature(toxicity.fit).parameters
+    rows = [(i, "the weather was zorblax again" if i % 3 == 0 else f"plain words number {i} about rivers") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    whole = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "HELD", 0)  # the tasks choose the stems, not the driver
+    assert toxicity.fit(docs, labels).weights == whole.weights and any(s.startswith("zor") for s in whole.weights)
