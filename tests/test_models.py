@@ -73,7 +73,8 @@ def test_a_product_ships_no_entries_and_no_vectors_of_texts(spark, capsys):
     rows = [(d, t, 1.0 + (d * t) % 5) for d in range(40) for t in range(15) if (d + t) % 3]
     entries = spark.createDataFrame([(d % 4, d, t, w) for d, t, w in rows], "g long, d long, t long, w double")
     block = spark.createDataFrame([(t, [float(t), 1.0 - t]) for t in range(15)], "t long, v array<double>")
-    out = topics._product(entries, entries.select("g", "t").distinct(), block, 2)
+    needed = spark.createDataFrame(sorted({(d % 4, t) for d, t, _ in rows}), "g long, t long")
+    out = topics._product(entries, needed, block, 2)
     out.explain()
     assert "hashpartitioning(d" not in capsys.readouterr().out
     a, x = np.zeros((40, 15)), np.array([r.v for r in block.orderBy("t").collect()])
