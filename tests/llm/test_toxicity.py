@@ -93,3 +93,27 @@ def test_every_labelled_row_is_learned_from(spark, monkeypatch):
     whole = toxicity.fit(docs, labels)
     monkeypatch.setattr(toxicity, "HELD", 0)  # the tasks choose the stems, not the driver
     assert toxicity.fit(docs, labels).weights == whole.weights and any(s.startswith("zor") for s in whole.weights)
+
+
+def test_a_stem_behind_three_thousand_others_is_learned(spark):
+    letters = "bcdfghjklmnpqrst"
+    more = " ".join("".join(letters[i >> s & 15] for s in (0, 4, 8)) + "u" * 5 for i in range(700))  # 700 words of 6 stems
+    texts = [f"{more} {i}" for i in range(6)] + [f"zorblax {i}" for i in range(4)] + [f"calm weather number {i}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(30)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert any(s.startswith("zor") for s in model.weights)
+    grammar = toxicity.Grammar(model.weights)
+    assert model.score(grammar.features("zorblax")) > 0.5 > model.score(grammar.features("calm weather"))
+
+
+def test_logistic_adds_up_in_the_tasks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 2))
+    y = (x @ [1.0, -2.0] + rng.normal(size=60) > 0).astype(int)
+    rows = spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y, strict=True)], "f array<double>, toxic int").repartition(5)
+    w, b = toxicity.logistic(rows, 2)
+    mu = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.allclose(x.T @ (y - mu), w, atol=1e-6) and abs((y - mu).sum() - 1e-3 * b) < 1e-6  # the gradient vanishes

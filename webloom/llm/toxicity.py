@@ -251,10 +251,10 @@ def logistic(rows: DataFrame, n: int, penalty: float = 1.0, rounds: int = 30) ->
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    candidates: int = 3_000,
 ) -> ToxicityModel:
-    """Learn the stems and the model from all labelled rows. The driver sees counts of stems, sums over the rows and, once they
-    are few enough, the toxic texts that no chosen stem covers yet.
+    """Learn the stems and the model from all labelled rows and from every stem that is telling enough. The driver sees counts of
+    stems (as a stem stands in a 300th of the toxic texts at least, these do not grow with the rows), sums over the rows and, once
+    they are few enough, the toxic texts that no chosen stem covers yet.
 
     A doc labelled more than once is toxic if any label says so. Null labels, ids and texts are left out. Without a
     toxic and a clean text among the sample the untrained grammar is returned.
@@ -286,7 +286,7 @@ def fit(
     def gain(s: str) -> float:
         return often[s] * odds(s)
 
-    strong = sorted((s for s in often if odds(s) >= 2), key=lambda s: (-gain(s), -len(s), s))[:candidates]
+    strong = sorted((s for s in often if odds(s) >= 2), key=lambda s: (-gain(s), -len(s), s))
     place = {s: i for i, s in enumerate(strong)}
 
     def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -340,143 +340,6 @@ def fit(
     return ToxicityModel(weights, w.tolist(), b)
 
 
-def score(self, features: Iterable[float]) -> float:
-        z = self.bias + sum(c * f for c, f in zip(self.coefficients, features, strict=True))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
-
-
-#: Used when there is no label to learn from.
-UNTRAINED = ToxicityModel({w: 3.0 for w in INSULTS}, [0.5, 0.5, 0.5, 1.0, 0.5, -0.5, -0.5, 0.5], -3.0)
-
-
-def stems(text: str) -> set[str]:
-    """Words of a text and their beginnings of 3 to 7 letters as "abc*"."""
-    out: set[str] = set()
-    for w in set(WORD.findall(text.lower())):
-        out.add(w)
-        out.update(w[:n] + "*" for n in range(3, min(8, len(w) + 1)))
-    return out
-
-
-def _counts(sample: DataFrame, wanted: set[str] | None) -> DataFrame:
-    """(stem, n): texts of the sample with each stem."""
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            c: Counter = Counter()
-            for text in frame["text"]:
-                found = stems(text)
-                c.update(found if wanted is None else found & wanted)
-            yield pd.DataFrame({"stem": list(c), "n": list(c.values())}).astype({"stem": "object", "n": "int64"})
-
-    return sample.select("text").mapInPandas(count, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-
-
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Penalised logistic regression by Newton steps; the bias is not penalised."""
-    a = np.hstack([x, np.ones((len(x), 1))])
-    w, p = np.zeros(a.shape[1]), np.eye(a.shape[1]) * penalty
-    p[-1, -1] = 1e-3
-    for _ in range(rounds):
-        mu = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (mu * (1 - mu))[:, None]) + p, a.T @ (y - mu) - p @ w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w[:-1], float(w[-1])
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    candidates: int = 3_000,
-) -> ToxicityModel:
-    """Learn the stems and the model from all labelled rows. The driver sees counts of stems, sums over the rows and, once they
-    are few enough, the toxic texts that no chosen stem covers yet.
-
-    A doc labelled more than once is toxic if any label says so. Null labels, ids and texts are left out. Without a
-    toxic and a clean text among the sample the untrained grammar is returned.
-    """
-    known = cut_lineage(
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
-        .agg(F.max(label_col).cast("int").alias("toxic")), "labelled"
-    )
-    if known.isEmpty():
-        return UNTRAINED
-    sample = cut_lineage(
-        docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(small_side(known), "id").select("text", "toxic"),
-        "sample",
-    )
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not n_toxic or not n_clean:
-        return UNTRAINED
-
-    toxic = sample.where("toxic = 1")
-    least = max(3, n_toxic // 300)
-    often = {r["stem"]: r["n"] for r in _counts(toxic, None).where(F.col("n") >= least).collect()}
-    clean = {r["stem"]: r["n"] for r in _counts(sample.where("toxic = 0"), set(often)).collect()}
-
-    def odds(s: str) -> float:
-        return math.log((often[s] + 0.5) / (n_toxic + 1)) - math.log((clean.get(s, 0) + 0.5) / (n_clean + 1))
-
-    def gain(s: str) -> float:
-        return often[s] * odds(s)
-
-    strong = sorted((s for s in often if odds(s) >= 2), key=lambda s: (-gain(s), -len(s), s))[:candidates]
-    place = {s: i for i, s in enumerate(strong)}
-
-    def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"found": [sorted(place[s] for s in stems(t) if s in place) for t in frame["text"]]})
-
-    # texts of the same stems are one entry with a count
-    open_texts = cut_lineage(toxic.select("text").mapInPandas(held, "found array<int>").groupBy("found").agg(F.count(F.lit(1)).alias("n")), "covers")
-    chosen: list[str] = []
-
-    def choose(cover: Mapping[int, int]) -> int | None:
-        best = max(cover, key=lambda i: (cover[i] * odds(strong[i]), len(strong[i]), -i), default=None)
-        if best is None or cover[best] < least:
-            return None
-        chosen.append(strong[best])
-        return best
-
-    best: int | None = -1
-    while best is not None and open_texts.count() > HELD:
-        counted = open_texts.select(F.explode("found").alias("i"), "n").groupBy("i").agg(F.sum("n").alias("n")).collect()
-        best = choose({r["i"]: r["n"] for r in counted})
-        if best is not None:
-            open_texts = open_texts.where(~F.array_contains("found", best))
-    entries = [(set(r["found"]), r["n"]) for r in open_texts.collect()] if best is not None else []
-    while entries:
-        cover: Counter = Counter()
-        for found, n in entries:
-            cover.update(dict.fromkeys(found, n))
-        best = choose(cover)
-        if best is None:
-            break
-        entries = [e for e in entries if best not in e[0]]
-    # further stems that are as telling as the chosen ones, of texts that are covered already; the longest of a nest
-    nested: list[str] = []
-    for s in strong:
-        if clean.get(s, 0) * 20 * n_toxic <= often[s] * n_clean and often[s] >= max(least, n_toxic // 25):
-            if not any(s.startswith(c.rstrip("*")) or c.startswith(s.rstrip("*")) for c in [*chosen, *nested]):
-                nested.append(s)
-    weights = {s: min(odds(s), 8.0) for s in [*chosen, *nested]}
-    for s in INSULTS:
-        weights.setdefault(s, 2.0)
-
-    grammar = Grammar(weights)
-
-    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"f": [grammar.features(t) for t in frame["text"]], "toxic": frame["toxic"]})
-
-    rows = sorted((r["f"], r["toxic"]) for r in sample.mapInPandas(measure, "f array<double>, toxic int").collect())
-    w, b = logistic(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float))
-    return ToxicityModel(weights, w.tolist(), b)
-
-
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (doc_id, score, matched_clauses).
 
