@@ -172,3 +172,36 @@ def test_phrased_tokens_of_many_texts(spark, capsys):
             at += 1 + two
         assert got[i] == want
     assert got[None] == ["a", "b"] and got[99] is None
+
+
+def test_adjacent_counts_are_sent_in_parts(spark, capsys, monkeypatch):
+    from collections import Counter
+
+    cut = textops.cut_lineage
+
+    def shown(df, label):
+        df.explain()
+        return cut(df, label)
+
+    monkeypatch.setattr(textops, "cut_lineage", shown)
+    monkeypatch.setattr(textops, "COUNTED", 50)  # several times a task
+    rng = random.Random(2)
+    texts = [[rng.choice(["a", "b", "", "zß", "長", None]) for _ in range(rng.randrange(12))] for _ in range(300)] + [None, [], ["x"]]
+    df = spark.createDataFrame([(t,) for t in texts], "t array<string>").repartition(3)
+    out = textops.adjacent_counts(df, F.col("t"))
+    assert "hashpartitioning(a" not in capsys.readouterr().out  # no row per pair and task is shuffled
+    want = Counter((x, y) for t in texts if t for x, y in zip(t, [*t[1:], None], strict=True))
+    assert {(r.a, r.b): r.n for r in out.collect()} == want and out.count() == len(want)
+    assert textops.adjacent_counts(df.where("false"), F.col("t")).count() == 0
+
+
+def test_phrased_tokens_move_texts_as_they_are(spark, capsys, monkeypatch):
+    monkeypatch.setattr(textops, "PHRASE_BITS", 64)  # most places may begin a phrase then; the join tells
+    df = spark.createDataFrame([(i, "a b a b c " + "d " * (i % 5)) for i in range(40)], "k int, t string")
+    phrases = spark.createDataFrame([("a_b",), ("d_d",), ("c_c",)], "term string")
+    out = textops.phrased_tokens(df, "k", F.filter(F.split("t", " "), lambda x: x != ""), phrases)
+    out.explain()
+    assert "Window" not in capsys.readouterr().out  # places are found and written before the texts move
+    for r in out.collect():
+        n = r.k % 5
+        assert r.tokens == ["a_b", "a_b", "c"] + ["d_d"] * (n // 2) + ["d"] * (n % 2)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +17,7 @@ from pyspark.sql import types as T
 from webloom.functions import fixed_values as V
 from webloom.functions.text import clean_question, words
 from webloom.operators.stats import classification_report
-from webloom.session import cut_lineage
+from webloom.session import cut_lineage, free_shuffles
 
 PIECES = r"(?U)([A-Za-z0-9]+|[^\sA-Za-z0-9]+)"  # Unicode white space separates
 
@@ -255,13 +259,104 @@ def learn_lexicon(phrases: DataFrame, phrase: str, minus: DataFrame, tokens: Cal
     return toks.groupBy("term").agg(F.sum("_n").alias("weight")).join(minus, "term", "left_anti").orderBy("term")
 
 
+#: Tokens of a task counted at once.
+COUNTED = 6_000_000
+#: Bytes of input for which the pairs are dealt into one more part.
+DEALT_BYTES = 8 << 20
+
+
+def _counted_pairs(batches: Iterator[pa.RecordBatch], parts: int, most: int) -> Iterator[pa.RecordBatch]:
+    """(part, counted): the pairs of about ``most`` tokens at a time with their counts; ``counted`` holds those of a part as a
+    compressed Arrow row of lists: each word once, the places of both words of a pair, and how often it occurs."""
+
+    def counted(texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        values = pa.concat_arrays([pa.array([None], pa.large_string()), *[t.flatten().cast(pa.large_string()) for t in texts]])
+        coded = values.dictionary_encode("encode")  # null is number 0
+        names, follow = coded.dictionary, coded.indices.to_numpy()[1:].astype(np.int64)
+        keys = follow * len(names)
+        keys[:-1] += follow[1:]
+        ends = np.cumsum(np.concatenate([t.value_lengths().to_numpy() for t in texts])) - 1
+        keys[ends] = follow[ends] * len(names)  # null at the end of a text
+        keys, n = np.unique(keys, return_counts=True)
+        a, b = np.divmod(keys, len(names))
+        hashed = pd.util.hash_array(np.asarray(names.to_pandas(), dtype=object), categorize=False)
+        mixed = hashed[a] * np.uint64(0x9E3779B97F4A7C15) + hashed[b] * np.uint64(0xBF58476D1CE4E5B9)
+        part = ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            used, place = np.unique(np.concatenate([a[rows], b[rows]]), return_inverse=True)
+            place = place.astype(np.int32)
+            lists = [names.take(pa.array(used)), *map(pa.array, (place[: len(rows)], place[len(rows) :], n[rows]))]
+            row = pa.RecordBatch.from_arrays([pa.LargeListArray.from_arrays(pa.array([0, len(x)], pa.int64()), x) for x in lists], names=["words", "a", "b", "n"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(row)
+            yield pa.RecordBatch.from_arrays([pa.array(part[rows[:1]]), pa.array([sink.getvalue().to_pybytes()])], names=["part", "counted"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch.column(0))
+        size += len(held[-1].flatten())
+        if size >= most:
+            yield from counted(held)
+            held, size = [], 0
+    if size:
+        yield from counted(held)
+
+
+def _summed_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, n), in order within a part, of rows (part, counted) that come part after part."""
+
+    def summed(rows: list[bytes]) -> Iterator[pa.RecordBatch]:
+        read = [pa.ipc.open_stream(r).read_all().to_batches()[0] for r in rows]
+        words = [r.column("words").flatten() for r in read]
+        coded = pa.concat_arrays(words).dictionary_encode("encode")
+        order = pc.sort_indices(coded.dictionary)
+        names, rank = coded.dictionary.take(order), np.empty(len(order), dtype=np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        code = rank[coded.indices.to_numpy()]
+        first = np.cumsum([0, *map(len, words)])
+        a, b = (np.concatenate([code[r.column(c).flatten().to_numpy() + at] for r, at in zip(read, first, strict=False)]) for c in "ab")
+        keys, n = a * len(names) + b, np.concatenate([r.column("n").flatten().to_numpy() for r in read])
+        by_key = np.argsort(keys, kind="stable")
+        keys = keys[by_key]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.add.reduceat(n[by_key], starts)
+        a, b = np.divmod(keys[starts], len(names))
+        for at in range(0, len(n), 100_000):
+            now = slice(at, at + 100_000)
+            pair = [names.take(pa.array(x[now])).cast(pa.string()) for x in (a, b)]
+            yield pa.RecordBatch.from_arrays([*pair, pa.array(n[now])], names=["a", "b", "n"])
+
+    part, held = None, []
+    for batch in batches:
+        for p, row in zip(batch.column("part").to_pylist(), batch.column("counted").to_pylist(), strict=True):
+            if held and p != part:
+                yield from summed(held)
+                held = []
+            part = p
+            held.append(row)
+    if held:
+        yield from summed(held)
+
+
 def adjacent_counts(df: DataFrame, tokens: Column) -> DataFrame:
     """(a, b, n): how often token ``a`` is followed by ``b``, null at the end of a text. The
-    texts are read once; a token's own count is the sum over ``b``."""
-    t = df.select(tokens.alias("_t"))
-    follow = F.arrays_zip(F.col("_t").alias("a"), F.slice("_t", F.lit(2), F.size("_t")).alias("b"))
-    rows = t.where(F.size("_t") > 0).select(F.explode(follow).alias("p"))
-    return cut_lineage(rows.groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n")), "adjacent")
+    texts are read once; a token's own count is the sum over ``b``.
+
+    A task counts its pairs before it sends them, and sends them dealt by a hash of both words into parts, each word of a part once:
+    as a row per pair they would take several times the room of the texts. A part of more input is no larger, there are more of them.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    planned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # of the files; out of all bounds if it is not known
+    if planned < 1 << 50:
+        parts = max(parts, math.ceil(planned / DEALT_BYTES))
+    texts = df.select(tokens.cast("array<string>").alias("_t")).where(F.size("_t") > 0)
+    sent = texts.mapInArrow(lambda batches: _counted_pairs(batches, parts, COUNTED), "part int, counted binary").repartition(parts, "part")
+    out = cut_lineage(sent.sortWithinPartitions("part").mapInArrow(_summed_pairs, "a string, b string, n bigint"), "adjacent")
+    free_shuffles(spark)
+    return out
 
 
 def keyword_bigrams(df: DataFrame, tokens: Column, limit: int = 100, skip: str | None = None, glue: str = "") -> DataFrame:
@@ -313,33 +408,68 @@ def phrase_vocabulary(
     return kept.withColumn("score", F.lit(None).cast("double")).unionByName(scored)
 
 
+#: Bits of the table of phrase hashes that every task holds, whatever the number of phrases.
+PHRASE_BITS = 1 << 24
+
+
+def _may_hold(terms: DataFrame) -> np.ndarray:
+    """PHRASE_BITS bits, as bytes: set at the hash of each of the terms."""
+    place = F.pmod(F.xxhash64("term"), F.lit(PHRASE_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    words = terms.select(F.shiftright(place, 6).alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("w")).toArrow()
+    bits = np.zeros(PHRASE_BITS // 64, dtype=np.int64)
+    bits[words.column("at").to_numpy()] = words.column("w").to_numpy()
+    return np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool)
+
+
 def phrased_tokens(df: DataFrame, key: str, tokens: Column, phrases: DataFrame, glue: str = "_") -> DataFrame:
     """(key, tokens) with adjacent tokens that form a phrase joined, from left to right, none used twice.
 
     ``phrases``: term, the joined form (the scored terms of ``phrase_vocabulary``). ``key`` is unique; rows that share one are worked
     on as one text, in which the words of a place follow each other. The phrases are joined as a table of any size, and only
-    places that begin one leave the text: it is put together again from the pieces between them.
+    places that may begin one, as a small table of hashes says, leave the text; it is put together again from the pieces between them.
     """
-    t = df.select(key, tokens.alias("_t"))
+    spark = df.sparkSession
     known = cut_lineage(phrases.select("term").where("term is not null").distinct(), "phrases")
-    repeated = cut_lineage(t.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key), "repeated")
-    single = t
+    free_shuffles(spark)
+    repeated = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key), "repeated")
+    single = df
     if not repeated.isEmpty():
-        single = t.join(repeated, key, "left_anti")
+        single = df.join(repeated, key, "left_anti")
     ends = F.zip_with(F.slice("_t", F.lit(1), F.size("_t") - 1), F.slice("_t", F.lit(2), F.size("_t")), lambda a, b: F.concat(a, F.lit(glue), b))
-    places = single.where(F.size("_t") > 1).select(key, F.posexplode(ends).alias("pos", "term"))
-    hits = places.join(known, "term").select(F.col(key).alias("_key"), "pos")
+    bits = spark.sparkContext.broadcast(np.packbits(_may_hold(known)))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.unpackbits(bits.value).view(bool)
+        for batch in batches:
+            terms, sizes = batch.column("ends").flatten(), batch.column("ends").value_lengths().to_numpy()
+            at = np.flatnonzero(held[batch.column("places").flatten().to_numpy()])
+            row = np.repeat(np.arange(len(sizes)), sizes)[at]
+            pos = at - (np.cumsum(sizes) - sizes)[row]
+            columns = [batch.column("key").take(pa.array(row)), pa.array(pos.astype(np.int32)), terms.take(pa.array(at))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "pos", "term"])
+
+    spread = single.select(F.col(key).alias("key"), tokens.alias("_t")).where((F.size("_t") > 1) & F.col("key").isNotNull()).select("key", ends.alias("ends"))
+    hashed = F.transform("ends", lambda x: F.pmod(F.xxhash64(x), F.lit(PHRASE_BITS)).cast("int"))
+    key_type = df.schema[key].dataType.simpleString()
+    places = spread.select("key", "ends", hashed.alias("places")).mapInArrow(candidates, f"_key {key_type}, pos int, term string")
+    hits = places.join(known, "term").select("_key", "pos")
     # in a row of places that could each begin a phrase, every second one does
     run = F.col("pos") - F.row_number().over(Window.partitionBy("_key").orderBy("pos"))
     nth = F.row_number().over(Window.partitionBy("_key", "_run").orderBy("pos"))
     begun = hits.withColumn("_run", run).withColumn("_nth", nth).where("_nth % 2 = 1").groupBy("_key").agg(F.sort_array(F.collect_list("pos")).alias("_b"))
+    begun = cut_lineage(begun, "begun")
+    free_shuffles(spark)
     word = lambda at: F.get("_t", at)
     later = F.concat(F.slice("_b", F.lit(2), F.size("_b")), F.array(F.size("_t")))
     piece = lambda x, y: F.concat(F.array(F.concat(word(x), F.lit(glue), word(x + 1))), F.slice("_t", x + 3, y - x - 2))
     whole = F.concat(F.slice("_t", F.lit(1), F.get("_b", F.lit(0))), F.flatten(F.zip_with("_b", later, piece)))
-    joined = single.join(begun, F.col(key) == F.col("_key"), "left")
+    # the rows meet their places as they are and are cut into words after that, since words take several times the room
+    joined = single.join(begun, F.col(key) == F.col("_key"), "left").select(key, "_b", tokens.alias("_t"))
     out = joined.select(key, F.when(F.col("_b").isNull(), F.col("_t")).otherwise(whole).alias("tokens"))
-    return out if repeated.isEmpty() else out.unionByName(_phrased_together(t.join(repeated, key, "left_semi"), key, known, glue))
+    if repeated.isEmpty():
+        return out
+    return out.unionByName(_phrased_together(df.join(repeated, key, "left_semi").select(key, tokens.alias("_t")), key, known, glue))
 
 
 def _phrased_together(t: DataFrame, key: str, known: DataFrame, glue: str) -> DataFrame:

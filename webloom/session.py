@@ -70,6 +70,15 @@ def cut_bucketed(df: DataFrame, label: str, buckets: int, columns: list[str]) ->
     return df.sparkSession.table(name)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs.
+
+    It does so once the driver's garbage collector has met their plans, which on a quiet driver may take half an hour
+    (``spark.cleaner.periodicGC.interval``); jobs that write one large table after the other ask for it in between.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 class GrowingTable:
     """A table that an iterative job extends pass by pass in the shared folder.
 
