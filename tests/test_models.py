@@ -82,3 +82,18 @@ def test_a_product_ships_no_entries_and_no_vectors_of_texts(spark, capsys):
         a[d, t] = w
     got = {r.t: r.v for r in out.collect()}
     assert got.keys() == set(range(15)) and np.allclose([got[t] for t in range(15)], a.T @ (a @ x))
+
+
+def test_topics_keep_vectors_over_the_texts_only(spark, monkeypatch):
+    cut, kept = topics.cut_lineage, []
+
+    def seen(df, label):
+        out = cut(df, label)
+        if label == "block":
+            kept.append(out.agg(F.sum(F.size("v"))).first()[0])
+        return out
+
+    monkeypatch.setattr(topics, "cut_lineage", seen)
+    rows = [(f"rain wind{i % 3} " + " ".join(f"own{i}x{j}" for j in range(40)),) for i in range(12)]
+    assert topics.topic_weights(spark.createDataFrame(rows, "text string").repartition(2), words(F.col("text")), 2, 3).count() == 6
+    assert kept and max(kept) <= 12 * (2 + topics.SPARE)  # nothing as long as the vocabulary is written in a pass

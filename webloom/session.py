@@ -61,6 +61,14 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table written by ``cut_lineage`` that no later step reads."""
+    files = df.inputFiles()
+    if files:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_bucketed(df: DataFrame, label: str, buckets: int, columns: list[str]) -> DataFrame:
     """Like ``cut_lineage``, in buckets by ``columns``: joins on them do not shuffle the table again."""
     path = scratch_path(df.sparkSession, label)
